@@ -56,3 +56,8 @@ def denormalise(avg, dev, lo: float = RATING_LO, hi: float = RATING_HI) -> Colum
 
 def rounded_sim(sim="sim") -> Column:
     return F.round(_c(sim), SIM_ROUND)
+
+
+def out_round(x) -> Column:
+    """Round for output; ``+ 0.0`` turns a negative zero into 0.0."""
+    return F.round(_c(x), OUT_ROUND) + F.lit(0.0)

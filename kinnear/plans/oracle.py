@@ -110,7 +110,7 @@ def oracle_sql() -> dict[str, str]:
     q["parse_fields"] = _with() + "SELECT u, i, rating FROM r"
     q["dedup_ratings"] = _with() + """
 SELECT u, i, count(*) AS n, sum(rating) AS r_sum, max(rating) AS r_max,
-       round(sum(rating) / count(*), 6) AS r_mean
+       (round(sum(rating) / count(*), 6) + CAST(0 AS DOUBLE)) AS r_mean
 FROM raw GROUP BY u, i"""
     q["holdout_split"] = _with(f""",
 h AS (SELECT u, i,
@@ -121,52 +121,52 @@ h AS (SELECT u, i,
     q["positive_cells"] = _with() + "SELECT u, i, rating FROM test WHERE rating > 0"
     q["item_slice"] = _with(""",
 top_item AS (SELECT i FROM train GROUP BY i ORDER BY count(*) DESC, i LIMIT 1)
-""") + "SELECT d.u, round(d.dev, 6) AS dev FROM dev d JOIN top_item ti ON d.i = ti.i"
+""") + "SELECT d.u, (round(d.dev, 6) + CAST(0 AS DOUBLE)) AS dev FROM dev d JOIN top_item ti ON d.i = ti.i"
     q["scale_expr"] = _with() + """
 SELECT t.u, t.i,
-       round(CASE WHEN t.rating > m.a THEN CAST(5 AS DOUBLE) - m.a
+       (round(CASE WHEN t.rating > m.a THEN CAST(5 AS DOUBLE) - m.a
                   WHEN t.rating < m.a THEN m.a - CAST(1 AS DOUBLE)
-                  ELSE CAST(1 AS DOUBLE) END, 6) AS scale
+                  ELSE CAST(1 AS DOUBLE) END, 6) + CAST(0 AS DOUBLE)) AS scale
 FROM train t JOIN mean m ON t.u = m.u"""
-    q["user_mean"] = _with() + "SELECT u, round(a, 6) AS mean FROM mean"
-    q["item_mean"] = _with() + "SELECT i, round(sum(rating) / count(*), 6) AS mean FROM train GROUP BY i"
-    q["user_norm"] = _with() + "SELECT u, round(sqrt(sum(dev * dev)), 6) AS norm FROM dev GROUP BY u"
-    q["normalized_deviation"] = _with() + "SELECT u, i, round(dev, 6) AS dev FROM dev"
-    q["unit_profile"] = _with() + "SELECT u, i, round(w, 6) AS weight FROM prof"
+    q["user_mean"] = _with() + "SELECT u, (round(a, 6) + CAST(0 AS DOUBLE)) AS mean FROM mean"
+    q["item_mean"] = _with() + "SELECT i, (round(sum(rating) / count(*), 6) + CAST(0 AS DOUBLE)) AS mean FROM train GROUP BY i"
+    q["user_norm"] = _with() + "SELECT u, (round(sqrt(sum(dev * dev)), 6) + CAST(0 AS DOUBLE)) AS norm FROM dev GROUP BY u"
+    q["normalized_deviation"] = _with() + "SELECT u, i, (round(dev, 6) + CAST(0 AS DOUBLE)) AS dev FROM dev"
+    q["unit_profile"] = _with() + "SELECT u, i, (round(w, 6) + CAST(0 AS DOUBLE)) AS weight FROM prof"
     q["similarity_pairs"] = _with() + """
-SELECT a.u, b.u AS v, round(sum(a.w * b.w), 6) AS sim
+SELECT a.u, b.u AS v, (round(sum(a.w * b.w), 6) + CAST(0 AS DOUBLE)) AS sim
 FROM prof a JOIN prof b ON a.i = b.i AND a.u < b.u
 GROUP BY a.u, b.u HAVING round(sum(a.w * b.w), 9) <> 0"""
     q["similarity_one_user"] = _with(""",
 top_user AS (SELECT u FROM prof GROUP BY u ORDER BY count(*) DESC, u LIMIT 1)
 """) + """
-SELECT b.u AS v, round(sum(a.w * b.w), 6) AS sim
+SELECT b.u AS v, (round(sum(a.w * b.w), 6) + CAST(0 AS DOUBLE)) AS sim
 FROM prof a JOIN top_user tu ON a.u = tu.u JOIN prof b ON a.i = b.i AND b.u <> a.u
 GROUP BY b.u HAVING round(sum(a.w * b.w), 9) <> 0"""
-    nbr_out = "SELECT u, v, round(s, 6) AS sim, rank FROM nbr WHERE rank <= {k}"
+    nbr_out = "SELECT u, v, (round(s, 6) + CAST(0 AS DOUBLE)) AS sim, rank FROM nbr WHERE rank <= {k}"
     q["knn_topk"] = _with(_SIM) + nbr_out.format(k=K_MAIN)
     q["knn_dense_rank"] = _with(_SIM) + nbr_out.format(k=K_DENSE)
     q["knn_multi_k"] = _with(_SIM) + _edges_select()
     q["neighbour_explode"] = q["knn_topk"]
-    q["weighted_deviation"] = _with(_SIM, _pred(K_MAIN)) + "SELECT u, i, round(wdev, 6) AS wdev FROM p_wd"
-    q["predict"] = _with(_SIM, _pred(K_MAIN)) + "SELECT u, i, rating, round(prediction, 6) AS prediction FROM p"
+    q["weighted_deviation"] = _with(_SIM, _pred(K_MAIN)) + "SELECT u, i, (round(wdev, 6) + CAST(0 AS DOUBLE)) AS wdev FROM p_wd"
+    q["predict"] = _with(_SIM, _pred(K_MAIN)) + "SELECT u, i, rating, (round(prediction, 6) + CAST(0 AS DOUBLE)) AS prediction FROM p"
     q["cell_errors"] = _with(_SIM, _pred(K_MAIN)) + (
-        "SELECT u, i, round(abs(rating - prediction), 6) AS abs_error FROM p"
+        "SELECT u, i, (round(abs(rating - prediction), 6) + CAST(0 AS DOUBLE)) AS abs_error FROM p"
     )
     q["mae"] = _with(_SIM, _pred(K_MAIN)) + (
-        "SELECT round(avg(abs(rating - prediction)), 6) AS mae, count(abs(rating - prediction)) AS n FROM p"
+        "SELECT (round(avg(abs(rating - prediction)), 6) + CAST(0 AS DOUBLE)) AS mae, count(abs(rating - prediction)) AS n FROM p"
     )
-    q["mae_by_k"] = _with(_SIM, _stats_cte()) + "SELECT k, round(mae, 6) AS mae, n FROM stats"
+    q["mae_by_k"] = _with(_SIM, _stats_cte()) + "SELECT k, (round(mae, 6) + CAST(0 AS DOUBLE)) AS mae, n FROM stats"
     q["summary_stats"] = _with(_SIM, _stats_cte()) + """
-SELECT k, round(min_e, 6) AS min_e, round(max_e, 6) AS max_e, round(mae, 6) AS avg_e,
-       round(var_e, 6) AS var_e, round(std_e, 6) AS std_e
+SELECT k, (round(min_e, 6) + CAST(0 AS DOUBLE)) AS min_e, (round(max_e, 6) + CAST(0 AS DOUBLE)) AS max_e, (round(mae, 6) + CAST(0 AS DOUBLE)) AS avg_e,
+       (round(var_e, 6) + CAST(0 AS DOUBLE)) AS var_e, (round(std_e, 6) + CAST(0 AS DOUBLE)) AS std_e
 FROM stats"""
     q["cold_start"] = _with() + """
 SELECT 'user' AS kind, count(*) AS n FROM test WHERE u NOT IN (SELECT u FROM train)
 UNION ALL
 SELECT 'item' AS kind, count(*) AS n FROM test WHERE i NOT IN (SELECT i FROM train)"""
     q["metrics_report"] = _with(_SIM, _stats_cte()) + " UNION ALL ".join(
-        f"SELECT 'abs_error k=' || CAST(k AS VARCHAR) AS section, '{m}' AS metric, round({c}, 6) AS value FROM stats"
+        f"SELECT 'abs_error k=' || CAST(k AS VARCHAR) AS section, '{m}' AS metric, (round({c}, 6) + CAST(0 AS DOUBLE)) AS value FROM stats"
         for m, c in [("average", "mae"), ("min", "min_e"), ("max", "max_e"), ("variance", "var_e"), ("stddev", "std_e")]
     )
     ev = [
@@ -178,7 +178,7 @@ SELECT 'item' AS kind, count(*) AS n FROM test WHERE i NOT IN (SELECT i FROM tra
     ]
     for k in KS:
         ev += [
-            f"SELECT 'k={k}', 'mae', round(mae, 6) FROM stats WHERE k = {k}",
+            f"SELECT 'k={k}', 'mae', (round(mae, 6) + CAST(0 AS DOUBLE)) FROM stats WHERE k = {k}",
             f"SELECT 'k={k}', 'predicted', CAST(n AS DOUBLE) FROM stats WHERE k = {k}",
             f"SELECT 'k={k}', 'edges', CAST(edges AS DOUBLE) FROM edges WHERE k = {k}",
             f"SELECT 'k={k}', 'negative_edges', CAST(negative_edges AS DOUBLE) FROM edges WHERE k = {k}",

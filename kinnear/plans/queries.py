@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinnear.functions.expr import OUT_ROUND, scale
+from kinnear.functions.expr import OUT_ROUND, out_round, scale
 from kinnear.operators.evaluate import cell_errors, cold_start, error_stats_by_k, mae
 from kinnear.operators.neighbours import explode_neighbours, knn, neighbour_lists
 from kinnear.operators.predict import predict, predict_multi_k, weighted_deviation
@@ -43,7 +43,7 @@ HOLDOUT_N = 2
 
 
 def _r(x: str) -> F.Column:
-    return F.round(F.col(x), OUT_ROUND)
+    return out_round(F.col(x))
 
 
 class Tables:
@@ -142,7 +142,7 @@ def q_scale_expr(spark, sf_dir):
     j = t.train.join(t.means, "user")
     return j.select(
         F.col("user").alias("u"), F.col("item").alias("i"),
-        F.round(scale("rating", "mean"), OUT_ROUND).alias("scale"),
+        out_round(scale("rating", "mean")).alias("scale"),
     )
 
 
@@ -298,7 +298,7 @@ def q_metrics_report(spark, sf_dir):
     names = [("average", "mae"), ("min", "min_e"), ("max", "max_e"), ("variance", "var_e"), ("stddev", "std_e")]
     rows = F.array(
         *[
-            F.struct(F.lit(m).alias("metric"), F.round(F.col(c), OUT_ROUND).alias("value"))
+            F.struct(F.lit(m).alias("metric"), out_round(F.col(c)).alias("value"))
             for m, c in names
         ]
     )
@@ -310,7 +310,7 @@ def q_metrics_report(spark, sf_dir):
 def q_evaluate(spark, sf_dir):
     t = Tables(spark, sf_dir)
     m = evaluate_job(t.train, t.test, KS, n_users=t.n_users())
-    return m.select("section", "metric", F.round("value", OUT_ROUND).alias("value"))
+    return m.select("section", "metric", out_round(F.col("value")).alias("value"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
