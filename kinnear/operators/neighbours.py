@@ -31,24 +31,34 @@ def rank_candidates(cands: DataFrame, k: int, n_users: int) -> DataFrame:
     ``cands`` has ``user, neighbour, sim, nneg``: rows with a null
     neighbour only carry negative counts; ``sum(nneg)`` per user must be
     the user's total number of negative similarities.
+
+    One exchange by user and one sort: positives first (by rounded
+    similarity descending, then neighbour id), then negatives in the same
+    order; the per-user counts are unordered aggregates over the same
+    partition, so they reuse that sort.
     """
-    by_user = Window.partitionBy("user")
-    c = cands.withColumn(
-        "neg_total", F.coalesce(F.sum("nneg").over(by_user), F.lit(0).cast("long"))
+    c = cands.withColumn("sr", rounded_sim("sim")).withColumn(
+        "cls",
+        F.when(F.col("neighbour").isNull(), F.lit(0))
+        .when(F.col("sr") > 0, F.lit(2))
+        .when(F.col("sr") < 0, F.lit(1))
+        .otherwise(F.lit(0)),
+    )
+    ordered = Window.partitionBy("user").orderBy(
+        F.col("cls").desc(), F.col("sr").desc(), F.col("neighbour").asc()
     )
+    whole = Window.partitionBy("user")
     c = (
-        c.where(F.col("neighbour").isNotNull())
-        .withColumn("sr", rounded_sim("sim"))
-        .where(F.col("sr") != 0)
-        .withColumn("pos", F.col("sr") > 0)
+        c.withColumn("rn", F.row_number().over(ordered))
+        .withColumn("npos", F.sum(F.when(F.col("cls") == 2, 1).otherwise(0)).over(whole))
+        .withColumn("neg_total", F.coalesce(F.sum("nneg").over(whole), F.lit(0).cast("long")))
+    )
+    rank = F.when(F.col("cls") == 2, F.col("rn").cast("long")).otherwise(
+        F.lit(int(n_users)) - F.col("neg_total") + (F.col("rn") - F.col("npos"))
     )
-    w = Window.partitionBy("user", "pos").orderBy(F.col("sr").desc(), F.col("neighbour").asc())
-    c = c.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k)
-    rank = F.when(
-        F.col("pos"), F.col("rn").cast("long")
-    ).otherwise(F.lit(int(n_users)) - F.col("neg_total") + F.col("rn"))
     return (
-        c.select("user", "neighbour", "sim", rank.alias("rank"))
+        c.where(F.col("cls") > 0)
+        .select("user", "neighbour", "sim", rank.alias("rank"))
         .where(F.col("rank") <= k)
     )
 
@@ -68,7 +78,7 @@ def knn(
     """
     if n_users is None:
         n_users = profiles.select("user").distinct().count()
-    cands = similarity_candidates(profiles, k, strategy=strategy, **kw)
+    cands = similarity_candidates(profiles, k, n_users, strategy=strategy, **kw)
     return rank_candidates(cands, k, n_users)
 
 

@@ -145,6 +145,15 @@ def _kth_largest(m: np.ndarray, k: int) -> np.ndarray:
     return np.partition(m, cols - k, axis=1)[:, cols - k]
 
 
+def _ints(x) -> pd.arrays.IntegerArray:
+    x = np.asarray(x, dtype=np.int64)
+    return pd.arrays.IntegerArray(x, np.zeros(len(x), dtype=bool))
+
+
+def _nulls(n: int) -> pd.arrays.IntegerArray:
+    return pd.arrays.IntegerArray(np.zeros(n, dtype=np.int64), np.ones(n, dtype=bool))
+
+
 def _select_topk(S, row_ids, col_ids, k):
     """Candidate neighbours of each row user among the column users.
 
@@ -168,18 +177,18 @@ def _select_topk(S, row_ids, col_ids, k):
     cand = pd.DataFrame(
         {
             "user": row_ids[r],
-            "neighbour": col_ids[c],
+            "neighbour": _ints(col_ids[c]),
             "sim": S[r, c],
-            "nneg": pd.array([None] * len(r), dtype="Int64"),
+            "nneg": _nulls(len(r)),
         }
     )
     has = nneg > 0
     summ = pd.DataFrame(
         {
             "user": row_ids[has],
-            "neighbour": pd.array([None] * int(has.sum()), dtype="Int64"),
+            "neighbour": _nulls(int(has.sum())),
             "sim": np.full(int(has.sum()), np.nan),
-            "nneg": pd.array(nneg[has].astype(np.int64), dtype="Int64"),
+            "nneg": _ints(nneg[has]),
         }
     )
     return [cand, summ]
@@ -215,12 +224,7 @@ def _make_kernel(mode: str, k: int, pair_limit: int):
         parts = [p for p in parts if len(p)]
         if not parts:
             return pd.DataFrame(
-                {
-                    "user": pd.Series([], dtype="int64"),
-                    "neighbour": pd.array([], dtype="Int64"),
-                    "sim": pd.Series([], dtype="float64"),
-                    "nneg": pd.array([], dtype="Int64"),
-                }
+                {"user": _ints([]), "neighbour": _nulls(0), "sim": np.zeros(0), "nneg": _nulls(0)}
             )
         return pd.concat(parts, ignore_index=True)
 
@@ -259,29 +263,18 @@ def _blocked(profiles: DataFrame, nb: int, mode: str, k: int, pair_limit: int) -
 # --------------------------------------------------------------------------
 
 
-def _profile_stats(profiles: DataFrame, heavy_user_rows: int):
-    row = (
-        profiles.groupBy("user")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .agg(
-            F.count(F.lit(1)).alias("users"),
-            F.sum(F.when(F.col("n") > heavy_user_rows, 1).otherwise(0)).alias("heavy"),
-        )
-        .first()
-    )
-    return int(row["users"] or 0), int(row["heavy"] or 0)
-
+def _split_heavy(profiles: DataFrame, heavy_user_rows: int):
+    """Split profiles into light users and heavy users (in the plan, no action).
 
-def _split_heavy(profiles: DataFrame, heavy_user_rows: int, n_heavy: int):
+    The heavy set has at most ``nnz / heavy_user_rows`` rows; AQE broadcasts it
+    when its measured size is under the broadcast threshold.
+    """
     heavy = (
         profiles.groupBy("user")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > heavy_user_rows)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .where(F.col("_n") > heavy_user_rows)
         .select("user")
     )
-    # at most nnz / heavy_user_rows users: counted above before broadcasting
-    if n_heavy <= 1_000_000:
-        heavy = F.broadcast(heavy)
     light = profiles.join(heavy, "user", "left_anti")
     hp = profiles.join(heavy, "user", "left_semi")
     return heavy, light, hp
@@ -315,6 +308,7 @@ def _with_neg_flag(sims: DataFrame) -> DataFrame:
 def similarity_candidates(
     profiles: DataFrame,
     k: int,
+    n_users: int | None = None,
     strategy: str = "blocked",
     block_users: int = 2048,
     heavy_user_rows: int = 200_000,
@@ -326,7 +320,8 @@ def similarity_candidates(
     The candidate set contains every neighbour that can be in the user's
     top-k under the dense rule; ``sum(nneg)`` over a user is the user's
     number of negative similarities.  Rank with
-    :func:`kinnear.operators.neighbours.rank_candidates`.
+    :func:`kinnear.operators.neighbours.rank_candidates`.  ``n_users``
+    (an upper bound on the users with a profile) sizes the blocks.
     """
     if strategy == "join":
         return _with_neg_flag(_mirror(similarity_join(profiles)))
@@ -335,22 +330,14 @@ def similarity_candidates(
     spark = profiles.sparkSession
     if parallelism is None:
         parallelism = spark.sparkContext.defaultParallelism
-    n_seen, n_heavy = _profile_stats(profiles, heavy_user_rows)
-    parts = []
-    light = profiles
-    if n_heavy:
-        heavy, light, hp = _split_heavy(profiles, heavy_user_rows, n_heavy)
-        parts.append(_with_neg_flag(_heavy_rows(profiles, hp, heavy)))
-    n_light = n_seen - n_heavy
-    if n_light > 0:
-        nb = _num_blocks(n_light, block_users, parallelism)
-        parts.append(_blocked(light, nb, "topk", k, pair_limit))
-    if not parts:
+    if n_users is None:
+        n_users = profiles.select("user").distinct().count()
+    if n_users <= 0:
         return spark.createDataFrame([], CANDIDATE_SCHEMA)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    heavy, light, hp = _split_heavy(profiles, heavy_user_rows)
+    nb = _num_blocks(n_users, block_users, parallelism)
+    blocked = _blocked(light, nb, "topk", k, pair_limit)
+    return blocked.unionByName(_with_neg_flag(_heavy_rows(profiles, hp, heavy)))
 
 
 def similarity_pairs(

@@ -26,6 +26,7 @@ from kinnear.operators.profile import (
 )
 from kinnear.operators.similarity import similarity_one_user, similarity_pairs
 from kinnear.plans.pipeline import evaluate as evaluate_job
+from kinnear.session import materialize
 from kinnear.sources.ratings import (
     duplicate_stats,
     holdout_split,
@@ -65,7 +66,10 @@ class Tables:
         return self.ratings.select("user").distinct().count()
 
     def neighbours(self, k: int) -> DataFrame:
-        return knn(self.profiles, k, self.n_users())
+        # the similarity step reads the profiles from several branches (heavy
+        # split, blocked product, heavy rows): write them once to the shared
+        # checkpoint folder instead of recomputing the chain per branch
+        return knn(materialize(self.profiles), k, self.n_users())
 
 
 def _out_nbrs(n: DataFrame) -> DataFrame:
