@@ -41,7 +41,7 @@ class Model:
             if k > self.k:
                 raise ValueError(f"model ranked for k={self.k}, asked for k={k}")
             n = n.where(F.col("rank") <= k)
-        return predict(test, n, self.deviations, self.means, self.lo, self.hi)
+        return predict(test, n, self.deviations, self.means, self.lo, self.hi, k or self.k)
 
     def predict_multi_k(self, test: DataFrame, ks: Sequence[int]) -> DataFrame:
         if max(ks) > self.k:
@@ -75,8 +75,20 @@ def fit(
     return Model(means, deviations, profiles, neighbours, k, n_users, lo, hi)
 
 
-def _long(section, metric, value) -> list:
-    return [F.lit(section).alias("section"), F.lit(metric).alias("metric"), value.cast("double").alias("value")]
+def _rows(*triples) -> F.Column:
+    """``inline`` argument: literal (section, metric) with a value column."""
+    return F.inline(
+        F.array(
+            *[
+                F.struct(
+                    (sec if isinstance(sec, F.Column) else F.lit(sec)).alias("section"),
+                    F.lit(metric).alias("metric"),
+                    val.cast("double").alias("value"),
+                )
+                for sec, metric, val in triples
+            ]
+        )
+    )
 
 
 def evaluate(
@@ -86,7 +98,7 @@ def evaluate(
     n_users: int | None = None,
     lo: float = RATING_LO,
     hi: float = RATING_HI,
-    materialize: bool = False,
+    materialize: bool = True,
     strategy: str = "blocked",
     model: Model | None = None,
     **knn_options,
@@ -95,13 +107,16 @@ def evaluate(
 
     Sections: ``data`` (cell counts, users, cold-start cells) and one
     ``k=<k>`` section per k (MAE, predicted cells, edges, negative edges).
-    One ranking at ``max(ks)`` serves every k.
+    One ranking at ``max(ks)`` serves every k; each summary is one global
+    aggregate unpivoted with ``inline``.  The model tables are
+    checkpointed by default because several outputs read them.
     """
     ks = sorted(set(int(k) for k in ks))
     if model is None:
         model = fit(train, max(ks), n_users, lo, hi, materialize, strategy, **knn_options)
-    stats = error_stats_by_k(model.predict_multi_k(test, ks), ks)
-    nb = model.neighbours
+    stats = error_stats_by_k(model.predict_multi_k(test, ks), ks).select(
+        F.concat(F.lit("k="), F.col("k").cast("string")).alias("section"), "mae", "n"
+    )
     edge_aggs = []
     for k in ks:
         inside = F.col("rank") <= k
@@ -109,25 +124,29 @@ def evaluate(
             F.count(F.when(inside, 1)).alias(f"e_{k}"),
             F.count(F.when(inside & (rounded_sim("sim") < 0), 1)).alias(f"ne_{k}"),
         ]
-    edges = nb.agg(*edge_aggs)
+    edges = model.neighbours.agg(*edge_aggs)
+    cold = cold_start(train, test)
+    cells = (
+        train.agg(F.count(F.lit(1)).alias("tr"))
+        .select(_rows(("data", "train_cells", F.col("tr")), ("data", "users", F.lit(model.n_users))))
+    )
     parts = [
-        train.agg(F.count(F.lit(1)).alias("x")).select(*_long("data", "train_cells", F.col("x"))),
-        test.agg(F.count(F.lit(1)).alias("x")).select(*_long("data", "test_cells", F.col("x"))),
-        cold_start(train, test).select(
-            *_long("data", "", F.col("n"))[:1],
+        cells,
+        test.agg(F.count(F.lit(1)).alias("x")).select(_rows(("data", "test_cells", F.col("x")))),
+        cold.select(
+            F.lit("data").alias("section"),
             F.concat(F.lit("cold_"), F.col("kind"), F.lit("s")).alias("metric"),
             F.col("n").cast("double").alias("value"),
         ),
+        stats.select(_rows((F.col("section"), "mae", F.col("mae")), (F.col("section"), "predicted", F.col("n")))),
+        edges.select(
+            _rows(
+                *[(f"k={k}", "edges", F.col(f"e_{k}")) for k in ks],
+                *[(f"k={k}", "negative_edges", F.col(f"ne_{k}")) for k in ks],
+            )
+        ),
     ]
-    for k in ks:
-        sec = f"k={k}"
-        st = stats.where(F.col("k") == k)
-        parts.append(st.select(*_long(sec, "mae", F.col("mae"))))
-        parts.append(st.select(*_long(sec, "predicted", F.col("n"))))
-        parts.append(edges.select(*_long(sec, "edges", F.col(f"e_{k}"))))
-        parts.append(edges.select(*_long(sec, "negative_edges", F.col(f"ne_{k}"))))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    users = train.sparkSession.range(1).select(*_long("data", "users", F.lit(model.n_users)))
-    return out.unionByName(users)
+    return out

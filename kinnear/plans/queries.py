@@ -248,12 +248,12 @@ def q_neighbour_explode(spark, sf_dir):
 
 
 def _predictions(t: Tables, k: int) -> DataFrame:
-    return predict(t.test, t.neighbours(k), t.deviations, t.means)
+    return predict(t.test, t.neighbours(k), t.deviations, t.means, k=k)
 
 
 def q_weighted_deviation(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    w = weighted_deviation(t.test, t.neighbours(K_MAIN), t.deviations, t.means)
+    w = weighted_deviation(t.test, t.neighbours(K_MAIN), t.deviations, t.means, K_MAIN)
     return w.select(F.col("user").alias("u"), F.col("item").alias("i"), _r("wdev").alias("wdev"))
 
 
