@@ -32,13 +32,20 @@ data (no pair explosion), and is passed on unpruned.
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinnear.functions.expr import rounded_sim
+from kinnear.session import materialize
+
+# The block kernel travels to the Python workers by value, so executors do
+# not need this package installed (only numpy and pandas).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CANDIDATE_SCHEMA = "user long, neighbour long, sim double, nneg long"
 PAIR_SCHEMA = "user long, neighbour long, sim double"
@@ -154,92 +161,228 @@ def _nulls(n: int) -> pd.arrays.IntegerArray:
     return pd.arrays.IntegerArray(np.zeros(n, dtype=np.int64), np.ones(n, dtype=bool))
 
 
-def _select_topk(S, row_ids, col_ids, k):
-    """Candidate neighbours of each row user among the column users.
+def _tile_candidates(S: np.ndarray, k: int, negative: bool = False):
+    """(row, col) of tile entries that can be in their row's top k.
 
-    Returns (user, neighbour, sim, nneg) frames: candidate rows carry a
-    null count; one summary row per user with negatives carries the local
-    count of negative similarities.
+    Positives: ``> 0`` and within the slack of the tile's k-th largest value.
+    Negatives: classed negative and within the slack of the k-th largest
+    negative (the negatives closest to zero rank first).
     """
-    n, m = S.shape
-    kth = _kth_largest(S, k)
-    keep = (S > 0) & (S >= (kth - _SLACK)[:, None])
-    negm = S <= -_HALF_UNIT
-    nneg = negm.sum(axis=1)
-    # the dense rule reaches negatives only when fewer than k entries of the
-    # row are non-negative (the self entry and non-overlapping users are 0)
-    need = (m - nneg) < k
-    if need.any():
-        sn = np.where(negm, S, -np.inf)
-        kthn = _kth_largest(sn, k)
-        keep |= negm & need[:, None] & (S >= (kthn - _SLACK)[:, None])
-    r, c = np.nonzero(keep)
-    cand = pd.DataFrame(
-        {
-            "user": row_ids[r],
-            "neighbour": _ints(col_ids[c]),
-            "sim": S[r, c],
-            "nneg": _nulls(len(r)),
-        }
-    )
-    has = nneg > 0
-    summ = pd.DataFrame(
-        {
-            "user": row_ids[has],
-            "neighbour": _nulls(int(has.sum())),
-            "sim": np.full(int(has.sum()), np.nan),
-            "nneg": _ints(nneg[has]),
-        }
+    if negative:
+        m = S <= -_HALF_UNIT
+        kth = _kth_largest(np.where(m, S, -np.inf), k)
+        keep = m & (S >= (kth - _SLACK)[:, None])
+    else:
+        kth = _kth_largest(S, k)
+        keep = (S > 0) & (S >= (kth - _SLACK)[:, None])
+    return np.nonzero(keep)
+
+
+def _reduce(owner, other, val, k):
+    """Per owner, keep the entries that can still be among its top k.
+
+    Exact for any later additions: the k-th largest value over more entries
+    can only be larger, so an entry below (k-th - slack) now stays out.
+    """
+    n = len(owner)
+    if n == 0:
+        return owner, other, val
+    order = np.lexsort((-val, owner))
+    owner, other, val = owner[order], other[order], val[order]
+    starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+    counts = np.diff(np.r_[starts, n])
+    kth = np.where(counts >= k, val[np.minimum(starts + k - 1, n - 1)], -np.inf)
+    keep = val >= np.repeat(kth, counts) - _SLACK
+    return owner[keep], other[keep], val[keep]
+
+
+class _Candidates:
+    """Running per-owner top-k buffer, compacted when it grows."""
+
+    def __init__(self, k: int, limit: int = 4_000_000):
+        self.k, self.limit = k, limit
+        self.parts: list = []
+        self.size = 0
+
+    def add(self, owner, other, val):
+        if len(owner):
+            self.parts.append((owner, other, val))
+            self.size += len(owner)
+            if self.size > self.limit:
+                self._compact()
+                self.limit = max(self.limit, 2 * self.size)
+
+    def _compact(self):
+        o, x, v = (np.concatenate([p[i] for p in self.parts]) for i in range(3))
+        o, x, v = _reduce(o, x, v, self.k)
+        self.parts, self.size = [(o, x, v)], len(o)
+
+    def result(self):
+        if not self.parts:
+            e = np.zeros(0, dtype=np.int64)
+            return e, e, np.zeros(0)
+        self._compact()
+        return self.parts[0]
+
+
+def _prep(block: pd.DataFrame):
+    """Users (sorted ids) and the block's cells sorted by user position."""
+    idx_users = block["user"].to_numpy()
+    users, idx = np.unique(idx_users, return_inverse=True)
+    order = np.argsort(idx, kind="stable")
+    return (
+        users,
+        idx[order],
+        block["item"].to_numpy()[order],
+        block["weight"].to_numpy(np.float64)[order],
     )
-    return [cand, summ]
 
 
-def _make_kernel(mode: str, k: int, pair_limit: int):
+def _tiling(n: int, idx: np.ndarray, size: int):
+    """User ranges of at most ``size`` users and the cell range of each."""
+    out = []
+    for s0 in range(0, n, size):
+        s1 = min(n, s0 + size)
+        out.append((s0, s1, int(np.searchsorted(idx, s0)), int(np.searchsorted(idx, s1))))
+    return out
+
+
+def _frame(users, neighbours, sims, counts_users=None, counts=None) -> pd.DataFrame:
+    parts = [
+        pd.DataFrame(
+            {"user": _ints(users), "neighbour": _ints(neighbours), "sim": sims, "nneg": _nulls(len(users))}
+        )
+    ]
+    if counts_users is not None and len(counts_users):
+        parts.append(
+            pd.DataFrame(
+                {
+                    "user": _ints(counts_users),
+                    "neighbour": _nulls(len(counts_users)),
+                    "sim": np.full(len(counts_users), np.nan),
+                    "nneg": _ints(counts),
+                }
+            )
+        )
+    return pd.concat(parts, ignore_index=True) if len(parts) > 1 else parts[0]
+
+
+def _make_kernel(mode: str, k: int, pair_limit: int, tile_users: int):
+    """Block-pair kernel: ``P_a · P_bᵀ`` tile by tile, top-k kept per user.
+
+    Tiles are at most ``tile_users × tile_users`` dense; for ``a == b`` only
+    tiles on or above the diagonal are computed (the similarity is
+    symmetric) and both directions are read from each tile.
+    """
+
     def kernel(key, pdf):
         a, b = int(key[0]), int(key[1])
         blk = pdf["blk"].to_numpy()
-        A = pdf[blk == a]
-        B = A if a == b else pdf[blk == b]
-        ua, ia = np.unique(A["user"].to_numpy(), return_inverse=True)
-        ub, ib = (ua, ia) if a == b else np.unique(B["user"].to_numpy(), return_inverse=True)
-        S = _block_product(
-            ia, A["item"].to_numpy(), A["weight"].to_numpy(np.float64),
-            ib, B["item"].to_numpy(), B["weight"].to_numpy(np.float64),
-            len(ua), len(ub), pair_limit,
-        )
-        if a == b:
-            np.fill_diagonal(S, 0.0)
+        ua, ia, ita, wa = _prep(pdf[blk == a])
+        ub, ib, itb, wb = (ua, ia, ita, wa) if a == b else _prep(pdf[blk == b])
+        na, nb = len(ua), len(ub)
+        ta = _tiling(na, ia, tile_users)
+        tb = ta if a == b else _tiling(nb, ib, tile_users)
+        pairs = [(i, j) for i in range(len(ta)) for j in range(len(tb)) if a != b or j >= i]
+
+        def tile(i, j):
+            r0, r1, e0, e1 = ta[i]
+            c0, c1, f0, f1 = tb[j]
+            S = _block_product(
+                ia[e0:e1] - r0, ita[e0:e1], wa[e0:e1],
+                ib[f0:f1] - c0, itb[f0:f1], wb[f0:f1],
+                r1 - r0, c1 - c0, pair_limit,
+            )
+            if a == b and i == j:
+                np.fill_diagonal(S, 0.0)
+            return S, r0, c0
+
         if mode == "all":
-            if a == b:
-                r, c = np.nonzero(np.triu(S, 1))
-            else:
-                r, c = np.nonzero(S)
-            u, v = ua[r], ub[c]
+            us, vs, ss = [], [], []
+            for i, j in pairs:
+                S, r0, c0 = tile(i, j)
+                r, c = np.nonzero(np.triu(S, 1) if (a == b and i == j) else S)
+                u, v = ua[r + r0], ub[c + c0]
+                us.append(np.minimum(u, v))
+                vs.append(np.maximum(u, v))
+                ss.append(S[r, c])
+            cat = (lambda xs, dt: np.concatenate(xs) if xs else np.zeros(0, dtype=dt))
             return pd.DataFrame(
-                {"user": np.minimum(u, v), "neighbour": np.maximum(u, v), "sim": S[r, c]}
+                {"user": cat(us, np.int64), "neighbour": cat(vs, np.int64), "sim": cat(ss, np.float64)}
             )
-        parts = _select_topk(S, ua, ub, k)
+
+        # owners on side A (rows) and side B (columns); one side when a == b
+        own_a = _Candidates(k)
+        own_b = own_a if a == b else _Candidates(k)
+        neg_a = np.zeros(na, dtype=np.int64)
+        neg_b = neg_a if a == b else np.zeros(nb, dtype=np.int64)
+        for i, j in pairs:
+            S, r0, c0 = tile(i, j)
+            negm = S <= -_HALF_UNIT
+            neg_a[r0:r0 + S.shape[0]] += negm.sum(axis=1)
+            r, c = _tile_candidates(S, k)
+            own_a.add(r + r0, c + c0, S[r, c])
+            if a != b or i != j:
+                neg_b[c0:c0 + S.shape[1]] += negm.sum(axis=0)
+                St = np.ascontiguousarray(S.T)
+                r, c = _tile_candidates(St, k)
+                own_b.add(r + c0, c + r0, St[r, c])
+        # the dense rule reaches negatives only for users with fewer than k
+        # non-negative entries (self and non-overlapping users count as 0)
+        need_a = (nb - neg_a) < k
+        need_b = need_a if a == b else (na - neg_b) < k
+        nega = _Candidates(k)
+        negb = nega if a == b else _Candidates(k)
+        if need_a.any() or need_b.any():
+            for i, j in pairs:
+                r0, r1 = ta[i][:2]
+                c0, c1 = tb[j][:2]
+                rows_need = need_a[r0:r1].any()
+                cols_need = (a != b or i != j) and need_b[c0:c1].any()
+                if not (rows_need or cols_need):
+                    continue
+                S, r0, c0 = tile(i, j)
+                if rows_need:
+                    r, c = _tile_candidates(S, k, negative=True)
+                    m = need_a[r + r0]
+                    nega.add((r + r0)[m], (c + c0)[m], S[r, c][m])
+                if cols_need:
+                    St = np.ascontiguousarray(S.T)
+                    r, c = _tile_candidates(St, k, negative=True)
+                    m = need_b[r + c0]
+                    negb.add((r + c0)[m], (c + r0)[m], St[r, c][m])
+        frames = []
+        oa, xa, va = own_a.result()
+        na_o, na_x, na_v = nega.result()
+        has_a = neg_a > 0
+        frames.append(_frame(
+            np.r_[ua[oa], ua[na_o]], np.r_[ub[xa], ub[na_x]], np.r_[va, na_v],
+            ua[has_a], neg_a[has_a],
+        ))
         if a != b:
-            parts += _select_topk(np.ascontiguousarray(S.T), ub, ua, k)
-        parts = [p for p in parts if len(p)]
-        if not parts:
-            return pd.DataFrame(
-                {"user": _ints([]), "neighbour": _nulls(0), "sim": np.zeros(0), "nneg": _nulls(0)}
-            )
-        return pd.concat(parts, ignore_index=True)
+            ob, xb, vb = own_b.result()
+            nb_o, nb_x, nb_v = negb.result()
+            has_b = neg_b > 0
+            frames.append(_frame(
+                np.r_[ub[ob], ub[nb_o]], np.r_[ua[xb], ua[nb_x]], np.r_[vb, nb_v],
+                ub[has_b], neg_b[has_b],
+            ))
+        return pd.concat(frames, ignore_index=True)
 
     return kernel
 
 
-def _num_blocks(n_users: int, block_users: int, parallelism: int, min_block: int = 64) -> int:
-    nb = max(1, math.ceil(n_users / max(1, block_users)))
-    # enough block pairs to occupy the cluster, without tiny blocks
+def _num_blocks(n_users: int, n_rows: int, rows_per_block: int, parallelism: int, min_block: int = 64) -> int:
+    """Blocks sized by stored cells; enough block pairs for the cluster."""
+    nb = max(1, math.ceil(n_rows / max(1, rows_per_block)))
     while nb * (nb + 1) // 2 < parallelism and n_users / (nb + 1) >= min_block:
         nb += 1
     return nb
 
 
-def _blocked(profiles: DataFrame, nb: int, mode: str, k: int, pair_limit: int) -> DataFrame:
+def _blocked(
+    profiles: DataFrame, nb: int, mode: str, k: int, pair_limit: int, tile_users: int
+) -> DataFrame:
     blk = F.pmod(F.xxhash64("user"), F.lit(nb)).cast("int")
     rep = (
         profiles.select("user", "item", "weight", blk.alias("blk"))
@@ -255,7 +398,9 @@ def _blocked(profiles: DataFrame, nb: int, mode: str, k: int, pair_limit: int) -
     # shuffle into a few tasks, the work per group is compute, not bytes
     rep = rep.repartition(groups, "pa", "pb")
     schema = PAIR_SCHEMA if mode == "all" else CANDIDATE_SCHEMA
-    return rep.groupBy("pa", "pb").applyInPandas(_make_kernel(mode, k, pair_limit), schema)
+    return rep.groupBy("pa", "pb").applyInPandas(
+        _make_kernel(mode, k, pair_limit, tile_users), schema
+    )
 
 
 # --------------------------------------------------------------------------
@@ -310,18 +455,29 @@ def similarity_candidates(
     k: int,
     n_users: int | None = None,
     strategy: str = "blocked",
-    block_users: int = 2048,
+    rows_per_block: int = 1_000_000,
+    tile_users: int = 2048,
     heavy_user_rows: int = 200_000,
     pair_limit: int = 4_000_000,
     parallelism: int | None = None,
+    n_rows: int | None = None,
+    materialize_input: bool = True,
 ) -> DataFrame:
     """Directed candidate neighbours ``user, neighbour, sim, nneg``.
 
     The candidate set contains every neighbour that can be in the user's
-    top-k under the dense rule; ``sum(nneg)`` over a user is the user's
-    number of negative similarities.  Rank with
-    :func:`kinnear.operators.neighbours.rank_candidates`.  ``n_users``
-    (an upper bound on the users with a profile) sizes the blocks.
+    top-k under the dense rule (at most k per user and block pair, plus
+    ties); ``sum(nneg)`` over a user is the user's number of negative
+    similarities.  Rank with :func:`kinnear.operators.neighbours.rank_candidates`.
+
+    Blocks hold about ``rows_per_block`` profile cells (``n_rows`` is counted
+    when not given); each profile cell is replicated once per block, so the
+    replication factor is ``cells / rows_per_block``, not the user count.
+
+    The profiles are read by several branches (per-user counts, the light
+    and heavy splits, the heavy rows); with ``materialize_input`` they are
+    written once to the checkpoint folder so that every branch reads the
+    same fixed table instead of recomputing (possibly nondeterministic) input.
     """
     if strategy == "join":
         return _with_neg_flag(_mirror(similarity_join(profiles)))
@@ -334,19 +490,25 @@ def similarity_candidates(
         n_users = profiles.select("user").distinct().count()
     if n_users <= 0:
         return spark.createDataFrame([], CANDIDATE_SCHEMA)
+    if materialize_input:
+        profiles = materialize(profiles)
+    if n_rows is None:
+        n_rows = profiles.count()
     heavy, light, hp = _split_heavy(profiles, heavy_user_rows)
-    nb = _num_blocks(n_users, block_users, parallelism)
-    blocked = _blocked(light, nb, "topk", k, pair_limit)
+    nb = _num_blocks(n_users, n_rows, rows_per_block, parallelism)
+    blocked = _blocked(light, nb, "topk", k, pair_limit, tile_users)
     return blocked.unionByName(_with_neg_flag(_heavy_rows(profiles, hp, heavy)))
 
 
 def similarity_pairs(
     profiles: DataFrame,
     strategy: str = "blocked",
-    block_users: int = 2048,
+    rows_per_block: int = 1_000_000,
+    tile_users: int = 2048,
     pair_limit: int = 4_000_000,
     parallelism: int | None = None,
     n_users: int | None = None,
+    n_rows: int | None = None,
 ) -> DataFrame:
     """Every unordered pair with a non-zero similarity: ``user < neighbour``.
 
@@ -361,6 +523,8 @@ def similarity_pairs(
             parallelism = spark.sparkContext.defaultParallelism
         if n_users is None:
             n_users = profiles.select("user").distinct().count()
-        nb = _num_blocks(max(1, n_users), block_users, parallelism)
-        s = _blocked(profiles, nb, "all", 0, pair_limit)
+        if n_rows is None:
+            n_rows = profiles.count()
+        nb = _num_blocks(max(1, n_users), n_rows, rows_per_block, parallelism)
+        s = _blocked(profiles, nb, "all", 0, pair_limit, tile_users)
     return s.where(rounded_sim("sim") != 0)

@@ -69,6 +69,8 @@ def fit(
         profiles = _checkpoint(profiles)
     if n_users is None:
         n_users = train.select("user").distinct().count()
+    if materialize and strategy == "blocked":
+        knn_options.setdefault("materialize_input", False)  # already written
     neighbours = knn(profiles, k, n_users, strategy=strategy, **knn_options)
     if materialize:
         neighbours = _checkpoint(neighbours)

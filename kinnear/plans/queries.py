@@ -48,28 +48,41 @@ def _r(x: str) -> F.Column:
 
 
 class Tables:
-    """The chain of tables every query starts from (lazily built)."""
+    """The chain of tables every query starts from (lazily built).
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    ``materialize=True`` (queries that build neighbours) checkpoints the
+    derived ratings once: they feed the user count, the profiles and the
+    test side, which would otherwise each repeat the order-table join.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize_ratings: bool = False):
         lineitem, orders = load_tables(spark, sf_dir, "lineitem", "orders")
         self.spark = spark
         self.lines = order_lines(lineitem, orders)
         self.ratings = order_ratings(lineitem, orders)
+        if materialize_ratings:
+            self.ratings = materialize(self.ratings)
         self.train = self.ratings.where(~F.col("is_test")).select("user", "item", "rating")
         self.test = self.ratings.where(F.col("is_test")).select("user", "item", "rating")
         self.means = user_mean(self.train)
         self.deviations = normalized_deviation(self.train, self.means)
         self.profiles = unit_profile(self.deviations)
+        self._n_users = None
 
     def n_users(self) -> int:
         """Dimension of the rating matrix: users seen in train or test."""
-        return self.ratings.select("user").distinct().count()
+        if self._n_users is None:
+            self._n_users = self.ratings.select("user").distinct().count()
+        return self._n_users
 
     def neighbours(self, k: int) -> DataFrame:
-        # the similarity step reads the profiles from several branches (heavy
-        # split, blocked product, heavy rows): write them once to the shared
-        # checkpoint folder instead of recomputing the chain per branch
-        return knn(materialize(self.profiles), k, self.n_users())
+        # knn checkpoints the profiles it reads from several branches
+        return knn(self.profiles, k, self.n_users())
+
+
+def _nt(spark, sf_dir) -> Tables:
+    """Tables for the queries that build neighbours."""
+    return Tables(spark, sf_dir, materialize_ratings=True)
 
 
 def _out_nbrs(n: DataFrame) -> DataFrame:
@@ -186,7 +199,7 @@ def q_user_norm(spark, sf_dir):
 
 
 def q_similarity_pairs(spark, sf_dir):
-    t = Tables(spark, sf_dir)
+    t = _nt(spark, sf_dir)
     s = similarity_pairs(t.profiles, n_users=t.n_users())
     return s.select(F.col("user").alias("u"), F.col("neighbour").alias("v"), _r("sim").alias("sim"))
 
@@ -202,15 +215,15 @@ def q_similarity_one_user(spark, sf_dir):
 
 
 def q_knn_topk(spark, sf_dir):
-    return _out_nbrs(Tables(spark, sf_dir).neighbours(K_MAIN))
+    return _out_nbrs(_nt(spark, sf_dir).neighbours(K_MAIN))
 
 
 def q_knn_dense_rank(spark, sf_dir):
-    return _out_nbrs(Tables(spark, sf_dir).neighbours(K_DENSE))
+    return _out_nbrs(_nt(spark, sf_dir).neighbours(K_DENSE))
 
 
 def q_knn_multi_k(spark, sf_dir):
-    n = Tables(spark, sf_dir).neighbours(max(KS))
+    n = _nt(spark, sf_dir).neighbours(max(KS))
     aggs = []
     for k in KS:
         inside = F.col("rank") <= k
@@ -232,13 +245,13 @@ def q_knn_multi_k(spark, sf_dir):
 
 
 def q_neighbour_lists(spark, sf_dir):
-    n = Tables(spark, sf_dir).neighbours(K_MAIN)
+    n = _nt(spark, sf_dir).neighbours(K_MAIN)
     lists = neighbour_lists(n)
     return lists.select(F.col("user").alias("u"), "neighbours")
 
 
 def q_neighbour_explode(spark, sf_dir):
-    n = Tables(spark, sf_dir).neighbours(K_MAIN)
+    n = _nt(spark, sf_dir).neighbours(K_MAIN)
     return _out_nbrs(explode_neighbours(neighbour_lists(n)))
 
 
@@ -252,30 +265,30 @@ def _predictions(t: Tables, k: int) -> DataFrame:
 
 
 def q_weighted_deviation(spark, sf_dir):
-    t = Tables(spark, sf_dir)
+    t = _nt(spark, sf_dir)
     w = weighted_deviation(t.test, t.neighbours(K_MAIN), t.deviations, t.means, K_MAIN)
     return w.select(F.col("user").alias("u"), F.col("item").alias("i"), _r("wdev").alias("wdev"))
 
 
 def q_predict(spark, sf_dir):
-    t = Tables(spark, sf_dir)
+    t = _nt(spark, sf_dir)
     p = _predictions(t, K_MAIN)
     return p.select(F.col("user").alias("u"), F.col("item").alias("i"), "rating", _r("prediction").alias("prediction"))
 
 
 def q_cell_errors(spark, sf_dir):
-    t = Tables(spark, sf_dir)
+    t = _nt(spark, sf_dir)
     e = cell_errors(_predictions(t, K_MAIN))
     return e.select(F.col("user").alias("u"), F.col("item").alias("i"), _r("abs_error").alias("abs_error"))
 
 
 def q_mae(spark, sf_dir):
-    t = Tables(spark, sf_dir)
+    t = _nt(spark, sf_dir)
     return mae(_predictions(t, K_MAIN)).select(_r("mae").alias("mae"), "n")
 
 
 def _stats(spark, sf_dir) -> DataFrame:
-    t = Tables(spark, sf_dir)
+    t = _nt(spark, sf_dir)
     multi = predict_multi_k(t.test, t.neighbours(max(KS)), t.deviations, t.means, KS)
     return error_stats_by_k(multi, KS)
 
@@ -312,8 +325,8 @@ def q_metrics_report(spark, sf_dir):
 
 
 def q_evaluate(spark, sf_dir):
-    t = Tables(spark, sf_dir)
-    m = evaluate_job(t.train, t.test, KS, n_users=t.n_users())
+    t = _nt(spark, sf_dir)
+    m = evaluate_job(t.train, t.test, KS, n_users=t.n_users(), materialize=True)
     return m.select("section", "metric", out_round(F.col("value")).alias("value"))
 
 

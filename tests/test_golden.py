@@ -43,7 +43,7 @@ def test_means_norms_deviations(g1):
 def test_similarities(g1, strategy):
     train, _ = g1
     p = unit_profile(normalized_deviation(train))
-    s = {(r.user, r.neighbour): r.sim for r in similarity_pairs(p, strategy=strategy, block_users=2).collect()}
+    s = {(r.user, r.neighbour): r.sim for r in similarity_pairs(p, strategy=strategy, rows_per_block=3, tile_users=2).collect()}
     assert s == pytest.approx(SIMS, abs=1e-6)
 
 
@@ -53,7 +53,7 @@ def test_predictions_by_k(g1, k, strategy):
     train, test = g1
     means = user_mean(train)
     d = normalized_deviation(train, means)
-    n = knn(unit_profile(d), k, n_users=5, strategy=strategy, block_users=2)
+    n = knn(unit_profile(d), k, n_users=5, strategy=strategy, rows_per_block=3, tile_users=2)
     exp = BY_K[k]
     assert n.count() == exp[0]
     p = predict(test, n, d, means)
