@@ -375,6 +375,7 @@ def _make_kernel(mode: str, k: int, pair_limit: int, tile_users: int):
 def _num_blocks(n_users: int, n_rows: int, rows_per_block: int, parallelism: int, min_block: int = 64) -> int:
     """Blocks sized by stored cells; enough block pairs for the cluster."""
     nb = max(1, math.ceil(n_rows / max(1, rows_per_block)))
+    nb = min(nb, max(1, n_users))  # never more blocks than users
     while nb * (nb + 1) // 2 < parallelism and n_users / (nb + 1) >= min_block:
         nb += 1
     return nb

@@ -83,7 +83,7 @@ def test_input_order_does_not_matter(spark, r1):
     # a different, deterministic row order and partitioning of the same cells
     shuffled = train.repartition(7, F.col("item")).sortWithinPartitions(F.col("rating").desc(), "item")
     _, _, a = _spark_knn(train, 20, len(users))
-    _, _, b = _spark_knn(shuffled, 20, len(users), rows_per_block=3, tile_users=25)
+    _, _, b = _spark_knn(shuffled, 20, len(users), rows_per_block=500, tile_users=9)
     cols = ["user", "neighbour", "rank"]
     x = set(map(tuple, a.select(cols).collect()))
     y = set(map(tuple, b.select(cols).collect()))
