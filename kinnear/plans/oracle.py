@@ -8,7 +8,7 @@ Tables ``lineitem`` and ``orders`` are views over the same parquet files.
 
 from __future__ import annotations
 
-from kinnear.plans.queries import HOLDOUT_N, K_DENSE, K_MAIN, KS
+from kinnear.plans.queries import HOLDOUT_N, K_DENSE, K_EVENTS, K_MAIN, KS
 
 _BASE = """
 raw AS (
@@ -104,8 +104,27 @@ def _edges_select() -> str:
     )
 
 
+_EVENTS = """
+r AS (SELECT user_id AS u, event_type AS i, avg(value) AS rating FROM events GROUP BY user_id, event_type),
+b AS (SELECT min(rating) AS lo, max(rating) AS hi FROM r),
+mean AS (SELECT u, sum(rating) / count(*) AS a FROM r GROUP BY u),
+dev AS (
+  SELECT r.u, r.i,
+         (r.rating - m.a) / (CASE WHEN r.rating > m.a THEN b.hi - m.a
+                                  WHEN r.rating < m.a THEN m.a - b.lo
+                                  ELSE CAST(1 AS DOUBLE) END) AS dev
+  FROM r JOIN mean m ON r.u = m.u CROSS JOIN b),
+nz AS (SELECT u, i, dev FROM dev WHERE dev <> 0),
+norm AS (SELECT u, sqrt(sum(dev * dev)) AS nrm FROM nz GROUP BY u),
+prof AS (SELECT z.u, z.i, z.dev / n.nrm AS w FROM nz z JOIN norm n ON z.u = n.u WHERE n.nrm <> 0)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
+    q["events_knn"] = "WITH " + _EVENTS + _SIM + (
+        f"SELECT u, v, (round(s, 6) + CAST(0 AS DOUBLE)) AS sim, rank FROM nbr WHERE rank <= {K_EVENTS}"
+    )
     q["ratings_scan"] = _with() + "SELECT u, i, rating, CAST(is_test AS BIGINT) AS is_test FROM r"
     q["parse_fields"] = _with() + "SELECT u, i, rating FROM r"
     q["dedup_ratings"] = _with() + """

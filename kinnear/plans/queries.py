@@ -330,6 +330,25 @@ def q_evaluate(spark, sf_dir):
     return m.select("section", "metric", out_round(F.col("value")).alias("value"))
 
 
+K_EVENTS = 10
+
+
+def q_events_knn(spark, sf_dir):
+    """The k-NN on the ``events`` table read as ratings (user × event type,
+    average value): a dense matrix in which every item is rated by nearly
+    every user — the hot-item case for the similarity step.  The rating
+    scale ``lo``/``hi`` is taken from the data."""
+    (events,) = load_tables(spark, sf_dir, "events")
+    r = events.groupBy("user_id", "event_type").agg(F.avg("value").alias("rating")).select(
+        F.col("user_id").alias("user"), F.xxhash64("event_type").alias("item"), "rating"
+    )
+    r = materialize(r)
+    b = r.agg(F.min("rating").alias("lo"), F.max("rating").alias("hi"), F.countDistinct("user").alias("n")).first()
+    means = user_mean(r)
+    p = unit_profile(normalized_deviation(r, means, lo=b["lo"], hi=b["hi"]))
+    return _out_nbrs(knn(p, K_EVENTS, int(b["n"])))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ratings_scan": q_ratings_scan,
     "parse_fields": q_parse_fields,
@@ -359,4 +378,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "summary_stats": q_summary_stats,
     "metrics_report": q_metrics_report,
     "evaluate": q_evaluate,
+    "events_knn": q_events_knn,
 }
