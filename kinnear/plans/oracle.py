@@ -120,8 +120,22 @@ prof AS (SELECT z.u, z.i, z.dev / n.nrm AS w FROM nz z JOIN norm n ON z.u = n.u
 """
 
 
+_EMBEDDINGS = """
+cells AS (SELECT vec_id AS u, CAST(unnest(generate_series(0, len(embedding) - 1)) AS BIGINT) AS i,
+                 CAST(unnest(embedding) AS DOUBLE) AS dev
+          FROM embeddings),
+nz AS (SELECT u, i, dev FROM cells WHERE dev <> 0),
+r AS (SELECT DISTINCT u FROM nz),
+norm AS (SELECT u, sqrt(sum(dev * dev)) AS nrm FROM nz GROUP BY u),
+prof AS (SELECT z.u, z.i, z.dev / n.nrm AS w FROM nz z JOIN norm n ON z.u = n.u WHERE n.nrm <> 0)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
+    q["embedding_knn"] = "WITH " + _EMBEDDINGS + _SIM + (
+        f"SELECT u, v, (round(s, 6) + CAST(0 AS DOUBLE)) AS sim, rank FROM nbr WHERE rank <= {K_EVENTS}"
+    )
     q["events_knn"] = "WITH " + _EVENTS + _SIM + (
         f"SELECT u, v, (round(s, 6) + CAST(0 AS DOUBLE)) AS sim, rank FROM nbr WHERE rank <= {K_EVENTS}"
     )

@@ -349,6 +349,19 @@ def q_events_knn(spark, sf_dir):
     return _out_nbrs(knn(p, K_EVENTS, int(b["n"])))
 
 
+def q_embedding_knn(spark, sf_dir):
+    """Cosine k-NN on the ``embeddings`` table: each vector's components are
+    its cells (item = dimension), normalised to unit length by the same
+    profile operator, then ranked by the same k-NN (no mean or scale step)."""
+    (emb,) = load_tables(spark, sf_dir, "embeddings")
+    cells = emb.select(F.col("vec_id").alias("user"), F.posexplode("embedding").alias("item", "dev")).select(
+        "user", F.col("item").cast("long").alias("item"), F.col("dev").cast("double").alias("dev")
+    )
+    p = unit_profile(materialize(cells))
+    n_users = p.select("user").distinct().count()
+    return _out_nbrs(knn(p, K_EVENTS, n_users))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ratings_scan": q_ratings_scan,
     "parse_fields": q_parse_fields,
@@ -379,4 +392,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "metrics_report": q_metrics_report,
     "evaluate": q_evaluate,
     "events_knn": q_events_knn,
+    "embedding_knn": q_embedding_knn,
 }

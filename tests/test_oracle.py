@@ -6,7 +6,7 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF_SMALL
 
-TABLES = ["lineitem", "orders", "events"]
+TABLES = ["lineitem", "orders", "events", "embeddings"]
 SQL = E.oracle_sql()
 
 
