@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinnear.llm.tables import id_fold, stage
+from kinnear.llm.tables import id_fold, stage, sum_vectors
 from kinnear.llm.words import ALNUM, LOWER, NOT_SPACE, buffer_of, chunks, mix, span_hashes, spans, sums, text_column
 
 #: Random Fourier features, ridge penalty a row, kernel width, seed, bins of the calibration.
@@ -181,14 +181,10 @@ def fit(stats: DataFrame, labels: DataFrame) -> QualityModel:
         for frame in frames:
             x = model.features(_matrix(frame["stats"]))
             total += x.T @ np.column_stack([x, frame["y"].to_numpy()])
-        yield pd.DataFrame({"i": range(FEATURES + 1), "row": list(total)})
+        yield pd.DataFrame({"key": range(FEATURES + 1), "vector": list(total)})
 
-    def add(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"i": [key[0]], "row": [np.sum(np.stack(frame["row"].to_numpy()), axis=0)]})
-
-    schema = "i long, row array<double>"
-    parts = rows.where(F.col("fold") != CALIBRATE).mapInPandas(normal, schema)
-    system = np.array([r.row for r in parts.groupBy("i").applyInPandas(add, schema).orderBy("i").collect()])
+    parts = rows.where(F.col("fold") != CALIBRATE).mapInPandas(normal, "key long, vector array<double>")
+    system = np.array([r.vector for r in sum_vectors(parts).orderBy("key").collect()])
     gram, target = system[:, :-1], system[:, -1]
     penalty = RIDGE * max(gram[0, 0], 1) * np.eye(FEATURES + 1)
     penalty[0, 0] = 1e-9

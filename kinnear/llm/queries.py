@@ -5,11 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import public_tokenizers
+
+from kinnear.llm.disclosure import sanitisation, span_text
+from kinnear.llm.license import license_scan, with_score
+from kinnear.llm.linefreq import line_rules
+from kinnear.llm.mixing import mixture
+from kinnear.llm.neural import lm_scores
+from kinnear.llm.passages import shared_passages
 from kinnear.llm.quality import quality_scores
 from kinnear.llm.simhash import near_duplicates
-from kinnear.llm.tables import table
+from kinnear.llm.tables import scratch_folder, table
+from kinnear.llm.tokenfiles import document_index, write_token_files
 from kinnear.llm.winnow import contamination
 
+TOKENIZER = "word_bpe_49k.json"
+
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
@@ -20,6 +31,50 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_index(spark, table(spark, sf_dir, "documents"))
+
+
+def token_index(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """Writes the token files of ``docs`` and reads its rows back from them."""
+    folder = scratch_folder(spark)
+    write_token_files(docs, folder, public_tokenizers.path(TOKENIZER))
+    return document_index(spark, folder)
+
+
+def op4_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = with_score(license_scan(table(spark, sf_dir, "documents")))
+    return found.select(
+        "doc_id", "n_words", F.size("base").cast("long").alias("n_base"),
+        F.array_min("base.word").alias("first_word"), F.array_max("base.word").alias("last_word"),
+        "base_labels", "labels", "score")
+
+
+def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
+def op6_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture(table(spark, sf_dir, "documents")).drop("text_key")
+
+
+def op7_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        F.size("removed").cast("long").alias("n_frequent_lines"))
+
+
+def op8_private(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sanitisation(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", span_text().alias("spans"))
+
+
+def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shared_passages(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "class_id", "n_links", "n_shared_words",
+        F.array_join(F.transform("spans", lambda x: F.concat_ws(":", x.s, x.e)), ",").alias("spans"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -33,6 +88,13 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_quality": op2_quality,
+    "op3_tokens": op3_tokens,
+    "op4_license": op4_license,
+    "op5_language_model": op5_language_model,
+    "op6_mixture": op6_mixture,
+    "op7_line_rules": op7_line_rules,
+    "op8_private": op8_private,
+    "op9_passages": op9_passages,
     "op10_decontaminate": op10_decontaminate,
 }
 

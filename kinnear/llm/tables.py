@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,9 +17,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A new path in the cluster's shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark)}/stage-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Cut lineage: ``df`` as Parquet in the cluster's shared checkpoint folder."""
-    path = f"{ensure_checkpoint_dir(df.sparkSession)}/stage-{uuid.uuid4().hex}"
+    path = scratch_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -24,3 +32,25 @@ def stage(df: DataFrame) -> DataFrame:
 def id_fold(doc_id: Column) -> Column:
     """crc32 of the id's decimal text modulo 5; null for a null id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 5
+
+
+def sum_vectors(parts: DataFrame) -> DataFrame:
+    """(key, vector): element-wise sums of ``parts(key long, vector array<double>)`` by key.
+
+    Each task streams through its sorted rows and holds one vector at a time.
+    """
+
+    def add(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, total = None, None
+        for frame in frames:
+            for k, v in zip(frame["key"].tolist(), frame["vector"]):
+                if k == key:
+                    total = total + v
+                    continue
+                if total is not None:
+                    yield pd.DataFrame({"key": [key], "vector": [total]})
+                key, total = k, np.asarray(v)
+        if total is not None:
+            yield pd.DataFrame({"key": [key], "vector": [total]})
+
+    return parts.repartition("key").sortWithinPartitions("key").mapInPandas(add, "key long, vector array<double>")

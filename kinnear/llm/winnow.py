@@ -3,8 +3,8 @@
 Both sides keep, for every window of 13 words, the leftmost smallest of its
 nine hashes of 5 consecutive words.  Texts that share 13 consecutive words
 share that hash at the same place of the window, so the join on fingerprints
-finds every shared span.  Each hit fixes how the two texts lie against each
-other; comparing the words along that alignment extends it to whole windows.
+finds every shared span.  A hit is extended word by word, as far as a window
+that holds the hashed words can reach; 13 equal words or more are a match.
 
 Items of fewer than 13 words are one window of their own length; there is one
 more pass over the documents for each such length, and none if all items are
@@ -65,6 +65,31 @@ def _selected(texts: DataFrame, keys: list[str], carrier: bool) -> DataFrame:
     return rows.select(*keys, "words", "i", "fp", F.when(i >= 0, place).alias("at"))
 
 
+def _reach(words: Column, at: Column) -> Column:
+    """The words that windows around the gram at ``at`` can hold; null where the text has none."""
+    return F.array(*[F.get(words, at + j) for j in range(GRAM - WINDOW, WINDOW)])
+
+
+def _run(words: Column, at: Column, facing: Column, places: range) -> Column:
+    """How many words in a row, over ``places`` from the gram, equal those of the facing text."""
+    same = lambda j: F.coalesce(F.get(words, at + j) == F.get(facing, F.lit(j + WINDOW - GRAM)), F.lit(False))
+    out = F.when(~same(places[0]), 0)
+    for n, j in enumerate(places[1:], 1):
+        out = out.when(~same(j), n)
+    return out.otherwise(len(places))
+
+
+def _extended(rows: DataFrame) -> DataFrame:
+    """Hits as word ranges ``s`` to ``e`` of the document; null where a row has no hit of 13 words."""
+    words, at, facing = F.col("words"), F.col("at"), F.col("facing")
+    right = _run(words, at, facing, range(0, WINDOW))
+    left = _run(words, at, facing, range(-1, GRAM - WINDOW - 1, -1))
+    rows = rows.withColumn("s", F.when(facing.isNotNull(), at - left)).withColumn("e", F.when(facing.isNotNull(), at + right))
+    match = (F.col("e") - F.col("s") >= WINDOW) & (right >= GRAM)
+    return rows.select("doc_id", "text_key", F.when(F.col("i") == -1, F.size("words")).alias("n_words"),
+                       *[F.when(match, F.col(c)).alias(c) for c in ("ids", "s", "e")]).where("n_words is not null or s is not null")
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """One row per row of ``docs``: doc_id, text_key, n_words, n_hit, items, contaminated.
 
@@ -76,33 +101,28 @@ def contamination(docs: DataFrame, benchmark: DataFrame, broadcast_bytes: int =
     """
     items = benchmark.select(
         F.col("item_id").cast("string").alias("item_id"), word_array(F.col("text")).alias("item")
-    ).where(F.size("item") > 0).withColumn("item_key", F.xxhash64("item"))
+    ).where(F.size("item") > 0).groupBy("item").agg(F.collect_set("item_id").alias("ids"))
     known = benchmark.select(F.sum(F.octet_length(F.col("text").cast("string"))).alias("bytes")).first().bytes or 0
-    spread = F.broadcast if known <= broadcast_bytes else (lambda x: x)
+    small = known <= broadcast_bytes
     short = sorted(r.n for r in items.where(F.size("item") < WINDOW).select(F.size("item").alias("n")).distinct().collect())
 
     texts = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text")).select(
         "doc_id", F.xxhash64("text").alias("text_key"), word_array(F.col("text")).alias("words"))
-    seeds = _selected(items.select("item_key", F.col("item").alias("words")), ["item_key"], False).select(
-        "item_key", F.col("fp").alias("item_fp"), F.col("at").alias("item_at"), F.size("words").alias("item_words")).distinct()
-    rows = _selected(texts, ["doc_id", "text_key"], True).join(spread(seeds), F.col("fp") == F.col("item_fp"), "left")
-    shift = F.col("at") - F.col("item_at")
-    facing = F.transform(F.sequence(F.lit(0), F.col("item_words") - 1), lambda j: F.get(F.col("words"), j + shift))
-    found = F.col("item_key").isNotNull()
-    rows = rows.where((F.col("i") == -1) | found).select(
-        "doc_id", "text_key",
-        F.when(F.col("i") == -1, F.size("words")).alias("n_words"),
-        "item_key", F.when(found, shift).alias("shift"), F.when(found, facing).alias("facing"),
-    )
-    # one row an alignment, however many fingerprints it shares
-    rows = rows.groupBy("doc_id", "text_key", "item_key", "shift").agg(
-        F.count("n_words").alias("copies"), F.max("n_words").alias("n_words"), F.first("facing").alias("facing"))
-    windows = F.filter(
-        F.sequence(F.lit(0), F.size("item") - WINDOW),
-        lambda t: F.slice(F.col("facing"), t + 1, WINDOW) == F.slice(F.col("item"), t + 1, WINDOW))
-    hits = F.when(F.col("item").isNotNull(), F.transform(windows, lambda t: F.struct((t + F.col("shift")).alias("s"), F.lit(WINDOW).alias("l"))))
-    names = items.groupBy("item_key").agg(F.first("item").alias("item"), F.collect_set("item_id").alias("ids"))
-    rows = rows.join(spread(names), "item_key", "left").select("doc_id", "text_key", "copies", "n_words", "ids", hits.alias("hits"))
+    seeds = _selected(items.select("ids", F.col("item").alias("words")), ["ids"], False).select(
+        F.col("fp").alias("item_fp"), "ids", _reach(F.col("words"), F.col("at")).alias("facing"))
+    seeds = seeds.groupBy("item_fp", "facing").agg(F.array_distinct(F.flatten(F.collect_list("ids"))).alias("ids"))
+    selected = _selected(texts, ["doc_id", "text_key"], True)
+    if small:
+        rows = _extended(selected.join(F.broadcast(seeds), F.col("fp") == F.col("item_fp"), "left"))
+    else:
+        # no words travel with the fingerprints; documents with a hit are read again
+        hits = selected.where("i >= 0").select(F.col("doc_id").alias("h_id"), F.col("text_key").alias("h_key"), "fp", "at").join(
+            seeds, F.col("fp") == F.col("item_fp")).select("h_id", "h_key", "at", "ids", "facing").distinct()
+        rows = _extended(texts.join(hits, F.col("doc_id").eqNullSafe(F.col("h_id")) & (F.col("text_key") == F.col("h_key"))).withColumn("i", F.lit(0)))
+        rows = rows.unionByName(texts.select("doc_id", "text_key", F.size("words").alias("n_words")), allowMissingColumns=True)
+    # a range counts once however many fingerprints find it
+    rows = rows.groupBy("doc_id", "text_key", "ids", "s", "e").agg(F.count("n_words").alias("copies"), F.max("n_words").alias("n_words"))
+    spread = F.broadcast if small else (lambda x: x)
     for size in short:
         rows = rows.unionByName(_short_hits(texts, items, size, spread))
     return _totals(rows)
@@ -110,19 +130,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, broadcast_bytes: int =
 
 def _short_hits(texts: DataFrame, items: DataFrame, size: int, spread) -> DataFrame:
     """Occurrences of the items of exactly ``size`` words."""
-    of_size = items.where(F.size("item") == size).groupBy("item_key").agg(
-        F.first("item").alias("item"), F.collect_set("item_id").alias("ids"))
-    of_size = of_size.withColumn("item_fp", _gram(F.col("item"), F.lit(0), size))
+    of_size = items.where(F.size("item") == size).withColumn("item_fp", _gram(F.col("item"), F.lit(0), size))
     starts = texts.where(F.size("words") >= size).select(
-        "doc_id", "text_key", "words", F.explode(F.sequence(F.lit(0), F.size("words") - size)).alias("i"))
-    starts = starts.select("doc_id", "text_key", "i", F.slice("words", F.col("i") + 1, size).alias("span"), _gram(F.col("words"), F.col("i"), size).alias("fp"))
-    return (
-        starts.join(spread(of_size), (F.col("fp") == F.col("item_fp")) & (F.col("span") == F.col("item")))
-        .groupBy("doc_id", "text_key", "item_key")
-        .agg(F.first("ids").alias("ids"), F.collect_set("i").alias("at"))
-        .select("doc_id", "text_key", F.lit(0).cast("long").alias("copies"), F.lit(None).cast("int").alias("n_words"), "ids",
-                F.transform("at", lambda i: F.struct(i.alias("s"), F.lit(size).alias("l"))).alias("hits"))
-    )
+        "doc_id", "text_key", "words", F.explode(F.sequence(F.lit(0), F.size("words") - size)).alias("s"))
+    starts = starts.select("doc_id", "text_key", "s", F.slice("words", F.col("s") + 1, size).alias("span"), _gram(F.col("words"), F.col("s"), size).alias("fp"))
+    return starts.join(spread(of_size), (F.col("fp") == F.col("item_fp")) & (F.col("span") == F.col("item"))).select(
+        "doc_id", "text_key", "ids", "s", (F.col("s") + size).alias("e"), F.lit(0).cast("long").alias("copies"), F.lit(None).cast("int").alias("n_words"))
 
 
 def _totals(rows: DataFrame) -> DataFrame:
@@ -130,10 +143,10 @@ def _totals(rows: DataFrame) -> DataFrame:
     per_doc = rows.groupBy("doc_id", "text_key").agg(
         F.sum("copies").alias("copies"),
         F.coalesce(F.max("n_words"), F.lit(0)).cast("long").alias("n_words"),
-        F.array_distinct(F.flatten(F.collect_list("hits"))).alias("hits"),
-        F.sort_array(F.array_distinct(F.flatten(F.collect_list(F.when(F.size("hits") > 0, F.col("ids")))))).alias("items"),
+        F.collect_set(F.when(F.col("s").isNotNull(), F.struct("s", "e"))).alias("hits"),
+        F.sort_array(F.array_distinct(F.flatten(F.collect_set("ids")))).alias("items"),
     )
-    covered = F.array_distinct(F.flatten(F.transform("hits", lambda h: F.sequence(h.s, h.s + h.l - 1))))
+    covered = F.array_distinct(F.flatten(F.transform("hits", lambda h: F.sequence(h["s"], h["e"] - 1))))
     per_doc = per_doc.withColumn("n_hit", F.size(covered).cast("long"))
     return per_doc.select(
         "doc_id", "text_key", "n_words", "n_hit", "items",
