@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from kinnear.llm.mixing import mixed_documents
 from kinnear.llm.quality import keep_good
+from kinnear.llm.queries import token_index
 from kinnear.llm.simhash import keep_one
 from kinnear.llm.tables import stage, table
 from kinnear.llm.winnow import drop_contaminated
@@ -25,10 +27,22 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mixture of the sources draws them."""
+    return mixed_documents(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row a document from the token files that this stage writes."""
+    return token_index(spark, docs)
+
+
 STAGES = [
     ("quality", quality),
     ("near_duplicates", near_duplicates),
     ("decontaminate", decontaminate),
+    ("mix", mix),
+    ("tokens", tokens),
 ]
 
 ORACLE_SQL = None
