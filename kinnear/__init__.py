@@ -26,11 +26,12 @@ from kinnear.operators.profile import (  # noqa: F401
 from kinnear.operators.similarity import (  # noqa: F401
     similarity_pairs,
     similarity_one_user,
-    similarity_candidates,
+    similarities,
 )
 from kinnear.operators.neighbours import (  # noqa: F401
     knn,
-    rank_candidates,
+    rank_positives,
+    rank_negatives,
     neighbour_lists,
     explode_neighbours,
 )
@@ -40,4 +41,5 @@ from kinnear.operators.evaluate import (  # noqa: F401
     mae,
     error_stats_by_k,
     cold_start,
+    sparse_difference,
 )

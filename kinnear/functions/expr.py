@@ -17,6 +17,9 @@ RATING_HI = 5.0
 # float summation order (which differs between engines and runs) cannot
 # reorder neighbours; ties are then broken by neighbour id.
 SIM_ROUND = 9
+# A rating this close to its user's mean counts as equal to it: the mean of
+# equal ratings can miss them by a rounding error.
+SAME_RATING = 1e-12
 # Output doubles are rounded to this many places in the registered queries.
 OUT_ROUND = 6
 
@@ -28,11 +31,13 @@ def _c(x) -> Column:
 def scale(x, avg, lo: float = RATING_LO, hi: float = RATING_HI) -> Column:
     """Room left on the rating scale in the direction of ``x`` from ``avg``.
 
-    ``hi - avg`` above the mean, ``avg - lo`` below it, ``1`` on it.
+    ``hi - avg`` above the mean, ``avg - lo`` below it, ``1`` on it (within
+    ``SAME_RATING``).
     """
     x, avg = _c(x), _c(avg)
     return (
-        F.when(x > avg, F.lit(float(hi)) - avg)
+        F.when(F.abs(x - avg) < SAME_RATING, F.lit(1.0))
+        .when(x > avg, F.lit(float(hi)) - avg)
         .when(x < avg, avg - F.lit(float(lo)))
         .otherwise(F.lit(1.0))
     )

@@ -1,19 +1,18 @@
-"""k nearest neighbours under the reference's dense ranking rule.
+"""k nearest neighbours under the dense ranking rule.
 
-The reference ranks each user's *dense* similarity vector over all
-``n_users`` users, so when a user has fewer than ``k`` positive
-similarities the remaining slots go to zero entries (the user itself and
-users without a co-rated item) and then to negative ones.  Zeros add
-nothing to a prediction; negatives do.  Without materialising the dense
-vector, the position of each stored entry is:
+The rule ranks each user's *dense* similarity vector over all ``n_users``
+users, so when a user has fewer than ``k`` positive similarities the
+remaining slots go to zero entries (the user itself and users without a
+co-rated item) and then to negative ones.  Zeros add nothing to a
+prediction; negatives do.  Without materialising the dense vector, the
+position of each stored entry is:
 
 * a positive one: its rank among the positives;
 * a negative one: ``(n_users - #negatives(u)) + its rank among negatives``.
 
 Ranks order by similarity rounded to 9 places, descending, then by
-neighbour id — a fixed tie-break where the reference leaves it open.
-One ranking serves every ``k' <= k``: the neighbours for ``k'`` are the
-rows with ``rank <= k'``.
+neighbour id.  One ranking serves every ``k' <= k``: the neighbours for
+``k'`` are the rows with ``rank <= k'``.
 """
 
 from __future__ import annotations
@@ -22,64 +21,65 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinnear.functions.expr import rounded_sim
-from kinnear.operators.similarity import similarity_candidates
+from kinnear.operators.similarity import Shape, both_directions, similarities
+from kinnear.session import materialize
 
 
-def rank_candidates(cands: DataFrame, k: int, n_users: int) -> DataFrame:
-    """``user, neighbour, sim, rank`` with ``rank <= k`` from candidates.
+def _best(directed: DataFrame) -> Window:
+    return Window.partitionBy("user").orderBy(rounded_sim("sim").desc(), F.col("neighbour").asc())
 
-    ``cands`` has ``user, neighbour, sim, nneg``: rows with a null
-    neighbour only carry negative counts; ``sum(nneg)`` per user must be
-    the user's total number of negative similarities.
 
-    One exchange by user and one sort: positives first (by rounded
-    similarity descending, then neighbour id), then negatives in the same
-    order; the per-user counts are unordered aggregates over the same
-    partition, so they reuse that sort.
+def rank_positives(directed: DataFrame, k: int) -> DataFrame:
+    """The ``k`` largest positive similarities of each user: ``user, neighbour, sim, rank``.
+
+    ``row_number() <= k`` is evaluated with a group limit before and after the
+    shuffle, so no task sends or holds more than ``k`` rows a user.
     """
-    c = cands.withColumn("sr", rounded_sim("sim")).withColumn(
-        "cls",
-        F.when(F.col("neighbour").isNull(), F.lit(0))
-        .when(F.col("sr") > 0, F.lit(2))
-        .when(F.col("sr") < 0, F.lit(1))
-        .otherwise(F.lit(0)),
-    )
-    ordered = Window.partitionBy("user").orderBy(
-        F.col("cls").desc(), F.col("sr").desc(), F.col("neighbour").asc()
-    )
-    whole = Window.partitionBy("user")
-    c = (
-        c.withColumn("rn", F.row_number().over(ordered))
-        .withColumn("npos", F.sum(F.when(F.col("cls") == 2, 1).otherwise(0)).over(whole))
-        .withColumn("neg_total", F.coalesce(F.sum("nneg").over(whole), F.lit(0).cast("long")))
-    )
-    rank = F.when(F.col("cls") == 2, F.col("rn").cast("long")).otherwise(
-        F.lit(int(n_users)) - F.col("neg_total") + (F.col("rn") - F.col("npos"))
-    )
-    return (
-        c.where(F.col("cls") > 0)
-        .select("user", "neighbour", "sim", rank.alias("rank"))
-        .where(F.col("rank") <= k)
-    )
+    positive = directed.where(rounded_sim("sim") > 0)
+    return positive.withColumn("rank", F.row_number().over(_best(positive))).where(F.col("rank") <= k).select(
+        "user", "neighbour", "sim", F.col("rank").cast("long").alias("rank"))
 
 
-def knn(
-    profiles: DataFrame,
-    k: int,
-    n_users: int | None = None,
-    strategy: str = "blocked",
-    **kw,
-) -> DataFrame:
+def rank_negatives(directed: DataFrame, counts: DataFrame, k: int, n_users: int) -> DataFrame:
+    """Negative similarities that reach rank ``k``; ``counts(user, n)``: users that can, with their negatives."""
+    room = directed.where(rounded_sim("sim") < 0).join(counts, "user")
+    ranked = room.withColumn("rn", F.row_number().over(_best(room))).where(F.col("rn") <= k)
+    rank = F.lit(n_users) - F.col("n") + F.col("rn")
+    return ranked.select("user", "neighbour", "sim", rank.cast("long").alias("rank")).where(F.col("rank") <= k)
+
+
+def _users_in_reach(profiles: DataFrame, k: int, n_users: int) -> DataFrame:
+    """Users with enough co-ratings that more than ``n_users - k`` of their similarities could be negative."""
+    raters = profiles.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
+    partners = profiles.select("user", "item").join(raters, "item").groupBy("user").agg(F.sum(F.col("n") - 1).alias("n"))
+    return partners.where(F.col("n") > n_users - k).select("user")
+
+
+def knn(profiles: DataFrame, k: int, n_users: int, strategy: str = "auto", written: bool = False, **options) -> DataFrame:
     """The k nearest neighbours of every user: ``user, neighbour, sim, rank``.
 
-    ``n_users`` is the dimension of the rating matrix (the reference's
-    ``--users``); it defaults to the number of users with a profile row and
-    only matters when ``k`` comes close to it (negatives enter the ranking).
+    ``n_users`` is the dimension of the rating matrix, rated users or not; it
+    decides where negatives rank and can't be under the users seen.  The
+    profiles are read by several branches; unless they are a ``written``
+    table they are written first.
+
+    The positives need no count.  Negatives are counted only if the data could
+    bring one to rank ``k``, and ranked only for users for whom it does.
     """
-    if n_users is None:
-        n_users = profiles.select("user").distinct().count()
-    cands = similarity_candidates(profiles, k, n_users, strategy=strategy, **kw)
-    return rank_candidates(cands, k, n_users)
+    if not written:
+        profiles = materialize(profiles)
+    shape = Shape.of(profiles)
+    if n_users < shape.users:
+        raise ValueError(f"n_users={n_users}, but {shape.users} users have a profile")
+    directed = both_directions(similarities(profiles, strategy, shape, **options))
+    found = rank_positives(directed, k)
+    if k <= 0 or not _users_in_reach(profiles, k, n_users).limit(1).count():
+        return found
+    negatives = directed.where(rounded_sim("sim") < 0).groupBy("user").agg(F.count(F.lit(1)).alias("n"))
+    counts = materialize(negatives.where(F.col("n") > n_users - k))
+    if not counts.limit(1).count():
+        return found
+    return found.unionByName(rank_negatives(directed, counts, k, n_users))
 
 
 def neighbour_lists(neighbours: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinnear.functions.expr import RATING_HI, RATING_LO, safe_div, scale
+from kinnear.functions.expr import RATING_HI, RATING_LO, SAME_RATING, safe_div, scale
 
 
 def user_mean(ratings: DataFrame) -> DataFrame:
@@ -37,19 +37,16 @@ def normalized_deviation(
 ) -> DataFrame:
     """``user, item, dev`` with ``dev = (r - a) / scale(r, a)`` (Eq3).
 
-    Rows whose rating equals the user's mean keep ``dev = 0``; callers that
-    only need the non-zero part filter them (they add nothing downstream).
+    Rows whose rating equals the user's mean (within ``SAME_RATING``) have
+    ``dev = 0``; callers that only need the non-zero part filter them (they add
+    nothing downstream).
     """
     if means is None:
         means = user_mean(ratings)
     j = ratings.select("user", "item", "rating").join(means, "user")
-    return j.select(
-        "user",
-        "item",
-        ((F.col("rating") - F.col("mean")) / scale("rating", "mean", lo, hi)).alias(
-            "dev"
-        ),
-    )
+    away = F.col("rating") - F.col("mean")
+    dev = F.when(F.abs(away) < SAME_RATING, F.lit(0.0)).otherwise(away / scale("rating", "mean", lo, hi))
+    return j.select("user", "item", dev.alias("dev"))
 
 
 def user_norm(deviations: DataFrame) -> DataFrame:

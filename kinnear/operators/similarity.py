@@ -1,38 +1,36 @@
 """Cosine similarity between users (dot products of unit profiles).
 
-Two physical strategies compute the same numbers:
+Two exact strategies compute the pairs; Spark does the joins, routing,
+grouping and ranking of both:
 
 ``join``
-    Declarative: profiles self-joined on ``item`` and summed per user
-    pair.  Simple and fully Catalyst-planned, but every item emits all
-    pairs of its raters as rows, so a hot item (rated by a large share of
-    users) makes the shuffle quadratic in that item's size.  Used for
-    small inputs, for the heavy-user side path below, and as the
-    cross-check in the tests.
-
-``blocked`` (default for the k-NN)
-    Users are hashed into ``nb`` blocks; each profile row is replicated
-    to the ``nb`` block pairs that contain its block (an ``explode``, no
-    cross join) and every block pair ``(a, b)``, ``a <= b`` is one
-    ``applyInPandas`` group.  Inside the task the sparse product
-    ``P_a · P_bᵀ`` is accumulated with NumPy in bounded chunks and only
-    the per-user top-k candidates (plus a per-user count of negative
-    similarities, needed by the dense ranking rule) leave the task.  The
-    shuffle therefore carries ``nb × nnz`` profile rows in and
-    ``O(users × nb × k)`` candidates out, never the ``users²`` pair
-    table; a hot item costs at most ``block²`` products per task.
-
-Heavy users (more stored cells than ``heavy_user_rows``) would make their
-block's tasks large, so they are taken out of the blocked product and
-handled by the join strategy restricted to them: their row of the
-similarity matrix is ``P_u ⋈ P`` on item, whose size is linear in the
-data (no pair explosion), and is passed on unpruned.
+    Profiles self-joined on ``item`` and summed per user pair.  Every item
+    emits all pairs of its raters, so its cost is ``Σ n_i²`` rows: best for
+    sparse data, where that is little more than the pairs that exist.
+
+``tiles``
+    Users are hashed into blocks.  A cell is sent only to the blocks that hold
+    its item (an equi-join with the distinct ``(item, block)``), so a cell is
+    copied at most ``min(raters of the item, blocks)`` times.  Each pair of
+    blocks is one bounded dense-by-dense product of at most a block's users
+    each way; Python does that arithmetic and nothing else.  Best where items
+    are hot: a product costs nanoseconds instead of a shuffled row.
+
+``auto`` compares the two costs from counted figures (cells, users, ``Σ n_i²``).
+
+Users with more than ``heavy_user_cells`` cells would make a block's task
+large, so they stay out of the tiles and are joined with everybody (linear in
+the data).  All paths return the same raw sums; signs and ranks are taken from
+the sum rounded to 9 places, in one place (``rounded_sim``), whatever path a
+pair came from.  The order of summation differs between the paths, so a sum
+that straddles a rounding boundary may differ in the ninth place.
 """
 
 from __future__ import annotations
 
 import math
 import sys
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -41,491 +39,188 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinnear.functions.expr import rounded_sim
-from kinnear.session import materialize
 
-# The block kernel travels to the Python workers by value, so executors do
+# The tile product travels to the Python workers by value, so executors do
 # not need this package installed (only numpy and pandas).
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-CANDIDATE_SCHEMA = "user long, neighbour long, sim double, nneg long"
-PAIR_SCHEMA = "user long, neighbour long, sim double"
+#: Users and cells of a block, on average; users above the last are joined.
+BLOCK_USERS, BLOCK_CELLS, HEAVY_USER_CELLS = 1024, 1_000_000, 200_000
+#: Products summed at a time in a sparse tile.
+PRODUCTS_AT_ONCE = 4_000_000
+#: Routed cells a task should hold, and the most partitions ever asked for.
+CELLS_PER_TASK, MOST_PARTITIONS = 2_000_000, 65_536
 
-# Half a unit of the 9-place similarity rounding, and the slack used when
-# pruning candidates locally with raw (unrounded) values: anything that
-# can tie with, or outrank, the local k-th value after rounding is kept.
-_HALF_UNIT = 5e-10
-_SLACK = 2e-9
 
+@dataclass(frozen=True)
+class Shape:
+    """Counted figures of a profile table; all that the plan choice needs."""
 
-# --------------------------------------------------------------------------
-# declarative strategy
-# --------------------------------------------------------------------------
+    cells: int
+    users: int
+    products: float  # Σ over items of raters²
 
+    @classmethod
+    def of(cls, profiles: DataFrame) -> Shape:
+        raters = profiles.groupBy("item").agg(F.count(F.lit(1)).cast("double").alias("n"))
+        by_item = raters.agg(F.sum("n").alias("cells"), F.sum(F.col("n") * F.col("n")).alias("products")).first()
+        users = profiles.select("user").distinct().count()
+        return cls(int(by_item.cells or 0), users, float(by_item.products or 0.0))
 
-def similarity_join(profiles: DataFrame, triangle: bool = True) -> DataFrame:
-    """All non-empty user pairs by self-join on item.
 
-    ``triangle=True`` returns each unordered pair once as ``user < neighbour``.
-    """
-    a = profiles.select(F.col("user"), "item", F.col("weight").alias("wa"))
-    b = profiles.select(F.col("user").alias("neighbour"), "item", F.col("weight").alias("wb"))
-    cond = F.col("user") < F.col("neighbour") if triangle else F.col("user") != F.col("neighbour")
-    return (
-        a.join(b, "item")
-        .where(cond)
-        .groupBy("user", "neighbour")
-        .agg(F.sum(F.col("wa") * F.col("wb")).alias("sim"))
-    )
+def num_blocks(shape: Shape, block_users: int = BLOCK_USERS, block_cells: int = BLOCK_CELLS) -> int:
+    """Blocks of about ``block_users`` users and at most about ``block_cells`` cells; a figure of the data alone."""
+    return max(1, math.ceil(shape.users / block_users), min(shape.users, math.ceil(shape.cells / block_cells)))
 
 
-def _mirror(pairs: DataFrame) -> DataFrame:
-    back = pairs.select(
-        F.col("neighbour").alias("user"), F.col("user").alias("neighbour"), "sim"
-    )
-    return pairs.select("user", "neighbour", "sim").unionByName(back)
+def tile_partitions(shape: Shape, blocks: int, parallelism: int) -> int:
+    """Shuffle partitions of the tile stage: by routed cells and cores, never one a block pair."""
+    pairs = blocks * (blocks + 1) // 2
+    by_size = math.ceil(shape.cells * blocks / CELLS_PER_TASK)
+    return max(1, min(pairs, max(8 * parallelism, by_size), MOST_PARTITIONS))
 
 
-def similarity_one_user(profiles: DataFrame, user_id) -> DataFrame:
-    """One user's similarities to every other user: ``neighbour, sim``.
+def choose_strategy(shape: Shape, blocks: int) -> str:
+    """The cheaper of the two, in seconds of one core (measured orders of magnitude)."""
+    routed = min(shape.products, float(shape.cells) * blocks)
+    tiles = routed * 1e-6 + min(blocks * (blocks + 1) / 2, routed) * 5e-3 + shape.products * 1e-8
+    return "tiles" if tiles < shape.products * 1e-6 else "join"
 
-    ``user_id`` is a literal or a one-row DataFrame with column ``user``.
-    The selected profile has at most one row per item, so the join on item
-    emits one row per co-rating — linear in the data.
-    """
-    if isinstance(user_id, DataFrame):
-        mine = profiles.join(F.broadcast(user_id.select("user").limit(1)), "user")
-    else:
-        mine = profiles.where(F.col("user") == F.lit(user_id))
-    mine = mine.select(F.col("user").alias("me"), "item", F.col("weight").alias("wa"))
-    others = profiles.select(F.col("user").alias("neighbour"), "item", F.col("weight").alias("wb"))
+
+def _sides(profiles: DataFrame) -> tuple[DataFrame, DataFrame]:
     return (
-        mine.join(others, "item")
-        .where(F.col("me") != F.col("neighbour"))
-        .groupBy("neighbour")
-        .agg(F.sum(F.col("wa") * F.col("wb")).alias("sim"))
+        profiles.select("user", "item", F.col("weight").alias("wa")),
+        profiles.select(F.col("user").alias("neighbour"), "item", F.col("weight").alias("wb")),
     )
 
 
-# --------------------------------------------------------------------------
-# blocked strategy: the per-task kernel
-# --------------------------------------------------------------------------
-
-
-def _block_product(a_idx, a_item, a_w, b_idx, b_item, b_w, na, nb, pair_limit):
-    """Dense ``na × nb`` product of two sparse blocks given as COO triples.
+def _dot(joined: DataFrame, *keys: str) -> DataFrame:
+    return joined.groupBy(*keys).agg(F.sum(F.col("wa") * F.col("wb")).alias("sim"))
 
-    Pairs are generated item by item (only co-rated cells meet) and summed
-    with ``bincount`` in chunks of at most ``pair_limit`` products, so the
-    memory is bounded whatever the item popularity.
-    """
-    order = np.argsort(b_item, kind="stable")
-    bi, bu, bw = b_item[order], b_idx[order], b_w[order]
-    lo = np.searchsorted(bi, a_item, "left")
-    cnt = np.searchsorted(bi, a_item, "right") - lo
-    keep = cnt > 0
-    a_idx, a_w, lo, cnt = a_idx[keep], a_w[keep], lo[keep], cnt[keep]
-    out = np.zeros(na * nb)
-    if len(cnt) == 0:
-        return out.reshape(na, nb)
-    csum = np.cumsum(cnt)
-    start, n = 0, len(cnt)
-    while start < n:
-        base = csum[start - 1] if start else 0
-        end = int(np.searchsorted(csum, base + pair_limit, "right"))
-        end = max(end, start + 1)
-        c = cnt[start:end]
-        tot = int(c.sum())
-        rep = np.repeat(np.arange(start, end), c)
-        offs = np.arange(tot) - np.repeat(np.cumsum(c) - c, c)
-        bpos = lo[rep] + offs
-        out += np.bincount(
-            a_idx[rep] * nb + bu[bpos], weights=a_w[rep] * bw[bpos], minlength=na * nb
-        )
-        start = end
-    return out.reshape(na, nb)
 
+def similarity_join(profiles: DataFrame) -> DataFrame:
+    """``user, neighbour, sim`` of all co-rating pairs, ``user < neighbour``, by self-join on item."""
+    a, b = _sides(profiles)
+    return _dot(a.join(b, "item").where(F.col("user") < F.col("neighbour")), "user", "neighbour")
 
-def _kth_largest(m: np.ndarray, k: int) -> np.ndarray:
-    cols = m.shape[1]
-    if k >= cols or k <= 0:
-        return np.full(m.shape[0], -np.inf)
-    return np.partition(m, cols - k, axis=1)[:, cols - k]
 
+def similarity_one_user(profiles: DataFrame, users) -> DataFrame:
+    """The similarities of the given users to everybody else: ``user, neighbour, sim``.
 
-def _ints(x) -> pd.arrays.IntegerArray:
-    x = np.asarray(x, dtype=np.int64)
-    return pd.arrays.IntegerArray(x, np.zeros(len(x), dtype=bool))
-
-
-def _nulls(n: int) -> pd.arrays.IntegerArray:
-    return pd.arrays.IntegerArray(np.zeros(n, dtype=np.int64), np.ones(n, dtype=bool))
-
-
-def _tile_candidates(S: np.ndarray, k: int, negative: bool = False):
-    """(row, col) of tile entries that can be in their row's top k.
-
-    Positives: ``> 0`` and within the slack of the tile's k-th largest value.
-    Negatives: classed negative and within the slack of the k-th largest
-    negative (the negatives closest to zero rank first).
+    ``users`` is a literal or a DataFrame with column ``user`` (every
+    distinct user of it counts).  The join on item emits one row per co-rating
+    of a given user, so it is linear in the data for each.
     """
-    if negative:
-        m = S <= -_HALF_UNIT
-        kth = _kth_largest(np.where(m, S, -np.inf), k)
-        keep = m & (S >= (kth - _SLACK)[:, None])
+    a, b = _sides(profiles)
+    if isinstance(users, DataFrame):
+        mine = a.join(users.select("user").distinct(), "user", "left_semi")
     else:
-        kth = _kth_largest(S, k)
-        keep = (S > 0) & (S >= (kth - _SLACK)[:, None])
-    return np.nonzero(keep)
-
-
-def _reduce(owner, other, val, k):
-    """Per owner, keep the entries that can still be among its top k.
-
-    Exact for any later additions: the k-th largest value over more entries
-    can only be larger, so an entry below (k-th - slack) now stays out.
-    """
-    n = len(owner)
-    if n == 0:
-        return owner, other, val
-    order = np.lexsort((-val, owner))
-    owner, other, val = owner[order], other[order], val[order]
-    starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-    counts = np.diff(np.r_[starts, n])
-    kth = np.where(counts >= k, val[np.minimum(starts + k - 1, n - 1)], -np.inf)
-    keep = val >= np.repeat(kth, counts) - _SLACK
-    return owner[keep], other[keep], val[keep]
-
-
-class _Candidates:
-    """Running per-owner top-k buffer, compacted when it grows."""
-
-    def __init__(self, k: int, limit: int = 4_000_000):
-        self.k, self.limit = k, limit
-        self.parts: list = []
-        self.size = 0
-
-    def add(self, owner, other, val):
-        if len(owner):
-            self.parts.append((owner, other, val))
-            self.size += len(owner)
-            if self.size > self.limit:
-                self._compact()
-                self.limit = max(self.limit, 2 * self.size)
-
-    def _compact(self):
-        o, x, v = (np.concatenate([p[i] for p in self.parts]) for i in range(3))
-        o, x, v = _reduce(o, x, v, self.k)
-        self.parts, self.size = [(o, x, v)], len(o)
-
-    def result(self):
-        if not self.parts:
-            e = np.zeros(0, dtype=np.int64)
-            return e, e, np.zeros(0)
-        self._compact()
-        return self.parts[0]
-
-
-def _prep(block: pd.DataFrame):
-    """Users (sorted ids) and the block's cells sorted by user position."""
-    idx_users = block["user"].to_numpy()
-    users, idx = np.unique(idx_users, return_inverse=True)
-    order = np.argsort(idx, kind="stable")
-    return (
-        users,
-        idx[order],
-        block["item"].to_numpy()[order],
-        block["weight"].to_numpy(np.float64)[order],
-    )
+        mine = a.where(F.col("user") == F.lit(users))
+    return _dot(mine.join(b, "item").where(F.col("user") != F.col("neighbour")), "user", "neighbour")
 
 
-def _tiling(n: int, idx: np.ndarray, size: int):
-    """User ranges of at most ``size`` users and the cell range of each."""
-    out = []
-    for s0 in range(0, n, size):
-        s1 = min(n, s0 + size)
-        out.append((s0, s1, int(np.searchsorted(idx, s0)), int(np.searchsorted(idx, s1))))
-    return out
-
-
-def _frame(users, neighbours, sims, counts_users=None, counts=None) -> pd.DataFrame:
-    parts = [
-        pd.DataFrame(
-            {"user": _ints(users), "neighbour": _ints(neighbours), "sim": sims, "nneg": _nulls(len(users))}
-        )
-    ]
-    if counts_users is not None and len(counts_users):
-        parts.append(
-            pd.DataFrame(
-                {
-                    "user": _ints(counts_users),
-                    "neighbour": _nulls(len(counts_users)),
-                    "sim": np.full(len(counts_users), np.nan),
-                    "nneg": _ints(counts),
-                }
-            )
-        )
-    return pd.concat(parts, ignore_index=True) if len(parts) > 1 else parts[0]
-
-
-def _make_kernel(mode: str, k: int, pair_limit: int, tile_users: int):
-    """Block-pair kernel: ``P_a · P_bᵀ`` tile by tile, top-k kept per user.
-
-    Tiles are at most ``tile_users × tile_users`` dense; for ``a == b`` only
-    tiles on or above the diagonal are computed (the similarity is
-    symmetric) and both directions are read from each tile.
-    """
-
-    def kernel(key, pdf):
-        a, b = int(key[0]), int(key[1])
-        blk = pdf["blk"].to_numpy()
-        ua, ia, ita, wa = _prep(pdf[blk == a])
-        ub, ib, itb, wb = (ua, ia, ita, wa) if a == b else _prep(pdf[blk == b])
-        na, nb = len(ua), len(ub)
-        ta = _tiling(na, ia, tile_users)
-        tb = ta if a == b else _tiling(nb, ib, tile_users)
-        pairs = [(i, j) for i in range(len(ta)) for j in range(len(tb)) if a != b or j >= i]
-
-        def tile(i, j):
-            r0, r1, e0, e1 = ta[i]
-            c0, c1, f0, f1 = tb[j]
-            S = _block_product(
-                ia[e0:e1] - r0, ita[e0:e1], wa[e0:e1],
-                ib[f0:f1] - c0, itb[f0:f1], wb[f0:f1],
-                r1 - r0, c1 - c0, pair_limit,
-            )
-            if a == b and i == j:
-                np.fill_diagonal(S, 0.0)
-            return S, r0, c0
-
-        if mode == "all":
-            us, vs, ss = [], [], []
-            for i, j in pairs:
-                S, r0, c0 = tile(i, j)
-                r, c = np.nonzero(np.triu(S, 1) if (a == b and i == j) else S)
-                u, v = ua[r + r0], ub[c + c0]
-                us.append(np.minimum(u, v))
-                vs.append(np.maximum(u, v))
-                ss.append(S[r, c])
-            cat = (lambda xs, dt: np.concatenate(xs) if xs else np.zeros(0, dtype=dt))
-            return pd.DataFrame(
-                {"user": cat(us, np.int64), "neighbour": cat(vs, np.int64), "sim": cat(ss, np.float64)}
-            )
-
-        # owners on side A (rows) and side B (columns); one side when a == b
-        own_a = _Candidates(k)
-        own_b = own_a if a == b else _Candidates(k)
-        neg_a = np.zeros(na, dtype=np.int64)
-        neg_b = neg_a if a == b else np.zeros(nb, dtype=np.int64)
-        for i, j in pairs:
-            S, r0, c0 = tile(i, j)
-            negm = S <= -_HALF_UNIT
-            neg_a[r0:r0 + S.shape[0]] += negm.sum(axis=1)
-            r, c = _tile_candidates(S, k)
-            own_a.add(r + r0, c + c0, S[r, c])
-            if a != b or i != j:
-                neg_b[c0:c0 + S.shape[1]] += negm.sum(axis=0)
-                St = np.ascontiguousarray(S.T)
-                r, c = _tile_candidates(St, k)
-                own_b.add(r + c0, c + r0, St[r, c])
-        # the dense rule reaches negatives only for users with fewer than k
-        # non-negative entries (self and non-overlapping users count as 0)
-        need_a = (nb - neg_a) < k
-        need_b = need_a if a == b else (na - neg_b) < k
-        nega = _Candidates(k)
-        negb = nega if a == b else _Candidates(k)
-        if need_a.any() or need_b.any():
-            for i, j in pairs:
-                r0, r1 = ta[i][:2]
-                c0, c1 = tb[j][:2]
-                rows_need = need_a[r0:r1].any()
-                cols_need = (a != b or i != j) and need_b[c0:c1].any()
-                if not (rows_need or cols_need):
-                    continue
-                S, r0, c0 = tile(i, j)
-                if rows_need:
-                    r, c = _tile_candidates(S, k, negative=True)
-                    m = need_a[r + r0]
-                    nega.add((r + r0)[m], (c + c0)[m], S[r, c][m])
-                if cols_need:
-                    St = np.ascontiguousarray(S.T)
-                    r, c = _tile_candidates(St, k, negative=True)
-                    m = need_b[r + c0]
-                    negb.add((r + c0)[m], (c + r0)[m], St[r, c][m])
-        frames = []
-        oa, xa, va = own_a.result()
-        na_o, na_x, na_v = nega.result()
-        has_a = neg_a > 0
-        frames.append(_frame(
-            np.r_[ua[oa], ua[na_o]], np.r_[ub[xa], ub[na_x]], np.r_[va, na_v],
-            ua[has_a], neg_a[has_a],
-        ))
-        if a != b:
-            ob, xb, vb = own_b.result()
-            nb_o, nb_x, nb_v = negb.result()
-            has_b = neg_b > 0
-            frames.append(_frame(
-                np.r_[ub[ob], ub[nb_o]], np.r_[ua[xb], ua[nb_x]], np.r_[vb, nb_v],
-                ub[has_b], neg_b[has_b],
-            ))
-        return pd.concat(frames, ignore_index=True)
-
-    return kernel
-
-
-def _num_blocks(n_users: int, n_rows: int, rows_per_block: int, parallelism: int, min_block: int = 64) -> int:
-    """Blocks sized by stored cells; enough block pairs for the cluster."""
-    nb = max(1, math.ceil(n_rows / max(1, rows_per_block)))
-    nb = min(nb, max(1, n_users))  # never more blocks than users
-    while nb * (nb + 1) // 2 < parallelism and n_users / (nb + 1) >= min_block:
-        nb += 1
-    return nb
-
-
-def _blocked(
-    profiles: DataFrame, nb: int, mode: str, k: int, pair_limit: int, tile_users: int
-) -> DataFrame:
-    blk = F.pmod(F.xxhash64("user"), F.lit(nb)).cast("int")
-    rep = (
-        profiles.select("user", "item", "weight", blk.alias("blk"))
-        .withColumn("y", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))))
-        .select(
-            "user", "item", "weight", "blk",
-            F.least("blk", "y").alias("pa"),
-            F.greatest("blk", "y").alias("pb"),
-        )
-    )
-    groups = nb * (nb + 1) // 2
-    # explicit partition count: AQE must not coalesce the (small) profile
-    # shuffle into a few tasks, the work per group is compute, not bytes
-    rep = rep.repartition(groups, "pa", "pb")
-    schema = PAIR_SCHEMA if mode == "all" else CANDIDATE_SCHEMA
-    return rep.groupBy("pa", "pb").applyInPandas(
-        _make_kernel(mode, k, pair_limit, tile_users), schema
-    )
-
+def tile_product(a: tuple, b: tuple, shape: tuple[int, int, int], at_once: int = PRODUCTS_AT_ONCE) -> np.ndarray:
+    """Dense product of two sparse blocks ``(row, item, weight)``; ``shape``: rows of a, rows of b, items.
 
-# --------------------------------------------------------------------------
-# public entry points
-# --------------------------------------------------------------------------
-
-
-def _split_heavy(profiles: DataFrame, heavy_user_rows: int):
-    """Split profiles into light users and heavy users (in the plan, no action).
-
-    The heavy set has at most ``nnz / heavy_user_rows`` rows; AQE broadcasts it
-    when its measured size is under the broadcast threshold.
+    Blocks that are mostly filled are multiplied as matrices; others by the
+    products of the cells that share an item, summed ``at_once`` at a time.
     """
-    heavy = (
-        profiles.groupBy("user")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > heavy_user_rows)
-        .select("user")
-    )
-    light = profiles.join(heavy, "user", "left_anti")
-    hp = profiles.join(heavy, "user", "left_semi")
-    return heavy, light, hp
-
-
-def _heavy_rows(profiles: DataFrame, hp: DataFrame, heavy: DataFrame) -> DataFrame:
-    """Full similarity rows of heavy users, both directions, unpruned."""
-    mine = hp.select(F.col("user"), "item", F.col("weight").alias("wa"))
-    others = profiles.select(F.col("user").alias("neighbour"), "item", F.col("weight").alias("wb"))
-    fwd = (
-        mine.join(others, "item")
-        .where(F.col("user") != F.col("neighbour"))
-        .groupBy("user", "neighbour")
-        .agg(F.sum(F.col("wa") * F.col("wb")).alias("sim"))
-    )
-    # reverse direction only towards light users: heavy-heavy pairs are
-    # already present once per direction in ``fwd``
-    back = fwd.join(heavy.withColumnRenamed("user", "neighbour"), "neighbour", "left_anti").select(
-        F.col("neighbour").alias("user"), F.col("user").alias("neighbour"), "sim"
-    )
-    return fwd.unionByName(back)
-
-
-def _with_neg_flag(sims: DataFrame) -> DataFrame:
-    return sims.select(
-        "user", "neighbour", "sim",
-        F.when(rounded_sim("sim") < 0, F.lit(1).cast("long")).alias("nneg"),
-    )
+    (au, ai, aw), (bu, bi, bw), (na, nb, ni) = a, b, shape
+    if (na + nb) * ni <= 8 * (len(aw) + len(bw)):
+        x, y = np.zeros((na, ni)), np.zeros((nb, ni))
+        x[au, ai], y[bu, bi] = aw, bw
+        return x @ y.T
+    order = np.argsort(bi, kind="stable")
+    bu, bw = bu[order], bw[order]
+    first = np.searchsorted(bi[order], np.arange(ni + 1))
+    low, n = first[ai], first[ai + 1] - first[ai]
+    out, total = np.zeros(na * nb), np.cumsum(n)
+    start = 0
+    while start < len(n):
+        done = total[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(total, done + at_once, "right")))
+        here = n[start:end]
+        cell = np.repeat(np.arange(start, end), here)
+        other = low[cell] + np.arange(len(cell)) - np.repeat(np.cumsum(here) - here, here)
+        out += np.bincount(au[cell] * nb + bu[other], aw[cell] * bw[other], na * nb)
+        start = end
+    return out.reshape(na, nb)
 
 
-def similarity_candidates(
+def _tile(key: tuple, cells: pd.DataFrame) -> pd.DataFrame:
+    """The non-zero similarities between two blocks (``user`` of the first, ``neighbour`` of the second)."""
+    item, names = pd.factorize(cells["item"])
+    side = cells["block"].to_numpy()
+    users = cells["user"].to_numpy()
+    weight = cells["weight"].to_numpy(np.float64)
+    blocks, ids = [], []
+    for block in key:
+        mine = side == block
+        known, row = np.unique(users[mine], return_inverse=True)
+        blocks.append((row, item[mine], weight[mine]))
+        ids.append(known)
+    product = tile_product(*blocks, (len(ids[0]), len(ids[1]), len(names)))
+    if key[0] == key[1]:
+        product = np.triu(product, 1)
+    i, j = np.nonzero(product)
+    return pd.DataFrame({"user": ids[0][i], "neighbour": ids[1][j], "sim": product[i, j]})
+
+
+def similarity_tiles(profiles: DataFrame, blocks: int, partitions: int) -> DataFrame:
+    """``user, neighbour, sim`` of all co-rating pairs, each once, by tiles of user blocks."""
+    cells = profiles.select("user", "item", "weight", F.pmod(F.xxhash64("user"), F.lit(blocks)).cast("int").alias("block"))
+    holds = cells.select("item", F.col("block").alias("other")).distinct()
+    routed = cells.join(holds, "item").select(
+        "user", "item", "weight", "block", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"))
+    kind = profiles.schema["user"].dataType.simpleString()
+    # an explicit count: the work of a tile is arithmetic, which the size of its input does not show
+    return routed.repartition(partitions, "a", "b").groupBy("a", "b").applyInPandas(
+        _tile, f"user {kind}, neighbour {kind}, sim double")
+
+
+def similarities(
     profiles: DataFrame,
-    k: int,
-    n_users: int | None = None,
-    strategy: str = "blocked",
-    rows_per_block: int = 1_000_000,
-    tile_users: int = 2048,
-    heavy_user_rows: int = 200_000,
-    pair_limit: int = 4_000_000,
-    parallelism: int | None = None,
-    n_rows: int | None = None,
-    materialize_input: bool = True,
+    strategy: str = "auto",
+    shape: Shape | None = None,
+    block_users: int = BLOCK_USERS,
+    heavy_user_cells: int = HEAVY_USER_CELLS,
 ) -> DataFrame:
-    """Directed candidate neighbours ``user, neighbour, sim, nneg``.
-
-    The candidate set contains every neighbour that can be in the user's
-    top-k under the dense rule (at most k per user and block pair, plus
-    ties); ``sum(nneg)`` over a user is the user's number of negative
-    similarities.  Rank with :func:`kinnear.operators.neighbours.rank_candidates`.
+    """``user, neighbour, sim``: every co-rating pair once, in either order.
 
-    Blocks hold about ``rows_per_block`` profile cells (``n_rows`` is counted
-    when not given); each profile cell is replicated once per block, so the
-    replication factor is ``cells / rows_per_block``, not the user count.
-
-    The profiles are read by several branches (per-user counts, the light
-    and heavy splits, the heavy rows); with ``materialize_input`` they are
-    written once to the checkpoint folder so that every branch reads the
-    same fixed table instead of recomputing (possibly nondeterministic) input.
+    ``profiles`` is read by several branches: hand in a written table.
     """
+    shape = shape or Shape.of(profiles)
+    blocks = num_blocks(shape, block_users)
+    if strategy == "auto":
+        strategy = choose_strategy(shape, blocks)
     if strategy == "join":
-        return _with_neg_flag(_mirror(similarity_join(profiles)))
-    if strategy != "blocked":
+        return similarity_join(profiles)
+    if strategy != "tiles":
         raise ValueError(f"unknown strategy {strategy!r}")
-    spark = profiles.sparkSession
-    if parallelism is None:
-        parallelism = spark.sparkContext.defaultParallelism
-    if n_users is None:
-        n_users = profiles.select("user").distinct().count()
-    if n_users <= 0:
-        return spark.createDataFrame([], CANDIDATE_SCHEMA)
-    if materialize_input:
-        profiles = materialize(profiles)
-    if n_rows is None:
-        n_rows = profiles.count()
-    heavy, light, hp = _split_heavy(profiles, heavy_user_rows)
-    nb = _num_blocks(n_users, n_rows, rows_per_block, parallelism)
-    blocked = _blocked(light, nb, "topk", k, pair_limit, tile_users)
-    return blocked.unionByName(_with_neg_flag(_heavy_rows(profiles, hp, heavy)))
-
-
-def similarity_pairs(
-    profiles: DataFrame,
-    strategy: str = "blocked",
-    rows_per_block: int = 1_000_000,
-    tile_users: int = 2048,
-    pair_limit: int = 4_000_000,
-    parallelism: int | None = None,
-    n_users: int | None = None,
-    n_rows: int | None = None,
-) -> DataFrame:
+    heavy = profiles.groupBy("user").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > heavy_user_cells).select("user")
+    partitions = tile_partitions(shape, blocks, profiles.sparkSession.sparkContext.defaultParallelism)
+    light = similarity_tiles(profiles.join(heavy, "user", "left_anti"), blocks, partitions)
+    a, b = _sides(profiles)
+    mine = a.join(heavy, "user", "left_semi")
+    others = b.join(heavy.select(F.col("user").alias("neighbour"), F.lit(True).alias("is_heavy")), "neighbour", "left")
+    # a pair of two heavy users comes up from both sides; one is taken
+    pairs = mine.join(others, "item").where(
+        (F.col("user") < F.col("neighbour")) | (F.col("is_heavy").isNull() & (F.col("user") != F.col("neighbour"))))
+    return light.unionByName(_dot(pairs, "user", "neighbour"))
+
+
+def both_directions(pairs: DataFrame) -> DataFrame:
+    """Each pair from both sides: ``user, neighbour, sim``."""
+    return pairs.select(F.explode(F.array(
+        F.struct("user", "neighbour", "sim"),
+        F.struct(F.col("neighbour").alias("user"), F.col("user").alias("neighbour"), "sim"))).alias("p")).select("p.*")
+
+
+def similarity_pairs(profiles: DataFrame, strategy: str = "auto", **options) -> DataFrame:
     """Every unordered pair with a non-zero similarity: ``user < neighbour``.
 
-    The output itself is quadratic in the worst case; use it for analysis
-    at moderate sizes and :func:`similarity_candidates` for the k-NN.
+    The output itself can be quadratic in the users; for neighbours use
+    :func:`kinnear.operators.neighbours.knn`.
     """
-    if strategy == "join":
-        s = similarity_join(profiles)
-    else:
-        spark = profiles.sparkSession
-        if parallelism is None:
-            parallelism = spark.sparkContext.defaultParallelism
-        if n_users is None:
-            n_users = profiles.select("user").distinct().count()
-        if n_rows is None:
-            n_rows = profiles.count()
-        nb = _num_blocks(max(1, n_users), n_rows, rows_per_block, parallelism)
-        s = _blocked(profiles, nb, "all", 0, pair_limit, tile_users)
-    return s.where(rounded_sim("sim") != 0)
+    return similarities(profiles, strategy, **options).where(rounded_sim("sim") != 0).select(
+        F.least("user", "neighbour").alias("user"), F.greatest("user", "neighbour").alias("neighbour"), "sim")

@@ -2,13 +2,13 @@
 
 Written independently of the Spark plans: similarities here come from a
 plain self-join on item and the dense ranking from window functions over
-the full similarity table, so they check the blocked Spark path.
-Tables ``lineitem`` and ``orders`` are views over the same parquet files.
+the full similarity table, so they check the Spark strategies and rankings.
+The tables are views over the same parquet files.
 """
 
 from __future__ import annotations
 
-from kinnear.plans.queries import HOLDOUT_N, K_DENSE, K_EVENTS, K_MAIN, KS
+from kinnear.plans.queries import EARLY_DAYS, HOLDOUT_N, K_DENSE, K_EVENTS, K_MAIN, K_NATION, KS, KS_NATION
 
 _BASE = """
 raw AS (
@@ -22,9 +22,9 @@ test AS (SELECT u, i, rating FROM r WHERE is_test),
 mean AS (SELECT u, sum(rating) / count(*) AS a FROM train GROUP BY u),
 dev AS (
   SELECT t.u, t.i,
+         CASE WHEN abs(t.rating - m.a) < CAST(1e-12 AS DOUBLE) THEN CAST(0 AS DOUBLE) ELSE
          (t.rating - m.a) / (CASE WHEN t.rating > m.a THEN CAST(5 AS DOUBLE) - m.a
-                                  WHEN t.rating < m.a THEN m.a - CAST(1 AS DOUBLE)
-                                  ELSE CAST(1 AS DOUBLE) END) AS dev
+                                  ELSE m.a - CAST(1 AS DOUBLE) END) END AS dev
   FROM train t JOIN mean m ON t.u = m.u),
 nz AS (SELECT u, i, dev FROM dev WHERE dev <> 0),
 norm AS (SELECT u, sqrt(sum(dev * dev)) AS nrm FROM nz GROUP BY u),
@@ -94,13 +94,13 @@ stats AS ({sel})
 """
 
 
-def _edges_select() -> str:
+def _edges_select(ks=KS) -> str:
     return " UNION ALL ".join(
         f"""SELECT CAST({k} AS BIGINT) AS k,
                    count(*) FILTER (WHERE rank <= {k}) AS edges,
                    count(*) FILTER (WHERE rank <= {k} AND round(s, 9) < 0) AS negative_edges
             FROM nbr"""
-        for k in KS
+        for k in ks
     )
 
 
@@ -110,9 +110,8 @@ b AS (SELECT min(rating) AS lo, max(rating) AS hi FROM r),
 mean AS (SELECT u, sum(rating) / count(*) AS a FROM r GROUP BY u),
 dev AS (
   SELECT r.u, r.i,
-         (r.rating - m.a) / (CASE WHEN r.rating > m.a THEN b.hi - m.a
-                                  WHEN r.rating < m.a THEN m.a - b.lo
-                                  ELSE CAST(1 AS DOUBLE) END) AS dev
+         CASE WHEN abs(r.rating - m.a) < CAST(1e-12 AS DOUBLE) THEN CAST(0 AS DOUBLE) ELSE
+         (r.rating - m.a) / (CASE WHEN r.rating > m.a THEN b.hi - m.a ELSE m.a - b.lo END) END AS dev
   FROM r JOIN mean m ON r.u = m.u CROSS JOIN b),
 nz AS (SELECT u, i, dev FROM dev WHERE dev <> 0),
 norm AS (SELECT u, sqrt(sum(dev * dev)) AS nrm FROM nz GROUP BY u),
@@ -120,6 +119,15 @@ prof AS (SELECT z.u, z.i, z.dev / n.nrm AS w FROM nz z JOIN norm n ON z.u = n.u
 """
 
 
+_NATIONS = """
+r AS (SELECT CAST(c_nationkey AS BIGINT) AS u, l_partkey AS i,
+             max(CAST(1 + floor((l_quantity - 1) / 10) AS DOUBLE)) AS rating
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+      GROUP BY c_nationkey, l_partkey),
+train AS (SELECT * FROM r),
+""" + _BASE[_BASE.index("mean AS"):]
+
+
 _EMBEDDINGS = """
 cells AS (SELECT vec_id AS u, CAST(unnest(generate_series(0, len(embedding) - 1)) AS BIGINT) AS i,
                  CAST(unnest(embedding) AS DOUBLE) AS dev
@@ -147,7 +155,7 @@ SELECT u, i, count(*) AS n, sum(rating) AS r_sum, max(rating) AS r_max,
 FROM raw GROUP BY u, i"""
     q["holdout_split"] = _with(f""",
 h AS (SELECT u, i,
-             row_number() OVER (PARTITION BY u ORDER BY (u * 31 + i * 17) % 1009, i) AS rn,
+             row_number() OVER (PARTITION BY u ORDER BY ((u % 1009) * 31 + (i % 1009) * 17) % 1009, i) AS rn,
              count(*) OVER (PARTITION BY u) AS cnt
       FROM r)
 """) + f"SELECT u, i, CAST(rn <= {HOLDOUT_N} AND cnt > {HOLDOUT_N} AS BIGINT) AS is_test FROM h"
@@ -157,7 +165,8 @@ top_item AS (SELECT i FROM train GROUP BY i ORDER BY count(*) DESC, i LIMIT 1)
 """) + "SELECT d.u, (round(d.dev, 6) + CAST(0 AS DOUBLE)) AS dev FROM dev d JOIN top_item ti ON d.i = ti.i"
     q["scale_expr"] = _with() + """
 SELECT t.u, t.i,
-       (round(CASE WHEN t.rating > m.a THEN CAST(5 AS DOUBLE) - m.a
+       (round(CASE WHEN abs(t.rating - m.a) < CAST(1e-12 AS DOUBLE) THEN CAST(1 AS DOUBLE)
+                  WHEN t.rating > m.a THEN CAST(5 AS DOUBLE) - m.a
                   WHEN t.rating < m.a THEN m.a - CAST(1 AS DOUBLE)
                   ELSE CAST(1 AS DOUBLE) END, 6) + CAST(0 AS DOUBLE)) AS scale
 FROM train t JOIN mean m ON t.u = m.u"""
@@ -181,6 +190,32 @@ GROUP BY b.u HAVING round(sum(a.w * b.w), 9) <> 0"""
     q["knn_dense_rank"] = _with(_SIM) + nbr_out.format(k=K_DENSE)
     q["knn_multi_k"] = _with(_SIM) + _edges_select()
     q["neighbour_explode"] = q["knn_topk"]
+    q["neighbour_lists_text"] = _with(_SIM) + f"""
+SELECT u, string_agg(CAST(rank AS VARCHAR) || ':' || CAST(v AS VARCHAR), ',' ORDER BY rank) AS neighbours
+FROM nbr WHERE rank <= {K_MAIN} GROUP BY u"""
+    q["knn_dense_nation"] = "WITH " + _NATIONS + _SIM + nbr_out.format(k=K_NATION)
+    q["knn_multi_k_nation"] = "WITH " + _NATIONS + _SIM + _edges_select(KS_NATION)
+    q["ratings_text"] = q["parse_fields"]
+    q["dedup_policies"] = _with() + " UNION ALL ".join(
+        f"SELECT '{p}' AS policy, u, i, (round({f}, 6) + CAST(0 AS DOUBLE)) AS rating FROM raw GROUP BY u, i"
+        for p, f in [("sum", "sum(rating)"), ("max", "max(rating)"), ("mean", "sum(rating) / count(*)")])
+    q["sparse_difference"] = _with(""",
+a AS (SELECT u, i, max(rating) AS x FROM raw WHERE t GROUP BY u, i),
+b AS (SELECT u, i, max(rating) AS y FROM raw WHERE NOT t GROUP BY u, i)
+""") + """
+SELECT coalesce(a.u, b.u) AS u, coalesce(a.i, b.i) AS i,
+       coalesce(x, CAST(0 AS DOUBLE)) - coalesce(y, CAST(0 AS DOUBLE)) + CAST(0 AS DOUBLE) AS diff
+FROM a FULL OUTER JOIN b ON a.u = b.u AND a.i = b.i"""
+    q["positive_deviations"] = _with() + "SELECT u, i, (round(dev, 6) + CAST(0 AS DOUBLE)) AS dev FROM dev WHERE dev > 0"
+    q["cold_start_early"] = f"""
+WITH l AS (SELECT o_custkey AS u, l_partkey AS i,
+                  CAST(o_orderdate AS DATE) < CAST((SELECT min(o_orderdate) FROM orders) AS DATE) + {EARLY_DAYS} AS early
+           FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+tr AS (SELECT DISTINCT u, i FROM l WHERE early),
+te AS (SELECT DISTINCT u, i FROM l WHERE NOT early)
+SELECT 'user' AS kind, count(*) AS n FROM te WHERE u NOT IN (SELECT u FROM tr)
+UNION ALL
+SELECT 'item' AS kind, count(*) AS n FROM te WHERE i NOT IN (SELECT i FROM tr)"""
     q["weighted_deviation"] = _with(_SIM, _pred(K_MAIN)) + "SELECT u, i, (round(wdev, 6) + CAST(0 AS DOUBLE)) AS wdev FROM p_wd"
     q["predict"] = _with(_SIM, _pred(K_MAIN)) + "SELECT u, i, rating, (round(prediction, 6) + CAST(0 AS DOUBLE)) AS prediction FROM p"
     q["cell_errors"] = _with(_SIM, _pred(K_MAIN)) + (
@@ -202,6 +237,14 @@ SELECT 'item' AS kind, count(*) AS n FROM test WHERE i NOT IN (SELECT i FROM tra
         f"SELECT 'abs_error k=' || CAST(k AS VARCHAR) AS section, '{m}' AS metric, (round({c}, 6) + CAST(0 AS DOUBLE)) AS value FROM stats"
         for m, c in [("average", "mae"), ("min", "min_e"), ("max", "max_e"), ("variance", "var_e"), ("stddev", "std_e")]
     )
+    q["report_nested"] = _with(_SIM, _stats_cte(), """,
+long AS (""" + " UNION ALL ".join(
+        f"SELECT 'abs_error k=' || CAST(k AS VARCHAR) AS section, '{m}' AS metric, (round({c}, 6) + CAST(0 AS DOUBLE)) AS value FROM stats"
+        for m, c in [("average", "mae"), ("min", "min_e"), ("max", "max_e"), ("variance", "var_e"), ("stddev", "std_e")]
+    ) + """)
+""") + """
+SELECT section, string_agg(metric || '=' || CAST(CAST(round(value * 1000000) AS BIGINT) AS VARCHAR), ',' ORDER BY metric) AS metrics
+FROM long GROUP BY section"""
     ev = [
         "SELECT 'data' AS section, 'train_cells' AS metric, CAST(count(*) AS DOUBLE) AS value FROM train",
         "SELECT 'data', 'test_cells', CAST(count(*) AS DOUBLE) FROM test",

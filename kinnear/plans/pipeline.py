@@ -1,11 +1,10 @@
 """Fit / predict / evaluate: the whole predictor as one chain of DataFrames.
 
 ``fit`` builds means, deviations, unit profiles and the ranked neighbour
-table once; with ``materialize=True`` the tables reused downstream
-(deviations, neighbours) are cut from their lineage with a reliable
-checkpoint so that several predictions (one per k, or repeated scoring)
-do not recompute the similarity step, and a lost executor only costs the
-tasks after the checkpoint.
+table once and writes the tables that predictions read (means, deviations,
+neighbours) to the shared folder, so that several predictions (one per k, or
+repeated scoring) do not run the similarity step again, and a lost executor
+only costs the tasks after it.
 """
 
 from __future__ import annotations
@@ -21,7 +20,8 @@ from kinnear.operators.evaluate import cold_start, error_stats_by_k
 from kinnear.operators.neighbours import knn
 from kinnear.operators.predict import predict, predict_multi_k
 from kinnear.operators.profile import normalized_deviation, unit_profile, user_mean
-from kinnear.session import materialize as _checkpoint
+from kinnear.session import materialize as _written
+from kinnear.sources.ratings import coalesce_duplicates
 
 
 @dataclass
@@ -34,6 +34,7 @@ class Model:
     n_users: int
     lo: float = RATING_LO
     hi: float = RATING_HI
+    written: bool = False
 
     def predict(self, test: DataFrame, k: int | None = None) -> DataFrame:
         n = self.neighbours
@@ -55,26 +56,32 @@ def fit(
     n_users: int | None = None,
     lo: float = RATING_LO,
     hi: float = RATING_HI,
-    materialize: bool = False,
-    strategy: str = "blocked",
+    materialize: bool = True,
+    strategy: str = "auto",
+    duplicates: str | None = "error",
     **knn_options,
 ) -> Model:
-    """Means → deviations → unit profiles → k-NN (ranked for ``k``)."""
+    """Means → deviations → unit profiles → k-NN (ranked for ``k``).
+
+    ``n_users``: dimension of the matrix; by default the users of ``train``.
+    ``duplicates``: what to do with a repeated ``(user, item)`` (see
+    ``coalesce_duplicates``); None for ratings that are unique by construction.
+    """
+    if duplicates is not None:
+        train = coalesce_duplicates(train, duplicates)
     means = user_mean(train)
-    deviations = normalized_deviation(train, means, lo, hi)
     if materialize:
-        deviations = _checkpoint(deviations)
-    profiles = unit_profile(deviations)
+        means = _written(means)
+    deviations = normalized_deviation(train, means, lo, hi)
     if materialize:
-        profiles = _checkpoint(profiles)
+        deviations = _written(deviations)
+    profiles = _written(unit_profile(deviations))
     if n_users is None:
-        n_users = train.select("user").distinct().count()
-    if materialize and strategy == "blocked":
-        knn_options.setdefault("materialize_input", False)  # already written
-    neighbours = knn(profiles, k, n_users, strategy=strategy, **knn_options)
+        n_users = means.count()
+    neighbours = knn(profiles, k, n_users, strategy=strategy, written=True, **knn_options)
     if materialize:
-        neighbours = _checkpoint(neighbours)
-    return Model(means, deviations, profiles, neighbours, k, n_users, lo, hi)
+        neighbours = _written(neighbours)
+    return Model(means, deviations, profiles, neighbours, k, n_users, lo, hi, materialize)
 
 
 def _rows(*triples) -> F.Column:
@@ -101,8 +108,9 @@ def evaluate(
     lo: float = RATING_LO,
     hi: float = RATING_HI,
     materialize: bool = True,
-    strategy: str = "blocked",
+    strategy: str = "auto",
     model: Model | None = None,
+    duplicates: str | None = "error",
     **knn_options,
 ) -> DataFrame:
     """The whole job; returns metrics as ``section, metric, value`` rows.
@@ -111,11 +119,11 @@ def evaluate(
     ``k=<k>`` section per k (MAE, predicted cells, edges, negative edges).
     One ranking at ``max(ks)`` serves every k; each summary is one global
     aggregate unpivoted with ``inline``.  The model tables are
-    checkpointed by default because several outputs read them.
+    written by default because several outputs read them.
     """
     ks = sorted(set(int(k) for k in ks))
     if model is None:
-        model = fit(train, max(ks), n_users, lo, hi, materialize, strategy, **knn_options)
+        model = fit(train, max(ks), n_users, lo, hi, materialize, strategy, duplicates, **knn_options)
     stats = error_stats_by_k(model.predict_multi_k(test, ks), ks).select(
         F.concat(F.lit("k="), F.col("k").cast("string")).alias("section"), "mae", "n"
     )

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinnear.functions.expr import OUT_ROUND, out_round, scale
-from kinnear.operators.evaluate import cell_errors, cold_start, error_stats_by_k, mae
+from kinnear.operators.evaluate import cell_errors, cold_start, error_stats_by_k, mae, sparse_difference
 from kinnear.operators.neighbours import explode_neighbours, knn, neighbour_lists
 from kinnear.operators.predict import predict, predict_multi_k, weighted_deviation
 from kinnear.operators.profile import (
@@ -26,21 +26,31 @@ from kinnear.operators.profile import (
 )
 from kinnear.operators.similarity import similarity_one_user, similarity_pairs
 from kinnear.plans.pipeline import evaluate as evaluate_job
-from kinnear.session import materialize
+from kinnear.session import materialize, scratch_folder
 from kinnear.sources.ratings import (
+    by_flag,
+    coalesce_duplicates,
     duplicate_stats,
+    early_split,
     holdout_split,
     load_tables,
+    nation_ratings,
     order_lines,
     order_ratings,
     parse_lines,
+    read_ratings,
 )
+from kinnear.sources.report import nest_report
 
 # Fixed query parameters (the same values appear in the SQL texts).
 K_MAIN = 30
 KS = (30, 100, 200)
 K_DENSE = 1400
 HOLDOUT_N = 2
+# nations as users: 25 whatever the scale, so negatives rank in at every scale
+K_NATION = 20
+KS_NATION = (5, 15, 25)
+EARLY_DAYS = 365
 
 
 def _r(x: str) -> F.Column:
@@ -50,7 +60,7 @@ def _r(x: str) -> F.Column:
 class Tables:
     """The chain of tables every query starts from (lazily built).
 
-    ``materialize=True`` (queries that build neighbours) checkpoints the
+    ``materialize_ratings=True`` (queries that build neighbours) writes the
     derived ratings once: they feed the user count, the profiles and the
     test side, which would otherwise each repeat the order-table join.
     """
@@ -62,8 +72,7 @@ class Tables:
         self.ratings = order_ratings(lineitem, orders)
         if materialize_ratings:
             self.ratings = materialize(self.ratings)
-        self.train = self.ratings.where(~F.col("is_test")).select("user", "item", "rating")
-        self.test = self.ratings.where(F.col("is_test")).select("user", "item", "rating")
+        self.train, self.test = by_flag(self.ratings)
         self.means = user_mean(self.train)
         self.deviations = normalized_deviation(self.train, self.means)
         self.profiles = unit_profile(self.deviations)
@@ -76,7 +85,7 @@ class Tables:
         return self._n_users
 
     def neighbours(self, k: int) -> DataFrame:
-        # knn checkpoints the profiles it reads from several branches
+        # knn writes the profiles it reads from several branches
         return knn(self.profiles, k, self.n_users())
 
 
@@ -120,6 +129,33 @@ def q_parse_fields(spark, sf_dir):
     return p.select(F.col("user").alias("u"), F.col("item").alias("i"), "rating")
 
 
+def q_ratings_text(spark, sf_dir):
+    """The ratings written as delimited text to the shared folder and read back."""
+    t = Tables(spark, sf_dir)
+    folder = scratch_folder(spark)
+    fields = [F.col(c).cast("string") for c in ("user", "item", "rating", "is_test")]
+    t.ratings.select(F.concat_ws("::", *fields).alias("value")).write.text(folder)
+    return read_ratings(spark, folder, sep="::").select(F.col("user").alias("u"), F.col("item").alias("i"), "rating")
+
+
+def q_dedup_policies(spark, sf_dir):
+    """Each duplicate policy on the order lines, whose (customer, part) pairs repeat."""
+    lines = Tables(spark, sf_dir).lines.select("user", "item", "rating")
+    out = None
+    for policy in ("sum", "max", "mean"):
+        one = coalesce_duplicates(lines, policy).select(
+            F.lit(policy).alias("policy"), F.col("user").alias("u"), F.col("item").alias("i"), _r("rating").alias("rating"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def q_sparse_difference(spark, sf_dir):
+    """Best rating of the test lines minus best rating of the train lines, over the cells of either."""
+    lines = Tables(spark, sf_dir).lines
+    test, train = (coalesce_duplicates(x, "max") for x in (lines.where("is_test"), lines.where("not is_test")))
+    return sparse_difference(test, train).select(F.col("user").alias("u"), F.col("item").alias("i"), _r("diff").alias("diff"))
+
+
 def q_dedup_ratings(spark, sf_dir):
     t = Tables(spark, sf_dir)
     d = duplicate_stats(t.lines)
@@ -144,6 +180,12 @@ def q_positive_cells(spark, sf_dir):
     return t.test.where(F.col("rating") > 0).select(F.col("user").alias("u"), F.col("item").alias("i"), "rating")
 
 
+def q_positive_deviations(spark, sf_dir):
+    """The cell filter on signed values, where it does drop cells."""
+    d = Tables(spark, sf_dir).deviations.where(F.col("dev") > 0)
+    return d.select(F.col("user").alias("u"), F.col("item").alias("i"), _r("dev").alias("dev"))
+
+
 def q_item_slice(spark, sf_dir):
     t = Tables(spark, sf_dir)
     top = (
@@ -200,7 +242,7 @@ def q_user_norm(spark, sf_dir):
 
 def q_similarity_pairs(spark, sf_dir):
     t = _nt(spark, sf_dir)
-    s = similarity_pairs(t.profiles, n_users=t.n_users())
+    s = similarity_pairs(materialize(t.profiles))
     return s.select(F.col("user").alias("u"), F.col("neighbour").alias("v"), _r("sim").alias("sim"))
 
 
@@ -222,10 +264,26 @@ def q_knn_dense_rank(spark, sf_dir):
     return _out_nbrs(_nt(spark, sf_dir).neighbours(K_DENSE))
 
 
+def _nation_neighbours(spark, sf_dir, k: int) -> DataFrame:
+    r = materialize(nation_ratings(*load_tables(spark, sf_dir, "lineitem", "orders", "customer")))
+    return knn(unit_profile(normalized_deviation(r, user_mean(r))), k, r.select("user").distinct().count())
+
+
+def q_knn_dense_nation(spark, sf_dir):
+    return _out_nbrs(_nation_neighbours(spark, sf_dir, K_NATION))
+
+
+def q_knn_multi_k_nation(spark, sf_dir):
+    return _edges_by_k(_nation_neighbours(spark, sf_dir, max(KS_NATION)), KS_NATION)
+
+
 def q_knn_multi_k(spark, sf_dir):
-    n = _nt(spark, sf_dir).neighbours(max(KS))
+    return _edges_by_k(_nt(spark, sf_dir).neighbours(max(KS)), KS)
+
+
+def _edges_by_k(n: DataFrame, ks) -> DataFrame:
     aggs = []
-    for k in KS:
+    for k in ks:
         inside = F.col("rank") <= k
         aggs += [
             F.count(F.when(inside, 1)).alias(f"e_{k}"),
@@ -238,7 +296,7 @@ def q_knn_multi_k(spark, sf_dir):
                 F.col(f"e_{k}").alias("edges"),
                 F.col(f"ne_{k}").alias("negative_edges"),
             )
-            for k in KS
+            for k in ks
         ]
     )
     return n.agg(*aggs).select(F.inline(rows))
@@ -250,6 +308,13 @@ def q_neighbour_lists(spark, sf_dir):
     return lists.select(F.col("user").alias("u"), "neighbours")
 
 
+def q_neighbour_lists_text(spark, sf_dir):
+    """The ordered lists as text, which compares with SQL."""
+    lists = neighbour_lists(_nt(spark, sf_dir).neighbours(K_MAIN))
+    ids = F.transform("neighbours", lambda x: F.concat_ws(":", x["rank"].cast("string"), x["neighbour"].cast("string")))
+    return lists.select(F.col("user").alias("u"), F.array_join(ids, ",").alias("neighbours"))
+
+
 def q_neighbour_explode(spark, sf_dir):
     n = _nt(spark, sf_dir).neighbours(K_MAIN)
     return _out_nbrs(explode_neighbours(neighbour_lists(n)))
@@ -310,6 +375,19 @@ def q_cold_start(spark, sf_dir):
     return cold_start(t.train, t.test)
 
 
+def q_cold_start_early(spark, sf_dir):
+    """Train: the first year's order lines; test: the later ones, with many unseen users and items."""
+    return cold_start(*early_split(*load_tables(spark, sf_dir, "lineitem", "orders"), EARLY_DAYS))
+
+
+def q_report_nested(spark, sf_dir):
+    """The nested report of the sink; its metrics as text in millionths, which compares with SQL."""
+    report = nest_report(q_metrics_report(spark, sf_dir))
+    entries = F.transform(F.map_entries("metrics"), lambda e: F.concat(
+        e["key"], F.lit("="), F.round(e["value"] * 1000000).cast("long").cast("string")))
+    return report.select("section", F.array_join(entries, ",").alias("metrics"))
+
+
 def q_metrics_report(spark, sf_dir):
     s = _stats(spark, sf_dir)
     names = [("average", "mae"), ("min", "min_e"), ("max", "max_e"), ("variance", "var_e"), ("stddev", "std_e")]
@@ -326,7 +404,7 @@ def q_metrics_report(spark, sf_dir):
 
 def q_evaluate(spark, sf_dir):
     t = _nt(spark, sf_dir)
-    m = evaluate_job(t.train, t.test, KS, n_users=t.n_users(), materialize=True)
+    m = evaluate_job(t.train, t.test, KS, n_users=t.n_users(), duplicates=None)  # one row a cell already
     return m.select("section", "metric", out_round(F.col("value")).alias("value"))
 
 
@@ -340,7 +418,7 @@ def q_events_knn(spark, sf_dir):
     scale ``lo``/``hi`` is taken from the data."""
     (events,) = load_tables(spark, sf_dir, "events")
     r = events.groupBy("user_id", "event_type").agg(F.avg("value").alias("rating")).select(
-        F.col("user_id").alias("user"), F.xxhash64("event_type").alias("item"), "rating"
+        F.col("user_id").alias("user"), F.col("event_type").alias("item"), "rating"
     )
     r = materialize(r)
     b = r.agg(F.min("rating").alias("lo"), F.max("rating").alias("hi"), F.countDistinct("user").alias("n")).first()
@@ -357,15 +435,24 @@ def q_embedding_knn(spark, sf_dir):
     cells = emb.select(F.col("vec_id").alias("user"), F.posexplode("embedding").alias("item", "dev")).select(
         "user", F.col("item").cast("long").alias("item"), F.col("dev").cast("double").alias("dev")
     )
-    p = unit_profile(materialize(cells))
+    p = materialize(unit_profile(materialize(cells)))
     n_users = p.select("user").distinct().count()
-    return _out_nbrs(knn(p, K_EVENTS, n_users))
+    return _out_nbrs(knn(p, K_EVENTS, n_users, written=True))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ratings_scan": q_ratings_scan,
     "parse_fields": q_parse_fields,
+    "ratings_text": q_ratings_text,
     "dedup_ratings": q_dedup_ratings,
+    "dedup_policies": q_dedup_policies,
+    "sparse_difference": q_sparse_difference,
+    "positive_deviations": q_positive_deviations,
+    "cold_start_early": q_cold_start_early,
+    "report_nested": q_report_nested,
+    "knn_dense_nation": q_knn_dense_nation,
+    "knn_multi_k_nation": q_knn_multi_k_nation,
+    "neighbour_lists_text": q_neighbour_lists_text,
     "holdout_split": q_holdout_split,
     "positive_cells": q_positive_cells,
     "item_slice": q_item_slice,

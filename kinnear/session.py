@@ -1,9 +1,10 @@
-"""Session defaults and the shared checkpoint folder."""
+"""Session defaults and the shared folder for intermediate tables."""
 
 from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,30 +38,58 @@ def get_session(
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The checkpoint folder named by the cluster (``spark.checkpoint.dir``).
+def shared_folder(named: str | None, master: str) -> str:
+    """Where intermediate tables go: the folder the cluster names.
 
-    Only when the session names none (local tests) a fresh scratch folder is
-    set; on a cluster that setting points at shared storage.
+    Without one, a fresh scratch folder will do for a local master; elsewhere
+    the executors could not see it, so that is an error.
     """
+    if named:
+        return named
+    if not master.startswith("local[") and master != "local":
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
+    return tempfile.mkdtemp(prefix="kinnear-", dir="/tmp")
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The checkpoint folder of the session, from ``spark.checkpoint.dir`` (see :func:`shared_folder`)."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None
-    )
-    if not conf:
-        conf = tempfile.mkdtemp(prefix="kinnear-ckpt-", dir="/tmp")
-    sc.setCheckpointDir(conf)
-    return sc.getCheckpointDir() or conf
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    sc.setCheckpointDir(shared_folder(named, sc.master))
+    return sc.getCheckpointDir()
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """A new path under the session's part of the shared folder."""
+    return f"{ensure_checkpoint_dir(spark)}/stage-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
+    """Cut lineage: ``df`` written as Parquet to the shared folder and read back.
+
+    It survives the loss of executors and keeps column pruning and size
+    statistics for the plans that read it.  :func:`release` removes it.
+    """
+    path = scratch_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Removes the intermediate tables this session has written so far; returns how many.
 
-    Survives the loss of executors (unlike a local checkpoint); used where a
-    table is reused by several downstream plans.
+    Call it when the results that read them have been written or collected.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    folder = spark.sparkContext.getCheckpointDir()
+    if not folder:
+        return 0
+    jvm = spark.sparkContext._jvm
+    top = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [s.getPath() for s in fs.listStatus(top) if s.getPath().getName().startswith("stage-")] if fs.exists(top) else []
+    for path in found:
+        fs.delete(path, True)
+    return len(found)

@@ -139,15 +139,16 @@ def duplicate_stats(ratings: DataFrame) -> DataFrame:
 
 
 def default_split_key() -> Column:
-    """Deterministic per-cell order used by the hold-out: same in any engine."""
-    return (F.col("user") * 31 + F.col("item") * 17) % 1009
+    """Deterministic per-cell order used by the hold-out: same in any engine, no overflow for any id."""
+    return ((F.col("user") % 1009) * 31 + (F.col("item") % 1009) * 17) % 1009
 
 
 def holdout_split(ratings: DataFrame, n: int = 2, key: Column | None = None) -> DataFrame:
     """Mark the first ``n`` cells of each user (by ``key``, then item) as test.
 
     Users with ``n`` or fewer cells keep everything in train.  Output:
-    ratings' columns plus ``is_test`` (boolean).
+    ratings' columns plus ``is_test`` (boolean); rows that repeat a
+    ``(user, item)`` are one cell and share its flag.
 
     Skew-safe: the per-user top-n is a ``row_number() <= n`` filter, which
     Spark evaluates with a group limit before and after the shuffle, so a
@@ -156,10 +157,11 @@ def holdout_split(ratings: DataFrame, n: int = 2, key: Column | None = None) ->
     back on the unique ``(user, item)`` key.
     """
     key = default_split_key() if key is None else key
-    keyed = ratings.select("user", "item", key.alias("_k"))
+    cells = ratings.groupBy("user", "item").agg(F.min(key).alias("_k"))
+    keyed = cells.select("user", "item", "_k")
     w = Window.partitionBy("user").orderBy(F.col("_k"), F.col("item"))
     held = keyed.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n)
-    counts = ratings.groupBy("user").agg(F.count(F.lit(1)).alias("_cnt")).where(F.col("_cnt") > n)
+    counts = cells.groupBy("user").agg(F.count(F.lit(1)).alias("_cnt")).where(F.col("_cnt") > n)
     held = held.join(counts, "user", "left_semi").select("user", "item", F.lit(True).alias("_t"))
     return ratings.join(held, ["user", "item"], "left").select(
         *ratings.columns, F.coalesce(F.col("_t"), F.lit(False)).alias("is_test")
@@ -204,6 +206,28 @@ def train_test(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
     """(all ratings, train, test) from the order tables under ``sf_dir``."""
     lineitem, orders = load_tables(spark, sf_dir, "lineitem", "orders")
     r = order_ratings(lineitem, orders)
-    train = r.where(~F.col("is_test")).select("user", "item", "rating")
-    test = r.where(F.col("is_test")).select("user", "item", "rating")
-    return r, train, test
+    return r, *by_flag(r)
+
+
+def by_flag(ratings: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(train, test) of ratings with an ``is_test`` flag."""
+    return tuple(ratings.where(keep).select("user", "item", "rating") for keep in (~F.col("is_test"), F.col("is_test")))
+
+
+def nation_ratings(lineitem: DataFrame, orders: DataFrame, customer: DataFrame) -> DataFrame:
+    """``user, item, rating`` with the customer's nation as user: few users, each with very many cells."""
+    li = lineitem.select("l_orderkey", "l_partkey", "l_quantity")
+    o = orders.select("o_orderkey", "o_custkey").join(customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+    rating = (F.lit(1) + F.floor((F.col("l_quantity") - 1) / 10)).cast("double")
+    return li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).groupBy(
+        F.col("c_nationkey").cast("long").alias("user"), F.col("l_partkey").alias("item")).agg(F.max(rating).alias("rating"))
+
+
+def early_split(lineitem: DataFrame, orders: DataFrame, days: int) -> tuple[DataFrame, DataFrame]:
+    """(train, test) cells ``user, item``: order lines of the first ``days`` days, and all later ones."""
+    first = orders.agg(F.min("o_orderdate").alias("first"))  # one row
+    dated = orders.select("o_orderkey", "o_custkey", "o_orderdate").join(F.broadcast(first)).select(
+        "o_orderkey", "o_custkey", (F.col("o_orderdate").cast("date") < F.date_add(F.col("first").cast("date"), days)).alias("early"))
+    cells = lineitem.select("l_orderkey", "l_partkey").join(dated, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.col("o_custkey").alias("user"), F.col("l_partkey").alias("item"), "early")
+    return tuple(cells.where(keep).select("user", "item").distinct() for keep in (F.col("early"), ~F.col("early")))

@@ -22,7 +22,13 @@ PAIRS_SCHEMA = "user long, item long, rating double"
 
 
 def score_batches(model: Model, out_path: str, k: int | None = None):
-    """The ``foreachBatch`` function writing predictions of each batch."""
+    """The ``foreachBatch`` function writing predictions of each batch.
+
+    The model's tables must be written ones: a lazy model would run the
+    similarity step again for every batch.
+    """
+    if not model.written:
+        raise ValueError("score with a written model: fit(..., materialize=True)")
 
     def run(batch: DataFrame, batch_id: int) -> None:
         pred = model.predict(batch, k)

@@ -31,9 +31,9 @@ def _spark_knn(train, k, n_users, **kw):
     "k,kw",
     [
         (10, {}),
-        (30, {"rows_per_block": 400, "tile_users": 16}),
-        (100, {"rows_per_block": 1000, "tile_users": 40}),
-        (149, {"rows_per_block": 300, "tile_users": 7, "heavy_user_rows": 30}),
+        (30, {"strategy": "tiles", "block_users": 16}),
+        (100, {"strategy": "tiles", "block_users": 40}),
+        (149, {"strategy": "tiles", "block_users": 70, "heavy_user_cells": 30}),
         (30, {"strategy": "join"}),
     ],
 )
@@ -73,7 +73,7 @@ def test_random_dense_rule(spark):
         m = model(cells, users)
         for k in (3, 8, len(users) - 1, len(users) + 2):
             want = {(u, v, r) for u, lst in neighbours(m, k).items() for v, _, r in lst}
-            _, _, n = _spark_knn(df, k, len(users), rows_per_block=12, tile_users=3)
+            _, _, n = _spark_knn(df, k, len(users), strategy=("join", "tiles")[trial % 2], block_users=5)
             got = {(r.user, r.neighbour, r.rank) for r in n.collect()}
             assert got == want, (trial, k)
 
@@ -83,7 +83,7 @@ def test_input_order_does_not_matter(spark, r1):
     # a different, deterministic row order and partitioning of the same cells
     shuffled = train.repartition(7, F.col("item")).sortWithinPartitions(F.col("rating").desc(), "item")
     _, _, a = _spark_knn(train, 20, len(users))
-    _, _, b = _spark_knn(shuffled, 20, len(users), rows_per_block=500, tile_users=9)
+    _, _, b = _spark_knn(shuffled, 20, len(users), strategy="tiles", block_users=30)
     cols = ["user", "neighbour", "rank"]
     x = set(map(tuple, a.select(cols).collect()))
     y = set(map(tuple, b.select(cols).collect()))

@@ -3,7 +3,9 @@
 import pytest
 
 from conftest import SF_SMALL
+from kinnear.operators.similarity import similarities
 from kinnear.plans.queries import QUERIES, Tables
+from kinnear.session import materialize, release, shared_folder
 from kinnear.sources.ratings import holdout_split, order_lines, load_tables
 
 BAD = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
@@ -32,7 +34,30 @@ def test_holdout_uses_group_limit(spark):
     assert "WindowGroupLimit" in p
 
 
-def test_similarity_runs_in_pandas_groups(spark):
+def test_neighbours_use_group_limit(spark):
+    """Top k by group limits on both sides of the shuffle."""
+    p = _plan(Tables(spark, SF_SMALL).neighbours(10))
+    assert p.count("WindowGroupLimit") >= 2 and "CartesianProduct" not in p
+
+
+def test_tiles_route_by_item(spark):
+    """Cells reach the tiles by an equi-join with the blocks that hold their item."""
     t = Tables(spark, SF_SMALL)
-    p = _plan(t.neighbours(10))
-    assert "FlatMapGroupsInPandas" in p and "CartesianProduct" not in p
+    p = _plan(similarities(materialize(t.profiles), "tiles", block_users=40))
+    assert "FlatMapGroupsInPandas" in p and "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+def test_shared_folder_rule(spark):
+    """A cluster must name a shared folder; local masters get a scratch one; a named folder is always taken."""
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(None, "spark://host:7077")
+    with pytest.raises(ValueError):
+        shared_folder("", "local-cluster[3,2,1000]")
+    assert shared_folder("/shared/x", "yarn") == "/shared/x"
+    assert shared_folder(None, "local[4]").startswith("/tmp/")
+
+
+def test_intermediate_tables_are_removed(spark):
+    df = materialize(spark.range(5))
+    assert df.count() == 5
+    assert release(spark) >= 1 and release(spark) == 0

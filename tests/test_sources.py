@@ -77,6 +77,17 @@ def test_holdout_split_rules(spark):
     assert h.count() == len(rows)
 
 
+def test_holdout_takes_large_and_repeated_ids(spark):
+    """No overflow at user 8e17; rows that repeat a cell are one cell and aren't multiplied."""
+    big = 8 * 10**17
+    rows = [(big, big + i, 3.0) for i in range(5)] + [(1, 1, 2.0), (1, 1, 4.0), (1, 2, 1.0), (1, 3, 1.0)]
+    h = holdout_split(spark.createDataFrame(rows, "user long, item long, rating double"), n=2).collect()
+    assert len(h) == len(rows)
+    assert sum(r.is_test for r in h if r.user == big) == 2
+    assert len({r.is_test for r in h if (r.user, r.item) == (1, 1)}) == 1
+    assert len({(r.user, r.item) for r in h if r.user == 1 and r.is_test}) == 2
+
+
 def test_report_json(spark):
     m = spark.createDataFrame(
         [("k=30", "mae", 1.5), ("k=30", "edges", 10.0), ("data", "test_cells", 4.0)],

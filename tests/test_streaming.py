@@ -2,10 +2,18 @@
 
 import tempfile
 
+import pytest
+
 from conftest import SF_SMALL
 from kinnear.plans.pipeline import fit
 from kinnear.sources.ratings import train_test
-from kinnear.streaming.scoring import read_pair_files, score_stream
+from kinnear.streaming.scoring import read_pair_files, score_batches, score_stream
+
+
+def test_lazy_model_is_refused(spark):
+    _, train, _ = train_test(spark, SF_SMALL)
+    with pytest.raises(ValueError, match="written model"):
+        score_batches(fit(train, 5, materialize=False), "/unused")
 
 
 def test_stream_scores_like_batch(spark):
