@@ -61,33 +61,37 @@ def _selected(texts: DataFrame, keys: list[str], carrier: bool) -> DataFrame:
     now, before = _least(grams, i), _least(grams, i - 1)
     moved = (i == 0) | (now != before) | (F.get(grams, i - 1) == before)
     rows = rows.withColumn("fp", F.when(i >= 0, now)).where((i == -1) | moved)
-    place = i + F.array_position(F.slice(grams, i + 1, GRAMS), F.col("fp")).cast("int") - 1
-    return rows.select(*keys, "words", "i", "fp", F.when(i >= 0, place).alias("at"))
+    place = F.when(F.get(grams, i) == F.col("fp"), i)  # the leftmost; plain comparisons compile far better than slices
+    for j in range(1, GRAMS):
+        place = place.when(F.get(grams, i + j) == F.col("fp"), i + j)
+    return rows.select(*keys, "words", "i", "fp", place.alias("at"))
 
 
 def _reach(words: Column, at: Column) -> Column:
-    """The words that windows around the gram at ``at`` can hold; null where the text has none."""
-    return F.array(*[F.get(words, at + j) for j in range(GRAM - WINDOW, WINDOW)])
+    """(at, words): the words that windows around the gram at ``at`` can hold, and the gram's place among them."""
+    begin = F.greatest(at - (WINDOW - GRAM), F.lit(0))
+    return F.struct((at - begin).alias("at"), F.slice(words, begin + 1, at - begin + WINDOW).alias("words"))
 
 
-def _run(words: Column, at: Column, facing: Column, places: range) -> Column:
-    """How many words in a row, over ``places`` from the gram, equal those of the facing text."""
-    same = lambda j: F.coalesce(F.get(words, at + j) == F.get(facing, F.lit(j + WINDOW - GRAM)), F.lit(False))
-    out = F.when(~same(places[0]), 0)
-    for n, j in enumerate(places[1:], 1):
-        out = out.when(~same(j), n)
-    return out.otherwise(len(places))
+def _extended(rows: DataFrame) -> DataFrame:
+    """Hits ``near`` - ``facing`` as word ranges ``s`` to ``e`` of the document, where they reach 13 words.
+
+    The lambdas aren't compiled into the stage before, whose code would get
+    too large for the JIT; there are few hits.
+    """
+    near, facing = F.col("near"), F.col("facing")
 
+    def equal(step: int, first: int, most: int) -> Column:
+        """Equal words in a row from the gram, in one direction."""
+        unlike = lambda j: ~F.coalesce(
+            F.get(near["words"], near["at"] + step * j) == F.get(facing["words"], facing["at"] + step * j), F.lit(False))
+        return F.array_min(F.filter(F.array(*[F.lit(j) for j in range(first, most + 1)]), lambda j: (j == most) | unlike(j))) - first
 
-def _extended(rows: DataFrame) -> DataFrame:
-    """Hits as word ranges ``s`` to ``e`` of the document; null where a row has no hit of 13 words."""
-    words, at, facing = F.col("words"), F.col("at"), F.col("facing")
-    right = _run(words, at, facing, range(0, WINDOW))
-    left = _run(words, at, facing, range(-1, GRAM - WINDOW - 1, -1))
-    rows = rows.withColumn("s", F.when(facing.isNotNull(), at - left)).withColumn("e", F.when(facing.isNotNull(), at + right))
-    match = (F.col("e") - F.col("s") >= WINDOW) & (right >= GRAM)
-    return rows.select("doc_id", "text_key", F.when(F.col("i") == -1, F.size("words")).alias("n_words"),
-                       *[F.when(match, F.col(c)).alias(c) for c in ("ids", "s", "e")]).where("n_words is not null or s is not null")
+    right, left = equal(1, 0, WINDOW), equal(-1, 1, WINDOW - GRAM + 1)
+    rows = rows.withColumn("s", F.when(near.isNotNull(), F.col("at") - left)).withColumn("e", F.when(near.isNotNull(), F.col("at") + right))
+    match = (F.col("e") - F.col("s") >= WINDOW) & (F.col("e") - F.col("at") >= GRAM)
+    # rows without a match stay: a filter here would be pushed below, into the compiled stage
+    return rows.select("doc_id", "text_key", "n_words", *[F.when(match, F.col(c)).alias(c) for c in ("ids", "s", "e")])
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
@@ -113,12 +117,18 @@ def contamination(docs: DataFrame, benchmark: DataFrame, broadcast_bytes: int =
     seeds = seeds.groupBy("item_fp", "facing").agg(F.array_distinct(F.flatten(F.collect_list("ids"))).alias("ids"))
     selected = _selected(texts, ["doc_id", "text_key"], True)
     if small:
-        rows = _extended(selected.join(F.broadcast(seeds), F.col("fp") == F.col("item_fp"), "left"))
+        met = selected.join(F.broadcast(seeds), F.col("fp") == F.col("item_fp"), "left")
+        met = met.where((F.col("i") == -1) | F.col("facing").isNotNull())
+        rows = _extended(met.select(
+            "doc_id", "text_key", F.when(F.col("i") == -1, F.size("words")).alias("n_words"), "at", "ids", "facing",
+            F.when(F.col("facing").isNotNull(), _reach(F.col("words"), F.col("at"))).alias("near")))
     else:
         # no words travel with the fingerprints; documents with a hit are read again
         hits = selected.where("i >= 0").select(F.col("doc_id").alias("h_id"), F.col("text_key").alias("h_key"), "fp", "at").join(
             seeds, F.col("fp") == F.col("item_fp")).select("h_id", "h_key", "at", "ids", "facing").distinct()
-        rows = _extended(texts.join(hits, F.col("doc_id").eqNullSafe(F.col("h_id")) & (F.col("text_key") == F.col("h_key"))).withColumn("i", F.lit(0)))
+        met = texts.join(hits, F.col("doc_id").eqNullSafe(F.col("h_id")) & (F.col("text_key") == F.col("h_key")))
+        rows = _extended(met.select("doc_id", "text_key", F.lit(None).cast("int").alias("n_words"), "at", "ids", "facing",
+                                    _reach(F.col("words"), F.col("at")).alias("near")))
         rows = rows.unionByName(texts.select("doc_id", "text_key", F.size("words").alias("n_words")), allowMissingColumns=True)
     # a range counts once however many fingerprints find it
     rows = rows.groupBy("doc_id", "text_key", "ids", "s", "e").agg(F.count("n_words").alias("copies"), F.max("n_words").alias("n_words"))
