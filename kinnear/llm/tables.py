@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,25 +9,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinnear.session import ensure_checkpoint_dir
+from kinnear.session import materialize as stage  # noqa: F401
+from kinnear.session import scratch_folder  # noqa: F401
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch_folder(spark: SparkSession) -> str:
-    """A new path in the cluster's shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark)}/stage-{uuid.uuid4().hex}"
-
-
-def stage(df: DataFrame) -> DataFrame:
-    """Cut lineage: ``df`` as Parquet in the cluster's shared checkpoint folder."""
-    path = scratch_folder(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def id_fold(doc_id: Column) -> Column:
     """crc32 of the id's decimal text modulo 5; null for a null id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 5

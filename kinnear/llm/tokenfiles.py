@@ -13,94 +13,129 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kinnear.llm.wavelet import WaveletMatrix
-from kinnear.llm.words import NOT_SPACE, buffer_of, chunks, spans, text_column
+from kinnear.llm.words import LOWER, NOT_SPACE, buffer_of, chunks, span_hashes, spans, text_column
 
 #: A shard is closed by the document that brings it to this many ids.
 SHARD_TOKENS = 1 << 20
 #: The id appended to every document.
 END_ID = 2
-#: Distinct words whose ids a task remembers before it starts anew.
-MEMORY = 300_000
+#: Distinct pieces of words whose ids a Python worker remembers before it starts anew.
+MEMORY = 500_000
 
 _SHARD = "part long, shard long, start long, n_tokens long, doc_ids array<long>, doc_ends array<long>, matrix binary"
-#: ASCII marks (no apostrophe, no angle bracket) that never join the letter before them to a token.
-_MARKS = b"!\"#$%&()*+,-./:;=?@[\\]^_`{|}~"
+#: ASCII marks that never join the letter or digit before them to a token.
+_MARKS = np.zeros(256, bool)
+_MARKS[list(b"!\"#$%&()*+,-./:;=?@[\\]^_`{|}~")] = True
+_SORTS = np.where(np.arange(256) >= 128, 1, 0).astype(np.int64)
+_SORTS[60] = 1 << 32
+_PLAIN = np.zeros(256, bool)
+_PLAIN[list(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")] = True
 
 
 class Encoder:
-    """Ids of whole texts, word by word.
+    """Ids of whole texts, from the ids of their distinct pieces.
 
     The tokenizer drops white space and no token spans it, so a text's ids are
-    the ids of its blank-separated words in turn; each distinct word is encoded
-    once.  An ASCII letter or digit before trailing ASCII marks ends a
-    pre-token, so such a word is its stem's ids followed by its marks' ids, and
-    stems of ASCII letters don't depend on case (the tokenizer lower-cases).
+    the ids of its blank-separated words in turn.  A word whose trailing ASCII
+    marks follow an ASCII letter or digit is two pieces: a pre-token ends
+    there.  Case does not matter in pieces of ASCII only (the tokenizer
+    lower-cases).  Words with ``<`` stay whole and as they are, for the sake
+    of special tokens.  Pieces are told apart by 64-bit hashes; each distinct
+    one is encoded once.
     """
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
+    @classmethod
+    def shared(cls, path: str) -> Encoder:
+        """The Python worker's encoder: tasks that follow each other in a worker share what it has learnt."""
+        kept = vars(tokenizers).setdefault("__shared_encoders__", {})
+        if path not in kept:
+            kept[path] = cls(path)
+        return kept[path]
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.stems: dict[bytes, list[int]] = {}
+    def __init__(self, path: str):
+        self.tokenizer = tokenizers.Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a pre-token
+        self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self._forget()
 
     def _forget(self) -> None:
-        self.index: dict[bytes, int] = {}
-        self.ids = np.zeros(1 << 16, np.uint32)
-        self.used = 0
-        self.begin: list[int] = []
-
-    def _parts(self, word: bytes) -> tuple[bytes, bytes]:
-        stem = word.rstrip(_MARKS)
-        if stem and stem[-1:].isalnum() and b"<" not in word:
-            return (stem.lower() if stem.isascii() else stem), word[len(stem):]
-        return (word.lower() if word.isascii() and word.isalpha() else word), b""
-
-    def _learn(self, words: list[bytes]) -> None:
-        parts = [self._parts(w) for w in words]
-        new = list({p for pair in parts for p in pair if p} - self.stems.keys())
-        texts = [w.decode("utf-8", "replace") for w in new]
-        for word, found in zip(new, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-            self.stems[word] = found.ids
-        for word, (stem, marks) in zip(words, parts):
-            ids = self.stems[stem] + self.stems[marks] if marks else self.stems[stem]
-            if self.used + len(ids) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros(len(self.ids) + len(ids), np.uint32)])
-            self.ids[self.used:self.used + len(ids)] = ids
-            self.index[word] = len(self.begin)
-            self.begin.append(self.used)
-            self.used += len(ids)
+        self.known: dict[int, int] = {}
+        self.ids = np.zeros(0, np.uint32)
+        self.ends = np.zeros(1, np.int64)
+
+    def _encode_words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids of each) of texts that are one pre-token each: encoded as one text, cut at word ends."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(texts)], add_special_tokens=False)[0].ids, np.uint32)
+        cuts = np.flatnonzero(self.last[ids]) + 1
+        if len(cuts) == len(texts) and cuts[-1] == len(ids):
+            return ids, np.diff(cuts, prepend=0)
+        return self._encode_each(texts)
+
+    def _encode_each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [f.ids for f in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.array([i for ids in found for i in ids], np.uint32), np.array([len(ids) for ids in found], np.int64)
+
+    def _learn(self, hashes: list[int], pieces: list[bytes]) -> None:
+        texts = [p.decode("utf-8", "replace") for p in pieces]
+        words = [i for i, t in enumerate(texts) if t.isalpha()]
+        others = [i for i, t in enumerate(texts) if not t.isalpha()]
+        parts = [(words[i:i + 2000], self._encode_words) for i in range(0, len(words), 2000)] + [(others, self._encode_each)] * bool(others)
+        for which, encode in parts:
+            ids, n = encode([texts[i] for i in which])
+            at = len(self.ends) - 1
+            self.known.update((hashes[i], at + k) for k, i in enumerate(which))
+            self.ids = np.concatenate([self.ids, ids])
+            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(n)])
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, ends): the ids of all texts, each text's closed by ``end_id``, and where each ends."""
         data, offsets = buffer_of(texts)
-        _, _, first = spans(data, offsets, NOT_SPACE)
-        words: list[bytes] = []
-        raw = data.tobytes()
-        for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
-            words += raw[a:b].split()
-        if len(self.index) > MEMORY:
+        starts, ends, first = spans(data, offsets, NOT_SPACE)
+        # non-ASCII bytes in the low half, "<" in the high half of one running sum
+        seen = np.zeros(len(data) + 1, np.int64)
+        np.cumsum(_SORTS[data], out=seen[1:])
+        inside = seen[ends] - seen[starts]
+        keep = inside > 0
+        # bytes of words that keep their case
+        change = np.zeros(len(data) + 1, np.int8)
+        change[starts[keep]] += 1
+        change[ends[keep]] -= 1
+        text = np.where(np.cumsum(change[:-1], dtype=np.int8) > 0, data, LOWER[data])
+        stem = np.maximum.accumulate(np.where(_MARKS[data], np.int32(-1), np.arange(len(data), dtype=np.int32)))[ends - 1] + 1 if len(data) else ends
+        cut = (stem > starts) & (stem < ends) & _PLAIN[data[np.maximum(stem, 1) - 1]] & (inside < 1 << 32)
+        piece = np.zeros(len(starts) + 1, np.int64)  # pieces before each word
+        np.cumsum(1 + cut, out=piece[1:])
+        begin, end = np.zeros(piece[-1], np.int64), np.zeros(piece[-1], np.int64)
+        begin[piece[:-1]], end[piece[:-1]] = starts, np.where(cut, stem, ends)
+        begin[piece[1:][cut] - 1], end[piece[1:][cut] - 1] = stem[cut], ends[cut]
+        which, distinct = pd.factorize(span_hashes(text, begin, end))
+        sample = np.zeros(len(distinct), np.int64)
+        sample[which[::-1]] = np.arange(len(which))[::-1]
+        if len(self.known) > MEMORY:
             self._forget()
-            self.stems.clear()
-        unknown = [w for w in set(words) if w not in self.index]
-        if unknown:
-            self._learn(unknown)
-        begin = np.array([*self.begin, self.used], np.int64)
-        word = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
-        n_ids = begin[word + 1] - begin[word]
+        get = self.known.get
+        hashes = distinct.tolist()
+        new = [i for i, h in enumerate(hashes) if h not in self.known]
+        if new:
+            raw = text.tobytes()
+            self._learn([hashes[i] for i in new], [raw[a:b] for a, b in zip(begin[sample[new]].tolist(), end[sample[new]].tolist())])
+        number = np.fromiter(map(get, hashes), np.int64, len(hashes))[which]
+        n_ids = self.ends[number + 1] - self.ends[number]
         before = np.concatenate([[0], np.cumsum(n_ids)])
-        ids_before = before[first]  # ids before each document, without ends
+        ids_before = before[piece[first]]  # ids before each document, without ends
         out = np.full(int(before[-1]) + len(texts), end_id, np.uint32)
-        doc = np.repeat(np.arange(len(texts)), np.diff(first))
-        target = np.repeat(before[:-1] + doc, n_ids)
+        doc = np.repeat(np.arange(len(texts)), np.diff(piece[first]))
         step = np.arange(int(before[-1])) - np.repeat(before[:-1], n_ids)
-        out[target + step] = self.ids[np.repeat(begin[word], n_ids) + step]
+        out[np.repeat(before[:-1] + doc, n_ids) + step] = self.ids[np.repeat(self.ends[number], n_ids) + step]
         return out, ids_before[1:] + np.arange(1, len(texts) + 1)
 
 
@@ -122,7 +157,7 @@ def _shards(path: str, end_id: int, shard_tokens: int):
 
         for batch in batches:
             for piece in chunks(batch, "text", 2 << 20):
-                encoder = encoder or Encoder(path)
+                encoder = encoder or Encoder.shared(path)
                 found, stops = encoder.encode(text_column(piece, "text"), end_id)
                 begin = 0
                 for doc_id, stop in zip(piece.column(0).to_pylist(), stops.tolist()):

@@ -85,16 +85,23 @@ def spans(data: np.ndarray, offsets: np.ndarray, word: np.ndarray) -> tuple[np.n
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+def _powers(base: np.uint64, n: int, kept: dict = {}) -> np.ndarray:  # noqa: B006
+    """base**0 .. base**(n - 1); the longest so far up to 2 chunks is kept in the worker."""
+    known = kept.get(int(base))
+    if known is None or len(known) < n:
+        known = np.full(n, base, np.uint64)
+        known[0] = 1
+        np.cumprod(known, out=known)
+        if n <= 2 * CHUNK_BYTES:
+            kept[int(base)] = known
+    return known[:n]
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of every byte range, from one polynomial prefix sum."""
-    power = np.full(len(data) + 1, _ODD, np.uint64)
-    power[0] = 1
-    np.cumprod(power, out=power)
     total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_TABLE[data] * power[:-1], out=total[1:])
-    back = np.full(len(data) + 1, _INV, np.uint64)
-    back[0] = 1
-    np.cumprod(back, out=back)
+    np.cumsum(_TABLE[data] * _powers(_ODD, len(data) + 1)[:-1], out=total[1:])
+    back = _powers(_INV, len(data) + 1)
     return mix((total[ends] - total[starts]) * back[starts] + (ends - starts).astype(np.uint64) * _TABLE[0])
 
 
