@@ -111,7 +111,17 @@ class Units:
 def learn_units(counts: DataFrame) -> Units:
     """Totals, the head and the class sums of all counted tokens (sizes don't grow with the data)."""
     sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    head = [(bytes(r.token), int(r.c)) for r in counts.orderBy(F.desc("c"), "token").limit(HEAD).collect()]
+    # at most HEAD tokens: those above the lowest sixteenth of a power of two that leaves so many
+    step = F.floor(F.log2("c") * 16)
+    steps = counts.groupBy(step.alias("step")).agg(F.count("*").alias("n")).orderBy(F.desc("step")).collect()
+    least, many = None, 0
+    for r in steps:
+        many += r.n
+        if many > HEAD:
+            break
+        least = r.step
+    found = counts.where(step >= least).collect() if least is not None else []
+    head = sorted(((bytes(r.token), int(r.c)) for r in found), key=lambda x: (-x[1], x[0]))
     units = Units(int(sums.n), int(sums.v), {w: (i, c) for i, (w, c) in enumerate(head)}, np.full(CLASSES, 0.5))
     outputs = units.outputs
     own = {w for w, _ in head[:outputs]}
