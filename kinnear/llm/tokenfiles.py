@@ -28,7 +28,7 @@ SHARD_TOKENS = 1 << 20
 #: The id appended to every document.
 END_ID = 2
 #: Distinct pieces of words whose ids a Python worker remembers before it starts anew.
-MEMORY = 500_000
+MEMORY = 1_200_000
 
 _SHARD = "part long, shard long, start long, n_tokens long, doc_ids array<long>, doc_ends array<long>, matrix binary"
 #: ASCII marks that never join the letter or digit before them to a token.
@@ -200,7 +200,8 @@ def read_shards(spark: SparkSession, folder: str) -> DataFrame:
     before = totals.select(
         F.col("part"),
         F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    return shards.join(before, "part").withColumn("start", F.col("before") + F.col("start")).drop("before")
+    # one row a written partition: broadcast, so that the matrices stay where they are
+    return shards.join(F.broadcast(before), "part").withColumn("start", F.col("before") + F.col("start")).drop("before")
 
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
