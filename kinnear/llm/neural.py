@@ -25,6 +25,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -83,14 +84,17 @@ class Units:
 
     total: int  # N: training tokens
     distinct: int  # V: distinct training tokens
-    head: dict[bytes, tuple[int, int]]  # token: (rank, count) of the most frequent tokens
+    head: dict[bytes, int]  # rank of the most frequent tokens
+    counts: np.ndarray  # their counts, by rank
     class_mass: np.ndarray  # per class: sum of c + 0.5 over its training words, 0.5 more for the unseen
     classes: np.ndarray = field(init=False)  # the class of every unit
+    head_units: np.ndarray = field(init=False)  # the unit of every rank
     noise: np.ndarray = field(init=False)  # unit probabilities
 
     def __post_init__(self) -> None:
-        words = list(self.head)[:self.outputs]
-        self.classes = np.array([*map(class_of, words), *range(CLASSES)], np.int64)
+        own = np.array(list(map(class_of, self.head)), np.int64)
+        self.classes = np.concatenate([own[:self.outputs], np.arange(CLASSES)])
+        self.head_units = np.where(np.arange(len(own)) < self.outputs, np.arange(len(own)), self.outputs + own)
         self.noise = np.full(len(self.classes), 1 / len(self.classes))
 
     @property
@@ -99,12 +103,10 @@ class Units:
 
     def of(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(units, ranks) of the tokens; rank -1: not in the head."""
-        get, outputs = self.head.get, self.outputs
-        none = (-1, 0)
-        rank = np.fromiter((get(w, none)[0] for w in words), np.int64, len(words))
-        unit = rank.copy()
-        other = np.flatnonzero((rank < 0) | (rank >= outputs))
-        unit[other] = [outputs + class_of(words[i]) for i in other.tolist()]
+        rank = np.fromiter(map(self.head.get, words, repeat(-1)), np.int64, len(words))
+        unit = np.append(self.head_units, 0)[rank]
+        rare = np.flatnonzero(rank < 0)
+        unit[rare] = [self.outputs + class_of(words[i]) for i in rare.tolist()]
         return unit, rank
 
 
@@ -122,7 +124,8 @@ def learn_units(counts: DataFrame) -> Units:
         least = r.step
     found = counts.where(step >= least).collect() if least is not None else []
     head = sorted(((bytes(r.token), int(r.c)) for r in found), key=lambda x: (-x[1], x[0]))
-    units = Units(int(sums.n), int(sums.v), {w: (i, c) for i, (w, c) in enumerate(head)}, np.full(CLASSES, 0.5))
+    units = Units(int(sums.n), int(sums.v), {w: i for i, (w, _) in enumerate(head)},
+                  np.array([c for _, c in head], float), np.full(CLASSES, 0.5))
     outputs = units.outputs
     own = {w for w, _ in head[:outputs]}
 
@@ -293,8 +296,7 @@ class LanguageModel:
         z = p.log_normaliser()
         w, bias = p.out[:, :SIZE].astype(np.float32), p.out[:, SIZE]
         tables = (p.near.astype(np.float32) @ w.T + bias.astype(np.float32), p.far.astype(np.float32) @ w.T)
-        counts = np.array([c for _, c in units.head.values()], float)
-        log_count = np.append(np.log10(counts + 0.5), 0.0)  # the last: not in the head
+        log_count = np.append(np.log10(units.counts + 0.5), 0.0)  # the last: not in the head
         log_mass = np.log10(units.class_mass)
         outputs = units.outputs
 
