@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinnear.llm.tables import stage
+from kinnear.llm.tables import small_batches, stage
 from kinnear.llm.words import LOWER, NOT_SPACE, buffer_of, chunks, span_hashes, spans, text_column
 
 KINDS = ("email", "ip", "card", "phone")
@@ -156,7 +156,7 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def document_frequency(docs: DataFrame) -> DataFrame:
     """(term, docs): in how many rows of ``docs`` each word (by hash) occurs."""
-    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_terms, "term long, docs long").groupBy("term").agg(
+    return small_batches(docs).select(F.col("text").cast("string").alias("text")).mapInArrow(_terms, "term long, docs long").groupBy("term").agg(
         F.sum("docs").alias("docs"))
 
 
@@ -187,7 +187,7 @@ def sanitisation(docs: DataFrame) -> DataFrame:
     is kept.  Other columns are not read.
     """
     text = F.col("text").cast("string")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
+    rows = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
     found = stage(rows.mapInArrow(_find, _FOUND))
     n_docs = found.count()
     strong = disclosing_terms(found, document_frequency(docs), n_docs)

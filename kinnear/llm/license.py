@@ -18,6 +18,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kinnear.llm.tables import small_batches
+
 #: Base phrases and their labels.
 PHRASES = {
     "cc by": "cc-by",
@@ -166,7 +168,7 @@ def license_scan(docs: DataFrame, notices: dict[str, str] | None = None) -> Data
                     pa.array([[{"label": a, "word": b} for a, b in r[1]] for r in rows], schema.field("base").type),
                     pa.array([[vars(m) for m in r[2]] for r in rows], schema.field("matches").type)], schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, _ROW)
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, _ROW)
 
 
 def with_score(found: DataFrame) -> DataFrame:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinnear.llm.tables import id_fold, stage, sum_vectors
+from kinnear.llm.tables import id_fold, small_batches, stage, sum_vectors
 from kinnear.llm.words import chunks
 
 #: The fold that is never trained on.
@@ -74,7 +74,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def token_counts(docs: DataFrame) -> DataFrame:
     """(token binary, c): how often each token occurs in all rows of ``docs``."""
-    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_count, "token binary, c long").groupBy("token").agg(
+    return small_batches(docs).select(F.col("text").cast("string").alias("text")).mapInArrow(_count, "token binary, c long").groupBy("token").agg(
         F.sum("c").alias("c"))
 
 
@@ -336,7 +336,7 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     both scores are those of the single unseen token.  Other columns are not read.
     """
     fold = F.coalesce(id_fold(F.col("doc_id").cast("long")) == HELD_OUT, F.lit(False))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), fold.alias("held_out"), F.col("text").cast("string").alias("text"))
+    rows = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), fold.alias("held_out"), F.col("text").cast("string").alias("text"))
     seen = rows.where(~F.col("held_out"))
     counts = stage(token_counts(seen))
     model = fit(seen, counts)

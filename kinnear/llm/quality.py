@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinnear.llm.tables import id_fold, stage, sum_vectors
+from kinnear.llm.tables import id_fold, small_batches, stage, sum_vectors
 from kinnear.llm.words import ALNUM, LOWER, NOT_SPACE, buffer_of, chunks, mix, span_hashes, spans, sums, text_column
 
 #: Random Fourier features, ridge penalty a row, kernel width, seed, bins of the calibration.
@@ -106,7 +106,7 @@ def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 
 def document_statistics(docs: DataFrame) -> DataFrame:
     """(doc_id, stats array<float>) per row; only doc_id and text are read."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
         _statistics_batches, "doc_id long, stats array<float>")
 
 
@@ -250,4 +250,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
             for part in _parts(batch):
                 yield part.filter(pa.array(model.score(statistics(text_column(part, "text"))) >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return small_batches(docs).mapInArrow(run, docs.schema)

@@ -9,7 +9,7 @@ import public_tokenizers
 
 from kinnear.llm.disclosure import sanitisation, span_text
 from kinnear.llm.license import license_scan, with_score
-from kinnear.llm.linefreq import line_rules
+from kinnear.llm.linefreq import LEAST_TEXTS, LEFT, TEXT_SHARE, line_rules
 from kinnear.llm.mixing import mixture
 from kinnear.llm.neural import lm_scores
 from kinnear.llm.passages import shared_passages
@@ -125,4 +125,35 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN p ON d.doc_id = p.doc_id LEFT JOIN s ON d.doc_id = s.doc_id
 """
 
-ORACLE = {"op10_decontaminate": _OP10}
+_OP7 = r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS text FROM documents),
+w AS (SELECT doc_id, text, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM d),
+g AS (SELECT doc_id, i, words[i : i + 2] AS g FROM (
+        SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM w WHERE len(words) >= 3)),
+twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM g) WHERE c > 1),
+again AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 3)) AS p FROM twice) GROUP BY 1),
+lines AS (SELECT doc_id, host, text, l FROM (SELECT doc_id, host, text, unnest(string_split(text, chr(10))) AS l FROM d)
+          WHERE regexp_matches(l, '[^\x20\x09-\x0D]')),
+dup AS (SELECT doc_id, count(*) - count(DISTINCT l) AS n FROM lines GROUP BY 1),
+norm AS (SELECT doc_id, host, text, trim(regexp_replace(lower(l), '[^\p{L}]+', ' ', 'g')) AS z, length(l) AS c FROM lines),
+known AS (SELECT * FROM norm WHERE z <> ''),
+often AS (SELECT a.host, a.z FROM (SELECT host, z, count(DISTINCT text) AS n FROM known GROUP BY 1, 2) a
+          JOIN (SELECT host, count(DISTINCT text) AS n FROM d GROUP BY 1) b ON a.host = b.host
+          WHERE a.n > {least} AND a.n > {share} * b.n),
+left_over AS (SELECT doc_id, sum(c) AS t, sum(CASE WHEN o.z IS NULL THEN c ELSE 0 END) AS rest, count(DISTINCT o.z) AS n
+              FROM known k LEFT JOIN often o ON k.host = o.host AND k.z = o.z GROUP BY 1),
+base AS (
+  SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+         CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, coalesce(dup.n, 0) AS n_dup_lines,
+         coalesce(again.n, 0) AS n_repeat_words
+  FROM w LEFT JOIN dup ON w.doc_id = dup.doc_id LEFT JOIN again ON w.doc_id = again.doc_id)
+SELECT base.*, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND coalesce(rest, 0) >= {left} * coalesce(t, 0) AS kept,
+       coalesce(l.n, 0) AS n_frequent_lines
+FROM base LEFT JOIN left_over l ON base.doc_id = l.doc_id
+"""
+
+ORACLE = {
+    "op7_line_rules": _OP7.replace("{least}", str(LEAST_TEXTS)).replace("{share}", str(TEXT_SHARE)).replace("{left}", str(LEFT)),
+    "op10_decontaminate": _OP10,
+}

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinnear.llm.components import connected_components
-from kinnear.llm.tables import stage
+from kinnear.llm.tables import small_batches, stage
 
 #: Contract values: words in a shingle, hash seed, most differing bits.
 SHINGLE, SEED, MAX_BITS = 4, 42, 4
@@ -63,7 +63,7 @@ def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
 def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, text_key, fp) per row of ``docs``: a hash of the text, and the 64 bits as a signed long."""
     text = F.col("text").cast("string")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"),
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"),
                        F.xxhash64(text).alias("text_key")).mapInArrow(
         _fingerprint_batches, "doc_id long, text_key long, fp long")
 

@@ -17,6 +17,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Texts go to the Python workers in Arrow batches of at most so many bytes.
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(docs: DataFrame) -> DataFrame:
+    """``docs``; the session's limit on the bytes of an Arrow batch is lowered to BATCH_BYTES if it is higher."""
+    conf, name = docs.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = str(conf.get(name)).lower().rstrip("b")
+    if not now.isdigit() or not 0 < int(now) <= BATCH_BYTES:
+        conf.set(name, str(BATCH_BYTES))
+    return docs
+
+
 def id_fold(doc_id: Column) -> Column:
     """crc32 of the id's decimal text modulo 5; null for a null id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 5

@@ -20,6 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from kinnear.llm.tables import small_batches
 from kinnear.llm.wavelet import WaveletMatrix
 from kinnear.llm.words import LOWER, NOT_SPACE, buffer_of, chunks, span_hashes, spans, text_column
 
@@ -185,7 +186,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
     """
     text = F.col("text").cast("string")
     (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+        small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
         .repartitionByRange("doc_id")
         .sortWithinPartitions("doc_id", F.xxhash64("text"))
         .mapInArrow(_shards(tokenizer, end_id, shard_tokens), _SHARD)
