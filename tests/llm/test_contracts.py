@@ -471,3 +471,30 @@ def test_empty_tables(spark):
 
 def test_every_operator_is_registered():
     assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in queries.QUERIES}
+
+
+def test_components(spark):
+    """Chains, stars around a large id, cycles and repeated edges, against a plain search."""
+    import random
+
+    from kinnear.llm.components import connected_components
+
+    r = random.Random(3)
+    edges = [(i, i + 1) for i in range(100, 160)] + [(999, i) for i in range(300, 340)] + [(5, 7), (7, 6), (6, 5), (5, 7), (8, 8)]
+    edges += [(r.randrange(-500, 0), r.randrange(-500, 0)) for _ in range(300)]
+    label = {}
+
+    def find(x):
+        label.setdefault(x, x)
+        while label[x] != x:
+            x = label[x]
+        return x
+
+    for a, b in edges:
+        if a != b:
+            x, y = find(a), find(b)
+            label[max(x, y)] = min(x, y)
+    r.shuffle(edges)
+    found = connected_components(spark.createDataFrame(edges, "a long, b long"))
+    assert {row.node: row.label for row in found.collect()} == {x: find(x) for x in list(label)}
+    assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
