@@ -51,10 +51,10 @@ def force(df) -> float:
 
 
 def hot_ratings(spark, folder: str):
-    """(train, test): whether a user rated an item, and how, is drawn by hash; item i is rated with chance 11 / (i + 12)**0.75."""
+    """(train, test): whether a user rated an item, and how, is drawn by hash; item i is rated with chance 7 / (i + 12)**0.75."""
     cell = spark.range(USERS * ITEMS).select((F.col("id") % USERS).alias("user"), F.floor(F.col("id") / USERS).cast("long").alias("item"))
     draw = lambda seed: F.pmod(F.xxhash64("user", "item", F.lit(seed)), F.lit(10**6)) / 1e6
-    chance = F.least(F.lit(0.9), 11 / F.pow(F.col("item") + 12, F.lit(0.75)))
+    chance = F.least(F.lit(0.9), 7 / F.pow(F.col("item") + 12, F.lit(0.75)))
     rated = cell.where(draw(1) < chance).select("user", "item", (1 + F.floor(draw(2) * 5)).cast("double").alias("rating"), (draw(3) < 0.2).alias("is_test"))
     rated.write.parquet(folder)
     rated = spark.read.parquet(folder)

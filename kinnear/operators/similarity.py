@@ -63,9 +63,11 @@ class Shape:
     @classmethod
     def of(cls, profiles: DataFrame) -> Shape:
         raters = profiles.groupBy("item").agg(F.count(F.lit(1)).cast("double").alias("n"))
-        by_item = raters.agg(F.sum("n").alias("cells"), F.sum(F.col("n") * F.col("n")).alias("products")).first()
-        users = profiles.select("user").distinct().count()
-        return cls(int(by_item.cells or 0), users, float(by_item.products or 0.0))
+        by_item = raters.agg(F.sum("n").alias("cells"), F.sum(F.col("n") * F.col("n")).alias("products"))
+        by_user = profiles.select("user").distinct().agg(F.count(F.lit(1)).alias("users"))
+        both = by_item.unionByName(by_user, allowMissingColumns=True)  # two rows, one job
+        one = both.agg(F.max("cells").alias("cells"), F.max("users").alias("users"), F.max("products").alias("products")).first()
+        return cls(int(one.cells or 0), int(one.users or 0), float(one.products or 0.0))
 
 
 def num_blocks(shape: Shape, block_users: int = BLOCK_USERS, block_cells: int = BLOCK_CELLS) -> int:
