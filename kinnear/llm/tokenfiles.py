@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -30,6 +31,8 @@ SHARD_TOKENS = 1 << 20
 END_ID = 2
 #: Distinct pieces of words whose ids a Python worker remembers before it starts anew.
 MEMORY = 1_200_000
+#: Trailing marks of a word looked at one by one.
+MARKS = 64
 
 _SHARD = "part long, shard long, start long, n_tokens long, doc_ids array<long>, doc_ends array<long>, matrix binary"
 #: ASCII marks that never join the letter or digit before them to a token.
@@ -85,17 +88,20 @@ class Encoder:
         found = [f.ids for f in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         return np.array([i for ids in found for i in ids], np.uint32), np.array([len(ids) for ids in found], np.int64)
 
-    def _learn(self, hashes: list[int], pieces: list[bytes]) -> None:
+    def _learn(self, hashes: list[int], pieces: list[bytes]) -> np.ndarray:
+        """Encodes new pieces; their numbers."""
         texts = [p.decode("utf-8", "replace") for p in pieces]
         words = [i for i, t in enumerate(texts) if t.isalpha()]
         others = [i for i, t in enumerate(texts) if not t.isalpha()]
         parts = [(words[i:i + 2000], self._encode_words) for i in range(0, len(words), 2000)] + [(others, self._encode_each)] * bool(others)
+        numbers = np.zeros(len(pieces), np.int64)
         for which, encode in parts:
             ids, n = encode([texts[i] for i in which])
-            at = len(self.ends) - 1
-            self.known.update((hashes[i], at + k) for k, i in enumerate(which))
+            numbers[which] = np.arange(len(self.ends) - 1, len(self.ends) - 1 + len(which))
             self.ids = np.concatenate([self.ids, ids])
             self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(n)])
+        self.known.update(zip(hashes, numbers.tolist()))
+        return numbers
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, ends): the ids of all texts, each text's closed by ``end_id``, and where each ends."""
@@ -111,8 +117,15 @@ class Encoder:
         change[starts[keep]] += 1
         change[ends[keep]] -= 1
         text = np.where(np.cumsum(change[:-1], dtype=np.int8) > 0, data, LOWER[data])
-        stem = np.maximum.accumulate(np.where(_MARKS[data], np.int32(-1), np.arange(len(data), dtype=np.int32)))[ends - 1] + 1 if len(data) else ends
-        cut = (stem > starts) & (stem < ends) & _PLAIN[data[np.maximum(stem, 1) - 1]] & (inside < 1 << 32)
+        # where each word's trailing marks begin; a word with more than MARKS of them stays whole
+        stem = ends.copy()
+        open_ones = np.flatnonzero(_MARKS[data[ends - 1]] & (inside < 1 << 32)) if len(ends) else ends
+        for _ in range(MARKS):
+            stem[open_ones] -= 1
+            open_ones = open_ones[stem[open_ones] > starts[open_ones]]
+            open_ones = open_ones[_MARKS[data[stem[open_ones] - 1]]]
+        cut = (stem > starts) & (stem < ends)
+        cut[cut] = _PLAIN[data[stem[cut] - 1]]
         piece = np.zeros(len(starts) + 1, np.int64)  # pieces before each word
         np.cumsum(1 + cut, out=piece[1:])
         begin, end = np.zeros(piece[-1], np.int64), np.zeros(piece[-1], np.int64)
@@ -123,13 +136,13 @@ class Encoder:
         sample[which[::-1]] = np.arange(len(which))[::-1]
         if len(self.known) > MEMORY:
             self._forget()
-        get = self.known.get
         hashes = distinct.tolist()
-        new = [i for i, h in enumerate(hashes) if h not in self.known]
-        if new:
-            raw = text.tobytes()
-            self._learn([hashes[i] for i in new], [raw[a:b] for a, b in zip(begin[sample[new]].tolist(), end[sample[new]].tolist())])
-        number = np.fromiter(map(get, hashes), np.int64, len(hashes))[which]
+        number = np.fromiter(map(self.known.get, hashes, repeat(-1)), np.int64, len(hashes))
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            raw, at = text.tobytes(), sample[new]
+            number[new] = self._learn(distinct[new].tolist(), [raw[a:b] for a, b in zip(begin[at].tolist(), end[at].tolist())])
+        number = number[which]
         n_ids = self.ends[number + 1] - self.ends[number]
         before = np.concatenate([[0], np.cumsum(n_ids)])
         ids_before = before[piece[first]]  # ids before each document, without ends

@@ -498,3 +498,22 @@ def test_components(spark):
     found = connected_components(spark.createDataFrame(edges, "a long, b long"))
     assert {row.node: row.label for row in found.collect()} == {x: find(x) for x in list(label)}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_encoder_on_odd_strings():
+    """Ids equal the tokenizer's own for random strings of marks, odd blanks, combining marks, case pairs and special tokens."""
+    import random
+
+    import pyarrow as pa
+
+    encoder = tokenfiles.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    parts = list("abzAZ09 \n\t\x0b\x0c\r\x1c\x85 '`.,!<|>-_éÉñßİıſK…—̸́̇​﻿中😀ΑΣσς½²Ⅳ")
+    parts += ["<|endoftext|>", "'s", "'LL", " ", "</w>", "!" * 70]
+    r = random.Random(5)
+    for _ in range(300):
+        texts = ["".join(r.choices(parts, k=r.randint(0, 14))) for _ in range(8)]
+        ids, ends = encoder.encode(pa.array(texts, pa.large_string()), 2)
+        begin = 0
+        for text, end in zip(texts, ends.tolist()):
+            assert ids[begin:end].tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids + [2], repr(text)
+            begin = end
