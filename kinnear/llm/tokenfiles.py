@@ -30,7 +30,7 @@ SHARD_TOKENS = 1 << 20
 #: The id appended to every document.
 END_ID = 2
 #: Distinct pieces of words whose ids a Python worker remembers before it starts anew.
-MEMORY = 1_200_000
+MEMORY = 800_000
 #: Trailing marks of a word looked at one by one.
 MARKS = 64
 
