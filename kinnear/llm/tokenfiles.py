@@ -12,6 +12,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from itertools import repeat
+from unicodedata import is_normalized
 
 import numpy as np
 import pandas as pd
@@ -66,6 +67,11 @@ class Encoder:
 
     def __init__(self, path: str):
         self.tokenizer = tokenizers.Tokenizer.from_file(path)
+        # words of lower-case letters in composed form need neither its normaliser nor its pattern
+        self.plain = tokenizers.Tokenizer.from_file(path)
+        self.plain.normalizer = tokenizers.normalizers.Sequence([])
+        self.plain.pre_tokenizer = tokenizers.pre_tokenizers.Sequence([
+            tokenizers.pre_tokenizers.WhitespaceSplit(), tokenizers.pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocabulary = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a pre-token
         self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
@@ -77,8 +83,8 @@ class Encoder:
         self.ends = np.zeros(1, np.int64)
 
     def _encode_words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, number of ids of each) of texts that are one pre-token each: encoded as one text, cut at word ends."""
-        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(texts)], add_special_tokens=False)[0].ids, np.uint32)
+        """(ids, number of ids of each) of plain words: encoded as one text, cut at word ends."""
+        ids = np.array(self.plain.encode_batch_fast([" ".join(texts)], add_special_tokens=False)[0].ids, np.uint32)
         cuts = np.flatnonzero(self.last[ids]) + 1
         if len(cuts) == len(texts) and cuts[-1] == len(ids):
             return ids, np.diff(cuts, prepend=0)
@@ -91,8 +97,8 @@ class Encoder:
     def _learn(self, hashes: list[int], pieces: list[bytes]) -> np.ndarray:
         """Encodes new pieces; their numbers."""
         texts = [p.decode("utf-8", "replace") for p in pieces]
-        words = [i for i, t in enumerate(texts) if t.isalpha()]
-        others = [i for i, t in enumerate(texts) if not t.isalpha()]
+        plain = [t.isalpha() and t.lower() == t and is_normalized("NFC", t) for t in texts]
+        words, others = ([i for i, p in enumerate(plain) if p == kind] for kind in (True, False))
         parts = [(words[i:i + 2000], self._encode_words) for i in range(0, len(words), 2000)] + [(others, self._encode_each)] * bool(others)
         numbers = np.zeros(len(pieces), np.int64)
         for which, encode in parts:
