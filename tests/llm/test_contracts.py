@@ -458,6 +458,42 @@ def test_near_passages(spark):
     assert s <= 105 and e >= 215
 
 
+def test_edited_passages(spark):
+    """Edits every 30 words around a word-for-word run of 60: every aligned window of similarity 0.8 is covered by what is found."""
+    import numpy as np
+    from tests.llm.fixtures import prose
+
+    def similarity(x, y):
+        return len(set(x) & set(y)) / len(set(x) | set(y))
+
+    def edited(words, step, run=range(0)):
+        return [f"edit{i}" if i % step == 0 and i not in run else w for i, w in enumerate(words)]
+
+    def sequence(words):
+        return np.array([zlib.crc32(" ".join(words[i:i + 5]).encode()) for i in range(len(words) - 4)], np.uint32)
+
+    r = np.random.default_rng(1)
+    cases = [([f"w{i}" for i in range(360)], step, range(150, 150 + run)) for step in (24, 26, 30, 37, 44) for run in (0, 60)]
+    cases += [([f"w{i}" for i in r.integers(0, 3, 200)], step, range(0)) for step in (20, 30, 40)]  # repeated shingles
+    for words, step, run in cases:
+        x, y = sequence(words), sequence(edited(words, step, run))
+        found = passages.common_passages(x, y, 0)
+        assert all(similarity(x[s:e].tolist(), y[t:f].tolist()) >= 0.8 for s, e, t, f in found)
+        for i in range(len(x) - 45):
+            if (x[i:i + 46] == y[i:i + 46]).sum() >= 41 and similarity(x[i:i + 46].tolist(), y[i:i + 46].tolist()) >= 0.8:
+                same = [p for p in range(i, i + 46) if x[p] == y[p]]
+                assert all(any(s <= p < e for s, e, _, _ in found) for p in same), (step, run, i)
+    # a word put in every 30 words: the windows are found by shingles that are anywhere
+    words = [f"w{i}" for i in range(300)]
+    put_in = [v for i, w in enumerate(words) for v in ([f"new{i}", w] if i and i % 30 == 0 else [w])]
+    assert passages.common_passages(sequence(words), sequence(put_in), 0)
+    words = prose(360, 60).split()
+    rows = [(1, " ".join(words)), (2, " ".join(edited(words, 30, range(150, 210)))), (3, prose(300, 61))]
+    found = {r.doc_id: r for r in passages.shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [found[d].class_id for d in (1, 2, 3)] == [1, 1, 3]
+    assert found[2].n_links == 1 and any(s <= 150 and e >= 210 for s, e in found[2].spans)
+
+
 def test_empty_tables(spark):
     empty = no_rows(spark)
     assert simhash.near_duplicates(empty).count() == 0
