@@ -494,6 +494,29 @@ def test_edited_passages(spark):
     assert found[2].n_links == 1 and any(s <= 150 and e >= 210 for s, e in found[2].spans)
 
 
+def test_passages_of_a_poor_centre(spark):
+    """Texts that share 50 words are of one class, also where texts with a part of them come first under every key."""
+    from tests.llm.fixtures import prose
+
+    rows = []
+    for i in range(80):
+        words = [f"p{i}w{j}" for j in range(50)]
+        around = [[f"{side}{i}w{j}" for j in range(30)] for side in "klmn"]
+        texts = [around[0] + words + around[1], around[2] + words + around[3]]
+        # cut off at either end of the text, so that their finer keys are 0
+        texts += [words[:cut] for cut in (30, 38, 44)] + [words[-cut:] for cut in (30, 38, 44)]
+        texts += [[f"q{i}w{j}{k}" for j in range(30)] + part for k, part in enumerate((words[:30], words[:44]))]
+        texts += [part + [f"r{i}w{j}{k}" for j in range(30)] for k, part in enumerate((words[-30:], words[-44:]))]
+        rows += [(100 * i + k, " ".join(text)) for k, text in enumerate(texts)]
+    rows.append((10**6, prose(300, 70)))
+    found = {r.doc_id: r for r in passages.shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    lost = [i for i in range(80) if found[100 * i + 1].class_id != 100 * i]
+    assert not lost, lost
+    for i in range(80):
+        assert all(any(s <= 30 and e >= 80 for s, e in found[100 * i + k].spans) for k in (0, 1)), i
+    assert found[10**6].n_links == 0
+
+
 def test_empty_tables(spark):
     empty = no_rows(spark)
     assert simhash.near_duplicates(empty).count() == 0
