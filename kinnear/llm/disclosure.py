@@ -1,14 +1,14 @@
 """Personal data, and the terms that give it away.
 
 1. Spans of direct identifiers are found with linear-time scans.
-2. Terms within a few words of an identifier's mention are candidates; over
+2. All terms of the documents that mention an identifier are candidates; over
    the whole corpus the documents with the term and those with both the term
    and the identifier are counted.
 3. How strongly a term reveals the identifier is its pointwise mutual
    information with it as a share of the identifier's own information:
    log(N * n_te / (n_t * n_e)) / log(N / n_e), which is 1 when every document
    with the term has the identifier.  Terms above one threshold are removed,
-   above a lower one generalised, in the documents that mention it.
+   above a lower one generalised, wherever they stand in the corpus.
 """
 
 from __future__ import annotations
@@ -26,12 +26,12 @@ from kinnear.llm.tables import small_batches, stage
 from kinnear.llm.words import LOWER, NOT_SPACE, buffer_of, chunks, span_hashes, spans, text_column
 
 KINDS = ("email", "ip", "card", "phone")
-#: Words on each side of a mention that are candidates.
-NEAR = 8
 #: Documents in which term and identifier must occur together.
 SUPPORT = 3
 #: Share of the identifier's information from which a term is removed / generalised.
 REMOVE, GENERALISE = 0.95, 0.8
+#: Strong terms that travel to the tasks at most (two longs each); more are joined by shuffle.
+TERMS_OUT = 1_000_000
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -82,19 +82,19 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
-def neighbours(text: str, found: list[tuple[str, int, int]]) -> Iterator[tuple[str, str, int, int]]:
-    """(identifier, term, start, end): the words near each mention that are not part of an identifier."""
+def free_words(text: str, found: list[tuple[str, int, int]]) -> set[str]:
+    """The distinct words that are not part of an identifier."""
     words = [m.span() for m in _WORD.finditer(text)]
-    starts = np.array([a for a, _ in words])
-    ends = np.array([b for _, b in words])
-    taken = np.zeros(len(words), bool)
+    taken = _taken(np.array([a for a, _ in words]), np.array([b for _, b in words]), found)
+    return {text[a:b] for (a, b), t in zip(words, taken.tolist()) if not t}
+
+
+def _taken(starts: np.ndarray, ends: np.ndarray, found: list[tuple[str, int, int]]) -> np.ndarray:
+    """Which of the ranges are part of an identifier."""
+    taken = np.zeros(len(starts), bool)
     for _, a, b in found:
         taken[np.searchsorted(ends, a, "right"):np.searchsorted(starts, b)] = True
-    for kind, a, b in found:
-        low, high = int(np.searchsorted(ends, a, "right")), int(np.searchsorted(starts, b))
-        for i in [*range(max(0, low - NEAR), low), *range(high, min(len(words), high + NEAR))]:
-            if not taken[i]:
-                yield f"{kind}:{text[a:b].lower()}", text[words[i][0]:words[i][1]], *words[i]
+    return taken
 
 
 def term_hash(terms: list[str]) -> np.ndarray:
@@ -105,31 +105,29 @@ def term_hash(terms: list[str]) -> np.ndarray:
 
 _FOUND = ("doc_id long, text_key long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, "
           "base array<struct<start:long,kind:int,name:string,end:long>>, "
-          "near array<struct<entity:string,term:long,start:long,end:long>>")
+          "entities array<string>, terms array<long>")
 
 
 def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     span = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("name", pa.string()), ("end", pa.int64())]))
-    near = pa.list_(pa.struct([("entity", pa.string()), ("term", pa.int64()), ("start", pa.int64()), ("end", pa.int64())]))
     for batch in batches:
         for part in chunks(batch, "text"):
             rows = []
             for text in part.column(2):
                 text = text.as_py() or ""
                 found = base_spans(text)
-                around = list(neighbours(text, found)) if found else []
-                terms = term_hash([t for _, t, _, _ in around]).tolist()
+                terms = np.unique(term_hash(list(free_words(text, found)))).tolist() if found else []
                 rows.append((
                     *(sum(k == kind for k, _, _ in found) for kind in KINDS),
                     hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in found).encode()).hexdigest(),
                     [{"start": a, "kind": KINDS.index(k), "name": k, "end": b} for k, a, b in found],
-                    [{"entity": e, "term": t, "start": a, "end": b} for (e, _, a, b), t in zip(around, terms)],
+                    sorted({f"{k}:{text[a:b].lower()}" for k, a, b in found}), terms,
                 ))
             columns = list(zip(*rows))
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(1), *(pa.array(c, pa.int64()) for c in columns[:4]), pa.array(columns[4], pa.string()),
-                 pa.array(columns[5], span), pa.array(columns[6], near)],
-                names=["doc_id", "text_key", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "base", "near"])
+                 pa.array(columns[5], span), pa.array(columns[6], pa.list_(pa.string())), pa.array(columns[7], pa.list_(pa.int64()))],
+                names=["doc_id", "text_key", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "base", "entities", "terms"])
 
 
 def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,20 +160,62 @@ def document_frequency(docs: DataFrame) -> DataFrame:
 
 def disclosing_terms(found: DataFrame, frequency: DataFrame, n_docs: int, support: int = SUPPORT) -> DataFrame:
     """(entity, term, strength) of the terms that reveal an identifier at least ``GENERALISE`` of the way."""
-    pairs = found.select("doc_id", "text_key", F.explode("near").alias("n")).select(
-        F.col("n.entity").alias("entity"), F.col("n.term").alias("term"), "doc_id", "text_key")
     # a document counts once for a pair; rows that repeat an id count by their texts
-    once = pairs.groupBy("entity", "term", "doc_id", "text_key").agg(F.lit(1).alias("one"))
-    both = once.groupBy("entity", "term").agg(F.count("*").alias("both")).where(F.col("both") >= support)
-    entities = once.groupBy("entity", "doc_id", "text_key").agg(F.lit(1).alias("one")).groupBy("entity").agg(F.count("*").alias("has"))
+    once = stage(found.where(F.size("entities") > 0).select("doc_id", "text_key", "entities", "terms")
+                 .dropDuplicates(["doc_id", "text_key"]).withColumn("doc", F.monotonically_increasing_id()))
+    mentions = once.select("doc", F.explode("entities").alias("entity"))
+    entities = mentions.groupBy("entity").agg(F.count("*").alias("has")).where(F.col("has") >= support)
+    mentions = stage(mentions.join(entities, "entity"))
+    terms = once.join(mentions.select("doc").distinct(), "doc", "left_semi").select("doc", F.explode("terms").alias("term")).join(
+        frequency.where(F.col("docs") >= support), "term")
     n = F.lit(float(max(n_docs, 2)))
+    # both <= has, so that a term in more documents than this can't be strong enough
+    rare = F.log2("docs") <= (1 - GENERALISE) * F.log2(n) + GENERALISE * F.log2("has") + 1e-9
+    both = mentions.join(terms, "doc").where(rare).groupBy("entity", "term").agg(
+        F.count("*").alias("both"), F.max("has").alias("has"), F.max("docs").alias("docs")).where(F.col("both") >= support)
     own = F.log2(n / F.col("has"))
     mutual = F.log2(n * F.col("both") / (F.col("docs") * F.col("has")))
     strength = F.when(own > 0, mutual / own).otherwise(F.lit(0.0))
-    return (
-        both.join(entities, "entity").join(frequency, "term")
-        .select("entity", "term", strength.alias("strength")).where(F.col("strength") >= GENERALISE)
-    )
+    return both.select("entity", "term", strength.alias("strength")).where(F.col("strength") >= GENERALISE)
+
+
+def occurrences(rows: DataFrame, strong: DataFrame) -> DataFrame:
+    """(doc_id, text_key, start, end, strength): where the terms of ``strong(term, strength)`` stand outside of identifiers.
+
+    ``rows(doc_id, text_key, text)``.  Up to TERMS_OUT terms are looked up in
+    the tasks; more are joined with all words.
+    """
+    some = strong.select("term").limit(TERMS_OUT + 1).toArrow().column(0).to_numpy()
+    looked_up = np.sort(some) if len(some) <= TERMS_OUT else None
+
+    def stand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in chunks(batch, "text"):
+                texts = text_column(part, "text")
+                data, offsets = buffer_of(texts)
+                starts, ends, first = spans(data, offsets, NOT_SPACE)
+                words = span_hashes(LOWER[data], starts, ends).view(np.int64)
+                if looked_up is None:
+                    hit = np.arange(len(words))
+                elif len(looked_up):
+                    hit = np.flatnonzero(looked_up[np.minimum(np.searchsorted(looked_up, words), len(looked_up) - 1)] == words)
+                else:
+                    hit = np.zeros(0, np.int64)
+                doc = np.searchsorted(first, hit, "right") - 1
+                points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])  # code points before each byte
+                low, high = points[starts[hit]] - points[offsets[doc]], points[ends[hit]] - points[offsets[doc]]
+                free = np.ones(len(hit), bool)
+                edge = np.searchsorted(doc, np.arange(part.num_rows + 1))
+                for i in np.flatnonzero(np.diff(edge)).tolist():
+                    here = slice(edge[i], edge[i + 1])
+                    free[here] = ~_taken(low[here], high[here], base_spans(texts[i].as_py()))
+                row = pa.array(doc[free])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(row), part.column(1).take(row), pa.array(words[hit[free]]), pa.array(low[free]), pa.array(high[free])],
+                    names=["doc_id", "text_key", "term", "start", "end"])
+
+    places = rows.mapInArrow(stand, "doc_id long, text_key long, term long, start long, end long")
+    return places.join(strong if looked_up is None else F.broadcast(strong), "term").drop("term")
 
 
 def sanitisation(docs: DataFrame) -> DataFrame:
@@ -190,20 +230,15 @@ def sanitisation(docs: DataFrame) -> DataFrame:
     rows = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
     found = stage(rows.mapInArrow(_find, _FOUND))
     n_docs = found.count()
-    strong = disclosing_terms(found, document_frequency(docs), n_docs)
-    near = found.select("doc_id", "text_key", F.explode(F.array_distinct("near")).alias("n")).select("doc_id", "text_key", "n.*")
+    strong = stage(disclosing_terms(found, document_frequency(docs), n_docs).groupBy("term").agg(F.max("strength").alias("strength")))
     removed = F.col("strength") >= REMOVE
-    terms = (
-        near.join(strong, ["entity", "term"])
-        .groupBy("doc_id", "text_key", "start", "end").agg(F.max("strength").alias("strength"))
-        .groupBy(F.col("doc_id").alias("t_id"), F.col("text_key").alias("t_key"))
-        .agg(F.collect_list(F.struct(
+    terms = occurrences(rows, strong).groupBy(F.col("doc_id").alias("t_id"), F.col("text_key").alias("t_key")).agg(
+        F.collect_set(F.struct(
             "start", F.when(removed, 5).otherwise(4).alias("kind"),
             F.when(removed, "remove").otherwise("generalise").alias("name"), "end")).alias("terms"))
-    )
     same = F.col("doc_id").eqNullSafe(F.col("t_id")) & (F.col("text_key") == F.col("t_key"))
     none = F.array().cast("array<struct<start:long,kind:int,name:string,end:long>>")
-    return found.join(terms, same, "left").select(
+    return found.drop("entities", "terms").join(terms, same, "left").select(
         "doc_id", "text_key", "n_email", "n_ip", "n_card", "n_phone", "base_sha256",
         F.sort_array(F.concat("base", F.coalesce("terms", none))).alias("spans"))
 

@@ -373,6 +373,28 @@ def test_disclosing_terms(spark):
     assert clean[100] == rows[6][1] and clean[201] is None
 
 
+@pytest.mark.parametrize("limit", [disclosure.TERMS_OUT, 0])
+def test_disclosing_terms_anywhere(spark, monkeypatch, limit):
+    """A term far from its identifier counts by document and is redacted wherever it stands, by lookup and by join."""
+    monkeypatch.setattr(disclosure, "TERMS_OUT", limit)
+    rows = []
+    for i in range(10):
+        far = " ".join(f"é{i}x{j}" for j in range(20 if i > 1 else 2))
+        rows.append((i, f"Quixobar {far} jane.doe@corp.example.com {far} common quixobar common", "x"))
+    rows += [(50, "common Quixobar without a mention, ask quixobar@corp.example.com", "x"), (51, None, "x")]
+    rows += [(100 + i, f"common and nothing else about item{i}", "x") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, name string")
+    found = {r.doc_id: r for r in disclosure.sanitisation(docs).collect()}
+    text = dict((r[0], r[1]) for r in rows)
+    for i in [*range(10), 50]:
+        terms = [text[i][s.start:s.end].lower() for s in found[i].spans if s.kind > 3]
+        assert terms == ["quixobar"] * (1 if i == 50 else 2), (i, terms)
+        assert {s.name for s in found[i].spans if s.kind > 3} == {"remove"}
+    assert not any(found[100 + i].spans for i in range(200)) and not found[51].spans
+    clean = {r.doc_id: r.text for r in disclosure.sanitised(docs).collect()}
+    assert "uixobar" not in "".join(clean[i] for i in range(10)) and clean[50].startswith("common  without")
+
+
 def brute_contamination(rows, items):
     windows = {}
     for item_id, text in items:
