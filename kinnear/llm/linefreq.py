@@ -20,6 +20,8 @@ LEAST_TEXTS, TEXT_SHARE = 25, 0.05
 LEFT = 0.5
 #: Base rules: fewest words; largest percentage of words in repeated 3-word windows.
 LEAST_WORDS, MOST_REPEATED = 50, 50
+#: Words of a text from which windows are compared by their whole hash.
+LONG_TEXT = 1 << 14
 
 _BLANKS = r"[\x20\x09-\x0D]+"
 
@@ -34,16 +36,21 @@ def repeated_words(words: Column, n: Column) -> Column:
     Hash and place of each window are packed into one long (the hash taken
     modulo 2**62 / n), so one sort of longs brings equal windows together with
     their places.  Two different windows of a text of n words are taken for
-    equal with a probability under n**3 / 2**62.
+    equal with a probability under n**3 / 2**62, 1 in 10**6 at LONG_TEXT words;
+    longer texts sort structs of whole hash and place, under n**2 / 2**64.
     """
+    window = lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2))
     long_n = F.greatest(n, F.lit(1)).cast("long")
     room = F.floor(F.lit(2**62) / long_n).cast("long")
     packed = F.transform(
         F.sequence(F.lit(0), n - 3),
-        lambda i: F.coalesce(
-            F.pmod(F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)), room) * long_n + i, F.lit(0).cast("long")),
+        lambda i: F.coalesce(F.pmod(window(i), room) * long_n + i, F.lit(0).cast("long")),
+    )
+    whole = F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.struct(window(i).alias("hash"), i.cast("long").alias("place")))
+    return (
+        F.when(n > LONG_TEXT, _covered_whole(F.sort_array(whole)))
+        .when(n >= 4, _covered(F.sort_array(packed), long_n)).otherwise(F.lit(0).cast("long"))
     )
-    return F.when(n >= 4, _covered(F.sort_array(packed), long_n)).otherwise(F.lit(0).cast("long"))
 
 
 def _covered(ordered: Column, n: Column) -> Column:
@@ -54,6 +61,20 @@ def _covered(ordered: Column, n: Column) -> Column:
             F.filter(a, lambda x, i: (_hash(F.get(a, i - 1), n) == _hash(x, n)) | (_hash(F.get(a, i + 1), n) == _hash(x, n))),
             lambda x: x % n)),
     )
+    return _words_at(places)
+
+
+def _covered_whole(ordered: Column) -> Column:
+    """``_covered`` for sorted structs (hash, place)."""
+    return _words_at(F.transform(
+        F.array(ordered),
+        lambda a: F.sort_array(F.transform(
+            F.filter(a, lambda x, i: F.get(a, i - 1)["hash"].eqNullSafe(x["hash"]) | F.get(a, i + 1)["hash"].eqNullSafe(x["hash"])),
+            lambda x: x["place"]))))
+
+
+def _words_at(places: Column) -> Column:
+    """Words covered by the windows at the sorted places, given as an array of one array."""
     return F.aggregate(
         places, F.lit(0).cast("long"),
         lambda total, p: total + F.aggregate(

@@ -305,6 +305,15 @@ def test_line_rules(docs):
     assert found.where("kept and base_failed").count() == 0
 
 
+def test_repeated_words_of_a_long_text(spark):
+    """No window of 3,000,000 different words repeats; one that does counts its words, once each."""
+    n = 3_000_000
+    for again, expected in ((0, 0), (4, 8)):
+        words = F.transform(F.sequence(F.lit(1), F.col("n")), lambda i: F.concat(F.lit("w"), F.when(i > n - again, i - n + again).otherwise(i)))
+        found = spark.createDataFrame([(n,)], "n int").select(words.alias("words"), "n")
+        assert found.select(linefreq.repeated_words(F.col("words"), F.col("n")).alias("r")).first().r == expected
+
+
 def test_frequent_lines(spark):
     line = "Subscribe to our weekly news 2024"
     body = lambda i: " ".join(f"w{i}x{j}q" + "abcdefghij"[(i * 7 + j * 3) % 10] * (1 + j % 4) + "klmnopqrst"[(i + j * j) % 10] for j in range(60))
