@@ -31,7 +31,7 @@ from kinnear.operators.similarity import (  # noqa: F401
 from kinnear.operators.neighbours import (  # noqa: F401
     knn,
     rank_positives,
-    rank_negatives,
+    rank_signed,
     neighbour_lists,
     explode_neighbours,
 )

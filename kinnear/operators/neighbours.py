@@ -8,7 +8,7 @@ prediction; negatives do.  Without materialising the dense vector, the
 position of each stored entry is:
 
 * a positive one: its rank among the positives;
-* a negative one: ``(n_users - #negatives(u)) + its rank among negatives``.
+* a negative one: ``n_users + 1 -`` its place from the lowest one up.
 
 Ranks order by similarity rounded to 9 places, descending, then by
 neighbour id.  One ranking serves every ``k' <= k``: the neighbours for
@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinnear.functions.expr import rounded_sim
+from kinnear.operators.pruning import knn_pruned
 from kinnear.operators.similarity import Shape, both_directions, similarities
 from kinnear.session import materialize
 
@@ -40,12 +41,23 @@ def rank_positives(directed: DataFrame, k: int) -> DataFrame:
         "user", "neighbour", "sim", F.col("rank").cast("long").alias("rank"))
 
 
-def rank_negatives(directed: DataFrame, counts: DataFrame, k: int, n_users: int) -> DataFrame:
-    """Negative similarities that reach rank ``k``; ``counts(user, n)``: users that can, with their negatives."""
-    room = directed.where(rounded_sim("sim") < 0).join(counts, "user")
-    ranked = room.withColumn("rn", F.row_number().over(_best(room))).where(F.col("rn") <= k)
-    rank = F.lit(n_users) - F.col("n") + F.col("rn")
-    return ranked.select("user", "neighbour", "sim", rank.cast("long").alias("rank")).where(F.col("rank") <= k)
+def rank_signed(directed: DataFrame, k: int, n_users: int) -> DataFrame:
+    """All entries of both signs that reach rank ``k``: ``user, neighbour, sim, rank``, in one pass over ``directed``.
+
+    A negative entry's rank is its distance from the far end of the dense
+    vector: the lowest one has rank ``n_users``, the next ``n_users - 1``.  So
+    one ``row_number`` by user and sign, from the largest absolute value down,
+    ranks both; nothing is counted, and the similarities are computed once.
+    """
+    value = rounded_sim("sim")
+    positive = value > 0
+    signed = directed.where(value != 0).withColumn("_positive", positive)
+    # of equal values the smaller id is first, which is the last one from the far end
+    from_end = Window.partitionBy("user", "_positive").orderBy(
+        F.abs(value).desc(), F.when(positive, F.col("neighbour")).asc(), F.when(~positive, F.col("neighbour")).desc())
+    place = signed.withColumn("_place", F.row_number().over(from_end).cast("long"))
+    rank = F.when(F.col("_positive"), F.col("_place")).otherwise(F.lit(n_users) + 1 - F.col("_place"))
+    return place.select("user", "neighbour", "sim", rank.cast("long").alias("rank")).where(F.col("rank") <= k)
 
 
 def _users_in_reach(profiles: DataFrame, k: int, n_users: int) -> DataFrame:
@@ -55,6 +67,11 @@ def _users_in_reach(profiles: DataFrame, k: int, n_users: int) -> DataFrame:
     return partners.where(F.col("n") > n_users - k).select("user")
 
 
+def _most_partners(shape: Shape) -> float:
+    """No user has more partners than there are other users or co-ratings."""
+    return min(shape.users - 1, shape.products)
+
+
 def knn(profiles: DataFrame, k: int, n_users: int, strategy: str = "auto", written: bool = False, **options) -> DataFrame:
     """The k nearest neighbours of every user: ``user, neighbour, sim, rank``.
 
@@ -63,23 +80,28 @@ def knn(profiles: DataFrame, k: int, n_users: int, strategy: str = "auto", writt
     profiles are read by several branches; unless they are a ``written``
     table they are written first.
 
-    The positives need no count.  Negatives are counted only if the data could
-    bring one to rank ``k``, and ranked only for users for whom it does.
+    Negatives are ranked only if the data could bring one to rank ``k``, and
+    for users for whom it could; either way the similarities are computed once.
+    ``strategy="pruned"`` leaves out pairs that can't be among anybody's first
+    ``k`` (:mod:`kinnear.operators.pruning`), unless negatives could be.
     """
     if not written:
         profiles = materialize(profiles)
     shape = Shape.of(profiles)
     if n_users < shape.users:
         raise ValueError(f"n_users={n_users}, but {shape.users} users have a profile")
-    directed = both_directions(similarities(profiles, strategy, shape, **options))
-    found = rank_positives(directed, k)
-    if k <= 0 or not _users_in_reach(profiles, k, n_users).limit(1).count():
-        return found
-    negatives = directed.where(rounded_sim("sim") < 0).groupBy("user").agg(F.count(F.lit(1)).alias("n"))
-    counts = materialize(negatives.where(F.col("n") > n_users - k))
-    if not counts.limit(1).count():
-        return found
-    return found.unionByName(rank_negatives(directed, counts, k, n_users))
+    reach = None
+    if k > 0 and _most_partners(shape) > n_users - k:
+        reach = materialize(_users_in_reach(profiles, k, n_users))
+        reach = reach if reach.limit(1).count() else None
+    if strategy == "pruned" and reach is None:
+        return knn_pruned(profiles, k, **options)
+    directed = both_directions(similarities(profiles, "auto" if strategy == "pruned" else strategy, shape, **options))
+    if reach is None:
+        return rank_positives(directed, k)
+    # others' negatives can't reach rank k and stay out of the shuffle
+    near = directed.join(reach.withColumn("_near", F.lit(True)), "user", "left").where((rounded_sim("sim") > 0) | F.col("_near"))
+    return rank_signed(near.drop("_near"), k, n_users)
 
 
 def neighbour_lists(neighbours: DataFrame) -> DataFrame:

@@ -6,7 +6,8 @@ grouping and ranking of both:
 ``join``
     Profiles self-joined on ``item`` and summed per user pair.  Every item
     emits all pairs of its raters, so its cost is ``Σ n_i²`` rows: best for
-    sparse data, where that is little more than the pairs that exist.
+    sparse data, where that is little more than the pairs that exist.  Hot
+    items are dealt into chunks and joined as pairs of chunks.
 
 ``tiles``
     Users are hashed into blocks.  A cell is sent only to the blocks that hold
@@ -39,6 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinnear.functions.expr import rounded_sim
+from kinnear.session import materialize
 
 # The tile product travels to the Python workers by value, so executors do
 # not need this package installed (only numpy and pandas).
@@ -46,6 +48,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Users and cells of a block, on average; users above the last are joined.
 BLOCK_USERS, BLOCK_CELLS, HEAVY_USER_CELLS = 1024, 1_000_000, 200_000
+#: Raters of an item up to which the join strategy keeps them together.
+CHUNK_RATERS = 2048
+#: Cells of looked-up users that may be broadcast (some 24 bytes each).
+BROADCAST_CELLS = 2_000_000
 #: Products summed at a time in a sparse tile.
 PRODUCTS_AT_ONCE = 4_000_000
 #: Routed cells a task should hold, and the most partitions ever asked for.
@@ -100,10 +106,32 @@ def _dot(joined: DataFrame, *keys: str) -> DataFrame:
     return joined.groupBy(*keys).agg(F.sum(F.col("wa") * F.col("wb")).alias("sim"))
 
 
-def similarity_join(profiles: DataFrame) -> DataFrame:
-    """``user, neighbour, sim`` of all co-rating pairs, ``user < neighbour``, by self-join on item."""
-    a, b = _sides(profiles)
-    return _dot(a.join(b, "item").where(F.col("user") < F.col("neighbour")), "user", "neighbour")
+def _chunked(profiles: DataFrame, chunk_raters: int) -> DataFrame:
+    """The cells with ``chunks``, the parts their item's raters are dealt into, and ``chunk``, the part of this one."""
+    raters = profiles.groupBy("item").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > chunk_raters)
+    # written: a plain table, so that adaptive execution can broadcast it or split a hot item's rows
+    hot = materialize(raters.select("item", F.ceil(F.col("n") / chunk_raters).cast("int").alias("chunks")))
+    cells = profiles.join(hot, "item", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
+    return cells.withColumn("chunk", F.pmod(F.xxhash64("user"), F.col("chunks")).cast("int"))
+
+
+def similarity_join(profiles: DataFrame, chunk_raters: int = CHUNK_RATERS) -> DataFrame:
+    """``user, neighbour, sim`` of all co-rating pairs, ``user < neighbour``, by self-join on item.
+
+    An item with more than ``chunk_raters`` raters is dealt into chunks by
+    user; every pair of its chunks is a key of its own, so no key of the join
+    has more than about ``chunk_raters`` rows a side, whoever rated the item.
+    Its cells are sent once for each chunk.  Sums are partial in the join's
+    stage and final by pair.
+    """
+    cells = _chunked(profiles, chunk_raters)
+    a = cells.select("user", "item", F.col("weight").alias("wa"), F.col("chunk").alias("p"),
+                     F.explode(F.sequence("chunk", F.col("chunks") - 1)).alias("q"))
+    b = cells.select(F.col("user").alias("neighbour"), "item", F.col("weight").alias("wb"), F.col("chunk").alias("q"),
+                     F.explode(F.sequence(F.lit(0), "chunk")).alias("p"))
+    met = a.join(b, ["item", "p", "q"]).where((F.col("p") < F.col("q")) | (F.col("user") < F.col("neighbour")))
+    return _dot(met.select(F.least("user", "neighbour").alias("user"), F.greatest("user", "neighbour").alias("neighbour"), "wa", "wb"),
+                "user", "neighbour")
 
 
 def similarity_one_user(profiles: DataFrame, users) -> DataFrame:
@@ -121,6 +149,26 @@ def similarity_one_user(profiles: DataFrame, users) -> DataFrame:
     return _dot(mine.join(b, "item").where(F.col("user") != F.col("neighbour")), "user", "neighbour")
 
 
+def similarity_of_users(profiles: DataFrame, users: DataFrame, broadcast_cells: int = BROADCAST_CELLS) -> DataFrame:
+    """:func:`similarity_one_user` of many users at once: ``user, neighbour, sim``.
+
+    The cells of the wanted users are written and counted.  Up to
+    ``broadcast_cells`` they travel to the profiles, which then stay where
+    they are; beyond that both sides are joined by item, hot items as pairs
+    of (chunk of the wanted, all others) so that no key is unbounded.
+    """
+    a, b = _sides(profiles)
+    wanted = materialize(a.join(users.select("user").distinct(), "user", "left_semi"))
+    cells = wanted.count()
+    if cells <= broadcast_cells:
+        met = b.join(F.broadcast(wanted), "item")
+    else:
+        chunked = _chunked(profiles, CHUNK_RATERS).select(F.col("user").alias("neighbour"), "item", F.col("weight").alias("wb"), "chunk")
+        chunks = chunked.select("item", "chunk").distinct()  # a wanted cell meets each chunk of its item
+        met = wanted.join(chunks, "item").join(chunked, ["item", "chunk"])
+    return _dot(met.where(F.col("user") != F.col("neighbour")), "user", "neighbour")
+
+
 def tile_product(a: tuple, b: tuple, shape: tuple[int, int, int], at_once: int = PRODUCTS_AT_ONCE) -> np.ndarray:
     """Dense product of two sparse blocks ``(row, item, weight)``; ``shape``: rows of a, rows of b, items.
 

@@ -8,7 +8,7 @@ The tables are views over the same parquet files.
 
 from __future__ import annotations
 
-from kinnear.plans.queries import EARLY_DAYS, HOLDOUT_N, K_DENSE, K_EVENTS, K_MAIN, K_NATION, KS, KS_NATION
+from kinnear.plans.queries import EARLY_DAYS, HOLDOUT_N, K_CURVE, K_DENSE, K_EVENTS, K_MAIN, K_NATION, KS, KS_NATION, LOOKUPS
 
 _BASE = """
 raw AS (
@@ -262,4 +262,35 @@ FROM long GROUP BY section"""
     q["evaluate"] = _with(_SIM, _stats_cte(), f""",
 edges AS ({_edges_select()})
 """) + "\nUNION ALL\n".join(ev)
+    q["knn_pruned"], q["events_knn_pruned"] = q["knn_topk"], q["events_knn"]
+    q["predict_lists"] = q["stored_model"] = q["predict"]
+    q["ratings_csv"] = q["parse_fields"]
+    q["ratings_rejects"] = _with() + "SELECT u, i, rating, (SELECT count(*) FROM r WHERE u % 7 = 0) AS rejected FROM r WHERE u % 7 <> 0"
+    q["split_files"] = _with() + "SELECT u, i, rating, CASE WHEN is_test THEN 'test' ELSE 'train' END AS side FROM r"
+    pairs = """
+SELECT a.u, b.u AS v, (round(sum(a.w * b.w), 6) + CAST(0 AS DOUBLE)) AS sim
+FROM prof a JOIN prof b ON a.i = b.i AND {which} GROUP BY a.u, b.u HAVING round(sum(a.w * b.w), 9) <> 0"""
+    q["similarity_chunked"] = "WITH " + _NATIONS + pairs.format(which="a.u < b.u")
+    q["similarity_many_users"] = _with(f""",
+top AS (SELECT u FROM prof GROUP BY u ORDER BY count(*) DESC, u LIMIT {LOOKUPS})
+""") + pairs.format(which="a.u <> b.u AND a.u IN (SELECT u FROM top)")
+    q["mae_curve"] = _with(_SIM, f""",
+hits AS (SELECT t.u, t.i, n.rank, n.s, d.dev FROM test t JOIN nbr n ON t.u = n.u JOIN nz d ON d.u = n.v AND d.i = t.i WHERE n.rank <= {K_CURVE}),
+ks AS (SELECT CAST(unnest(range(1, {K_CURVE} + 1)) AS BIGINT) AS k),
+wd AS (SELECT k, u, i, sum(dev * s) / sum(abs(s)) AS wd FROM ks JOIN hits ON rank <= k GROUP BY k, u, i),
+w AS (SELECT ks.k, t.rating, m.a, m.a + coalesce(wd, CAST(0 AS DOUBLE)) AS x, coalesce(wd, CAST(0 AS DOUBLE)) AS wd
+      FROM ks CROSS JOIN test t JOIN mean m ON t.u = m.u LEFT JOIN wd ON wd.k = ks.k AND wd.u = t.u AND wd.i = t.i),
+e AS (SELECT k, abs(rating - (a + wd * (CASE WHEN x > a THEN CAST(5 AS DOUBLE) - a WHEN x < a THEN a - CAST(1 AS DOUBLE)
+                                             ELSE CAST(1 AS DOUBLE) END))) AS e FROM w)
+""") + "SELECT k, count(*) AS n, (round(avg(e), 6) + CAST(0 AS DOUBLE)) AS mae, (round(sqrt(avg(e * e)), 6) + CAST(0 AS DOUBLE)) AS rmse FROM e GROUP BY k"
+    errors = " UNION ALL ".join(f"SELECT u, CAST({k} AS BIGINT) AS k, abs(rating - prediction) AS e FROM p{k}" for k in KS)
+    q["error_summary"] = _with(_SIM, *[_pred(k, f"p{k}") for k in KS], f""",
+errs AS ({errors})
+""") + """
+SELECT CASE WHEN grouping(u) = 0 THEN 'user' WHEN grouping(k) = 0 THEN 'k' ELSE 'total' END AS level,
+       coalesce(u, -1) AS u, coalesce(k, -1) AS k, count(e) AS n,
+       (round(avg(e) + CAST(1e-10 AS DOUBLE), 6) + CAST(0 AS DOUBLE)) AS average, (round(var_pop(e) + CAST(1e-10 AS DOUBLE), 6) + CAST(0 AS DOUBLE)) AS variance,
+       (round(stddev_pop(e) + CAST(1e-10 AS DOUBLE), 6) + CAST(0 AS DOUBLE)) AS stddev, (round(min(e) + CAST(1e-10 AS DOUBLE), 6) + CAST(0 AS DOUBLE)) AS least,
+       (round(max(e) + CAST(1e-10 AS DOUBLE), 6) + CAST(0 AS DOUBLE)) AS most
+FROM errs GROUP BY GROUPING SETS ((u, k), (k), ())"""
     return q

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from kinnear.functions.expr import RATING_HI, RATING_LO, rounded_sim
 from kinnear.operators.evaluate import cold_start, error_stats_by_k
 from kinnear.operators.neighbours import knn
-from kinnear.operators.predict import predict, predict_multi_k
+from kinnear.operators.predict import error_curve, predict, predict_multi_k
 from kinnear.operators.profile import normalized_deviation, unit_profile, user_mean
 from kinnear.session import materialize as _written
 from kinnear.sources.ratings import coalesce_duplicates
@@ -49,6 +49,12 @@ class Model:
             raise ValueError(f"model ranked for k={self.k}, asked for k={max(ks)}")
         return predict_multi_k(test, self.neighbours, self.deviations, self.means, ks, self.lo, self.hi)
 
+    def error_curve(self, test: DataFrame, k: int | None = None) -> DataFrame:
+        """Errors for every k up to ``k`` (by default all that the model is ranked for)."""
+        if (k or self.k) > self.k:
+            raise ValueError(f"model ranked for k={self.k}, asked for k={k}")
+        return error_curve(test, self.neighbours, self.deviations, self.means, k or self.k, self.lo, self.hi)
+
 
 def fit(
     train: DataFrame,

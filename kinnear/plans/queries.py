@@ -14,9 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinnear.functions.expr import OUT_ROUND, out_round, scale
-from kinnear.operators.evaluate import cell_errors, cold_start, error_stats_by_k, mae, sparse_difference
+from kinnear.operators.evaluate import cell_errors, cold_start, error_stats_by_k, error_summary, mae, sparse_difference
 from kinnear.operators.neighbours import explode_neighbours, knn, neighbour_lists
-from kinnear.operators.predict import predict, predict_multi_k, weighted_deviation
+from kinnear.operators.predict import error_curve, predict, predict_from_lists, predict_multi_k, weighted_deviation
 from kinnear.operators.profile import (
     item_mean,
     normalized_deviation,
@@ -24,8 +24,10 @@ from kinnear.operators.profile import (
     user_mean,
     user_norm,
 )
-from kinnear.operators.similarity import similarity_one_user, similarity_pairs
+from kinnear.operators.similarity import similarity_join, similarity_of_users, similarity_one_user, similarity_pairs
 from kinnear.plans.pipeline import evaluate as evaluate_job
+from kinnear.plans.pipeline import fit
+from kinnear.plans.store import load_model, save_model
 from kinnear.session import materialize, scratch_folder
 from kinnear.sources.ratings import (
     by_flag,
@@ -39,6 +41,10 @@ from kinnear.sources.ratings import (
     order_ratings,
     parse_lines,
     read_ratings,
+    read_ratings_counted,
+    read_ratings_csv,
+    read_split,
+    write_split,
 )
 from kinnear.sources.report import nest_report
 
@@ -51,6 +57,12 @@ HOLDOUT_N = 2
 K_NATION = 20
 KS_NATION = (5, 15, 25)
 EARLY_DAYS = 365
+# the whole curve: every k up to this
+K_CURVE = 100
+# users looked up at once
+LOOKUPS = 1000
+# raters of an item that stay together in the chunked join of 25 nations
+CHUNK_NATION = 5
 
 
 def _r(x: str) -> F.Column:
@@ -138,6 +150,35 @@ def q_ratings_text(spark, sf_dir):
     return read_ratings(spark, folder, sep="::").select(F.col("user").alias("u"), F.col("item").alias("i"), "rating")
 
 
+def q_ratings_csv(spark, sf_dir):
+    """The ratings as padded lines with an extra field, written and read back by the CSV source."""
+    t = Tables(spark, sf_dir)
+    folder = scratch_folder(spark)
+    text = lambda c: F.col(c).cast("string")
+    line = F.concat(text("user"), F.lit("::"), text("item"), F.lit(" ::"), text("rating"), F.lit(":: "), text("is_test"))
+    t.ratings.select(line.alias("value")).write.text(folder)
+    return read_ratings_csv(spark, folder, sep="::").select(F.col("user").alias("u"), F.col("item").alias("i"), "rating")
+
+
+def q_ratings_rejects(spark, sf_dir):
+    """Lines of which those of every seventh user are malformed: the ratings and the number of rejects, from one reading pass."""
+    t = Tables(spark, sf_dir)
+    folder = scratch_folder(spark)
+    item = F.when(F.col("user") % 7 == 0, F.lit("x")).otherwise(F.col("item").cast("string"))
+    t.ratings.select(F.concat_ws("::", F.col("user").cast("string"), item, F.col("rating").cast("string")).alias("value")).write.text(folder)
+    ratings, seen = read_ratings_counted(spark, folder, sep="::")
+    ratings = materialize(ratings)
+    return ratings.select(F.col("user").alias("u"), F.col("item").alias("i"), "rating", F.lit(int(seen.get["rejected"])).cast("long").alias("rejected"))
+
+
+def q_split_files(spark, sf_dir):
+    """The ratings split into train and test files by their flag, each side read back."""
+    folder = scratch_folder(spark)
+    write_split(Tables(spark, sf_dir).ratings, folder)
+    sides = [read_split(spark, folder, side).withColumn("side", F.lit(side)) for side in ("train", "test")]
+    return sides[0].unionByName(sides[1]).select(F.col("user").alias("u"), F.col("item").alias("i"), "rating", "side")
+
+
 def q_dedup_policies(spark, sf_dir):
     """Each duplicate policy on the order lines, whose (customer, part) pairs repeat."""
     lines = Tables(spark, sf_dir).lines.select("user", "item", "rating")
@@ -256,6 +297,32 @@ def q_similarity_one_user(spark, sf_dir):
     return s.select(F.col("neighbour").alias("v"), _r("sim").alias("sim"))
 
 
+def q_similarity_many_users(spark, sf_dir):
+    """The similarities of the users with the most cells, LOOKUPS of them, in one pass."""
+    profiles = materialize(Tables(spark, sf_dir).profiles)
+    top = profiles.groupBy("user").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), F.col("user").asc()).limit(LOOKUPS)
+    s = similarity_of_users(profiles, top).where(F.round("sim", 9) != 0)
+    return s.select(F.col("user").alias("u"), F.col("neighbour").alias("v"), _r("sim").alias("sim"))
+
+
+def q_similarity_chunked(spark, sf_dir):
+    """The join strategy on the nations' ratings, where every item is rated by most users, hot items in chunks."""
+    r = materialize(nation_ratings(*load_tables(spark, sf_dir, "lineitem", "orders", "customer")))
+    p = materialize(unit_profile(normalized_deviation(r, user_mean(r))))
+    s = similarity_join(p, chunk_raters=CHUNK_NATION).where(F.round("sim", 9) != 0)
+    return s.select(F.col("user").alias("u"), F.col("neighbour").alias("v"), _r("sim").alias("sim"))
+
+
+def q_knn_pruned(spark, sf_dir):
+    t = _nt(spark, sf_dir)
+    return _out_nbrs(knn(t.profiles, K_MAIN, t.n_users(), strategy="pruned"))
+
+
+def q_events_knn_pruned(spark, sf_dir):
+    p, n = _event_profiles(spark, sf_dir)
+    return _out_nbrs(knn(p, K_EVENTS, n, strategy="pruned"))
+
+
 def q_knn_topk(spark, sf_dir):
     return _out_nbrs(_nt(spark, sf_dir).neighbours(K_MAIN))
 
@@ -362,6 +429,39 @@ def q_mae_by_k(spark, sf_dir):
     return _stats(spark, sf_dir).select("k", _r("mae").alias("mae"), "n")
 
 
+def q_mae_curve(spark, sf_dir):
+    """The errors for every k up to K_CURVE from one ranking."""
+    t = _nt(spark, sf_dir)
+    curve = error_curve(t.test, t.neighbours(K_CURVE), t.deviations, t.means, K_CURVE)
+    return curve.select("k", "n", _r("mae").alias("mae"), _r("rmse").alias("rmse"))
+
+
+def q_error_summary(spark, sf_dir):
+    """Error summaries by user and k, by k and in all, from one set of states."""
+    t = _nt(spark, sf_dir)
+    multi = predict_multi_k(t.test, t.neighbours(max(KS)), t.deviations, t.means, KS)
+    return error_summary(multi, KS).select(
+        "level", F.coalesce("user", F.lit(-1)).cast("long").alias("u"), F.coalesce("k", F.lit(-1)).cast("long").alias("k"), "n",
+        # nudged: summaries of few errors lie exactly between two rounded values
+        *[out_round(F.col(c) + F.lit(1e-10)).alias(c) for c in ("average", "variance", "stddev", "least", "most")])
+
+
+def q_predict_lists(spark, sf_dir):
+    """Predictions from nested neighbour lists, without a row per neighbour."""
+    t = _nt(spark, sf_dir)
+    p = predict_from_lists(t.test, neighbour_lists(t.neighbours(K_MAIN)), t.deviations, t.means)
+    return p.select(F.col("user").alias("u"), F.col("item").alias("i"), "rating", _r("prediction").alias("prediction"))
+
+
+def q_stored_model(spark, sf_dir):
+    """A model fitted, saved, loaded and asked for predictions."""
+    t = _nt(spark, sf_dir)
+    folder = scratch_folder(spark)
+    save_model(fit(t.train, K_MAIN, t.n_users(), duplicates=None), folder)
+    p = load_model(spark, folder).predict(t.test)
+    return p.select(F.col("user").alias("u"), F.col("item").alias("i"), "rating", _r("prediction").alias("prediction"))
+
+
 def q_summary_stats(spark, sf_dir):
     s = _stats(spark, sf_dir)
     return s.select(
@@ -411,11 +511,11 @@ def q_evaluate(spark, sf_dir):
 K_EVENTS = 10
 
 
-def q_events_knn(spark, sf_dir):
-    """The k-NN on the ``events`` table read as ratings (user × event type,
-    average value): a dense matrix in which every item is rated by nearly
-    every user — the hot-item case for the similarity step.  The rating
-    scale ``lo``/``hi`` is taken from the data."""
+def _event_profiles(spark, sf_dir) -> tuple[DataFrame, int]:
+    """Profiles and number of users of the ``events`` table read as ratings
+    (user × event type, average value): a dense matrix in which every item is
+    rated by nearly every user.  The rating scale ``lo``/``hi`` is taken from
+    the data."""
     (events,) = load_tables(spark, sf_dir, "events")
     r = events.groupBy("user_id", "event_type").agg(F.avg("value").alias("rating")).select(
         F.col("user_id").alias("user"), F.col("event_type").alias("item"), "rating"
@@ -423,8 +523,13 @@ def q_events_knn(spark, sf_dir):
     r = materialize(r)
     b = r.agg(F.min("rating").alias("lo"), F.max("rating").alias("hi"), F.countDistinct("user").alias("n")).first()
     means = user_mean(r)
-    p = unit_profile(normalized_deviation(r, means, lo=b["lo"], hi=b["hi"]))
-    return _out_nbrs(knn(p, K_EVENTS, int(b["n"])))
+    return unit_profile(normalized_deviation(r, means, lo=b["lo"], hi=b["hi"])), int(b["n"])
+
+
+def q_events_knn(spark, sf_dir):
+    """The k-NN on the ``events`` table: the hot-item case for the similarity step."""
+    p, n = _event_profiles(spark, sf_dir)
+    return _out_nbrs(knn(p, K_EVENTS, n))
 
 
 def q_embedding_knn(spark, sf_dir):
@@ -480,4 +585,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "evaluate": q_evaluate,
     "events_knn": q_events_knn,
     "embedding_knn": q_embedding_knn,
+    "knn_pruned": q_knn_pruned,
+    "events_knn_pruned": q_events_knn_pruned,
+    "similarity_chunked": q_similarity_chunked,
+    "similarity_many_users": q_similarity_many_users,
+    "mae_curve": q_mae_curve,
+    "error_summary": q_error_summary,
+    "predict_lists": q_predict_lists,
+    "stored_model": q_stored_model,
+    "ratings_csv": q_ratings_csv,
+    "ratings_rejects": q_ratings_rejects,
+    "split_files": q_split_files,
 }

@@ -8,7 +8,7 @@ expression, each field trimmed, fields after the third ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 RATINGS_SCHEMA = "user long, item long, rating double"
@@ -85,6 +85,56 @@ def read_ratings(
     return parse_lines(spark.read.text(path), sep, literal, mode)
 
 
+def read_ratings_counted(
+    spark: SparkSession, path: str, sep: str = "\t", literal: bool = False, name: str = "ratings"
+) -> tuple[DataFrame, Observation]:
+    """The well-formed ratings of a delimited file, and what the reading pass saw.
+
+    The observation has ``lines`` and ``rejected``; they are filled in by the
+    first action on the ratings, so counting costs no scan of its own.
+    """
+    seen = Observation(name)
+    typed = _typed(spark.read.text(path), sep, literal, "value").observe(
+        seen, F.count(F.lit(1)).alias("lines"), F.coalesce(F.sum(F.col("_bad").cast("long")), F.lit(0)).alias("rejected"))
+    return typed.where(~F.col("_bad")).select("user", "item", "rating"), seen
+
+
+def read_ratings_csv(spark: SparkSession, path: str, sep: str = "\t", mode: str = "strict") -> DataFrame:
+    """Read a delimited rating file with the CSV source; ``sep`` is literal, of one or more characters.
+
+    The schema is applied while reading and blanks around fields are dropped;
+    fields after the third are ignored.  ``mode`` as in :func:`parse_lines`;
+    lines without any character are skipped by the source in both modes.
+    """
+    rows = spark.read.csv(
+        path, schema="user long, item long, rating double, _line string", sep=sep, quote="", escape="", mode="PERMISSIVE",
+        ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True, columnNameOfCorruptRecord="_line")
+    bad = F.col("user").isNull() | F.col("item").isNull() | F.col("rating").isNull()
+    if mode == "lenient":
+        return rows.where(~bad).select("user", "item", "rating")
+    if mode != "strict":
+        raise ValueError(f"unknown mode {mode!r}")
+    check = F.when(bad, F.raise_error(F.concat(F.lit("malformed rating line: "), F.coalesce("_line", F.lit("")))))
+    return rows.select(F.coalesce(check.cast("long"), F.col("user")).alias("user"), "item", "rating")
+
+
+def write_split(ratings: DataFrame, folder: str, sep: str = "\t") -> None:
+    """Splits ratings with an ``is_test`` flag into delimited train and test files, in one pass.
+
+    The sides are the partitions ``side=train`` and ``side=test`` of the
+    folder; any further columns follow the rating.
+    """
+    fields = ["user", "item", "rating"] + [c for c in ratings.columns if c not in ("user", "item", "rating", "is_test")]
+    line = F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in fields])
+    ratings.select(line.alias("value"), F.when(F.col("is_test"), "test").otherwise("train").alias("side")).write.partitionBy("side").text(folder)
+
+
+def read_split(spark: SparkSession, folder: str, side: str, sep: str = "\t", mode: str = "strict") -> DataFrame:
+    """One side of :func:`write_split`; the other side's files are pruned."""
+    lines = spark.read.schema("value string, side string").text(folder).where(F.col("side") == side)
+    return parse_lines(lines.select("value"), sep, literal=True, mode=mode)
+
+
 # --------------------------------------------------------------------------
 # A4: repeated (user, item)
 # --------------------------------------------------------------------------

@@ -99,3 +99,54 @@ def test_report_json(spark):
     objs = [json.loads(line) for f in files for line in open(os.path.join(out, "r", f))]
     by = {o["section"]: o["metrics"] for o in objs}
     assert by == {"k=30": {"edges": 10.0, "mae": 1.5}, "data": {"test_cells": 4.0}}
+
+
+LINES = ["1::10::5::978300760", "2::11 ::3::98::x", " 3::12:: 4.5 ", "4::13", "x::1::2", "5::14::y::1", "6::15::2"]
+
+
+def _written(spark, lines):
+    folder = tempfile.mkdtemp(prefix="kinnear-test-", dir="/tmp") + "/lines"
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(folder)
+    return folder
+
+
+@pytest.mark.parametrize("sep", ["::", "\t", "|", "#@#"])
+def test_csv_source_reads_what_the_text_path_reads(spark, sep):
+    """Padded and extra fields, separators of one or more characters that are no pattern."""
+    from kinnear.sources.ratings import read_ratings_csv
+
+    good = _written(spark, [x.replace("::", sep) for x in LINES[:3] + LINES[6:]])
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    assert rows(read_ratings_csv(spark, good, sep)) == rows(read_ratings(spark, good, sep, literal=True)) == [
+        (1, 10, 5.0), (2, 11, 3.0), (3, 12, 4.5), (6, 15, 2.0)]
+    bad = _written(spark, [x.replace("::", sep) for x in LINES])
+    assert rows(read_ratings_csv(spark, bad, sep, "lenient")) == rows(read_ratings(spark, bad, sep, literal=True, mode="lenient"))
+    with pytest.raises(Exception, match="malformed rating line"):
+        read_ratings_csv(spark, bad, sep).collect()
+    quoted = _written(spark, ['"1"::2::3'.replace("::", sep), '7::8::"9'.replace("::", sep)])
+    assert rows(read_ratings_csv(spark, quoted, sep, "lenient")) == []
+
+
+def test_rejects_are_counted_in_the_reading_pass(spark):
+    from kinnear.sources.ratings import read_ratings_counted
+
+    ratings, seen = read_ratings_counted(spark, _written(spark, LINES), "::")
+    assert sorted(r.user for r in ratings.collect()) == [1, 2, 3, 6]
+    assert seen.get == {"lines": 7, "rejected": 3}
+    empty, none = read_ratings_counted(spark, _written(spark, []), "::")
+    assert empty.collect() == [] and none.get == {"lines": 0, "rejected": 0}
+
+
+def test_split_into_two_files(spark):
+    from kinnear.sources.ratings import read_split, write_split
+
+    rows = [(u, i, float(1 + (u + i) % 5), (u + i) % 3 == 0, 1000 + u) for u in range(20) for i in range(5)]
+    ratings = spark.createDataFrame(rows, "user long, item long, rating double, is_test boolean, at long")
+    folder = tempfile.mkdtemp(prefix="kinnear-test-", dir="/tmp") + "/split"
+    write_split(ratings, folder, "::")
+    for side in ("train", "test"):
+        found = read_split(spark, folder, side, "::")
+        assert sorted(map(tuple, found.collect())) == sorted(r[:3] for r in rows if r[3] == (side == "test"))
+        assert sorted(map(tuple, read_ratings(spark, f"{folder}/side={side}", "::").collect())) == sorted(map(tuple, found.collect()))
+        scan = read_split(spark, folder, side, "::")._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(side" in scan
