@@ -8,6 +8,7 @@ most e errors, best match first, which verifies the edits and gives the span.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -61,6 +62,32 @@ class Match:
     similarity: float
 
 
+def distinctive_words(notices: dict[str, int]) -> dict[str, set[str]]:
+    """The words of each notice that tell it from notices within both their errors; ``notices``: errors allowed.
+
+    Rivals have as many words; they can be mistaken for one another if the
+    words that differ are no longer than the errors of both.
+    """
+    found: dict[str, set[str]] = {n: set() for n in notices}
+    for a, e in notices.items():
+        for b, f in notices.items():
+            pairs = list(zip(a.split(), b.split())) if a != b and len(a.split()) == len(b.split()) else []
+            differ = [(x, y) for x, y in pairs if x != y]
+            if sum(max(len(x), len(y)) for x, y in differ) <= e + f:
+                found[a].update(x for x, _ in differ)
+    return found
+
+
+def settled(matches: list[Match]) -> list[Match]:
+    """The matches that stay where some overlap, by place."""
+    kept: list[Match] = []  # by place, none overlaps another
+    for m in sorted(matches, key=lambda m: (m.errors, m.first - m.last, m.label, m.first)):
+        at = bisect_left(kept, m.first, key=lambda k: k.last)
+        if at == len(kept) or m.last < kept[at].first:
+            kept.insert(at, m)
+    return kept
+
+
 class NoticeSearch:
     """The automaton of all pieces and one bounded-error pattern a notice."""
 
@@ -76,6 +103,7 @@ class NoticeSearch:
             for k in range(e + 1):
                 a, b = k * len(notice) // (e + 1), (k + 1) * len(notice) // (e + 1)
                 pieces.setdefault(notice[a:b], []).append((notice, a))
+        self.distinctive = distinctive_words(self.edits)
         self.automaton = ahocorasick.Automaton()
         for piece, owners in pieces.items():
             self.automaton.add_word(piece, (len(piece), owners))
@@ -94,17 +122,25 @@ class NoticeSearch:
                 hit = self.patterns[notice].search(joined, max(0, begin - e), begin + len(notice) + e)
                 if hit is None or not hit.end() > hit.start():
                     continue
-                tried[notice] = hit.end()
                 first = int(np.searchsorted(starts, hit.start(), "right")) - 1
                 if starts[first] < hit.start() and joined[hit.start()] == " ":
                     first += 1
                 last = int(np.searchsorted(starts, hit.end() - 1, "right")) - 1
+                if not self.distinctive[notice] <= set(joined[starts[first]:_word_end(joined, hit.end())].split(" ")):
+                    continue  # a rival's place, or one that says too little
+                tried[notice] = hit.end()
                 errors = sum(hit.fuzzy_counts)
                 label = self.notices[notice]
                 key = (label, first, last)
                 if key not in found or found[key].errors > errors:
                     found[key] = Match(label, first, last, errors, 1 - errors / len(notice))
-        return sorted(found.values(), key=lambda m: (m.first, m.last, m.label))
+        return settled(list(found.values()))
+
+
+def _word_end(joined: str, at: int) -> int:
+    """Where the word ends that the character before ``at`` belongs to."""
+    end = joined.find(" ", max(0, at - 1))
+    return len(joined) if end < 0 else end
 
 
 def words_of(text: str | None) -> list[bytes]:

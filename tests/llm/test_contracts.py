@@ -178,13 +178,15 @@ def test_license(docs):
 
 
 def test_fuzzy_notices():
-    """Every notice is found with as many typing errors as it allows, with its span."""
+    """Every notice is found with as many typing errors as it allows outside its distinctive words, with its span."""
     search = notices.NoticeSearch()
     for notice, label in notices.NOTICES.items():
         e = search.edits[notice]
         spoilt = list(notice)
+        exact = {i for m in re.finditer(r"\S+", notice) if m.group() in search.distinctive[notice] for i in range(*m.span())}
+        free = [i for i in range(len(notice)) if i not in exact]
         for k in range(e):  # spread over the notice
-            spoilt[(2 * k + 1) * len(notice) // (2 * e)] = "z"
+            spoilt[free[(2 * k + 1) * len(free) // (2 * e)]] = "z"
         n, _, found = notices.scan("before it " + "".join(spoilt) + " after it", search)
         assert any(m.label == label and m.errors <= e for m in found), notice
     _, _, found = notices.scan("aa bb Licensed under the Apache License, Version 2.0. cc", search)
@@ -192,6 +194,42 @@ def test_fuzzy_notices():
     assert notices.scan("nothing of this kind is here at all", search)[2] == []
 
 
+def test_rival_notices_are_settled():
+    """With any errors outside its distinctive words, alone or beside any other, a notice yields its own label and no more."""
+    import random
+
+    r = random.Random(4)
+    search = notices.NoticeSearch()
+    gpl = "licensed under the gnu general public license version "
+    assert search.distinctive[gpl + "2"] == {"2"} and search.distinctive["licensed under cc by nc 4 0"] == {"nc"}
+    assert search.distinctive["mozilla public license version 2 0"] == set()
+
+    def spoil(notice, e):
+        words = notice.split()
+        free = [(i, j) for i, w in enumerate(words) if w not in search.distinctive[notice] for j in range(len(w))]
+        for i, j in r.sample(free, e):
+            words[i] = words[i][:j] + "z" + words[i][j + 1:]
+        return " ".join(words)
+
+    for notice, label in notices.NOTICES.items():
+        for e in range(search.edits[notice] + 1):
+            for _ in range(5):
+                assert [m.label for m in notices.scan(f"aa bb {spoil(notice, e)} cc dd", search)[2]] == [label], (notice, e)
+    for a, first in notices.NOTICES.items():
+        for b, second in notices.NOTICES.items():
+            _, _, found = notices.scan(f"{spoil(a, 1)} and then {spoil(b, 1)}", search)
+            assert [m.label for m in found] == [first, second], (a, b)
+    for text in (gpl.strip(), gpl + "23", gpl + "4", "licensed under cc by 4 0", "licensed under cc by nd 4 0"):
+        assert notices.scan(text, search)[2] == [], text
+    assert [m.label for m in notices.scan(gpl + "2 or 3", search)[2]] == ["gpl-2.0"]
+
+
+def test_settled_matches():
+    made = [notices.Match(*m, 0.5) for m in [("a", 0, 5, 1), ("b", 4, 9, 0), ("c", 9, 9, 0), ("d", 10, 12, 2), ("e", 6, 11, 0), ("f", 0, 3, 3)]]
+    assert [m.label for m in notices.settled(made)] == ["f", "b", "d"]
+    assert [m.label for m in notices.settled(made * 2)] == ["f", "b", "d"]
+
+
 def test_language_model(docs):
     rows = collected(docs)
     train = [t for d, t in rows if fold(d) != 1]
