@@ -4,9 +4,11 @@ The items are ordered from rarely to often rated and cut into classes of about
 equal work (co-rating products).  Of every profile, which has length 1, the
 lengths of its parts above each class are kept (``heads``).
 
-1. *First pass.*  The rarest classes are multiplied; each user's best partners
-   there get their exact similarity, and the k-th largest of these is a lower
-   bound of the user's k-th similarity (``least``; 0 with fewer than k).
+1. *First pass.*  Some partners of each user get their exact similarity, and
+   the k-th largest of these is a lower bound of the user's k-th similarity
+   (``least``; 0 with fewer than k).  In dense data they are the users next to
+   it among those whose two heaviest cells are the same items with the same
+   signs; in sparse data the best ones by the products of the rarest classes.
 2. *Cut.*  By Cauchy and Schwarz the part of a user above class c adds at most
    ``heads[c]`` times the longest such part of anybody.  From the lowest class
    on where that is under the bound, two users who share nothing below cannot
@@ -31,6 +33,8 @@ from kinnear.session import materialize
 
 #: Classes of items, and those of them that the first pass multiplies.
 CLASSES, FIRST = 32, 3
+#: The first pass goes by signature if its products are at most this share of all, in parts of so many users.
+DENSE, GROUP_USERS = 0.1, 4096
 #: Partners of a user that get their exact similarity in the first pass, in multiples of k.
 PARTNERS = 3
 #: Ranks compare rounded similarities, so bounds are relaxed by two units of the last place.
@@ -73,16 +77,39 @@ def _completed(pairs: DataFrame, cells: DataFrame, above: Column) -> DataFrame:
     return pairs.join(rest, ["user", "neighbour"], "left").withColumn("sim", F.col("sim") + F.coalesce("rest", F.lit(0.0))).drop("rest")
 
 
-def least_similarity(cells: DataFrame, k: int, first: int = FIRST) -> DataFrame:
-    """(user, least): a lower bound of the k-th largest similarity of every user who has k partners among the rare items."""
+def seeds_by_signature(cells: DataFrame, k: int) -> DataFrame:
+    """(user, neighbour, sim = 0): users beside each other by their heaviest weight, within groups of equal heaviest cells.
+
+    A group is dealt into parts of bounded size by a hash, so no window holds a large one.
+    """
+    heavy = F.slice(F.sort_array(F.collect_list(F.struct(F.abs("weight").alias("a"), "item", F.signum("weight").alias("sign"))), asc=False), 1, 2)
+    # a user's own cells, cut to its heaviest before they are gathered
+    place = F.row_number().over(Window.partitionBy("user").orderBy(F.abs("weight").desc(), "item"))
+    named = cells.withColumn("_n", place).where(F.col("_n") <= 2).groupBy("user").agg(heavy.alias("h")).select(
+        "user", F.xxhash64(F.transform("h", lambda x: F.struct(x["item"], x["sign"]))).alias("group"), F.col("h")[0]["a"].alias("most"))
+    sizes = named.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / GROUP_USERS).alias("parts"))
+    dealt = named.join(sizes, "group").withColumn("part", F.pmod(F.xxhash64("user"), F.col("parts")))
+    order = Window.partitionBy("group", "part").orderBy("most", "user")
+    beside = F.collect_list("user").over(order.rowsBetween(1, -(-PARTNERS * k // 2)))
+    pairs = dealt.select("user", beside.alias("beside")).select("user", F.explode("beside").alias("neighbour"), F.lit(0.0).alias("sim"))
+    return both_directions(pairs)
+
+
+def seeds_by_rare_items(cells: DataFrame, k: int, first: int) -> DataFrame:
+    """(user, neighbour, sim): the best partners by the products of the ``first`` classes."""
     rare = cells.where(F.col("class") < first)
     a, b = _ends(rare, "user", "wa"), _ends(rare, "neighbour", "wb")
     met = a.join(b, "item").where(F.col("user") < F.col("neighbour")).groupBy("user", "neighbour").agg(
         F.sum(F.col("wa") * F.col("wb")).alias("sim"))
     directed = both_directions(met)
     likely = F.row_number().over(Window.partitionBy("user").orderBy(F.col("sim").desc(), "neighbour"))
-    likely = directed.withColumn("rn", likely).where(F.col("rn") <= PARTNERS * k).drop("rn")
-    exact = _completed(likely, cells, F.lit(first - 1)).where(F.col("sim") > 0)
+    return directed.withColumn("rn", likely).where(F.col("rn") <= PARTNERS * k).drop("rn")
+
+
+def least_similarity(cells: DataFrame, k: int, first: int = FIRST, dense: bool = False) -> DataFrame:
+    """(user, least): a lower bound of the k-th largest similarity of every user who has k partners in the first pass."""
+    seeds, multiplied = (seeds_by_signature(cells, k), 0) if dense else (seeds_by_rare_items(cells, k, first), first)
+    exact = _completed(seeds, cells, F.lit(multiplied - 1)).where(F.col("sim") > 0)
     place = F.row_number().over(Window.partitionBy("user").orderBy(F.col("sim").desc(), "neighbour"))
     return exact.withColumn("rn", place).where(F.col("rn") <= k).where(F.col("rn") == k).select("user", F.col("sim").alias("least"))
 
@@ -94,21 +121,24 @@ class Pruned:
     cells: DataFrame  # user, item, weight, class, n, cut, least, heads
     classes: int
     first: int
+    dense: bool
 
 
 def prepare(profiles: DataFrame, k: int, classes: int = CLASSES, first: int = FIRST) -> Pruned:
     """Classes, heads, bounds and cuts of a written profile table."""
     kinds = materialize(item_classes(profiles, classes))
     cells = materialize(profiles.select("user", "item", "weight").join(kinds, "item"))
+    size = kinds.agg(F.sum("n"), F.sum(F.col("n").cast("double") * F.col("n"))).first()
+    dense = PARTNERS * k * (size[0] or 0) <= DENSE * (size[1] or 0.0)
     heads = user_heads(cells, classes)
-    users = materialize(heads.join(least_similarity(cells, k, first), "user", "left").withColumn("least", F.coalesce("least", F.lit(0.0))))
+    users = materialize(heads.join(least_similarity(cells, k, first, dense), "user", "left").withColumn("least", F.coalesce("least", F.lit(0.0))))
     longest = users.agg(*[F.max(F.col("heads")[c]).alias(f"m{c}") for c in range(classes)]).first()
     reach = F.zip_with("heads", F.array(*[F.lit(float(m or 0.0)) for m in longest]), lambda mine, most: mine * most)
     under = F.transform(reach, lambda x: x < F.col("least") - SLACK)  # lengths fall with the class: false .. true
     first_under = F.array_position(under, True).cast("int")  # from 1; 0 if none is
     cut = F.when(first_under > 0, first_under - 1).otherwise(classes - 1)  # classes up to the cut are multiplied
     users = users.withColumn("cut", cut)
-    return Pruned(materialize(cells.join(users, "user")), classes, first)
+    return Pruned(materialize(cells.join(users, "user")), classes, first, dense)
 
 
 def pair_sums(p: Pruned) -> DataFrame:
@@ -146,13 +176,14 @@ def pruned_similarities(profiles: DataFrame, k: int, classes: int = CLASSES, fir
 
 
 def products(profiles: DataFrame, k: int, classes: int = CLASSES, first: int = FIRST) -> DataFrame:
-    """One row of counted products: ``plain`` (all co-ratings, each once), ``first_pass``, ``second_pass``, ``completion``."""
+    """One row of counted products: ``plain`` (all co-ratings, each once), ``first_pass`` (at most), ``second_pass``, ``completion``."""
     p = prepare(profiles, k, classes, first)
     pairs = lambda n: n * (n - 1) / 2
     head = F.sum((F.col("class") > F.col("cut")).cast("long"))
     items = p.cells.groupBy("item", "class").agg(F.count(F.lit(1)).alias("n"), head.alias("h"))
     counted = items.agg(
-        F.sum(pairs(F.col("n"))).alias("plain"), F.sum(F.when(F.col("class") < first, pairs(F.col("n")))).alias("first_pass"),
+        F.sum(pairs(F.col("n"))).alias("plain"),
+        (F.lit(float(PARTNERS * k)) * F.sum("n") if p.dense else F.sum(F.when(F.col("class") < first, pairs(F.col("n"))))).alias("first_pass"),
         F.sum(pairs(F.col("n")) - pairs(F.col("h"))).alias("second_pass"))
     left = survivors(p, pair_sums(p))
     mine = p.cells.select("user", "item", "class")
