@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from itertools import repeat
 from unicodedata import is_normalized
 
 import numpy as np
@@ -30,8 +29,10 @@ from kinnear.llm.words import LOWER, NOT_SPACE, buffer_of, chunks, span_hashes,
 SHARD_TOKENS = 1 << 20
 #: The id appended to every document.
 END_ID = 2
-#: Distinct pieces of words whose ids a Python worker remembers before it starts anew.
-MEMORY = 800_000
+#: Bytes of distinct pieces and their ids that a Python worker remembers before it starts anew (about a million pieces).
+MEMORY_BYTES = 32 << 20
+#: Text bytes encoded at a time; one longer document is encoded alone.
+TEXT_BYTES = 1 << 19
 #: Trailing marks of a word looked at one by one.
 MARKS = 64
 
@@ -45,6 +46,49 @@ _PLAIN = np.zeros(256, bool)
 _PLAIN[list(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")] = True
 
 
+class Pieces:
+    """The ids of known pieces: sorted hashes beside their numbers, and one growing buffer of ids."""
+
+    def __init__(self):
+        self.hashes, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.ids, self.n_ids = np.zeros(1 << 12, np.uint32), 0
+        self.ends, self.count = np.zeros(1 << 12, np.int64), 0  # piece i has the ids from ends[i] to ends[i + 1]
+
+    @property
+    def nbytes(self) -> int:
+        return self.hashes.nbytes + self.numbers.nbytes + 4 * self.n_ids + 8 * self.count
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The pieces' numbers, -1 for new ones."""
+        if not len(self.hashes):
+            return np.full(len(hashes), -1, np.int64)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, self.numbers[at], -1).astype(np.int64)
+
+    def add(self, hashes: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Takes in new pieces with their ids, one after another; their numbers."""
+        numbers = np.arange(self.count, self.count + len(hashes))
+        self.ids = _room(self.ids, self.n_ids + len(ids))
+        self.ids[self.n_ids:self.n_ids + len(ids)] = ids
+        self.ends = _room(self.ends, self.count + len(hashes) + 1)
+        self.ends[self.count + 1:self.count + 1 + len(hashes)] = self.n_ids + np.cumsum(lengths)
+        self.n_ids, self.count = self.n_ids + len(ids), self.count + len(hashes)
+        order = np.argsort(hashes)
+        place = np.searchsorted(self.hashes, hashes[order])
+        self.hashes = np.insert(self.hashes, place, hashes[order])
+        self.numbers = np.insert(self.numbers, place, numbers[order])
+        return numbers
+
+
+def _room(buffer: np.ndarray, n: int) -> np.ndarray:
+    """The buffer, or one half as large again with the same beginning."""
+    if n <= len(buffer):
+        return buffer
+    grown = np.zeros(max(n, len(buffer) * 3 // 2), buffer.dtype)
+    grown[:len(buffer)] = buffer
+    return grown
+
+
 class Encoder:
     """Ids of whole texts, from the ids of their distinct pieces.
 
@@ -67,46 +111,43 @@ class Encoder:
 
     def __init__(self, path: str):
         self.tokenizer = tokenizers.Tokenizer.from_file(path)
+        self.own = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
         # words of lower-case letters in composed form need neither its normaliser nor its pattern
-        self.plain = tokenizers.Tokenizer.from_file(path)
-        self.plain.normalizer = tokenizers.normalizers.Sequence([])
-        self.plain.pre_tokenizer = tokenizers.pre_tokenizers.Sequence([
+        self.bare = tokenizers.normalizers.Sequence([]), tokenizers.pre_tokenizers.Sequence([
             tokenizers.pre_tokenizers.WhitespaceSplit(), tokenizers.pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocabulary = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a pre-token
         self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self._forget()
+        self.pieces = Pieces()
 
-    def _forget(self) -> None:
-        self.known: dict[int, int] = {}
-        self.ids = np.zeros(0, np.uint32)
-        self.ends = np.zeros(1, np.int64)
+    def _ids(self, parts: tuple, texts: list[str]) -> list[list[int]]:
+        """The ids of each text under the tokenizer's own or the bare parts; its model is held once."""
+        self.tokenizer.normalizer, self.tokenizer.pre_tokenizer = parts
+        return [found.ids for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _encode_words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, number of ids of each) of plain words: encoded as one text, cut at word ends."""
-        ids = np.array(self.plain.encode_batch_fast([" ".join(texts)], add_special_tokens=False)[0].ids, np.uint32)
+        ids = np.array(self._ids(self.bare, [" ".join(texts)])[0], np.uint32)
         cuts = np.flatnonzero(self.last[ids]) + 1
         if len(cuts) == len(texts) and cuts[-1] == len(ids):
             return ids, np.diff(cuts, prepend=0)
         return self._encode_each(texts)
 
     def _encode_each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [f.ids for f in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        found = self._ids(self.own, texts)
         return np.array([i for ids in found for i in ids], np.uint32), np.array([len(ids) for ids in found], np.int64)
 
-    def _learn(self, hashes: list[int], pieces: list[bytes]) -> np.ndarray:
+    def _learn(self, hashes: np.ndarray, pieces: list[bytes]) -> np.ndarray:
         """Encodes new pieces; their numbers."""
         texts = [p.decode("utf-8", "replace") for p in pieces]
         plain = [t.isalpha() and t.lower() == t and is_normalized("NFC", t) for t in texts]
         words, others = ([i for i, p in enumerate(plain) if p == kind] for kind in (True, False))
-        parts = [(words[i:i + 2000], self._encode_words) for i in range(0, len(words), 2000)] + [(others, self._encode_each)] * bool(others)
+        parts = [(words[i:i + 2000], self._encode_words) for i in range(0, len(words), 2000)]
+        parts += [(others[i:i + 2000], self._encode_each) for i in range(0, len(others), 2000)]
+        order = np.array([i for which, _ in parts for i in which], np.int64)
+        found = [encode([texts[i] for i in which]) for which, encode in parts]
         numbers = np.zeros(len(pieces), np.int64)
-        for which, encode in parts:
-            ids, n = encode([texts[i] for i in which])
-            numbers[which] = np.arange(len(self.ends) - 1, len(self.ends) - 1 + len(which))
-            self.ids = np.concatenate([self.ids, ids])
-            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(n)])
-        self.known.update(zip(hashes, numbers.tolist()))
+        numbers[order] = self.pieces.add(hashes[order], np.concatenate([ids for ids, _ in found]), np.concatenate([n for _, n in found]))
         return numbers
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
@@ -140,22 +181,22 @@ class Encoder:
         which, distinct = pd.factorize(span_hashes(text, begin, end))
         sample = np.zeros(len(distinct), np.int64)
         sample[which[::-1]] = np.arange(len(which))[::-1]
-        if len(self.known) > MEMORY:
-            self._forget()
-        hashes = distinct.tolist()
-        number = np.fromiter(map(self.known.get, hashes, repeat(-1)), np.int64, len(hashes))
+        if self.pieces.nbytes > MEMORY_BYTES:
+            self.pieces = Pieces()
+        number = self.pieces.find(distinct)
         new = np.flatnonzero(number < 0)
         if len(new):
             raw, at = text.tobytes(), sample[new]
-            number[new] = self._learn(distinct[new].tolist(), [raw[a:b] for a, b in zip(begin[at].tolist(), end[at].tolist())])
+            number[new] = self._learn(distinct[new], [raw[a:b] for a, b in zip(begin[at].tolist(), end[at].tolist())])
         number = number[which]
-        n_ids = self.ends[number + 1] - self.ends[number]
+        known = self.pieces.ends
+        n_ids = known[number + 1] - known[number]
         before = np.concatenate([[0], np.cumsum(n_ids)])
         ids_before = before[piece[first]]  # ids before each document, without ends
         out = np.full(int(before[-1]) + len(texts), end_id, np.uint32)
         doc = np.repeat(np.arange(len(texts)), np.diff(piece[first]))
         step = np.arange(int(before[-1])) - np.repeat(before[:-1], n_ids)
-        out[np.repeat(before[:-1] + doc, n_ids) + step] = self.ids[np.repeat(self.ends[number], n_ids) + step]
+        out[np.repeat(before[:-1] + doc, n_ids) + step] = self.pieces.ids[np.repeat(known[number], n_ids) + step]
         return out, ids_before[1:] + np.arange(1, len(texts) + 1)
 
 
@@ -176,7 +217,7 @@ def _shards(path: str, end_id: int, shard_tokens: int):
                 names=["part", "shard", "start", "n_tokens", "doc_ids", "doc_ends", "matrix"])
 
         for batch in batches:
-            for piece in chunks(batch, "text", 2 << 20):
+            for piece in chunks(batch, "text", TEXT_BYTES):
                 encoder = encoder or Encoder.shared(path)
                 found, stops = encoder.encode(text_column(piece, "text"), end_id)
                 begin = 0
