@@ -316,15 +316,98 @@ def test_mixture(docs):
     assert mixed.columns == docs.columns and mixed.count() == int(found.epochs.sum())
 
 
-def test_budgets_by_hand():
+def budgets(spark, leaves, total=None, weights=None, epochs=mixing.EPOCHS):
+    table = spark.createDataFrame(leaves, "domain string, lang string, source string, tokens long")
+    return {tuple(r)[:3]: r.leaf_budget for r in mixing.leaf_budgets(table, total, weights, epochs).collect()}
+
+
+def test_budgets_by_hand(spark):
     """Siblings take a shortage before other branches do."""
     leaves = [("a", "en", "x", 10), ("a", "en", "y", 1000), ("a", "fr", "z", 10), ("b", "en", "w", 1000)]
-    found = mixing.leaf_budgets(leaves, 800, epochs=1)
+    found = budgets(spark, leaves, 800, epochs=1)
     # a: 400, of which fr can give 10 and en takes 390 (x 10, y 380); b: 400
     assert found == {("a", "en", "x"): 10, ("a", "en", "y"): 380, ("a", "fr", "z"): 10, ("b", "en", "w"): 400}
-    assert sum(mixing.leaf_budgets(leaves, 10**9, epochs=2).values()) == 2 * 2020
-    assert mixing.leaf_budgets(leaves, 100, {("a",): 0.0}, 1)[("b", "en", "w")] == 100
-    assert mixing.leaf_budgets([], 10) == {}
+    assert sum(budgets(spark, leaves, 10**9, epochs=2).values()) == 2 * 2020
+    assert budgets(spark, leaves, 100, {("a",): 0.0}, 1)[("b", "en", "w")] == 100
+    assert budgets(spark, [], 10) == {}
+    # weightless children have what the others leave, by what they can give
+    assert budgets(spark, leaves, 1510, {("a",): 0.0}, 1) == {
+        ("a", "en", "x"): 10, ("a", "en", "y"): 490, ("a", "fr", "z"): 10, ("b", "en", "w"): 1000}
+    assert budgets(spark, [("a", "en", s, 0) for s in "xyz"], 10) == {("a", "en", s): 0 for s in "xyz"}
+
+
+def brute_shares(children, given):
+    """Budgets of (weight, capacity) pairs, in rounds: whoever is full leaves, the rest is shared again."""
+    out, left, open_ones = [0.0] * len(children), min(given, sum(c for _, c in children)), set(range(len(children)))
+    weight = [w for w, _ in children]
+    while open_ones and left > 1e-9:
+        total = sum(weight[i] for i in open_ones)
+        if total <= 0:
+            for i in open_ones:
+                weight[i] = children[i][1]
+            total = sum(weight[i] for i in open_ones)
+            if total <= 0:
+                break
+        full = [i for i in open_ones if left * weight[i] / total >= children[i][1]]
+        for i in full or open_ones:
+            out[i] = children[i][1] if full else left * weight[i] / total
+        if not full:
+            break
+        left -= sum(children[i][1] for i in full)
+        open_ones -= set(full)
+    return out
+
+
+def brute_budgets(leaves, total, weights, epochs):
+    def below(path, rows, given):
+        if len(path) == 3:
+            return {path: given}
+        names = sorted({r[len(path)] for r in rows})
+        parts = [[r for r in rows if r[len(path)] == n] for n in names]
+        shares = brute_shares([(weights.get((*path, n), 1.0), float(epochs * sum(r[3] for r in p))) for n, p in zip(names, parts)], given)
+        return {k: v for n, p, x in zip(names, parts, shares) for k, v in below((*path, n), p, x).items()}
+
+    return below((), leaves, float(total))
+
+
+def test_budgets_against_rounds(spark):
+    import random
+
+    r = random.Random(9)
+    for trial in range(6):
+        leaves = sorted({(f"d{r.randrange(3)}", r.choice(["en", "fr", "de"]), f"s{r.randrange(8)}"): r.choice([0, 1, 5, 5, 40, 3000]) for _ in range(25)}.items())
+        leaves = [(*k, n) for k, n in leaves]
+        paths = {k[:d] for *k, _ in leaves for d in (1, 2, 3) for k in [tuple(k)]}
+        weights = {p: r.choice([0.0, 0.5, 1.0, 7.0]) for p in paths if r.random() < 0.6}
+        total, epochs = r.choice([1, 50, 700, 5000, 10**6]), r.choice([1, 3])
+        found, want = budgets(spark, leaves, total, weights, epochs), brute_budgets(leaves, total, weights, epochs)
+        assert found.keys() == want.keys() and max(abs(found[k] - want[k]) for k in want) <= 0.5 + 1e-6, (trial, total, epochs)
+
+
+@pytest.mark.parametrize("leaves_out", [mixing.LEAVES_OUT, 0])
+@pytest.mark.parametrize("total", [None, 37, 5000, 100_000])
+def test_drawn_prefix(docs, spark, monkeypatch, total, leaves_out):
+    """Each leaf's documents of every epoch, against all of them in their order, ties and repeated rows included."""
+    monkeypatch.setattr(mixing, "LEAVES_OUT", leaves_out)
+    docs = docs.unionByName(docs.limit(9))  # rows that repeat
+    found = mixing.mixture(docs, total)
+    placed = found.withColumn("__id", F.col("doc_id")).withColumn("__key", F.col("text_key")).withColumn(
+        "place", mixing._order(F.floor(F.col("leaf_budget") / F.sum("tokens").over(mixing.Window.partitionBy("domain", "lang", "source"))), mixing.SEED))
+    leaves = {}
+    for r in placed.collect():
+        leaves.setdefault((r.domain, r.lang, r.source), []).append(r)
+    want = brute_budgets([(*k, sum(r.tokens for r in v)) for k, v in leaves.items()], total or sum(r.tokens for v in leaves.values() for r in v), {}, mixing.EPOCHS)
+    for leaf, rows in leaves.items():
+        have, budget = sum(r.tokens for r in rows), rows[0].leaf_budget
+        assert abs(budget - want[leaf]) <= 0.5 + 1e-6
+        whole, rest = divmod(budget, have)
+        name = lambda r: (r.place % 2**64, r.doc_id is not None, r.doc_id or 0, r.text_key)
+        before, sums = 0, {}
+        for r in sorted(rows, key=name):  # rows that repeat share the sum before the first of them
+            sums.setdefault(name(r), before)
+            before += r.tokens
+        for r in rows:
+            assert r.epochs == whole + (sums[name(r)] < rest)
 
 
 def test_line_rules(docs):
