@@ -1,10 +1,10 @@
 """Cross-document line frequency within a host (DataFrame functions only).
 
-A line is normalised to its letters in lower case and hashed.  Lines found in
-too many distinct texts of one host are boilerplate: they are removed, and a
-document left with too little of itself is rejected, as is one that fails the
-base rules on length and repetition.  Exact copies of a text count once, so a
-text is not boilerplate to itself because it was crawled often.
+A line is normalised to its letters in lower case, one without letters to what
+stands between its blanks, and hashed.  Lines found in too many distinct
+documents of one host are boilerplate: they are removed, and a document left
+with too little of itself is rejected, as is one that fails the base rules on
+length and repetition.
 """
 
 from __future__ import annotations
@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from kinnear.llm.tables import stage
 
-#: A line is too frequent in more distinct texts of its host than both of these.
-LEAST_TEXTS, TEXT_SHARE = 25, 0.05
+#: A line is too frequent in more than this share of its host's documents, but not in LEAST_DOCS or fewer,
+#: and in more than MOST_DOCS whatever the share, so a large host is not exempt.
+LEAST_DOCS, DOC_SHARE, MOST_DOCS = 25, 0.05, 100
 #: At least this share of a document's line characters must remain.
 LEFT = 0.5
 #: Base rules: fewest words; largest percentage of words in repeated 3-word windows.
@@ -88,7 +89,8 @@ def _hash(packed: Column, n: Column) -> Column:
 
 
 def _normalised(line: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}]+", " "))
+    letters = F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}]+", " "))
+    return F.when(letters != "", letters).otherwise(F.regexp_replace(line, rf"^{_BLANKS}|{_BLANKS}$", ""))
 
 
 def document_table(docs: DataFrame) -> DataFrame:
@@ -99,9 +101,6 @@ def document_table(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("words", word_array(F.col("text"))).withColumn(
         "lines", F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
     n = F.size("words")
-    lines = F.filter(
-        F.transform("lines", lambda x: F.struct(_normalised(x).alias("norm"), F.length(x).alias("chars"))),
-        lambda x: x.norm != "")
     return rows.select(
         "doc_id", "host", F.xxhash64("text").alias("text_key"),
         n.cast("long").alias("n_words"),
@@ -109,27 +108,26 @@ def document_table(docs: DataFrame) -> DataFrame:
         F.size(F.regexp_extract_all("text", F.lit("[#*$%&|<>]"), F.lit(0))).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         repeated_words(F.col("words"), n).alias("n_repeat_words"),
-        F.transform(lines, lambda x: F.struct(F.xxhash64(x.norm).alias("line"), x.chars.alias("chars"))).alias("lines"),
+        F.transform("lines", lambda x: F.struct(F.xxhash64(_normalised(x)).alias("line"), F.length(x).alias("chars"))).alias("lines"),
     )
 
 
 def frequent_lines(table: DataFrame) -> DataFrame:
     """(host, line) of the lines above the limit, from a document table."""
-    seen = table.select("host", "text_key", F.explode("lines.line").alias("line")).groupBy("host", "line", "text_key").agg(F.lit(1).alias("one"))
-    counts = seen.groupBy("host", "line").agg(F.count("*").alias("texts"))
-    hosts = table.groupBy("host", "text_key").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count("*").alias("all_texts"))
-    return (
-        counts.where(F.col("texts") > LEAST_TEXTS).join(hosts, "host")
-        .where(F.col("texts") > TEXT_SHARE * F.col("all_texts")).select("host", "line")
-    )
+    seen = table.select("host", "doc_id", F.explode("lines.line").alias("line")).groupBy("host", "line", "doc_id").agg(F.lit(1).alias("one"))
+    counts = seen.groupBy("host", "line").agg(F.count("*").alias("docs"))
+    hosts = table.groupBy("host", "doc_id").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count("*").alias("all_docs"))
+    limit = F.least(F.greatest(F.lit(float(LEAST_DOCS)), DOC_SHARE * F.col("all_docs")), F.lit(float(MOST_DOCS)))
+    return counts.where(F.col("docs") > LEAST_DOCS).join(hosts, "host").where(F.col("docs") > limit).select("host", "line")
 
 
 def line_rules(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: ids, base statistics, removed (array of line hashes), base_failed, kept.
 
     Null and empty texts have no words and fail the base rule; a null source
-    is a host of its own; repeated rows each get their row; a document
-    without letters has nothing to remove.  Other columns are not read.
+    is a host of its own; repeated rows each get their row; rows that repeat
+    an id are one document for the counts, rows without one too.  Other
+    columns are not read.
     """
     table = stage(document_table(docs))
     lines = table.select("doc_id", "text_key", "host", F.explode("lines").alias("l")).select("doc_id", "text_key", "host", "l.line", "l.chars")
@@ -158,7 +156,11 @@ def line_rules(docs: DataFrame) -> DataFrame:
 
 
 def clean_documents(docs: DataFrame) -> DataFrame:
-    """The kept rows of ``docs`` (all columns), their too frequent lines taken out of ``text``."""
+    """The kept rows of ``docs`` (all columns), their too frequent lines taken out of ``text``.
+
+    Odd rows as in :func:`line_rules`: null and empty texts fail the base rule
+    and go; rows that repeat an id and text are kept or go together.
+    """
     kept = line_rules(docs).where("kept").select(
         F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.col("removed").alias("__removed")).dropDuplicates(["__id", "__key"])
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))

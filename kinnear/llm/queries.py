@@ -9,7 +9,7 @@ import public_tokenizers
 
 from kinnear.llm.disclosure import sanitisation, span_text
 from kinnear.llm.license import license_scan, with_score
-from kinnear.llm.linefreq import LEAST_TEXTS, LEFT, TEXT_SHARE, line_rules
+from kinnear.llm.linefreq import DOC_SHARE, LEAST_DOCS, LEFT, MOST_DOCS, line_rules
 from kinnear.llm.mixing import mixture
 from kinnear.llm.neural import lm_scores
 from kinnear.llm.passages import shared_passages
@@ -160,11 +160,11 @@ again AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(rang
 lines AS (SELECT doc_id, host, text, l FROM (SELECT doc_id, host, text, unnest(string_split(text, chr(10))) AS l FROM d)
           WHERE regexp_matches(l, '[^\x20\x09-\x0D]')),
 dup AS (SELECT doc_id, count(*) - count(DISTINCT l) AS n FROM lines GROUP BY 1),
-norm AS (SELECT doc_id, host, text, trim(regexp_replace(lower(l), '[^\p{L}]+', ' ', 'g')) AS z, length(l) AS c FROM lines),
-known AS (SELECT * FROM norm WHERE z <> ''),
-often AS (SELECT a.host, a.z FROM (SELECT host, z, count(DISTINCT text) AS n FROM known GROUP BY 1, 2) a
-          JOIN (SELECT host, count(DISTINCT text) AS n FROM d GROUP BY 1) b ON a.host = b.host
-          WHERE a.n > {least} AND a.n > {share} * b.n),
+norm AS (SELECT doc_id, host, l, trim(regexp_replace(lower(l), '[^\p{L}]+', ' ', 'g')) AS z, length(l) AS c FROM lines),
+known AS (SELECT doc_id, host, c, CASE WHEN z <> '' THEN z ELSE regexp_replace(l, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') END AS z FROM norm),
+often AS (SELECT a.host, a.z FROM (SELECT host, z, count(DISTINCT doc_id) AS n FROM known GROUP BY 1, 2) a
+          JOIN (SELECT host, count(DISTINCT doc_id) AS n FROM d GROUP BY 1) b ON a.host = b.host
+          WHERE a.n > least(greatest({least}, {share} * b.n), {most})),
 left_over AS (SELECT doc_id, sum(c) AS t, sum(CASE WHEN o.z IS NULL THEN c ELSE 0 END) AS rest, count(DISTINCT o.z) AS n
               FROM known k LEFT JOIN often o ON k.host = o.host AND k.z = o.z GROUP BY 1),
 base AS (
@@ -301,7 +301,7 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM u L
 """.replace("{rules}", ", ".join(map(str, URL_RULES)))
 
 ORACLE = {
-    "op7_line_rules": _OP7.replace("{least}", str(LEAST_TEXTS)).replace("{share}", str(TEXT_SHARE)).replace("{left}", str(LEFT)),
+    "op7_line_rules": _OP7.replace("{least}", str(LEAST_DOCS)).replace("{share}", str(DOC_SHARE)).replace("{most}", str(MOST_DOCS)).replace("{left}", str(LEFT)),
     "op10_decontaminate": _OP10,
     "op11_turns": _OP11,
     "op12_resample": _OP12,
