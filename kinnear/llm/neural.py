@@ -111,18 +111,25 @@ class Units:
 
 
 def learn_units(counts: DataFrame) -> Units:
-    """Totals, the head and the class sums of all counted tokens (sizes don't grow with the data)."""
+    """Totals, the head and the class sums of all counted tokens (sizes don't grow with the data).
+
+    The head has HEAD tokens, or all if there are fewer: by count, of equal
+    counts those with the smallest hash.
+    """
     sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    # at most HEAD tokens: those above the lowest sixteenth of a power of two that leaves so many
+    # whole sixteenths of powers of two from the top, then as many of the next one as there is room for
     step = F.floor(F.log2("c") * 16)
     steps = counts.groupBy(step.alias("step")).agg(F.count("*").alias("n")).orderBy(F.desc("step")).collect()
-    least, many = None, 0
+    least, cut, many = None, None, 0
     for r in steps:
-        many += r.n
-        if many > HEAD:
+        if many + r.n > HEAD:
+            cut = r.step
             break
-        least = r.step
+        least, many = r.step, many + r.n
     found = counts.where(step >= least).collect() if least is not None else []
+    if cut is not None and many < HEAD:
+        order = [F.desc("c"), F.xxhash64("token"), "token"]
+        found += counts.where(step == cut).orderBy(*order).limit(HEAD - many).collect()
     head = sorted(((bytes(r.token), int(r.c)) for r in found), key=lambda x: (-x[1], x[0]))
     units = Units(int(sums.n), int(sums.v), {w: i for i, (w, _) in enumerate(head)},
                   np.array([c for _, c in head], float), np.full(CLASSES, 0.5))
