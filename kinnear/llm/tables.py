@@ -35,10 +35,16 @@ def id_fold(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 5
 
 
+#: Places in which a key's vectors are added up before they meet.
+SALTS = 16
+
+
 def sum_vectors(parts: DataFrame) -> DataFrame:
     """(key, vector): element-wise sums of ``parts(key long, vector array<double>)`` by key.
 
     Each task streams through its sorted rows and holds one vector at a time.
+    A key has a row from every task that made ``parts``, so its rows are added
+    up in SALTS places first.
     """
 
     def add(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -54,4 +60,7 @@ def sum_vectors(parts: DataFrame) -> DataFrame:
         if total is not None:
             yield pd.DataFrame({"key": [key], "vector": [total]})
 
-    return parts.repartition("key").sortWithinPartitions("key").mapInPandas(add, "key long, vector array<double>")
+    def summed(rows: DataFrame, *by: str) -> DataFrame:
+        return rows.repartition(*by).sortWithinPartitions("key").select("key", "vector").mapInPandas(add, "key long, vector array<double>")
+
+    return summed(summed(parts.withColumn("salt", F.spark_partition_id() % SALTS), "key", "salt"), "key")
