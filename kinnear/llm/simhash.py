@@ -215,9 +215,16 @@ def keep_one(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         rows.join(groups, "fp")
         .groupBy("label")
         .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("k"))
-        .select(F.col("k.doc_id").alias("__kept_id"), F.col("k.text_key").alias("__kept_key"))
+        .select("k.none", F.coalesce("k.doc_id", F.lit(0)).alias("id"), F.col("k.text_key").alias("key"))
+        .toDF(*_ROW_KEY)
         .distinct()
     )
-    keyed = docs.withColumn("__text_key", F.xxhash64(F.col("text").cast("string")))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__kept_id")) & (F.col("__text_key") == F.col("__kept_key"))
-    return keyed.join(kept, same, "left_semi").dropDuplicates(["doc_id", "__text_key"]).drop("__text_key")
+    # the join and the removal of repeated rows go by the same columns, so the texts are shuffled once
+    number = F.col("doc_id").cast("long")
+    keyed = docs.select("*", *[c.alias(n) for c, n in zip(
+        (number.isNull(), F.coalesce(number, F.lit(0)), F.xxhash64(F.col("text").cast("string"))), _ROW_KEY)])
+    return keyed.join(kept, _ROW_KEY, "left_semi").dropDuplicates(_ROW_KEY).select(docs.columns)
+
+
+#: Names of the columns that tell rows apart: no id, the id, the text's hash.
+_ROW_KEY = ["__no_id", "__id", "__text_key"]
