@@ -299,6 +299,22 @@ def test_language_model_learns(spark):
     assert held.s > held.b + 0.05 * held.n
 
 
+def test_head_is_full_under_ties(spark):
+    """Equal counts don't empty the head; who is in it doesn't depend on the partitions."""
+    def units(rows):
+        return neural.learn_units(rows.select(F.concat(F.lit("w"), "id").cast("binary").alias("token"), F.col("c").cast("long").alias("c")))
+
+    once = spark.range(100_000)
+    for c in (F.lit(1), F.when(F.col("id") < 5, 900).when(F.col("id") < 70_000, 40).otherwise(1), F.when(F.col("id") < 1000, 1000 + F.col("id")).otherwise(7)):
+        found = units(once.withColumn("c", c))
+        assert len(found.head) == neural.HEAD and found.outputs == neural.OUTPUTS
+        assert sorted(found.counts, reverse=True) == list(found.counts)
+        assert units(once.withColumn("c", c).repartition(7)).head == found.head
+    few = units(spark.range(200).withColumn("c", F.lit(3)))
+    assert len(few.head) == 200 == few.outputs
+    assert len(units(spark.range(0).withColumn("c", F.lit(3))).head) == 0
+
+
 def test_mixture(docs):
     found = mixing.mixture(docs).toPandas()
     assert len(found) == docs.count()
@@ -446,8 +462,27 @@ def test_frequent_lines(spark):
     assert len(found[100].removed) == 1 and not found[100].kept
     assert found[200].removed == [] and found[200].kept
     assert {r.doc_id for r in linefreq.clean_documents(docs).where(F.col("text").contains("Subscribe")).collect()} == {200}
-    copies = spark.createDataFrame([(i, f"{body(1)}\n{line}", "h") for i in range(40)], "doc_id long, text string, source string")
-    assert linefreq.line_rules(copies).where("kept").count() == 40  # copies of one text are one text
+    # documents are counted: a text in more of them than the limit is boilerplate, rows that repeat an id are one document
+    for ids, kept in ((range(40), 0), (range(25), 25), ([1] * 40, 40)):
+        copies = spark.createDataFrame([(i, f"{body(1)}\n{line}", "h") for i in ids], "doc_id long, text string, source string")
+        assert linefreq.line_rules(copies).where("kept").count() == kept
+
+
+def test_limits_of_small_and_large_hosts(spark):
+    """5 % of the host's documents, never under 25 nor over 100; lines without letters count as they are."""
+    words = " ".join(f"v{j}" for j in range(50))
+    lines = {"large": (3000, {"in one hundred": 100, "in one more": 101, "== 12 ==": 150, "-- 7 --": 90}), "middle": (1000, {"fifty": 50, "fifty one": 51}),
+             "small": (60, {"twenty five": 25, "twenty six": 26, "#": 30})}
+    rows, number = [], 0
+    for host, (n, often) in lines.items():
+        for i in range(n):
+            own = [f" {x}\t" if i % 2 and not x[0].isalpha() else x for x, m in often.items() if i < m]
+            rows.append((number, "\n".join([*own, f"{words} {host} " + "".join(chr(97 + int(d)) for d in str(number))]), host))
+            number += 1
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    clean = {r.doc_id: r.text for r in linefreq.clean_documents(docs).collect()}
+    left = {x.strip() for t in clean.values() for x in t.split("\n")[:-1]}
+    assert len(clean) == len(rows) and left == {"in one hundred", "-- 7 --", "fifty", "twenty five"}
 
 
 PATTERNS = {
