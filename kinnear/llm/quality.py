@@ -76,13 +76,14 @@ def statistics(texts: pa.Array) -> np.ndarray:
     odd = np.zeros(len(hashes))
     if len(hashes):
         odd = (~ALNUM[lowered[ends - 1]] & ~np.isin(data[ends - 1], [46, 44])).astype(float)
-    two = mix(hashes * np.uint64(3) + np.roll(hashes, -1)) if len(hashes) else hashes
+    inside = doc[1:] == doc[:-1]  # a pair of words lies in one text
+    two = mix(hashes[:-1] * np.uint64(3) + hashes[1:])[inside]
     columns += [
         np.log1p(words),
         _share(sums(length, first), words),
         np.sqrt(np.maximum(_share(sums(length**2, first), words) - _share(sums(length, first), words) ** 2, 0)),
         _share(_repeats(hashes, doc, n), words),
-        _share(_repeats(two, doc, n), words),
+        _share(_repeats(two, doc[:-1][inside], n), words),
         _share(sums(same, first), words),
         _share(sums(odd, first), words),
         np.log1p(_share(words, 1 + sums(data == 10, offsets))),
@@ -241,7 +242,10 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
     """The rows of ``docs``, all columns, whose score reaches the threshold.
 
     The texts are read twice (once for the fit, once to filter), which needs
-    no shuffle of texts.
+    no shuffle of texts.  Null and empty texts have a score like any other,
+    repeated rows stay or go together, rows without an id are scored too; a
+    table without labelled rows keeps what the untrained score reaches, and an
+    empty one gives no rows.
     """
     model = fit(stage(document_statistics(docs)), labels)
 
