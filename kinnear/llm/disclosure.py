@@ -159,12 +159,20 @@ def document_frequency(docs: DataFrame) -> DataFrame:
 
 
 def disclosing_terms(found: DataFrame, frequency: DataFrame, n_docs: int, support: int = SUPPORT) -> DataFrame:
-    """(entity, term, strength) of the terms that reveal an identifier at least ``GENERALISE`` of the way."""
+    """(entity, term, strength) of the terms that reveal an identifier at least ``GENERALISE`` of the way.
+
+    Identifiers that stand in the same documents (a list and its copies) have
+    the same counts with every term; the smallest of them speaks for all, so a
+    list of many identifiers and many terms is not multiplied out.
+    """
     # a document counts once for a pair; rows that repeat an id count by their texts
     once = stage(found.where(F.size("entities") > 0).select("doc_id", "text_key", "entities", "terms")
                  .dropDuplicates(["doc_id", "text_key"]).withColumn("doc", F.monotonically_increasing_id()))
     mentions = once.select("doc", F.explode("entities").alias("entity"))
-    entities = mentions.groupBy("entity").agg(F.count("*").alias("has")).where(F.col("has") >= support)
+    # two hashes of the documents' ids name the set of documents that an identifier stands in
+    sets = [F.bit_xor(F.xxhash64(F.lit(seed), "doc")).alias(f"set{seed}") for seed in (1, 2)]
+    entities = mentions.groupBy("entity").agg(F.count("*").alias("has"), *sets).where(F.col("has") >= support)
+    entities = entities.groupBy("has", "set1", "set2").agg(F.min("entity").alias("entity")).select("entity", "has")
     mentions = stage(mentions.join(entities, "entity"))
     terms = once.join(mentions.select("doc").distinct(), "doc", "left_semi").select("doc", F.explode("terms").alias("term")).join(
         frequency.where(F.col("docs") >= support), "term")
@@ -249,7 +257,11 @@ def span_text() -> F.Column:
 
 
 def sanitised(docs: DataFrame) -> DataFrame:
-    """``docs`` with all columns, each span of ``text`` replaced by its kind in brackets; removed terms are cut out."""
+    """``docs`` with all columns, each span of ``text`` replaced by its kind in brackets; removed terms are cut out.
+
+    Null and empty texts and texts without spans stay as they are; repeated
+    rows are treated alike, rows without an id too; an empty table gives no rows.
+    """
     found = sanitisation(docs).where(F.size("spans") > 0).select(
         F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.col("spans").alias("__spans")).dropDuplicates(["__id", "__key"])
     text = F.col("text").cast("string")
