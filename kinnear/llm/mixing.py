@@ -170,7 +170,12 @@ _OUT = ["__id", "__key", "domain", "lang", "source", "tokens", "leaf_budget"]
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` (all columns), each as often as the mixture draws it."""
+    """The rows of ``docs`` (all columns), each as often as the mixture draws it.
+
+    Odd rows as in :func:`mixture`: null and empty texts are drawn like
+    others, repeated rows each as often as one of them, rows without an id by
+    their texts; an empty table gives no rows.
+    """
     drawn = mixture(docs, **options).where("epochs > 0").groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).agg(
         F.max("epochs").alias("__epochs"))
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("__key"))

@@ -44,7 +44,11 @@ def op3_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def token_index(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """Writes the token files of ``docs`` and reads its rows back from them."""
+    """Writes the token files of ``docs`` and reads its rows back from them.
+
+    One row a row of ``docs``, in any order; null and empty texts, repeated
+    ids and rows without one as in :func:`write_token_files`.
+    """
     folder = scratch_folder(spark)
     write_token_files(docs, folder, public_tokenizers.path(TOKENIZER))
     return document_index(spark, folder)

@@ -285,7 +285,10 @@ def document_index(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def token_occurrences(spark: SparkSession, folder: str, token: int) -> DataFrame:
-    """(place): every global place of a token id, by select on each shard; no text is decoded."""
+    """(place): every global place of a token id, by select on each shard; no text is decoded.
+
+    An id that occurs nowhere, or no tokenizer has, and an empty folder give no rows.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -166,7 +166,12 @@ def _totals(rows: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, that are not contaminated."""
+    """The rows of ``docs``, all columns, that are not contaminated.
+
+    Null and empty texts have no words and stay; repeated rows stay or go
+    together, rows that repeat an id by their own texts, rows without an id
+    too; an empty benchmark keeps everything.
+    """
     bad = contamination(docs, benchmark).where("contaminated").select(
         F.col("doc_id").alias("__bad_id"), F.col("text_key").alias("__bad_key")).distinct()
     same = F.col("doc_id").eqNullSafe(F.col("__bad_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("__bad_key"))

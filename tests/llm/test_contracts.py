@@ -177,6 +177,62 @@ def test_license(docs):
         assert set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(",")) and 0 <= r.score <= 1
 
 
+def plain_statistics(text):
+    """One text's statistics for the quality classifier, word by word."""
+    data = (text or "").encode()
+    if not data:
+        return [0.0] * quality.N_STATS
+    share = lambda a, b: a / max(b, 1)
+    low = bytes(b + 32 if 65 <= b <= 90 else b for b in data)
+    words = re.findall(rb"[^\x20\x09-\x0D]+", low)
+    last = [m.end() - 1 for m in re.finditer(rb"[^\x20\x09-\x0D]+", data)]
+    n, sizes = len(words), list(map(len, words))
+    mean = share(sum(sizes), n)
+    alnum = lambda b: 48 <= b <= 57 or 97 <= b <= 122 or b >= 128
+    pairs = list(zip(words, words[1:]))
+    return [share(sum(b in set(c) for b in data), len(data)) for c in quality._CLASSES.values()] + [
+        math.log1p(n), mean, math.sqrt(max(share(sum(s * s for s in sizes), n) - mean * mean, 0)),
+        share(n - len(set(words)), n), share(len(pairs) - len(set(pairs)), n), share(sum(a == b for a, b in pairs), n),
+        share(sum(not alnum(low[i]) and data[i] not in b".," for i in last), n), math.log1p(share(n, 1 + data.count(b"\n")))]
+
+
+def test_quality_score_by_a_dense_fit(spark):
+    """Every score again from plain statistics, one least-squares solve and the min-max form of the isotonic fit."""
+    import numpy as np
+
+    docs, labels = given(spark, "documents"), given(spark, "labels")
+    rows = collected(docs)
+    stats = {d: np.array(plain_statistics(t), np.float32).astype(float) for d, t in rows}
+    taught = [(r.doc_id, float(r.quality)) for r in labels.collect() if r.quality in (0, 1) and r.doc_id in stats and fold(r.doc_id) != quality.HELD_OUT]
+    every = np.array([stats[d] for d, _ in taught])
+    rng = np.random.default_rng(quality.SEED)
+    projection, phase = rng.normal(size=(quality.N_STATS, quality.FEATURES)) / quality.WIDTH, rng.uniform(0, 2 * np.pi, quality.FEATURES)
+
+    def features(x):
+        z = np.clip((x - every.mean(0)) / np.maximum(every.std(0), 1e-6), -6, 6)
+        return np.column_stack([np.ones(len(z)), np.cos(z @ projection + phase) * np.sqrt(2 / quality.FEATURES)])
+
+    fitted = [(d, y) for d, y in taught if fold(d) != quality.CALIBRATE]
+    x, y = features(np.array([stats[d] for d, _ in fitted])), np.array([y for _, y in fitted])
+    penalty = np.full(quality.FEATURES + 1, math.sqrt(quality.RIDGE * len(x)))
+    penalty[0] = math.sqrt(1e-9)
+    weights = np.linalg.lstsq(np.vstack([x, np.diag(penalty)]), np.concatenate([y, np.zeros(len(penalty))]), rcond=None)[0]
+    bins = {}
+    for d, label in taught:
+        if fold(d) == quality.CALIBRATE:
+            raw = float(np.clip(features(stats[d][None]) @ weights, -0.5, 1.5)[0])
+            bins.setdefault(math.floor((raw + 0.5) / 2 * quality.BINS), []).append(label)
+    marks = [bins[b] for b in sorted(bins)]
+    average = lambda i, j: sum(map(sum, marks[i:j + 1])) / sum(map(len, marks[i:j + 1]))
+    level = np.array([max(min(average(i, k) for k in range(m, len(marks))) for i in range(m + 1)) for m in range(len(marks))])
+    middle = (np.array(sorted(bins)) + 0.5) * 2 / quality.BINS - 0.5
+    levels = 0.98 * level + 0.015 * np.clip(middle, 0, 1) + 0.005 * y.mean()
+    ids = sorted(stats)
+    want = np.clip(np.interp(features(np.array([stats[d] for d in ids])) @ weights, middle, levels), 0, 1)
+    found = {r.doc_id: r.score for r in quality.quality_scores(docs, labels).collect()}
+    assert max(abs(found[d] - w) for d, w in zip(ids, want)) < 1e-6
+
+
 def test_fuzzy_notices():
     """Every notice is found with as many typing errors as it allows outside its distinctive words, with its span."""
     search = notices.NoticeSearch()
@@ -560,6 +616,52 @@ def test_disclosing_terms_anywhere(spark, monkeypatch, limit):
     assert "uixobar" not in "".join(clean[i] for i in range(10)) and clean[50].startswith("common  without")
 
 
+def test_disclosure_against_counted_documents(docs):
+    """The strongest disclosure of every term, from sets of documents."""
+    rows = {(d, t) for d, t in collected(docs) if t is not None}  # rows that repeat an id and text count once for a pair
+    low = lambda w: re.sub("[A-Z]", lambda m: m.group().lower(), w)
+    free, has, frequency = {}, {}, Counter()
+    for key in rows:
+        found = disclosure.base_spans(key[1])
+        if found:
+            free[key] = {low(w) for w in disclosure.free_words(key[1], found)}
+        for k, a, b in found:
+            has.setdefault(f"{k}:{key[1][a:b].lower()}", set()).add(key)
+    for _, t in collected(docs):
+        frequency.update(set(map(low, re.findall(r"[^\x20\x09-\x0D]+", t or ""))))
+    n, want = max(docs.count(), 2), {}
+    for support in (1, 2):
+        want.clear()
+        for entity, those in has.items():
+            own = math.log2(n / len(those))
+            for term in set().union(*(free[k] for k in those)) if len(those) >= support else ():
+                both = sum(term in free[k] for k in those)
+                if both >= support and frequency[term] >= support and own > 0:
+                    strength = math.log2(n * both / (frequency[term] * len(those))) / own
+                    if strength >= disclosure.GENERALISE:
+                        want[term] = max(want.get(term, 0.0), strength)
+        found = disclosure.disclosing_terms(
+            disclosure.stage(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text").mapInArrow(
+                disclosure._find, disclosure._FOUND)), disclosure.document_frequency(docs), n, support)
+        best = {r.term: r.s for r in found.groupBy("term").agg(F.max("strength").alias("s")).collect()}
+        names = dict(zip(disclosure.term_hash(list(want)).tolist(), want)) if want else {}
+        assert best.keys() == names.keys() and all(abs(best[h] - want[t]) < 1e-9 for h, t in names.items())
+
+
+def test_lists_of_identifiers_are_not_multiplied_out(spark):
+    """Near copies of a list of many identifiers and terms: identifiers in the same documents are counted once."""
+    import time
+
+    people = [f"person{i}@site{i % 7}.example.com" for i in range(2000)]
+    terms = " ".join(f"zterm{i}" for i in range(8000))
+    rows = [(i, " ".join(people[:2000 - i]) + " " + terms) for i in range(3)] + [(10 + i, f"nothing of that kind {i}") for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    start = time.time()
+    found = {r.doc_id: r.spans for r in disclosure.sanitisation(docs).collect()}
+    assert time.time() - start < 60  # some 16 million pairs a copy took as long as that
+    assert all(sum(s.name == "remove" for s in found[i]) == 8000 for i in range(3)) and found[10] == []
+
+
 def brute_contamination(rows, items):
     windows = {}
     for item_id, text in items:
@@ -763,3 +865,40 @@ def test_encoder_on_odd_strings():
         for text, end in zip(texts, ends.tolist()):
             assert ids[begin:end].tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids + [2], repr(text)
             begin = end
+
+
+def test_edited_copies_in_groups(spark):
+    """A passage and its copies with one changed word each, other words around: groups of 2, 6 and 21 come together and stay apart."""
+    import random
+
+    r = random.Random(21)
+    words = lambda n: ["".join(r.choices("abcdefghijklmnop", k=6)) for _ in range(n)]
+    rows, groups = [], []
+    for size in (2, 6, 21):
+        for _ in range(20):
+            original, ids = words(50), []
+            for copy in range(size):
+                text = list(original)
+                if copy:
+                    text[r.randrange(50)] = words(1)[0]
+                ids.append(len(rows))
+                rows.append((len(rows), " ".join(words(r.randrange(20, 120)) + text + words(r.randrange(20, 120)))))
+            groups.append(ids)
+    rows += [(len(rows) + i, " ".join(words(150))) for i in range(30)]
+    found = {x.doc_id: x for x in passages.shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for size in (2, 6, 21):
+        pairs = [(ids[0], i) for ids in groups if len(ids) == size for i in ids[1:]]
+        assert sum(found[a].class_id == found[b].class_id for a, b in pairs) >= 0.95 * len(pairs), size
+    for ids in groups:  # no class holds texts of two groups
+        assert {found[i].class_id for i in ids} <= set(ids)
+    assert all(found[i].class_id == i and found[i].n_links == 0 for i in range(len(rows) - 30, len(rows)))
+
+
+def test_next_partners_are_aligned(spark):
+    """A text that fails against its key's first text is asked to meet what that one is linked to, at the same words."""
+    pairs = spark.createDataFrame([(1, 5, 10, 100, 110, 1), (5, 9, -10, 112, 118, 1), (2, 5, 0, 100, 100, 2)],
+                                  "a long, b long, shift int, low int, high int, centre int")
+    links = spark.createDataFrame([(5, 9, 90, 150, 80, 140)], "a long, b long, a_start long, a_end long, b_start long, b_end long")
+    # 1 is the first text of (1, 5), which fails, but is linked to nothing; 5 is that of (2, 5) and is linked to 9
+    assert rows_of(passages.next_partners(pairs, links), "a", "b", "shift", "low", "high") == [(2, 9, -10, 100, 100)]
+    assert passages.next_partners(pairs, links.limit(0)).collect() == []
