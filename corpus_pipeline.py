@@ -13,27 +13,27 @@ from kinnear.llm.winnow import drop_contaminated
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts."""
+    """Documents that the quality classifier accepts; odd rows as in :func:`keep_good`."""
     return keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group."""
+    """One document of each SimHash group; odd rows as in :func:`keep_one`."""
     return keep_one(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that aren't contaminated by the benchmark."""
+    """Documents that aren't contaminated by the benchmark; odd rows as in :func:`drop_contaminated`."""
     return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mixture of the sources draws them."""
+    """Documents as often as the mixture of the sources draws them; odd rows as in :func:`mixed_documents`."""
     return mixed_documents(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row a document from the token files that this stage writes."""
+    """One row a document from the token files that this stage writes; odd rows as in :func:`token_index`."""
     return token_index(spark, docs)
 
 
