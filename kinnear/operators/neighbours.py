@@ -67,11 +67,6 @@ def _users_in_reach(profiles: DataFrame, k: int, n_users: int) -> DataFrame:
     return partners.where(F.col("n") > n_users - k).select("user")
 
 
-def _most_partners(shape: Shape) -> float:
-    """No user has more partners than there are other users or co-ratings."""
-    return min(shape.users - 1, shape.products)
-
-
 def knn(profiles: DataFrame, k: int, n_users: int, strategy: str = "auto", written: bool = False, **options) -> DataFrame:
     """The k nearest neighbours of every user: ``user, neighbour, sim, rank``.
 
@@ -91,7 +86,7 @@ def knn(profiles: DataFrame, k: int, n_users: int, strategy: str = "auto", writt
     if n_users < shape.users:
         raise ValueError(f"n_users={n_users}, but {shape.users} users have a profile")
     reach = None
-    if k > 0 and _most_partners(shape) > n_users - k:
+    if k > 0 and shape.partners > n_users - k:
         reach = materialize(_users_in_reach(profiles, k, n_users))
         reach = reach if reach.limit(1).count() else None
     if strategy == "pruned" and reach is None:

@@ -65,15 +65,19 @@ class Shape:
     cells: int
     users: int
     products: float  # Σ over items of raters²
+    partners: float = math.inf  # no user shares items with more others than this
 
     @classmethod
     def of(cls, profiles: DataFrame) -> Shape:
         raters = profiles.groupBy("item").agg(F.count(F.lit(1)).cast("double").alias("n"))
-        by_item = raters.agg(F.sum("n").alias("cells"), F.sum(F.col("n") * F.col("n")).alias("products"))
-        by_user = profiles.select("user").distinct().agg(F.count(F.lit(1)).alias("users"))
+        by_item = raters.agg(
+            F.sum("n").alias("cells"), F.sum(F.col("n") * F.col("n")).alias("products"), F.max("n").alias("raters"))
+        users = profiles.groupBy("user").agg(F.count(F.lit(1)).alias("c"))
+        by_user = users.agg(F.count(F.lit(1)).alias("users"), F.max("c").alias("of_user"))
         both = by_item.unionByName(by_user, allowMissingColumns=True)  # two rows, one job
-        one = both.agg(F.max("cells").alias("cells"), F.max("users").alias("users"), F.max("products").alias("products")).first()
-        return cls(int(one.cells or 0), int(one.users or 0), float(one.products or 0.0))
+        one = both.agg(*[F.max(c).alias(c) for c in ("cells", "users", "products", "raters", "of_user")]).first()
+        partners = min(int(one.users or 0) - 1, float(one.of_user or 0) * (float(one.raters or 0.0) - 1))
+        return cls(int(one.cells or 0), int(one.users or 0), float(one.products or 0.0), max(0.0, partners))
 
 
 def num_blocks(shape: Shape, block_users: int = BLOCK_USERS, block_cells: int = BLOCK_CELLS) -> int:
