@@ -48,10 +48,15 @@ def rank_signed(directed: DataFrame, k: int, n_users: int) -> DataFrame:
     vector: the lowest one has rank ``n_users``, the next ``n_users - 1``.  So
     one ``row_number`` by user and sign, from the largest absolute value down,
     ranks both; nothing is counted, and the similarities are computed once.
+    Before that, positives past the k-th go by a group limit, in which every
+    negative is a group of its own.
     """
     value = rounded_sim("sim")
     positive = value > 0
-    signed = directed.where(value != 0).withColumn("_positive", positive)
+    lone = directed.where(value != 0).withColumn("_lone", F.when(value < 0, F.col("neighbour")))
+    best = Window.partitionBy("user", "_lone").orderBy(value.desc(), F.col("neighbour").asc())
+    limited = lone.withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= k)
+    signed = limited.withColumn("_positive", positive)
     # of equal values the smaller id is first, which is the last one from the far end
     from_end = Window.partitionBy("user", "_positive").orderBy(
         F.abs(value).desc(), F.when(positive, F.col("neighbour")).asc(), F.when(~positive, F.col("neighbour")).desc())

@@ -110,7 +110,7 @@ def test_signed_ranks_by_the_dense_rule(spark, k):
 
 
 def test_similarities_are_computed_once(spark, monkeypatch):
-    """With negatives in reach the plan holds one tile stage and one window."""
+    """With negatives in reach the plan holds one tile stage."""
     cells = profiles(1, 20, 10, 0.5)
     plan = knn(spark.createDataFrame(cells, CELLS), 15, 20, strategy="tiles")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FlatMapGroupsInPandas") == 1
