@@ -9,6 +9,9 @@
    log(N * n_te / (n_t * n_e)) / log(N / n_e), which is 1 when every document
    with the term has the identifier.  Terms above one threshold are removed,
    above a lower one generalised, wherever they stand in the corpus.
+4. A generalised term becomes the name of its class, what it is made of and
+   about how long it is.  Classes are counted like terms; a term whose class
+   itself reveals an identifier to the lower threshold is removed instead.
 """
 
 from __future__ import annotations
@@ -33,6 +36,13 @@ REMOVE, GENERALISE = 0.95, 0.8
 #: Strong terms that travel to the tasks at most (two longs each); more are joined by shuffle.
 TERMS_OUT = 1_000_000
 
+#: Classes of terms by what they are made of and their length: one long each, below all hashes that matter.
+MADE_OF, LENGTHS = ("word", "number", "code"), (3, 6, 9)
+N_CLASSES = len(MADE_OF) * (len(LENGTHS) + 1)
+_LETTER, _FIGURE = (np.zeros(256, np.int64) for _ in range(2))
+_LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 1
+_FIGURE[48:58] = 1
+
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 #: A match begins at the first digit of a run; the digits of a part are never given back.
@@ -103,11 +113,42 @@ def term_hash(terms: list[str]) -> np.ndarray:
     return span_hashes(LOWER[data], offsets[:-1], offsets[1:]).view(np.int64)
 
 
+def classes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The class of every byte range, from 0: made of letters, of digits, or else; up to 3, 6, 9 or more characters."""
+    within = lambda flags: np.concatenate([[0], np.cumsum(flags)])
+    count = lambda total: total[ends] - total[starts]
+    size = ends - starts
+    made = np.where(count(within(_LETTER[data])) == size, 0, np.where(count(within(_FIGURE[data])) == size, 1, 2))
+    length = np.searchsorted(LENGTHS, count(within((data & 0xC0) != 0x80)))
+    return made * (len(LENGTHS) + 1) + length
+
+
+def class_name(text: F.Column) -> F.Column:
+    """The name of the class of a term, e.g. ``word of 7 to 9``."""
+    made = F.when(text.rlike(r"^[A-Za-z\x{80}-\x{10FFFF}]+$"), MADE_OF[0]).when(text.rlike("^[0-9]+$"), MADE_OF[1]).otherwise(MADE_OF[2])
+    size, low, length = F.length(text), 1, F.lit(f" of {LENGTHS[-1] + 1} or more")
+    for high in LENGTHS:
+        length = F.when((size >= low) & (size <= high), f" of {low} to {high}").otherwise(length)
+        low = high + 1
+    return F.concat(made, length)
+
+
+def class_term(number: np.ndarray) -> np.ndarray:
+    """The longs that stand for classes among the terms."""
+    return np.iinfo(np.int64).min + 1 + number.astype(np.int64)
+
+
 _FOUND = ("doc_id long, text_key long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, "
           "base array<struct<start:long,kind:int,name:string,end:long>>, "
           "entities array<string>, terms array<long>")
 
 
+def _terms_of(words: list[str]) -> list[int]:
+    """Hashes and classes of distinct words."""
+    data, offsets = buffer_of(pa.array(words, pa.large_string()))
+    return np.unique(np.concatenate([term_hash(words), class_term(classes(data, offsets[:-1], offsets[1:]))])).tolist()
+
+
 def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     span = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("name", pa.string()), ("end", pa.int64())]))
     for batch in batches:
@@ -116,7 +157,7 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for text in part.column(2):
                 text = text.as_py() or ""
                 found = base_spans(text)
-                terms = np.unique(term_hash(list(free_words(text, found)))).tolist() if found else []
+                terms = _terms_of(list(free_words(text, found))) if found else []
                 rows.append((
                     *(sum(k == kind for k, _, _ in found) for kind in KINDS),
                     hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in found).encode()).hexdigest(),
@@ -137,8 +178,11 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batch, "text"):
             data, offsets = buffer_of(text_column(part, "text"))
             starts, ends, first = spans(data, offsets, NOT_SPACE)
-            words = span_hashes(LOWER[data], starts, ends)
             doc = np.repeat(np.arange(part.num_rows), np.diff(first))
+            # the classes of a document's words are among its terms, once each
+            own = np.unique(doc * N_CLASSES + classes(data, starts, ends))
+            words = np.concatenate([span_hashes(LOWER[data], starts, ends), class_term(own % N_CLASSES).view(np.uint64)])
+            doc = np.concatenate([doc, own // N_CLASSES])
             order = np.lexsort((doc, words))
             words, doc = words[order], doc[order]
             fresh = np.ones(len(words), bool)
@@ -153,7 +197,7 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def document_frequency(docs: DataFrame) -> DataFrame:
-    """(term, docs): in how many rows of ``docs`` each word (by hash) occurs."""
+    """(term, docs): in how many rows of ``docs`` each word (by hash) and each class of words occurs."""
     return small_batches(docs).select(F.col("text").cast("string").alias("text")).mapInArrow(_terms, "term long, docs long").groupBy("term").agg(
         F.sum("docs").alias("docs"))
 
@@ -188,7 +232,7 @@ def disclosing_terms(found: DataFrame, frequency: DataFrame, n_docs: int, suppor
 
 
 def occurrences(rows: DataFrame, strong: DataFrame) -> DataFrame:
-    """(doc_id, text_key, start, end, strength): where the terms of ``strong(term, strength)`` stand outside of identifiers.
+    """(doc_id, text_key, start, end, strength, class): where the terms of ``strong(term, strength)`` stand outside of identifiers.
 
     ``rows(doc_id, text_key, text)``.  Up to TERMS_OUT terms are looked up in
     the tasks; more are joined with all words.
@@ -219,10 +263,11 @@ def occurrences(rows: DataFrame, strong: DataFrame) -> DataFrame:
                     free[here] = ~_taken(low[here], high[here], base_spans(texts[i].as_py()))
                 row = pa.array(doc[free])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(row), part.column(1).take(row), pa.array(words[hit[free]]), pa.array(low[free]), pa.array(high[free])],
-                    names=["doc_id", "text_key", "term", "start", "end"])
+                    [part.column(0).take(row), part.column(1).take(row), pa.array(words[hit[free]]), pa.array(low[free]), pa.array(high[free]),
+                     pa.array(class_term(classes(data, starts[hit[free]], ends[hit[free]])))],
+                    names=["doc_id", "text_key", "term", "start", "end", "class"])
 
-    places = rows.mapInArrow(stand, "doc_id long, text_key long, term long, start long, end long")
+    places = rows.mapInArrow(stand, "doc_id long, text_key long, term long, start long, end long, class long")
     return places.join(strong if looked_up is None else F.broadcast(strong), "term").drop("term")
 
 
@@ -239,7 +284,9 @@ def sanitisation(docs: DataFrame) -> DataFrame:
     found = stage(rows.mapInArrow(_find, _FOUND))
     n_docs = found.count()
     strong = stage(disclosing_terms(found, document_frequency(docs), n_docs).groupBy("term").agg(F.max("strength").alias("strength")))
-    removed = F.col("strength") >= REMOVE
+    # classes that reveal an identifier themselves: a term is not generalised to one of them
+    telling = [r.term for r in strong.where(F.col("term") <= class_term(np.array(N_CLASSES)).item()).collect()]
+    removed = (F.col("strength") >= REMOVE) | F.col("class").isin(telling)
     terms = occurrences(rows, strong).groupBy(F.col("doc_id").alias("t_id"), F.col("text_key").alias("t_key")).agg(
         F.collect_set(F.struct(
             "start", F.when(removed, 5).otherwise(4).alias("kind"),
@@ -256,8 +303,14 @@ def span_text() -> F.Column:
     return F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["name"], s["start"], s["end"])), ",")
 
 
+def _piece(text: F.Column, span: F.Column) -> F.Column:
+    return F.substring(text, (span["start"] + 1).cast("int"), (span["end"] - span["start"]).cast("int"))
+
+
 def sanitised(docs: DataFrame) -> DataFrame:
-    """``docs`` with all columns, each span of ``text`` replaced by its kind in brackets; removed terms are cut out.
+    """``docs`` with all columns, each span of ``text`` replaced by its kind in brackets.
+
+    Removed terms are cut out, generalised ones give way to the name of their class.
 
     Null and empty texts and texts without spans stay as they are; repeated
     rows are treated alike, rows without an id too; an empty table gives no rows.
@@ -272,6 +325,8 @@ def sanitised(docs: DataFrame) -> DataFrame:
         lambda s, x: F.struct(
             F.greatest(s["at"], x["end"]).alias("at"),
             F.concat(s["out"], F.substring(text, (s["at"] + 1).cast("int"), F.greatest(x["start"] - s["at"], F.lit(0)).cast("int")),
-                     F.when(x["name"] == "remove", "").otherwise(F.concat(F.lit("["), F.upper(x["name"]), F.lit("]")))).alias("out")))
+                     F.when(x["name"] == "remove", "")
+                     .when(x["name"] == "generalise", F.concat(F.lit("["), class_name(_piece(text, x)), F.lit("]")))
+                     .otherwise(F.concat(F.lit("["), F.upper(x["name"]), F.lit("]")))).alias("out")))
     rest = F.concat(state["out"], F.substring(text, (state["at"] + 1).cast("int"), F.length(text)))
     return joined.withColumn("text", F.when(F.col("__spans").isNull(), F.col("text")).otherwise(rest)).select(docs.columns)
