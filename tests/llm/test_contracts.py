@@ -618,6 +618,8 @@ def test_disclosing_terms_anywhere(spark, monkeypatch, limit):
 
 def test_disclosure_against_counted_documents(docs):
     """The strongest disclosure of every term, from sets of documents."""
+    import numpy as np
+
     rows = {(d, t) for d, t in collected(docs) if t is not None}  # rows that repeat an id and text count once for a pair
     low = lambda w: re.sub("[A-Z]", lambda m: m.group().lower(), w)
     free, has, frequency = {}, {}, Counter()
@@ -640,12 +642,39 @@ def test_disclosure_against_counted_documents(docs):
                     strength = math.log2(n * both / (frequency[term] * len(those))) / own
                     if strength >= disclosure.GENERALISE:
                         want[term] = max(want.get(term, 0.0), strength)
+        classes = set(disclosure.class_term(np.arange(disclosure.N_CLASSES)).tolist())
         found = disclosure.disclosing_terms(
             disclosure.stage(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text").mapInArrow(
                 disclosure._find, disclosure._FOUND)), disclosure.document_frequency(docs), n, support)
         best = {r.term: r.s for r in found.groupBy("term").agg(F.max("strength").alias("s")).collect()}
         names = dict(zip(disclosure.term_hash(list(want)).tolist(), want)) if want else {}
-        assert best.keys() == names.keys() and all(abs(best[h] - want[t]) < 1e-9 for h, t in names.items())
+        assert best.keys() - classes == names.keys() and all(abs(best[h] - want[t]) < 1e-9 for h, t in names.items())
+
+
+def test_generalised_terms(spark):
+    """Between the thresholds a term gives way to its class, which reveals less; where the class reveals as much it goes."""
+    rows = [(i, f"common Quixobar and 31415926 and jane.doe@corp.example.com plain{i}", "x") for i in range(10)]
+    rows += [(20 + i, f"common Quixobar and words {i}", "x") for i in range(12)]
+    rows += [(40 + i, f"common 31415926 and words {i}", "x") for i in range(12)]
+    rows += [(100 + i, f"common and nothing else but words about item{i}", "x") for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, name string")
+    found = {r.doc_id: {(r.text[s.start:s.end], s.name) for s in r.spans if s.kind > 3} for r in
+             disclosure.sanitisation(docs).join(docs.select("doc_id", "text"), "doc_id").collect()}
+    # 22 documents have each term, 10 of them the identifier; all numbers of 7 to 9 digits are in the same 22
+    assert found[0] == found[3] == {("Quixobar", "generalise"), ("31415926", "remove")}
+    assert found[25] == {("Quixobar", "generalise")} and found[45] == {("31415926", "remove")} and found[100] == set()
+    clean = {r.doc_id: r.text for r in disclosure.sanitised(docs).collect()}
+    assert clean[0] == "common [word of 7 to 9] and  and [EMAIL] plain0" and clean[45] == "common  and words 5"
+    # what the class still reveals, from the documents that have a word of it
+    n, has = len(rows), 10
+    those = sum(any(7 <= len(w) <= 9 and w.isalpha() for w in t.split()) for _, t, _ in rows)
+    assert math.log2(n * has / (those * has)) / math.log2(n / has) < disclosure.GENERALISE
+    words = ["abc", "abcd", "é" * 7, "x" * 10, "1", "1234567", "a1", "a-b-c-d-e-f", "__"]
+    data, offsets = disclosure.buffer_of(disclosure.pa.array(words, disclosure.pa.large_string()))
+    assert disclosure.classes(data, offsets[:-1], offsets[1:]).tolist() == [0, 1, 2, 3, 4, 6, 8, 11, 8]
+    names = spark.createDataFrame([(w,) for w in words], "w string").select(disclosure.class_name(F.col("w")).alias("c")).collect()
+    lengths = ["1 to 3", "4 to 6", "7 to 9", "10 or more"]
+    assert [r.c for r in names] == [f"{disclosure.MADE_OF[c // 4]} of {lengths[c % 4]}" for c in [0, 1, 2, 3, 4, 6, 8, 11, 8]]
 
 
 def test_lists_of_identifiers_are_not_multiplied_out(spark):
