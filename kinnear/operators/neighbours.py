@@ -21,10 +21,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinnear.functions.expr import rounded_sim
+from kinnear.operators.nearest import block_count, can_serve, nearest, rank_counted
 from kinnear.operators.pruning import knn_pruned
-from kinnear.operators.similarity import Shape, both_directions, similarities
+from kinnear.operators.similarity import HEAVY_USER_CELLS, Shape, both_directions, similarities
 from kinnear.session import materialize
 
+#: Co-rating products from which blocks are worth while, and bytes that a routed cell and a pair cost by the other ways.
+LEAST_PRODUCTS, CELL_BYTES, PRODUCT_BYTES = 100_000, 20, 50
+
+
+def _blocks_pay(profiles: DataFrame, k: int, shape: Shape) -> bool:
+    """Whether the cells sent to every block are less than the pairs' rows; a user's cells travel as one row, so no user may be heavy."""
+    if not can_serve(profiles) or shape.of_user > HEAVY_USER_CELLS or shape.products < LEAST_PRODUCTS:
+        return False
+    blocks = block_count(shape, k, profiles.sparkSession.sparkContext.defaultParallelism)
+    return shape.cells * blocks * CELL_BYTES < shape.products * PRODUCT_BYTES
+
 
 def _best(directed: DataFrame) -> Window:
     return Window.partitionBy("user").orderBy(rounded_sim("sim").desc(), F.col("neighbour").asc())
@@ -80,6 +92,9 @@ def knn(profiles: DataFrame, k: int, n_users: int, strategy: str = "auto", writt
     profiles are read by several branches; unless they are a ``written``
     table they are written first.
 
+    ``auto`` and ``rows`` (:mod:`kinnear.operators.nearest`) give out the best of each
+    user only; ``auto`` takes the pairs' way where that shuffles less.
+
     Negatives are ranked only if the data could bring one to rank ``k``, and
     for users for whom it could; either way the similarities are computed once.
     ``strategy="pruned"`` leaves out pairs that can't be among anybody's first
@@ -96,6 +111,9 @@ def knn(profiles: DataFrame, k: int, n_users: int, strategy: str = "auto", writt
         reach = reach if reach.limit(1).count() else None
     if strategy == "pruned" and reach is None:
         return knn_pruned(profiles, k, **options)
+    if strategy == "rows" or (strategy in ("auto", "pruned") and k > 0 and not options and _blocks_pay(profiles, k, shape)):
+        best = nearest(profiles, k, shape, reach is not None, **options)
+        return rank_positives(best, k) if reach is None else rank_counted(best, k, n_users)
     directed = both_directions(similarities(profiles, "auto" if strategy == "pruned" else strategy, shape, **options))
     if reach is None:
         return rank_positives(directed, k)

@@ -66,6 +66,7 @@ class Shape:
     users: int
     products: float  # Σ over items of raters²
     partners: float = math.inf  # no user shares items with more others than this
+    of_user: float = math.inf  # cells of the user with the most
 
     @classmethod
     def of(cls, profiles: DataFrame) -> Shape:
@@ -77,7 +78,7 @@ class Shape:
         both = by_item.unionByName(by_user, allowMissingColumns=True)  # two rows, one job
         one = both.agg(*[F.max(c).alias(c) for c in ("cells", "users", "products", "raters", "of_user")]).first()
         partners = min(int(one.users or 0) - 1, float(one.of_user or 0) * (float(one.raters or 0.0) - 1))
-        return cls(int(one.cells or 0), int(one.users or 0), float(one.products or 0.0), max(0.0, partners))
+        return cls(int(one.cells or 0), int(one.users or 0), float(one.products or 0.0), max(0.0, partners), float(one.of_user or 0))
 
 
 def num_blocks(shape: Shape, block_users: int = BLOCK_USERS, block_cells: int = BLOCK_CELLS) -> int:
