@@ -32,6 +32,7 @@ from kinnear.session import materialize, scratch_folder
 from kinnear.sources.ratings import (
     by_flag,
     coalesce_duplicates,
+    dealt,
     duplicate_stats,
     early_split,
     holdout_split,
@@ -183,7 +184,10 @@ def q_split_files(spark, sf_dir):
 
 def q_dedup_policies(spark, sf_dir):
     """Each duplicate policy on the order lines, whose (customer, part) pairs repeat."""
-    lines = Tables(spark, sf_dir).lines.select("user", "item", "rating")
+    sides = (t.select(*c) for t, c in zip(load_tables(spark, sf_dir, "lineitem", "orders"), (
+        ("l_orderkey", "l_partkey", "l_linenumber", "l_quantity"), ("o_orderkey", "o_custkey"))))
+    lines = materialize(order_lines(*dealt([*sides], ["l_orderkey"], ["o_orderkey"])).select("user", "item", "rating"))
+    (lines,) = dealt([lines], ["user", "item"])
     out = None
     for policy in ("sum", "max", "mean"):
         one = coalesce_duplicates(lines, policy).select(

@@ -8,10 +8,14 @@ expression, each field trimmed, fields after the third ignored.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 RATINGS_SCHEMA = "user long, item long, rating double"
+#: Rows a task sorts or groups, where the tables are dealt by their rows.
+TASK_ROWS = 1_000_000
 
 
 # --------------------------------------------------------------------------
@@ -173,6 +177,18 @@ def coalesce_duplicates(ratings: DataFrame, policy: str = "sum") -> DataFrame:
     raise ValueError(f"unknown duplicate policy {policy!r}")
 
 
+def dealt(tables: list[DataFrame], *keys: list[str]) -> list[DataFrame]:
+    """Tables dealt by their ``keys`` into the same number of tasks, about TASK_ROWS rows of the largest in each.
+
+    For joins and aggregates with nearly as many groups as rows: adaptive
+    execution merges partitions by their compressed bytes, which tell little
+    of the rows a task sorts or the groups it holds.  Hand in tables whose
+    rows are cheap to count.
+    """
+    parts = max(1, math.ceil(max(t.count() for t in tables) / TASK_ROWS))
+    return [t.repartition(parts, *k) for t, k in zip(tables, keys, strict=True)]
+
+
 def duplicate_stats(ratings: DataFrame) -> DataFrame:
     """``user, item, n, r_sum, r_max, r_mean`` for every stored pair."""
     return ratings.groupBy("user", "item").agg(

@@ -150,3 +150,15 @@ def test_split_into_two_files(spark):
         assert sorted(map(tuple, read_ratings(spark, f"{folder}/side={side}", "::").collect())) == sorted(map(tuple, found.collect()))
         scan = read_split(spark, folder, side, "::")._jdf.queryExecution().executedPlan().toString()
         assert "PartitionFilters: [isnotnull(side" in scan
+
+
+def test_policies_deal_by_rows(spark, monkeypatch):
+    """Pairs are dealt into tasks by the number of rows, once for all policies, whatever adaptive execution would merge."""
+    from kinnear.sources import ratings as R
+
+    monkeypatch.setattr(R, "TASK_ROWS", 100)
+    lines = spark.range(1000).select((F.col("id") % 40).alias("user"), (F.col("id") % 7).alias("item"), F.lit(2.0).alias("rating"))
+    (out,) = R.dealt([lines], ["user", "item"])
+    sums = R.coalesce_duplicates(out, "sum")
+    assert sums.rdd.getNumPartitions() == 10
+    assert sums.agg(F.sum("rating")).first()[0] == 2000.0 and sums.count() == 280
