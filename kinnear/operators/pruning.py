@@ -109,7 +109,9 @@ def seeds_by_rare_items(cells: DataFrame, k: int, first: int) -> DataFrame:
 def least_similarity(cells: DataFrame, k: int, first: int = FIRST, dense: bool = False) -> DataFrame:
     """(user, least): a lower bound of the k-th largest similarity of every user who has k partners in the first pass."""
     seeds, multiplied = (seeds_by_signature(cells, k), 0) if dense else (seeds_by_rare_items(cells, k, first), first)
-    exact = _completed(seeds, cells, F.lit(multiplied - 1)).where(F.col("sim") > 0)
+    # a pair that both of its users chose is completed once, and counts for both whoever chose it
+    once = seeds.select(F.least("user", "neighbour").alias("user"), F.greatest("user", "neighbour").alias("neighbour"), "sim").dropDuplicates(["user", "neighbour"])
+    exact = both_directions(_completed(materialize(once), cells, F.lit(multiplied - 1))).where(F.col("sim") > 0)
     place = F.row_number().over(Window.partitionBy("user").orderBy(F.col("sim").desc(), "neighbour"))
     return exact.withColumn("rn", place).where(F.col("rn") <= k).where(F.col("rn") == k).select("user", F.col("sim").alias("least"))
 
@@ -118,7 +120,8 @@ def least_similarity(cells: DataFrame, k: int, first: int = FIRST, dense: bool =
 class Pruned:
     """What the passes read: written tables and the classes."""
 
-    cells: DataFrame  # user, item, weight, class, n, cut, least, heads
+    cells: DataFrame  # user, item, weight, class, n, cut, least, head (the length above the cut)
+    heads: DataFrame  # user, heads
     classes: int
     first: int
     dense: bool
@@ -137,28 +140,37 @@ def prepare(profiles: DataFrame, k: int, classes: int = CLASSES, first: int = FI
     under = F.transform(reach, lambda x: x < F.col("least") - SLACK)  # lengths fall with the class: false .. true
     first_under = F.array_position(under, True).cast("int")  # from 1; 0 if none is
     cut = F.when(first_under > 0, first_under - 1).otherwise(classes - 1)  # classes up to the cut are multiplied
-    users = users.withColumn("cut", cut)
-    return Pruned(materialize(cells.join(users, "user")), classes, first, dense)
+    bounds = users.withColumn("cut", cut).select("user", "cut", "least", F.col("heads")[F.col("cut")].alias("head"))
+    return Pruned(materialize(cells.join(bounds, "user")), users.select("user", "heads"), classes, first, dense)
 
 
 def pair_sums(p: Pruned) -> DataFrame:
-    """(user, neighbour, sim, above, bound, least): sums of the products that are not left out, each pair once."""
+    """(user, neighbour, sim, above, most, least): sums of the products that are not left out, each pair once.
+
+    ``most``: what the products left out can add, by the lengths above either user's own cut.
+    """
     low = F.col("class") <= F.col("cut")
-    a = p.cells.where(low).select("user", "item", F.col("weight").alias("wa"), F.col("cut").alias("ca"), F.col("least").alias("la"))
+    a = p.cells.where(low).select("user", "item", F.col("weight").alias("wa"), F.col("cut").alias("ca"), F.col("least").alias("la"), F.col("head").alias("ha"))
     b = p.cells.select(F.col("user").alias("neighbour"), "item", F.col("weight").alias("wb"), low.alias("both"),
-                       F.col("cut").alias("cb"), F.col("least").alias("lb"))
+                       F.col("cut").alias("cb"), F.col("least").alias("lb"), F.col("head").alias("hb"))
     met = a.join(b, "item").where(F.when(F.col("both"), F.col("user") < F.col("neighbour")).otherwise(F.col("user") != F.col("neighbour")))
     turned = F.col("user") > F.col("neighbour")
     one = lambda x, y, name: F.when(turned, F.col(y)).otherwise(F.col(x)).alias(name)
     named = met.select(one("user", "neighbour", "user"), one("neighbour", "user", "neighbour"), (F.col("wa") * F.col("wb")).alias("w"),
-                       F.greatest("ca", "cb").alias("above"), F.least("la", "lb").alias("least"))
-    return named.groupBy("user", "neighbour").agg(F.sum("w").alias("sim"), F.first("above").alias("above"), F.first("least").alias("least"))
+                       F.greatest("ca", "cb").alias("above"), F.least("la", "lb").alias("least"), (F.col("ha") * F.col("hb")).alias("most"))
+    return named.groupBy("user", "neighbour").agg(
+        F.sum("w").alias("sim"), F.first("above").alias("above"), F.first("most").alias("most"), F.first("least").alias("least"))
 
 
 def survivors(p: Pruned, sums: DataFrame) -> DataFrame:
-    """The pairs whose bound reaches the lower of both users' bounds."""
-    heads = p.cells.select("user", "heads").dropDuplicates(["user"])
-    bounded = sums.join(heads.withColumnRenamed("heads", "ha"), "user").join(
+    """The pairs whose bound reaches the lower of both users' bounds.
+
+    First by the lengths that came with the sums: the arrays of all lengths
+    are much longer than a pair's row, so few pairs should meet them.
+    """
+    heads = p.heads
+    likely = materialize(sums.where(F.col("sim") + F.col("most") >= F.col("least") - SLACK).drop("most"))
+    bounded = likely.join(heads.withColumnRenamed("heads", "ha"), "user").join(
         heads.select(F.col("user").alias("neighbour"), F.col("heads").alias("hb")), "neighbour")
     bound = F.col("sim") + F.col("ha")[F.col("above")] * F.col("hb")[F.col("above")]
     return bounded.where(bound >= F.col("least") - SLACK).select("user", "neighbour", "sim", "above")

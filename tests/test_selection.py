@@ -156,3 +156,18 @@ def test_many_lookups(spark, limit):
     for u in (0, 3, 7):
         want |= {(u, r.neighbour): round(r.sim, 12) for r in similarity_one_user(table, u).collect()}
     assert found == want
+
+
+def test_pairs_are_bounded_before_they_meet_the_lengths(spark):
+    """Pair sums carry one length a user and drop below their bounds before the arrays of lengths are joined."""
+    from kinnear.operators import pruning as P
+
+    table = materialize(spark.createDataFrame(profiles(5, 120, 60, 0.2, 8), CELLS))
+    p = P.prepare(table, 2)
+    assert "heads" not in p.cells.columns and "most" in P.pair_sums(p).columns
+    sums = P.pair_sums(p)
+    heads = {r.user: r.heads for r in p.heads.collect()}
+    want = {(r.user, r.neighbour) for r in sums.collect()
+            if r.sim + heads[r.user][r.above] * heads[r.neighbour][r.above] >= r.least - P.SLACK}
+    left = P.survivors(p, sums)
+    assert {(r.user, r.neighbour) for r in left.collect()} == want and len(want) < sums.count()
