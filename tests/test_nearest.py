@@ -65,3 +65,16 @@ def test_block_count_is_bounded_by_memory():
     assert M.block_count(Shape(171_000_000, 5_400_000, 4.2e9, 800.0), 30, 12) == 15
     assert M.block_count(Shape(171_000_000, 5_400_000, 4.2e9, 800.0), 200, 12) == 18
     assert M.block_count(Shape(0, 0, 0.0, 0.0), 30, 12) == 1
+
+
+def test_no_route_that_no_item_takes(spark):
+    """Neighbours are joined by user only if an item has k raters; both ways give the same sums."""
+    from kinnear.operators.predict import _fanout
+
+    test = spark.createDataFrame([(1, 5), (2, 5), (1, 6)], "user long, item long")
+    near = spark.createDataFrame([(1, 2, 0.5, 1), (1, 3, 0.25, 2), (2, 3, 1.0, 1)], "user long, neighbour long, sim double, rank long")
+    dev = spark.createDataFrame([(2, 5, 0.5), (3, 5, -1.0), (3, 6, 1.0)], "user long, item long, dev double")
+    found = {k: _fanout(test, near, dev, k) for k in (None, 2, 3)}
+    plan = {k: df._jdf.queryExecution().analyzed().toString() for k, df in found.items()}
+    assert "Union" in plan[2] and "Union" not in plan[3]
+    assert len({tuple(sorted(map(tuple, df.select("user", "item", "sim", "rank", "dev").collect()))) for df in found.values()}) == 1
