@@ -1,6 +1,7 @@
 """The k best of every user from blocks, against the pairs' way and plain sums."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -78,3 +79,40 @@ def test_no_route_that_no_item_takes(spark):
     plan = {k: df._jdf.queryExecution().analyzed().toString() for k, df in found.items()}
     assert "Union" in plan[2] and "Union" not in plan[3]
     assert len({tuple(sorted(map(tuple, df.select("user", "item", "sim", "rank", "dev").collect()))) for df in found.values()}) == 1
+
+
+def test_cells_are_sent_once_a_task_however_many_blocks(spark):
+    """Many neighbours need more blocks, not more copies of the cells: tasks take their blocks in turn."""
+    large = Shape(171_000_000, 3_600_000, 4.2e9, 2700.0)
+    assert M.block_count(large, 1400, 12) == 70 and M.task_count(large, 12) == 12
+    table = materialize(spark.createDataFrame(cells_of(3, 200, 60, 0.2), CELLS))
+    found = knn(table, 150, 200, strategy="rows", written=True, blocks=11)
+    assert rows(found) == rows(knn(table, 150, 200, strategy="join", written=True))
+    task_numbers = "sequence(0, 3"
+    assert task_numbers in found._jdf.queryExecution().analyzed().toString()
+
+
+@pytest.mark.parametrize("held", [0, 64 << 20])
+def test_packed_cells_come_back(monkeypatch, held):
+    """Ids and items of any sign and size, users without cells, values kept in a file or in memory."""
+    monkeypatch.setattr(M, "HELD_BYTES", held)
+    monkeypatch.setattr(M, "PACK_CELLS", 4)
+    want = {5: [(-(2**63), 0.5), (2**63 - 1, 0.5), (7, -1.0)], -7: [], 2**62: [(3, 1e-300), (3, 2.0)], 9: [(i, float(i)) for i in range(9)]}
+    batch = pa.RecordBatch.from_arrays([
+        pa.array(list(want), pa.int64()), pa.array([[i for i, _ in c] for c in want.values()], pa.list_(pa.int64())),
+        pa.array([[w for _, w in c] for c in want.values()], pa.list_(pa.float64()))], names=["user", "items", "weights"])
+    passing = M.Passing()
+    for value in M._pack([batch]):
+        passing.add(*(value.column(i)[0].as_py() for i in range(3)))
+    for _ in range(2):
+        got = {}
+        for users, sizes, items, weights in passing:
+            ends = np.cumsum(sizes)
+            got |= {int(u): list(zip(items[e - n:e].tolist(), weights[e - n:e].tolist())) for u, n, e in zip(users, sizes, ends)}
+        assert len(passing.sizes) > 1 and {u: sorted(c) for u, c in got.items()} == {u: sorted(c) for u, c in want.items()}
+
+
+def test_repeated_cells_add_up(spark):
+    """Cells of one user and item count as their pairs do, in full tables too."""
+    table = materialize(spark.createDataFrame([(u, i, 0.1 * (u + i)) for u in range(70) for i in (0, 1, 1)], CELLS))
+    assert rows(knn(table, 5, 70, strategy="rows", written=True)) == rows(knn(table, 5, 70, strategy="join", written=True))
