@@ -116,3 +116,23 @@ def test_repeated_cells_add_up(spark):
     """Cells of one user and item count as their pairs do, in full tables too."""
     table = materialize(spark.createDataFrame([(u, i, 0.1 * (u + i)) for u in range(70) for i in (0, 1, 1)], CELLS))
     assert rows(knn(table, 5, 70, strategy="rows", written=True)) == rows(knn(table, 5, 70, strategy="join", written=True))
+
+
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_packed_pairs_meet_as_rows_do(spark, monkeypatch, kind):
+    """Hot items, users with many pairs, repeated and unknown keys: each way gives the hits of the plain joins."""
+    from kinnear.operators import predict as P
+
+    monkeypatch.setattr(P, "PAIRS_OF_USER", 12)
+    monkeypatch.setattr(P, "GROUP_ROWS", 300)
+    r = np.random.default_rng(5)
+    draw = lambda n, *most: [tuple(int(x) for x in row) for row in np.column_stack([r.integers(0, m, n) for m in most])]
+    test = spark.createDataFrame(draw(300, 40, 30) + [(1, i) for i in range(25)], "user long, item long")
+    near = spark.createDataFrame(draw(500, 40, 50, 8), "user long, neighbour long, rank long").withColumn("sim", F.col("rank") / 8)
+    dev = spark.createDataFrame(draw(400, 50, 28) + [(u, 3) for u in range(50)], "user long, item long").withColumn("dev", F.col("user") - 20.0)
+    test, dev = (t.withColumn("user", F.when(F.col("user") != 7, F.col("user")).cast(kind)) for t in (test, dev))
+    near = near.withColumns({c: F.when(F.col(c) != 9, F.col(c)).cast(kind) for c in ("user", "neighbour")})
+    hits = lambda k: sorted(map(tuple, P._fanout(test, near, dev, k).select("user", "item", "sim", "rank", "dev").collect()))
+    assert hits(20) == hits(1000) == hits(None) and hits(20)
+    plan = P._fanout(test, near, dev, 1000)._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan
