@@ -127,6 +127,18 @@ def test_packed_pairs_meet_as_rows_do(spark, monkeypatch, kind):
     test, dev = (t.withColumn("user", F.when(F.col("user") != 7, F.col("user")).cast(kind)) for t in (test, dev))
     near = near.withColumns({c: F.when(F.col(c) != 9, F.col(c)).cast(kind) for c in ("user", "neighbour")})
     hits = lambda k: sorted(map(tuple, P._fanout(test, near, dev, k).select("user", "item", "sim", "rank", "dev").collect()))
-    assert hits(20) == hits(1000) == hits(None) and hits(20)
+    assert hits(10) == hits(20) == hits(1000) == hits(None) and hits(10)
     plan = P._fanout(test, near, dev, 1000)._jdf.queryExecution().executedPlan().toString()
     assert "FlatMapCoGroupsInArrow" in plan
+
+
+def test_items_with_some_more_raters_than_k_take_no_second_route(spark):
+    """An item with 60 raters is met by them at k=30: the neighbours are not shuffled twice for it."""
+    from kinnear.operators import predict as P
+
+    test = spark.range(40).select(F.col("id").alias("user"), F.lit(5).cast("long").alias("item"))
+    near = spark.range(400).select((F.col("id") % 40).alias("user"), (F.col("id") % 77).alias("neighbour"), (F.col("id") / 400).alias("sim"))
+    dev = spark.range(60).select(F.col("id").alias("user"), F.lit(5).cast("long").alias("item"), (F.col("id") - 9.5).alias("dev"))
+    found = P._fanout(test, near, dev, 30)
+    assert "Union" not in found._jdf.queryExecution().analyzed().toString()
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, P._fanout(test, near, dev).select(*found.columns).collect()))
