@@ -16,6 +16,8 @@ from that one, and others were compared with that one too, its windows of
 PASSAGE shingles around the place become keys themselves, under which the
 texts that hold the same window meet: two texts that share a window word for
 word are either both similar to the first one there, or meet under the window.
+Texts that met under a key and are in different classes after that are compared
+with each other, all pairs: no class is left in parts that a pair would join.
 """
 
 from __future__ import annotations
@@ -442,6 +444,41 @@ def next_partners(pairs: DataFrame, links: DataFrame) -> DataFrame:
         F.min("low").cast("int").alias("low"), F.max(c("low") + c("more")).cast("int").alias("high"))
 
 
+def partners_apart(pairs: DataFrame, links: DataFrame) -> DataFrame:
+    """(a, b, shift, low, high): the texts that met one first text at the same place and are in different classes of ``links``, all pairs of them not compared.
+
+    ``pairs(a, b, shift, low, high, centre)`` as they met, ``links(a, b)`` all
+    that was found.  Texts of one class need no comparison to be in it; of two
+    classes every text is compared with every other, so none stays outside of
+    a class that one of its texts belongs to.
+    """
+    c = F.col
+    labels = stage(connected_components(links.select("a", "b")))
+    label = lambda node, name: labels.select(c("node").alias(node), c("label").alias(name))
+    of = lambda bit, first, x, low, to_x: pairs.where(c("centre").bitwiseAND(bit) > 0).select(
+        c(first).alias("first"), c(x).alias("x"), low.alias("from"), (low + c("high") - c("low")).alias("to"), to_x.alias("to_x"))
+    met = of(1, "a", "b", c("low"), c("shift")).union(of(2, "b", "a", c("low") + c("shift"), -c("shift")))
+    met = met.join(label("first", "of_first"), "first", "left").join(label("x", "of_x"), "x", "left").select(
+        "first", "x", "from", "to", "to_x", F.coalesce("of_first", "first").alias("of_first"), F.coalesce("of_x", "x").alias("class"))
+    lost = met.where(c("class") != c("of_first"))
+    # the places of two texts are the same if their ranges overlap, which the first place that both have in common tells once
+    spread = lambda rows: rows.withColumn(
+        "region", F.explode(F.sequence(F.floor(c("from") / PASSAGE), F.floor(c("to") / PASSAGE))))
+    mine = spread(lost.drop("of_first"))
+    others = spread(met.join(lost.select("first").distinct(), "first", "left_semi").drop("of_first"))
+    others = others.select("first", "region", *[c(n).alias(f"other_{n}") for n in ("x", "from", "to", "to_x", "class")])
+    low, high = F.greatest("from", "other_from"), F.least("to", "other_to")
+    both = mine.join(others, ["first", "region"]).where(
+        (c("class") != c("other_class")) & (low <= high) & (c("region") == F.floor(low / PASSAGE)))
+    turned = c("x") > c("other_x")
+    found = both.select(
+        F.least("x", "other_x").alias("a"), F.greatest("x", "other_x").alias("b"),
+        F.when(turned, c("to_x") - c("other_to_x")).otherwise(c("other_to_x") - c("to_x")).cast("int").alias("shift"),
+        (low + F.when(turned, c("other_to_x")).otherwise(c("to_x"))).cast("int").alias("low"), (high - low).alias("more"))
+    found = found.groupBy("a", "b", "shift").agg(F.min("low").alias("low"), F.max(c("low") + c("more")).cast("int").alias("high"))
+    return found.join(pairs.select("a", "b", "shift"), ["a", "b", "shift"], "left_anti")
+
+
 def passage_links(texts: DataFrame) -> DataFrame:
     """(a, b, a_start, a_end, b_start, b_end): verified links between different texts, with word spans.
 
@@ -463,7 +500,9 @@ def passage_links(texts: DataFrame) -> DataFrame:
     more = _pairs(windows).select(*names).union(next_partners(pairs, links).select(*names)).groupBy("a", "b", "shift").agg(
         F.min("low").alias("low"), F.max("high").alias("high"))
     again = _compared(texts, more.withColumn("centre", F.lit(0)))
-    return links.union(again.drop("left"))
+    links = stage(links.union(again.drop("left")))
+    last = _compared(texts, partners_apart(pairs, links).withColumn("centre", F.lit(0)))
+    return links.union(last.drop("left"))
 
 
 def shared_passages(docs: DataFrame) -> DataFrame:

@@ -931,3 +931,37 @@ def test_next_partners_are_aligned(spark):
     # 1 is the first text of (1, 5), which fails, but is linked to nothing; 5 is that of (2, 5) and is linked to 9
     assert rows_of(passages.next_partners(pairs, links), "a", "b", "shift", "low", "high") == [(2, 9, -10, 100, 100)]
     assert passages.next_partners(pairs, links.limit(0)).collect() == []
+
+
+def test_passages_of_texts_apart(spark):
+    """A text that is similar to one of its first text's partners only, not to the one with most links, is linked to that one."""
+    import random
+
+    r = random.Random(11)
+    fresh = lambda n: ["".join(r.choices("abcdefghijklmnop", k=9)) for _ in range(n)]
+    rows = []
+    for group in range(0, 120, 10):
+        first, more = fresh(54), fresh(60)
+        near, popular = [*first], [*first]
+        near[4:5], popular[5:6] = fresh(1), fresh(1)
+        far = [*near]
+        far[49:50] = fresh(1)
+        texts = [first, near, popular + fresh(30) + more, more, far]
+        rows += [(group + i + 1, " ".join(words)) for i, words in enumerate(texts)]
+    links = passages.passage_links(spark.createDataFrame(rows, "node long, text string"))
+    found = {(r.a, r.b) for r in links.collect()}
+    for group in range(0, 120, 10):
+        assert {(group + 1, group + 2), (group + 1, group + 3), (group + 3, group + 4), (group + 2, group + 5)} <= found
+        assert (group + 1, group + 5) not in found and (group + 3, group + 5) not in found
+
+
+def test_partners_apart(spark):
+    """Texts that met a first text (1) at the same place, in different classes; the place of the last one (5) is another."""
+    pairs = spark.createDataFrame(
+        [(1, 2, 10, 100, 120, 1), (1, 3, -5, 90, 110, 1), (1, 4, 0, 110, 130, 1), (1, 5, 7, 300, 310, 1)],
+        "a long, b long, shift int, low int, high int, centre int")
+    links = spark.createDataFrame([(1, 2)], "a long, b long")
+    assert rows_of(passages.partners_apart(pairs, links), "a", "b", "shift", "low", "high") == [
+        (2, 3, -15, 110, 120), (2, 4, -10, 120, 130), (3, 4, 5, 105, 105)]
+    every = links.union(spark.createDataFrame([(2, 3), (3, 4), (4, 5)], "a long, b long"))
+    assert passages.partners_apart(pairs, every).collect() == []
