@@ -193,18 +193,28 @@ def _ranges(good: np.ndarray) -> list[tuple[int, int]]:
     starts = np.flatnonzero(good)
     if not len(starts):
         return []
-    cut = np.flatnonzero(np.diff(starts) > PASSAGE)
+    cut = np.flatnonzero(starts[1:] - starts[:-1] > PASSAGE)
+    if not len(cut):
+        return [(int(starts[0]), int(starts[-1]) + PASSAGE)]
     return list(zip(starts[np.r_[0, cut + 1]].tolist(), (starts[np.r_[cut, len(starts) - 1]] + PASSAGE).tolist()))
 
 
-def _similar(x: np.ndarray, y: np.ndarray) -> bool:
-    mine, theirs = set(x.tolist()), set(y.tolist())
-    return len(mine & theirs) >= SIMILARITY * len(mine | theirs)
+def _similar(x: list[int], y: list[int]) -> bool:
+    mine, theirs = set(x), set(y)
+    common = len(mine & theirs)
+    return common >= SIMILARITY * (len(mine) + len(theirs) - common)
+
+
+def _known_to(values: list[int], others: list[int]) -> np.ndarray:
+    """Which values are among the others; a set does it faster than np.isin for so few."""
+    among = set(others)
+    return np.fromiter((v in among for v in values), bool, len(values))
 
 
 def _windows(there: np.ndarray) -> np.ndarray:
     """Which windows of PASSAGE places have enough common shingles for the similarity (sets of equal size)."""
-    total = np.concatenate([[0], np.cumsum(there)])
+    total = np.zeros(len(there) + 1, np.int64)
+    np.cumsum(there, out=total[1:])
     return total[PASSAGE:] - total[:-PASSAGE] >= 2 * SIMILARITY / (1 + SIMILARITY) * PASSAGE - 0.5
 
 
@@ -276,13 +286,14 @@ def common_passages(x: np.ndarray, y: np.ndarray, shift: int) -> list[tuple[int,
     """
     begin, end = max(0, -shift), min(len(x), len(y) - shift)
     found, whole = [], False
+    mine, theirs = x.tolist(), y.tolist()
     if end - begin >= PASSAGE:
         facing = x[begin:end] == y[begin + shift:end + shift]
 
         def aligned(s: int, e: int) -> tuple[int, int, int, int] | None:
             same = np.flatnonzero(facing[s:e])
             for low, high in ((begin + s + int(same[0]), begin + s + int(same[-1]) + 1), (begin + s, begin + e)):
-                if _similar(x[low:high], y[low + shift:high + shift]):
+                if _similar(mine[low:high], theirs[low + shift:high + shift]):
                     return low, high, low + shift, high + shift
             return None
 
@@ -293,18 +304,18 @@ def common_passages(x: np.ndarray, y: np.ndarray, shift: int) -> list[tuple[int,
             else:
                 found += _pieces(facing[s:e], lambda i, j, s=s: aligned(s + i, s + j))
     if not whole and min(len(x), len(y)) >= PASSAGE:
-        there, partner = np.isin(x, y), None
+        there, partner = _known_to(mine, theirs), None
 
         def anywhere(s: int, e: int) -> tuple[int, int, int, int] | None:
             spots = partner[s:e][there[s:e]]
             low, high = int(spots.min()), int(spots.max()) + 1
             # a shingle that is far from the others in y is no part of the passage
-            return (s, e, low, high) if high - low <= 2 * (e - s) and _similar(x[s:e], y[low:high]) else None
+            return (s, e, low, high) if high - low <= 2 * (e - s) and _similar(mine[s:e], theirs[low:high]) else None
 
         for s, e in _ranges(_windows(there)):
-            places = np.flatnonzero(np.isin(y, x[s:e]))
+            places = np.flatnonzero(_known_to(theirs, mine[s:e]))
             low, high = int(places[0]), int(places[-1]) + 1
-            if _similar(x[s:e], y[low:high]):
+            if _similar(mine[s:e], theirs[low:high]):
                 found.append((s, e, low, high))
             else:
                 partner = _partners(x, y, shift) if partner is None else partner
@@ -315,6 +326,8 @@ def common_passages(x: np.ndarray, y: np.ndarray, shift: int) -> list[tuple[int,
 def _repeats(values: np.ndarray) -> np.ndarray:
     """For each window of PASSAGE places, whether a value is there twice."""
     n = len(values)
+    if len(set(values.tolist())) == n:
+        return np.zeros(n - PASSAGE + 1, bool)
     order = np.argsort(values, kind="stable")
     again = np.full(n, n + PASSAGE, np.int64)
     again[order[:-1]] = np.where(values[order[1:]] == values[order[:-1]], order[1:], n + PASSAGE)
@@ -331,13 +344,20 @@ def _left(mine: np.ndarray, other: np.ndarray, shift: int, low: int, high: int)
     n = len(mine) - PASSAGE + 1
     if n <= 0:
         return []
-    begin, end = max(0, -shift), min(len(mine), len(other) - shift)
-    known = np.zeros(n, bool)
-    if end - begin >= PASSAGE:
-        x, y = mine[begin:end], other[begin + shift:end + shift]
-        known[begin:end - PASSAGE + 1] = _windows(x == y) & ~_repeats(x) & ~_repeats(y)
-    start = max(0, low - PASSAGE + 1)
-    edge = np.diff(np.concatenate([[0], ~known[start:min(high, n - 1) + 1], [0]]).astype(np.int8))
+    start, stop = max(0, low - PASSAGE + 1), min(high + 1, n)
+    if stop <= start:
+        return []
+    unknown = np.zeros(stop - start + 2, np.int8)  # with an edge on either side
+    unknown[1:-1] = 1
+    # the windows that face one of the other text
+    begin, end = max(start, -shift), min(stop, len(other) - shift - PASSAGE + 1)
+    if begin < end:
+        x, y = mine[begin:end + PASSAGE - 1], other[begin + shift:end + shift + PASSAGE - 1]
+        known = _windows(x == y)
+        if known.any():
+            known &= ~_repeats(x) & ~_repeats(y)
+            unknown[begin - start + 1:end - start + 1] = ~known
+    edge = unknown[1:] - unknown[:-1]
     return list(zip((start + np.flatnonzero(edge == 1)).tolist(), (start + np.flatnonzero(edge == -1) - 1).tolist()))
 
 
@@ -351,8 +371,8 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """
     for batch in batches:
         rows: list[tuple] = []
-        for a, b, shift, low, high, centre, a0, x, b0, y in zip(*(batch.column(i) for i in range(10))):
-            a, b, shift, low, high, centre, a0, b0 = (v.as_py() for v in (a, b, shift, low, high, centre, a0, b0))
+        parts = (7, 9)
+        for a, b, shift, low, high, centre, a0, x, b0, y in zip(*(batch.column(i) if i in parts else batch.column(i).to_pylist() for i in range(10))):
             x, y = (np.frombuffer(v.as_buffer(), np.uint32) for v in (x, y))
             facing = shift + a0 - b0
             for s, e, t, f in common_passages(x, y, facing):
