@@ -478,8 +478,8 @@ def partners_apart(pairs: DataFrame, links: DataFrame) -> DataFrame:
     of = lambda bit, first, x, low, to_x: pairs.where(c("centre").bitwiseAND(bit) > 0).select(
         c(first).alias("first"), c(x).alias("x"), low.alias("from"), (low + c("high") - c("low")).alias("to"), to_x.alias("to_x"))
     met = of(1, "a", "b", c("low"), c("shift")).union(of(2, "b", "a", c("low") + c("shift"), -c("shift")))
-    met = met.join(label("first", "of_first"), "first", "left").join(label("x", "of_x"), "x", "left").select(
-        "first", "x", "from", "to", "to_x", F.coalesce("of_first", "first").alias("of_first"), F.coalesce("of_x", "x").alias("class"))
+    met = stage(met.join(label("first", "of_first"), "first", "left").join(label("x", "of_x"), "x", "left").select(
+        "first", "x", "from", "to", "to_x", F.coalesce("of_first", "first").alias("of_first"), F.coalesce("of_x", "x").alias("class")))
     lost = met.where(c("class") != c("of_first"))
     # the places of two texts are the same if their ranges overlap, which the first place that both have in common tells once
     spread = lambda rows: rows.withColumn(
