@@ -114,35 +114,48 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], names=["key", "fine", "node", "place"])
 
 
-def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (key, fine, node) to aligned pairs (a, at, b, bt, centre): linear in the rows, whatever a key holds.
+def _meet(batches: Iterator[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (key, fine, node, place) to aligned pairs (a, at, b, bt, centre): linear in the rows, whatever a key holds.
 
     Every text is paired with its key's first text, and with the first text of
     its finer key where that is another one; that text is a if ``centre`` is 1, b if it is 2.
+    All places of a text face the first place of the first text.  If equal keys
+    are equal passages (``whole``), any place of the first text will do: the
+    n-th faces the n-th and then the first one again, so that texts that repeat
+    a line are aligned once for all of it, not once for each place.
     """
-    key0 = fine0 = None
-    first = finer = (0, 0)
+    kept = None  # the places of the first texts and of the last text, which the next rows may go on with
     for batch in batches:
-        n = batch.num_rows
-        if not n:
+        if not batch.num_rows:
             continue
-        key, fine, node, place = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+        columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
+        old = 0 if kept is None else len(kept[0])
+        key, fine, node, place = columns if kept is None else map(np.concatenate, zip(kept, columns))
+        n = len(key)
+        index = np.arange(n)
         new_key = np.ones(n, bool)
         new_key[1:] = key[1:] != key[:-1]
         new_fine = new_key.copy()
         new_fine[1:] |= fine[1:] != fine[:-1]
-        goes_on = key0 is not None and key[0] == key0
-        new_key[0], new_fine[0] = not goes_on, not (goes_on and fine[0] == fine0)
-        sides = []
-        for fresh, before in ((new_key, first), (new_fine, finer)):
-            last = np.maximum.accumulate(np.where(fresh, np.arange(n), -1))
-            sides.append((np.where(last >= 0, node[last], before[0]), np.where(last >= 0, place[last], before[1])))
+        new_text = new_fine.copy()
+        new_text[1:] |= node[1:] != node[:-1]
+        begin = np.flatnonzero(new_text)
+        size = np.diff(begin, append=n)
+        text = np.cumsum(new_text) - 1
+        nth = index - begin[text]
+        sides, keep = [], [np.arange(begin[-1], n)]
+        for fresh in (new_key, new_fine):
+            first = np.maximum.accumulate(np.where(fresh, index, 0))
+            places = size[text[first]] if whole else np.ones(n, np.int64)
+            sides.append((node[first], place[first + nth % places]))
+            keep.append(np.arange(first[-1], first[-1] + places[-1]))
         (a, at), (b, bt) = sides
+        fresh = index >= old
         out = [np.concatenate(x) for x in zip(*(
             (other[ok], spot[ok], node[ok], place[ok]) for other, spot, ok in (
-                (a, at, a != node), (b, bt, (b != node) & (b != a) & (fine != 0)))))]
-        first, finer = (a[-1], at[-1]), (b[-1], bt[-1])
-        key0, fine0 = key[-1], fine[-1]
+                (a, at, fresh & (a != node)), (b, bt, fresh & (b != node) & (b != a) & (fine != 0)))))]
+        keep = np.unique(np.concatenate(keep))
+        kept = [x[keep] for x in (key, fine, node, place)]
         swap = out[0] > out[2]
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in (
             np.where(swap, out[2], out[0]), np.where(swap, out[3], out[1]).astype(np.int32),
@@ -150,9 +163,10 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["a", "at", "b", "bt", "centre"])
 
 
-def _pairs(keys: DataFrame) -> DataFrame:
+def _pairs(keys: DataFrame, whole: bool = False) -> DataFrame:
     """(a, b, shift, low, high, centre): texts that meet, how they lie against each other, the first and last place where, and whose key it is (bits)."""
-    met = keys.repartition("key").sortWithinPartitions("key", "fine", "node").mapInArrow(_meet, "a long, at int, b long, bt int, centre int")
+    met = keys.repartition("key").sortWithinPartitions("key", "fine", "node", "place").mapInArrow(
+        lambda batches: _meet(batches, whole), "a long, at int, b long, bt int, centre int")
     return met.groupBy("a", "b", (F.col("bt") - F.col("at")).alias("shift")).agg(
         F.min("at").alias("low"), F.max("at").alias("high"), F.bit_or("centre").alias("centre"))
 
@@ -517,7 +531,7 @@ def passage_links(texts: DataFrame) -> DataFrame:
     windows = small_batches(texts.join(runs, "node")).select("text", "node", "runs").mapInArrow(
         _window_keys, "key long, fine int, node long, place int")
     names = ["a", "b", "shift", "low", "high"]
-    more = _pairs(windows).select(*names).union(next_partners(pairs, links).select(*names)).groupBy("a", "b", "shift").agg(
+    more = _pairs(windows, whole=True).select(*names).union(next_partners(pairs, links).select(*names)).groupBy("a", "b", "shift").agg(
         F.min("low").alias("low"), F.max("high").alias("high"))
     again = _compared(texts, more.withColumn("centre", F.lit(0)))
     links = stage(links.union(again.drop("left")))

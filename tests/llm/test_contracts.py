@@ -965,3 +965,37 @@ def test_partners_apart(spark):
         (2, 3, -15, 110, 120), (2, 4, -10, 120, 130), (3, 4, 5, 105, 105)]
     every = links.union(spark.createDataFrame([(2, 3), (3, 4), (4, 5)], "a long, b long"))
     assert passages.partners_apart(pairs, every).collect() == []
+
+
+def test_repeated_passages_meet_once(spark):
+    """Two texts that repeat one passage are aligned once for all its places, not once for each place; the links cover all of them."""
+    from tests.llm.fixtures import prose
+
+    passage = " ".join(f"w{i}" for i in range(60))
+    rows = [(n, 0, node, place) for n in (1, 2) for node, places in ((7, 4), (9, 12)) for place in range(100 * n, 100 * n + 60 * places, 60)]
+    keys = spark.createDataFrame(rows, "key long, fine int, node long, place int").repartition(1)
+    met = passages._pairs(keys, whole=True)
+    # twelve places face four: three alignments, and each place of either text is in one of them
+    assert rows_of(met, "a", "b", "shift", "low", "high") == [(7, 9, s, 100, 380) for s in (0, 240, 480)]
+    assert passages._pairs(keys).count() > 3
+    apart = prose(100, 81), prose(100, 82), prose(100, 83)
+    texts = [(1, apart[0] + " " + " ".join([passage] * 3)), (2, " ".join([passage] * 9) + " " + apart[1]), (3, apart[2])]
+    found = {r.doc_id: r for r in passages.shared_passages(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert [found[d].class_id for d in (1, 2, 3)] == [1, 1, 3] and found[3].n_links == 0
+    assert any(s <= 100 and e >= 260 for s, e in found[1].spans) and any(s == 0 and e >= 540 for s, e in found[2].spans)
+
+
+def test_meeting_goes_on_in_the_next_batch():
+    """Rows of one key in batches of any size meet the same first texts, at the same places."""
+    import numpy as np
+    import pyarrow as pa
+
+    r = np.random.default_rng(5)
+    rows = sorted({tuple(map(int, r.integers(0, (4, 3, 4, 40)))) for _ in range(300)})
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int64(), pa.int32()))], names=["key", "fine", "node", "place"])
+    for whole in (False, True):
+        results = [
+            [tuple(x.values()) for part in passages._meet((batch.slice(i, size) for i in range(0, len(rows), size)), whole) for x in part.to_pylist()]
+            for size in (len(rows), 1, 7, 50)]
+        assert results[0] and all(sorted(x) == sorted(results[0]) for x in results)
