@@ -408,7 +408,7 @@ def passed(packed: DataFrame, make: Callable, n_users: int | None, schema: str)
         read = packed.where(F.col("lot").isin([*mine])).unionAll(every).coalesce(1)
         out.append(read.mapInArrow(_passed(mine, make, n_users), schema))
     if len(out) > 1:  # a union of single partitions only would be one partition; one of none keeps the tasks apart
-        out.append(packed.sparkSession.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in out[0].schema]))
+        out.append(packed.sparkSession.range(0).select(*[F.col("id").cast(f.dataType).alias(f.name) for f in out[0].schema]))
     while len(out) > 1:  # by pairs, so that the plan is not as deep as there are tasks
         out = [a.unionAll(b) for a, b in zip(out[::2], out[1::2])] + out[len(out) & ~1:]
     return out[0] if out else packed.sparkSession.createDataFrame([], schema)

@@ -275,7 +275,13 @@ def similarity_pairs(profiles: DataFrame, strategy: str = "auto", **options) ->
     """Every unordered pair with a non-zero similarity: ``user < neighbour``.
 
     The output itself can be quadratic in the users; for neighbours use
-    :func:`kinnear.operators.neighbours.knn`.
+    :func:`kinnear.operators.neighbours.knn`.  ``auto`` takes the users by blocks
+    (:func:`kinnear.operators.nearest.all_pairs`) where that sends less.
     """
-    return similarities(profiles, strategy, **options).where(rounded_sim("sim") != 0).select(
+    from kinnear.operators import nearest  # which imports this module
+
+    shape = options.pop("shape", None) or Shape.of(profiles)
+    if strategy == "auto" and not options and nearest.blocks_pay(profiles, shape):
+        return nearest.all_pairs(profiles, shape).where(rounded_sim("sim") != 0)
+    return similarities(profiles, strategy, shape, **options).where(rounded_sim("sim") != 0).select(
         F.least("user", "neighbour").alias("user"), F.greatest("user", "neighbour").alias("neighbour"), "sim")

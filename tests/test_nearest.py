@@ -142,3 +142,69 @@ def test_items_with_some_more_raters_than_k_take_no_second_route(spark):
     found = P._fanout(test, near, dev, 30)
     assert "Union" not in found._jdf.queryExecution().analyzed().toString()
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, P._fanout(test, near, dev).select(*found.columns).collect()))
+
+
+@pytest.mark.parametrize("most_tasks", [2, 100])
+@pytest.mark.parametrize("shape", [(90, 120, 0.05, None), (70, 5, 1.0, None), (60, 40, 0.3, [-1.0, 1.0])])
+def test_written_cells_are_read_and_not_sent(spark, monkeypatch, shape, most_tasks):
+    """Large tables: every task reads the written cells, one block or several in turn; no copy of a cell is shuffled."""
+    for name, size in (("SENT_CELLS", 0), ("MOST_TASKS", most_tasks), ("HELD_BYTES", 100), ("PRODUCTS_AT_ONCE", 300)):
+        monkeypatch.setattr(M, name, size)
+    table = materialize(spark.createDataFrame(cells_of(4, *shape), CELLS))
+    for k in (3, 65):
+        found = knn(table, k, shape[0], strategy="rows", written=True, blocks=5)
+        assert rows(found) == rows(knn(table, k, shape[0], strategy="join", written=True))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Coalesce" in plan and found.rdd.getNumPartitions() == min(most_tasks, 5)
+    assert rows(knn(table.limit(0), 3, shape[0], strategy="rows", blocks=2)) == []
+
+
+def test_own_cells_may_come_last():
+    """A block is met by the users that came before its own cells as well; several blocks take their turns."""
+    r = np.random.default_rng(1)
+    value = lambda users: (len(users), 3 * len(users), next(M._pack([pa.RecordBatch.from_arrays([
+        pa.array(users, pa.int64()), pa.array([[1, 2, 3]] * len(users), pa.list_(pa.int64())),
+        pa.array(r.normal(size=(len(users), 3)).tolist(), pa.list_(pa.float64()))], names=["user", "items", "weights"])])).column(2)[0].as_py())
+    first, second = value([1, 2, 3]), value([4, 5])
+    given = [(0, *first), (1, *second), (None, *first), (None, *second)]
+
+    def out(order, *lots):
+        batch = pa.RecordBatch.from_arrays([pa.array([given[i][j] for i in order], t) for j, t in enumerate(
+            [pa.int32(), pa.int64(), pa.int64(), pa.binary()])], names=["lot", "users", "cells", "packed"])
+        made = M._passed({lot: 1 for lot in lots}, lambda: M.Block(9, False), None)([batch])
+        return sorted(tuple(x.values()) for b in made for x in b.to_pylist())
+
+    assert out([0, 2, 3], 0) == out([2, 0, 3], 0) == out([3, 2, 0], 0)
+    assert sorted(out([0, 2, 3], 0) + out([1, 2, 3], 1)) == out([3, 0, 2, 1], 0, 1) != []
+
+
+@pytest.mark.parametrize("items", [[-(2**63), 2**63 - 1, 5], [7, 9, 8, 1_000], [-3, -3, 4]])
+def test_items_are_numbered(items):
+    block = M.Block(1, False)
+    code, n = block.named(np.array(items))
+    assert n == len(set(items)) and sorted(set(code.tolist())) == list(range(n))
+    assert block.numbers(np.array(items)).tolist() == code.tolist() and block.numbers(np.array([6, 2**62, -(2**62)])).tolist() == [-1] * 3
+
+
+def test_blocks_fit_a_worker():
+    """Blocks at 360 times sf0.1 hold 2M cells and keep 6M rows on average, not 12M and 60M."""
+    for k, n in ((30, 96), (200, 180), (1400, 708)):
+        shape = Shape(171_000_000, 5_400_000, 4.2e9, 800.0)
+        lots = M.lot_count(shape, k, 12)
+        assert lots == n and shape.cells / lots <= M.LOT_CELLS and min(shape.users * min(k, shape.partners), shape.products) / lots <= M.LOT_KEPT
+
+
+@pytest.mark.parametrize("shape", [(90, 120, 0.05, None), (70, 5, 1.0, None)])
+def test_all_pairs_by_blocks(spark, monkeypatch, shape):
+    """Pairs come from blocks: each once, repeated cells added up, and no exchange after the cells are written."""
+    from kinnear.operators.similarity import similarity_pairs
+
+    cells = cells_of(6, *shape)
+    table = materialize(spark.createDataFrame(cells + cells[:20], CELLS))
+    plain = similarity_pairs(table, "join")
+    monkeypatch.setattr(M, "LEAST_PRODUCTS", 0)
+    monkeypatch.setattr(M, "CELL_BYTES", 0)
+    found = similarity_pairs(table)
+    some = lambda df: sorted((r.user, r.neighbour, round(r.sim, 8)) for r in df.collect())
+    assert some(found) == some(plain) and some(M.all_pairs(table, Shape.of(table), 3)) == some(plain)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString() and found.rdd.getNumPartitions() > 1
