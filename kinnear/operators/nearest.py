@@ -84,6 +84,7 @@ class Block:
     """The cells of a block's users and the best ``k`` similarities of each so far."""
 
     adds = False  # whether repeated cells of a user and item are added up where the block is a matrix
+    full = 8  # cells of a matrix for each that is filled, at most; else there is none
 
     def __init__(self, k: int, signed: bool):
         self.k, self.signed, self.parts, self.ids = k, signed, [], None
@@ -100,7 +101,7 @@ class Block:
         code, n_names = self.named(items)
         del items
         self.matrix = None
-        if n * n_names <= 8 * len(weights):
+        if n * n_names <= self.full * len(weights):
             self.matrix = np.zeros((n, n_names))
             self.put(self.matrix, row, code, weights)
         else:
@@ -164,18 +165,7 @@ class Block:
                 b, a = np.nonzero((product >= self.under) & (product != 0))
                 self.offer(a, users[low + b], product[b, a])
             return
-        raters = self.first[code + 1] - self.first[code]
-        total = np.concatenate([[0], np.cumsum(raters)])
-        by_user = total[np.searchsorted(owner, np.arange(len(users) + 1))]
-        low = 0
-        while low < len(users):
-            high = max(low + 1, int(np.searchsorted(by_user, by_user[low] + PRODUCTS_AT_ONCE, "right")) - 1)
-            i, j = np.searchsorted(owner, [low, high])
-            here = raters[i:j]
-            cell = np.repeat(np.arange(i, j), here)
-            other = self.first[code[cell]] + np.arange(len(cell)) - np.repeat(np.cumsum(here) - here, here)
-            a = self.row[other].astype(np.int64)
-            pair = owner[cell] * len(self.ids) + a
+        for cell, other, pair in self.shared(len(users), owner, code):
             order = np.argsort(pair, kind="stable")
             pair = pair[order]
             start = np.flatnonzero(np.diff(pair, prepend=-1))
@@ -187,6 +177,23 @@ class Block:
                     self.negative += np.bincount(a[lower], minlength=len(self.ids))
                 near = sim >= self.under[a]
                 self.offer(a[near], users[b[near]], sim[near])
+
+    def shared(self, n: int, owner: np.ndarray, code: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Cells of ``n`` passing users and own cells of the same item, all those of some users at a time: (cell, own cell, pair).
+
+        A pair is its passing user's place times the number of own users, plus the own user's.
+        """
+        raters = self.first[code + 1] - self.first[code]
+        total = np.concatenate([[0], np.cumsum(raters)])
+        by_user = total[np.searchsorted(owner, np.arange(n + 1))]
+        low = 0
+        while low < n:
+            high = max(low + 1, int(np.searchsorted(by_user, by_user[low] + PRODUCTS_AT_ONCE, "right")) - 1)
+            i, j = np.searchsorted(owner, [low, high])
+            here = raters[i:j]
+            cell = np.repeat(np.arange(i, j), here)
+            other = self.first[code[cell]] + np.arange(len(cell)) - np.repeat(np.cumsum(here) - here, here)
+            yield cell, other, owner[cell] * len(self.ids) + self.row[other].astype(np.int64)
             low = high
 
     def offer(self, a: np.ndarray, other: np.ndarray, sim: np.ndarray) -> None:

@@ -98,7 +98,7 @@ def knn(profiles: DataFrame, k: int, n_users: int, strategy: str = "auto", writt
         reach = materialize(_users_in_reach(profiles, k, n_users))
         reach = reach if reach.limit(1).count() else None
     if strategy == "pruned" and reach is None:
-        return knn_pruned(profiles, k, **options)
+        return knn_pruned(profiles, k, shape=shape, **options)
     if strategy == "rows" or (strategy in ("auto", "pruned") and k > 0 and not options and blocks_pay(profiles, shape)):
         return nearest(profiles, k, shape, None if reach is None else n_users, **options)
     directed = both_directions(similarities(profiles, "auto" if strategy == "pruned" else strategy, shape, **options))

@@ -18,19 +18,31 @@ lengths of its parts above each class are kept (``heads``).
 4. *Completion.*  What remains is completed by the items above the cut.
 
 Every step is a join or an aggregate; a pair is multiplied from one side only.
+
+Large tables go by blocks of users (:mod:`kinnear.operators.nearest`) instead, so
+that no row of a pair is shuffled: in the first pass all partners who share an
+item of the rarest classes count (:class:`FirstPass`), in the second a block's
+users leave out what is above their own cuts, and what survives their own bounds
+is completed at once (:class:`SecondPass`).
 """
 
 from __future__ import annotations
 
+import sys
 from dataclasses import dataclass
 
+import numpy as np
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinnear.functions.expr import SIM_ROUND, rounded_sim
-from kinnear.operators.similarity import both_directions
+from kinnear.operators.nearest import Block, blocks_pay, lot_count, packed_lots, passed
+from kinnear.operators.similarity import Shape, both_directions
 from kinnear.session import materialize
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: Classes of items, and those of them that the first pass multiplies.
 CLASSES, FIRST = 32, 3
 #: The first pass goes by signature if its products are at most this share of all, in parts of so many users.
@@ -39,6 +51,8 @@ DENSE, GROUP_USERS = 0.1, 4096
 PARTNERS = 3
 #: Ranks compare rounded similarities, so bounds are relaxed by two units of the last place.
 SLACK = 2 * 10.0**-SIM_ROUND
+#: In blocks an item's number starts with its class, above this many bits; a user's bound and cut travel as cells of these items.
+CLASS_BITS, LEAST, CUT = 48, -1, -2
 
 
 def item_classes(profiles: DataFrame, classes: int = CLASSES) -> DataFrame:
@@ -127,20 +141,33 @@ class Pruned:
     dense: bool
 
 
-def prepare(profiles: DataFrame, k: int, classes: int = CLASSES, first: int = FIRST) -> Pruned:
-    """Classes, heads, bounds and cuts of a written profile table."""
+def _classed(profiles: DataFrame, classes: int) -> tuple[DataFrame, DataFrame]:
+    """The written classes of the items, and the written cells with them."""
     kinds = materialize(item_classes(profiles, classes))
-    cells = materialize(profiles.select("user", "item", "weight").join(kinds, "item"))
+    return kinds, materialize(profiles.select("user", "item", "weight").join(kinds, "item"))
+
+
+def _is_dense(kinds: DataFrame, k: int) -> bool:
     size = kinds.agg(F.sum("n"), F.sum(F.col("n").cast("double") * F.col("n"))).first()
-    dense = PARTNERS * k * (size[0] or 0) <= DENSE * (size[1] or 0.0)
-    heads = user_heads(cells, classes)
-    users = materialize(heads.join(least_similarity(cells, k, first, dense), "user", "left").withColumn("least", F.coalesce("least", F.lit(0.0))))
+    return PARTNERS * k * (size[0] or 0) <= DENSE * (size[1] or 0.0)
+
+
+def _bounds(cells: DataFrame, least: DataFrame, classes: int) -> tuple[DataFrame, DataFrame]:
+    """(user, heads, least), written, and (user, cut, least, head)."""
+    users = materialize(user_heads(cells, classes).join(least, "user", "left").withColumn("least", F.coalesce("least", F.lit(0.0))))
     longest = users.agg(*[F.max(F.col("heads")[c]).alias(f"m{c}") for c in range(classes)]).first()
     reach = F.zip_with("heads", F.array(*[F.lit(float(m or 0.0)) for m in longest]), lambda mine, most: mine * most)
     under = F.transform(reach, lambda x: x < F.col("least") - SLACK)  # lengths fall with the class: false .. true
     first_under = F.array_position(under, True).cast("int")  # from 1; 0 if none is
     cut = F.when(first_under > 0, first_under - 1).otherwise(classes - 1)  # classes up to the cut are multiplied
-    bounds = users.withColumn("cut", cut).select("user", "cut", "least", F.col("heads")[F.col("cut")].alias("head"))
+    return users, users.withColumn("cut", cut).select("user", "cut", "least", F.col("heads")[F.col("cut")].alias("head"))
+
+
+def prepare(profiles: DataFrame, k: int, classes: int = CLASSES, first: int = FIRST) -> Pruned:
+    """Classes, heads, bounds and cuts of a written profile table."""
+    kinds, cells = _classed(profiles, classes)
+    dense = _is_dense(kinds, k)
+    users, bounds = _bounds(cells, least_similarity(cells, k, first, dense), classes)
     return Pruned(materialize(cells.join(bounds, "user")), users.select("user", "heads"), classes, first, dense)
 
 
@@ -205,8 +232,109 @@ def products(profiles: DataFrame, k: int, classes: int = CLASSES, first: int = F
     return counted.join(F.broadcast(done), F.lit(True)).select(*[F.col(c).cast("long").alias(c) for c in ("plain", "first_pass", "second_pass", "completion")])
 
 
-def knn_pruned(profiles: DataFrame, k: int, classes: int = CLASSES, first: int = FIRST) -> DataFrame:
-    """The k largest positive similarities of every user: ``user, neighbour, sim, rank``."""
+class FirstPass(Block):
+    """The k best of a user among those who share an item of the ``first`` classes with it."""
+
+    full = -1
+
+    def __init__(self, k: int, first: int):
+        super().__init__(k, False)
+        self.rare = first
+
+    def meet(self, users: np.ndarray, sizes: np.ndarray, items: np.ndarray, weights: np.ndarray) -> None:
+        code = self.numbers(items)
+        known = code >= 0
+        owner, code, weights = np.repeat(np.arange(len(users)), sizes)[known], code[known], weights[known]
+        rare = (items[known] >> CLASS_BITS) < self.rare
+        for cell, other, pair in self.shared(len(users), owner, code):
+            some = np.unique(pair[rare[cell]])
+            if len(some):
+                place = np.minimum(np.searchsorted(some, pair), len(some) - 1)
+                of_some = some[place] == pair
+                sim = np.bincount(place[of_some], weights[cell[of_some]] * self.weight[other[of_some]], len(some))
+                b, a = np.divmod(some, len(self.ids))
+                near = sim >= self.under[a]
+                self.offer(a[near], users[b[near]], sim[near])
+
+
+class SecondPass(Block):
+    """The k best of a user, without the products above its cut of pairs that stay under its bound."""
+
+    full = -1
+
+    def __init__(self, k: int, classes: int):
+        super().__init__(k, False)
+        self.classes, self.bounds = classes, []
+
+    def bounded(self, users: np.ndarray, sizes: np.ndarray, items: np.ndarray, weights: np.ndarray) -> tuple:
+        """The cells of users without their bounds, and (least, cut, heads) of each."""
+        real, owner = items >= 0, np.repeat(np.arange(len(users)), sizes)
+        owner, own, squares = owner[real], items[real], weights[real] ** 2
+        by_class = np.bincount(owner * self.classes + (own >> CLASS_BITS), squares, len(users) * self.classes).reshape(-1, self.classes)
+        above = np.cumsum(by_class[:, ::-1], axis=1)[:, ::-1] - by_class
+        bounds = (weights[items == LEAST], weights[items == CUT].astype(np.int64), np.sqrt(np.maximum(above, 0.0)))
+        return (users, np.bincount(owner, minlength=len(users)), own, weights[real]), bounds
+
+    def add(self, users: np.ndarray, sizes: np.ndarray, items: np.ndarray, weights: np.ndarray) -> None:
+        cells, bounds = self.bounded(users, sizes, items, weights)
+        super().add(*cells)
+        self.bounds.append(bounds)
+
+    def seal(self) -> None:
+        super().seal()
+        self.bound, self.cut, self.heads = (np.concatenate(x) for x in zip(*self.bounds))
+        self.bounds.clear()
+
+    def meet(self, users: np.ndarray, sizes: np.ndarray, items: np.ndarray, weights: np.ndarray) -> None:
+        (users, sizes, items, weights), (_, _, heads) = self.bounded(users, sizes, items, weights)
+        code = self.numbers(items)
+        known = code >= 0
+        owner, code, weights, kind = np.repeat(np.arange(len(users)), sizes)[known], code[known], weights[known], (items >> CLASS_BITS)[known]
+        for cell, other, pair in self.shared(len(users), owner, code):
+            low = kind[cell] <= self.cut[self.row[other]]
+            met, place = np.unique(pair[low], return_inverse=True)
+            if not len(met):
+                continue
+            sim = np.bincount(place, weights[cell[low]] * self.weight[other[low]], len(met))
+            b, a = np.divmod(met, len(self.ids))
+            near = sim + heads[b, self.cut[a]] * self.heads[a, self.cut[a]] >= self.bound[a] - SLACK
+            met, sim, a, b = met[near], sim[near], a[near], b[near]
+            if len(met) and not low.all():  # what was left out, for those that remain
+                place = np.minimum(np.searchsorted(met, pair), len(met) - 1)
+                rest = ~low & (met[place] == pair)
+                sim += np.bincount(place[rest], weights[cell[rest]] * self.weight[other[rest]], len(met))
+            near = sim >= self.under[a]
+            self.offer(a[near], users[b[near]], sim[near])
+
+
+def pruned_by_blocks(profiles: DataFrame, k: int, shape: Shape, classes: int = CLASSES, first: int = FIRST, lots: int | None = None) -> DataFrame:
+    """:func:`knn_pruned` by blocks of users, for integers as users and users of bounded size."""
+    lots = lots or lot_count(shape, k, profiles.sparkSession.sparkContext.defaultParallelism)
+    kinds, cells = _classed(profiles, classes)
+    out = "user long, neighbour long, sim double, rank long"
+    number = F.shiftleft(F.col("class").cast("long"), CLASS_BITS).bitwiseOR(F.monotonically_increasing_id())
+    coded = materialize(kinds.select("item", number.alias("code")))
+    coded = materialize(cells.join(coded, "item").select("user", F.col("code").alias("item"), "weight"))
+    if _is_dense(kinds, k):
+        least = least_similarity(cells, k, first, True)
+    else:
+        best = passed(packed_lots(coded, lots, shape.cells), lambda: FirstPass(k, first), None, out)
+        least = best.where(F.col("rank") == k).select(F.col("user").cast(profiles.schema["user"].dataType).alias("user"), F.col("sim").alias("least"))
+    _, bounds = _bounds(cells, least, classes)
+    extra = bounds.select("user", F.inline(F.array(
+        F.struct(F.lit(LEAST).cast("long").alias("item"), F.col("least").alias("weight")),
+        F.struct(F.lit(CUT).cast("long").alias("item"), F.col("cut").cast("double").alias("weight")))))
+    packed = packed_lots(coded.unionByName(extra), lots, shape.cells)
+    return passed(packed, lambda: SecondPass(k, classes), None, out)
+
+
+def knn_pruned(profiles: DataFrame, k: int, classes: int = CLASSES, first: int = FIRST, shape: Shape | None = None) -> DataFrame:
+    """The k largest positive similarities of every user: ``user, neighbour, sim, rank``; by blocks where that sends less."""
+    shape = shape or Shape.of(profiles)
+    if k > 0 and blocks_pay(profiles, shape):
+        best = pruned_by_blocks(profiles, k, shape, classes, first)
+        kind = profiles.schema["user"].dataType
+        return best.select(F.col("user").cast(kind).alias("user"), F.col("neighbour").cast(kind).alias("neighbour"), "sim", "rank")
     directed = both_directions(pruned_similarities(profiles, k, classes, first)).where(rounded_sim("sim") > 0)
     best = Window.partitionBy("user").orderBy(rounded_sim("sim").desc(), F.col("neighbour").asc())
     return directed.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select(

@@ -171,3 +171,26 @@ def test_pairs_are_bounded_before_they_meet_the_lengths(spark):
             if r.sim + heads[r.user][r.above] * heads[r.neighbour][r.above] >= r.least - P.SLACK}
     left = P.survivors(p, sums)
     assert {(r.user, r.neighbour) for r in left.collect()} == want and len(want) < sums.count()
+
+
+@pytest.mark.parametrize(("shape", "k"), [((90, 120, 0.05), 4), ((60, 40, 0.3), 1)])
+def test_pruned_by_blocks(spark, monkeypatch, shape, k):
+    """The passes in blocks give the rows of all pairs, and no row of a pair is shuffled."""
+    from kinnear.operators import nearest, pruning
+    from kinnear.operators.similarity import Shape
+
+    monkeypatch.setattr(nearest, "PRODUCTS_AT_ONCE", 300)
+    r = np.random.default_rng(k)
+    cells = []
+    for u in range(shape[0]):
+        rated = np.flatnonzero(r.random(shape[1]) < shape[2] * 4 / (1 + np.arange(shape[1])) ** 0.5)
+        w = r.normal(size=len(rated)) * np.where(u % 3, 1, 30.0 / (1 + rated))
+        cells += [(u * 7 - 50, int(i), float(x / np.sqrt((w * w).sum()))) for i, x in zip(rated, w)]
+    table = materialize(spark.createDataFrame(cells, "user long, item long, weight double"))
+    want = rows(knn(table, k, 10_000, strategy="join", written=True))
+    for classes, first in ((8, 2), (32, 3)):
+        assert rows(pruning.pruned_by_blocks(table, k, Shape.of(table), classes, first, 4)) == want
+    monkeypatch.setattr(nearest, "LEAST_PRODUCTS", 0)
+    monkeypatch.setattr(nearest, "CELL_BYTES", 0)
+    found = knn(table, k, 10_000, strategy="pruned", written=True)
+    assert rows(found) == want and "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
