@@ -8,6 +8,7 @@ doubles rounded to 6 places, so that they compare with the SQL texts in
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,8 +29,9 @@ from kinnear.operators.similarity import similarity_join, similarity_of_users, s
 from kinnear.plans.pipeline import evaluate as evaluate_job
 from kinnear.plans.pipeline import fit
 from kinnear.plans.store import load_model, save_model
-from kinnear.session import materialize, scratch_folder
+from kinnear.session import materialize, materialize_by, scratch_folder
 from kinnear.sources.ratings import (
+    TASK_ROWS,
     by_flag,
     coalesce_duplicates,
     dealt,
@@ -75,7 +77,9 @@ class Tables:
 
     ``materialize_ratings=True`` (queries that build neighbours) writes the
     derived ratings once: they feed the user count, the profiles and the
-    test side, which would otherwise each repeat the order-table join.
+    test side, which would otherwise each repeat the order-table join.  They
+    are dealt by user once, and what is grouped or joined by user after that
+    is not shuffled again.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, materialize_ratings: bool = False):
@@ -84,12 +88,13 @@ class Tables:
         self.lines = order_lines(lineitem, orders)
         self.ratings = order_ratings(lineitem, orders)
         if materialize_ratings:
-            self.ratings = materialize(self.ratings)
+            parts = max(spark.sparkContext.defaultParallelism, math.ceil(lineitem.count() / TASK_ROWS))
+            self.ratings = materialize_by(order_ratings(lineitem, orders, parts), "user", parts)
         self.train, self.test = by_flag(self.ratings)
         self.means = user_mean(self.train)
         self.deviations = normalized_deviation(self.train, self.means)
         if materialize_ratings:  # the profiles and both sides of a prediction read them
-            self.deviations = materialize(self.deviations)
+            self.deviations = materialize_by(self.deviations, "user", parts)
         self.profiles = unit_profile(self.deviations)
         self._n_users = None
 

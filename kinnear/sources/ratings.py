@@ -255,10 +255,13 @@ def order_lines(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
-def order_ratings(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    """One row per (customer, part): max rating, test if any line is test."""
+def order_ratings(lineitem: DataFrame, orders: DataFrame, parts: int | None = None) -> DataFrame:
+    """One row per (customer, part): max rating, test if any line is test; in ``parts`` by user if given."""
+    lines = order_lines(lineitem, orders)
+    if parts:
+        lines = lines.repartition(parts, "user")
     return (
-        order_lines(lineitem, orders)
+        lines
         .groupBy("user", "item")
         .agg(F.max("rating").alias("rating"), F.bool_or("is_test").alias("is_test"))
     )

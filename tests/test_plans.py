@@ -61,3 +61,24 @@ def test_intermediate_tables_are_removed(spark):
     df = materialize(spark.range(5))
     assert df.count() == 5
     assert release(spark) >= 1 and release(spark) == 0
+
+
+def test_ratings_are_dealt_by_user_once(spark, tmp_path):
+    """Means, deviations, profiles and lists by user read the written ratings as they lie; rows as without."""
+    from pyspark.sql import functions as F
+
+    from kinnear.plans.queries import Tables
+
+    lines = spark.range(900).select((F.col("id") % 200).alias("l_orderkey"), (F.col("id") * 7 % 31).alias("l_partkey"),
+                                    (F.col("id") % 4).cast("int").alias("l_linenumber"), (1.0 + F.col("id") * 13 % 50).alias("l_quantity"))
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(200).select(F.col("id").alias("o_orderkey"), F.when(F.col("id") % 9 > 0, F.col("id") % 23).alias("o_custkey")).write.parquet(
+        f"{tmp_path}/orders.parquet")
+    plain, dealt = Tables(spark, str(tmp_path)), Tables(spark, str(tmp_path), True)
+    for name in ("ratings", "train", "test", "means", "deviations", "profiles"):
+        a, b = (getattr(t, name) for t in (plain, dealt))
+        some = lambda df: sorted(map(str, df.select(*sorted(df.columns), F.lit(0).alias("z")).collect()))
+        assert some(a) == some(b) and b.columns == a.columns, name
+        if name != "ratings":
+            assert "Exchange" not in b._jdf.queryExecution().executedPlan().toString().replace("BroadcastExchange", ""), name
+    assert "Exchange" not in dealt.ratings.groupBy("user").count()._jdf.queryExecution().executedPlan().toString()
